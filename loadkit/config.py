@@ -113,6 +113,14 @@ class LoadConfig:
     dry_run: bool | str = False
     skip_write: bool | str = False
     # run ledger
+    job_details_table_name: str | None = None
+    env: str | None = None
+    job_name: str | None = None
+    frequency: str | None = None
+    source_system: str | None = None
+    source: str | None = None
+    source_type: str | None = None
+    load_type: str | None = None
     job_id: str | None = None
     run_id: str | None = None
     job_run_details_table_name: str | None = None

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadkit.operators.keyed import join_per_key
 from loadkit.operators.shape import conform
 
 # Source types and the Spark types they become. DECIMAL stands for DECIMAL(precision, scale).
@@ -76,7 +77,7 @@ def column_metadata_oracle(
     wanted = columns.where((F.col("owner") == owner) & _named("table_name", tables))
     key = ["owner", "table_name", "column_name"]
     return (
-        wanted.join(comments.select(*key, "comments"), key, "left")
+        join_per_key(wanted, comments.select(*key, "comments"), key, "left")
         .select(
             "table_name",
             "column_name",
@@ -106,21 +107,18 @@ def column_metadata_sqlserver(
     wanted = columns.where((F.col("table_schema") == owner) & _named("table_name", table_names))
     identity = identity_columns.select(*table, F.col("name").alias("column_name"), F.lit("YES").alias("_identity"))
     noted = properties.select(*table, F.col("minor_id").alias("ordinal_position"), F.col("value").alias("comments"))
-    return (
-        wanted.join(tables.select(*table), table)
-        .join(identity, [*table, "column_name"], "left")
-        .join(noted, [*table, "ordinal_position"], "left")
-        .select(
-            "table_name",
-            "column_name",
-            "data_type",
-            F.col("character_maximum_length").alias("data_length"),
-            F.col("numeric_precision").alias("data_precision"),
-            F.col("numeric_scale").alias("data_scale"),
-            F.col("is_nullable").alias("nullable"),
-            F.coalesce("_identity", F.lit("NO")).alias("identity_column"),
-            "comments",
-        )
+    listed = join_per_key(wanted, tables.select(*table), table, "inner")
+    flagged = join_per_key(listed, identity, [*table, "column_name"], "left")
+    return join_per_key(flagged, noted, [*table, "ordinal_position"], "left").select(
+        "table_name",
+        "column_name",
+        "data_type",
+        F.col("character_maximum_length").alias("data_length"),
+        F.col("numeric_precision").alias("data_precision"),
+        F.col("numeric_scale").alias("data_scale"),
+        F.col("is_nullable").alias("nullable"),
+        F.coalesce("_identity", F.lit("NO")).alias("identity_column"),
+        "comments",
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable
 from typing import Any
 
@@ -43,13 +42,15 @@ def where_template(df: DataFrame, template: str, values: dict[str, Any]) -> Data
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rename the mapped columns the frame has, all at once."""
-    effective = {old: new for old, new in mapping.items() if old in df.columns and old != new}
-    result = [effective.get(c, c) for c in df.columns]
-    clashes = [name for name, n in Counter(result).items() if n > 1]
-    if clashes:
-        raise ValueError(f"renaming would give more than one column {clashes}")
-    return df.withColumnsRenamed(effective)
+    """Rename the mapped columns the frame has, one after the other."""
+    names = df.columns
+    for old, new in mapping.items():
+        if old == new or old not in names:
+            continue
+        if new in names:
+            raise ValueError(f"renaming {old!r} would give more than one column {new!r}")
+        names = [new if name == old else name for name in names]
+    return df.toDF(*names)
 
 
 def transform_columns(df: DataFrame, mapping: list[dict[str, str]]) -> DataFrame:

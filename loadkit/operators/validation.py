@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from loadkit.functions.types import column_type, source_columns, spark_type
+from loadkit.functions.types import schema_from_config, spark_type
 
 ERROR, WARNING = "ERROR", "WARNING"
 ISSUES = "validation_issues"
@@ -69,10 +69,11 @@ def expression_check(name: str, sql: str, action: str = ERROR) -> Rule:
 def schema_differences(df: DataFrame, schema: dict[str, dict]) -> list[tuple[str, str | None, str | None]]:
     """``(column, expected type, actual type)`` where the frame departs from a configured schema.
 
-    Columns the schema does not name are allowed: audit columns are among them.
+    Columns go by their source names, as they are read. Columns the schema does
+    not name are allowed: audit columns are among them.
     """
     actual = {f.name: f.dataType.simpleString() for f in df.schema}
-    expected = {name: column_type(spec).simpleString() for name, spec in source_columns(schema).items()}
+    expected = {f.name: f.dataType.simpleString() for f in schema_from_config(schema)}
     return [(c, t, actual.get(c)) for c, t in expected.items() if actual.get(c) != t]
 
 

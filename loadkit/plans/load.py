@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -29,7 +30,9 @@ class LoadResult:
 
 
 def select_rows(df: DataFrame, cfg: LoadConfig) -> DataFrame:
-    """Project, then filter; the filter sees projected columns only."""
+    """Project, then filter; the filter sees projected columns only. A source query does both by itself."""
+    if cfg.sql_query:
+        return df
     df = select_existing(df, cfg.columns)
     return where_template(df, cfg.where_clause.strip(), cfg.values) if cfg.where_clause else df
 
@@ -43,31 +46,38 @@ def shape(df: DataFrame, cfg: LoadConfig) -> DataFrame:
     return add_derived_columns(df, collate_column_specs(cfg.audit_columns_to_be_added, cfg.table_columns_to_be_added))
 
 
-def _write(df: DataFrame, cfg: LoadConfig, dry_run: bool) -> int | None:
+def _write(df: DataFrame, cfg: LoadConfig) -> int | None:
     if cfg.merge:
         m = cfg.merge
-        rows = sinks.merge_into(
-            df, m.get("target_table"), m.get("merge_keys"), m.get("update_columns"), m.get("delete_condition"), dry_run
+        return sinks.merge_into(
+            df, m.get("target_table"), m.get("merge_keys"), m.get("update_columns"), m.get("delete_condition")
         )
-        return rows
-    if cfg.ingest_type in ("table", "delta") or cfg.write_mode != "append" or cfg.partition_by:
-        return sinks.write_table(df, cfg.target, cfg.write_mode.lower(), cfg.partition_by, dry_run)
-    return sinks.append_table(df, cfg.target, dry_run)
+    mode = cfg.write_mode.lower()
+    if cfg.ingest_type in ("table", "delta") or mode != "append" or cfg.partition_by:
+        return sinks.write_table(df, cfg.target, mode, cfg.partition_by)
+    return sinks.append_table(df, cfg.target)
 
 
-def _store(result: ValidationResult) -> tuple[ValidationResult, int, Callable[[], None]]:
+@contextmanager
+def _stored(result: ValidationResult, dry_run: bool) -> Iterator[tuple[ValidationResult, int]]:
     """Run the source once into a scratch table, so that verdict, target and quarantine see the same rows.
 
     The table is in the shared folder: a lost executor costs no second source
-    scan, and the verdict reads the issue column alone.
+    scan, and the verdict reads the issue column alone. A dry run stores nothing.
     """
+    if dry_run:
+        yield result, result.checked.count()
+        return
     spark = result.checked.sparkSession
     name = scratch_table(spark, "checked")
-    rows = sinks.write_table(result.checked, name, "errorifexists")
-    return ValidationResult(spark.table(name)), rows, lambda: spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        rows = sinks.write_table(result.checked, name, "errorifexists")
+        yield ValidationResult(spark.table(name)), rows
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig) -> LoadResult:
+def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str = "") -> LoadResult:
     """Shape, validate and write a source frame."""
     dry_run = as_flag(cfg.dry_run)
     selected = select_rows(df, cfg)
@@ -76,35 +86,28 @@ def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig) -> LoadResul
     shaped = shape(selected, cfg)
     if not cfg.validations:
         # Nothing can stop the rows: straight from source to target in one pass.
-        rows = shaped.count() if dry_run else _write(shaped, cfg, False)
+        rows = shaped.count() if dry_run else _write(shaped, cfg)
         return LoadResult(ledger.COMPLETED, rows or 0)
 
     started = datetime.now()
-    result = run_validations(shaped, rules_from_config(cfg.validations, cfg.schema))
-    drop = lambda: None
-    try:
-        if dry_run:
-            rows = result.checked.count()
-        else:
-            result, rows, drop = _store(result)
+    validated = run_validations(shaped, rules_from_config(cfg.validations, cfg.schema))
+    with _stored(validated, dry_run) as (result, rows):
         summary = result.summary.collect()  # one row per failed rule and column
         verdict = gate(result, summary, rows)
-        if verdict.to_target is not None and not dry_run:
-            _write(verdict.to_target, cfg, dry_run)
+        if dry_run:
+            return LoadResult(verdict.status, rows, summary)
+        if verdict.to_target is not None:
+            _write(verdict.to_target, cfg)
         if verdict.to_quarantine is not None:
-            _log_validation(spark, result, cfg, started, dry_run)
-            sinks.append_evolving(verdict.to_quarantine, cfg.quarantine, dry_run)
-    finally:
-        drop()
+            _log_validation(result, cfg, run_id, started)
+            sinks.append_evolving(verdict.to_quarantine, cfg.quarantine)
     return LoadResult(verdict.status, rows, summary)
 
 
-def _log_validation(
-    spark: SparkSession, result: ValidationResult, cfg: LoadConfig, started: datetime, dry_run: bool
-) -> None:
+def _log_validation(result: ValidationResult, cfg: LoadConfig, run_id: str, started: datetime) -> None:
     table = cfg.validation_run_details_table_name
-    if table and not dry_run:
-        log = ledger.validation_log(result.summary, cfg.run_id or "", started, datetime.now())
+    if table:
+        log = ledger.validation_log(result.summary, run_id, started, datetime.now())
         sinks.append_evolving(log.coalesce(1), table)
 
 
@@ -116,13 +119,29 @@ class RunLedger:
         self.table = cfg.job_run_details_table_name
         self.run_id = cfg.run_id or uuid.uuid4().hex
         self.started = datetime.now()
+        self.job_id = cfg.job_id
+
+    def resolve_job(self) -> None:
+        """Look the job up by its four settings, registering it if it is new."""
+        table = self.cfg.job_details_table_name
+        if self.job_id or not table:
+            return
+        settings = {name: getattr(self.cfg, name) for name in (*ledger.JOB_KEY, "env", "job_name", "frequency")}
+        types = ", ".join(f"{name} string" for name in settings)
+        request = self.spark.createDataFrame([tuple(settings.values())], types)
+        if self.spark.catalog.tableExists(table):
+            new = ledger.register_jobs(self.spark.table(table), request)
+        else:
+            new = ledger.register_jobs(request.limit(0), request)
+        sinks.append_evolving(new.coalesce(1), table)
+        self.job_id = ledger.find_job(self.spark.table(table), *[settings[name] for name in ledger.JOB_KEY])
 
     def record(self, status: str, rows: int = 0, error: str = "") -> None:
         if not self.table:
             return
         now = datetime.now()
         run_date = datetime.strptime(self.cfg.run_date, "%Y-%m-%d").date() if self.cfg.run_date else None
-        event = (self.run_id, self.cfg.job_id, now, now, self.started, now, run_date, rows, status, error)
+        event = (self.run_id, self.job_id, now, now, self.started, now, run_date, rows, status, error)
         frame = self.spark.createDataFrame([event], ledger.RUN_SCHEMA).coalesce(1)
         sinks.append_evolving(frame, self.table)
 
@@ -132,7 +151,8 @@ class RunLedger:
             return None
         # This job and date only: a handful of status rows out of the ledger.
         events = self.spark.table(self.table).where(
-            (F.upper("job_id") == (self.cfg.job_id or "").upper()) & (F.col("run_date") == F.lit(self.cfg.run_date).cast("date"))
+            (F.upper("job_id") == (self.job_id or "").upper())
+            & (F.col("run_date") == F.lit(self.cfg.run_date).cast("date"))
         )
         runs = ledger.current_state(events)
         current = runs.where(F.col("run_id") == self.run_id).select("run_id", "job_id", "run_date", "run_start_time")
@@ -148,6 +168,7 @@ def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
     """Run one configured load and record it. A failure is recorded and raised again."""
     run = RunLedger(spark, cfg)
     try:
+        run.resolve_job()
         run.record(ledger.STARTED)
         refusal = run.refusal()
         if refusal:
@@ -158,7 +179,7 @@ def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
         if df is None or as_flag(cfg.skip_write):
             result = LoadResult(ledger.COMPLETED)
         else:
-            result = load_frame(spark, df, cfg)
+            result = load_frame(spark, df, cfg, run.run_id)
         run.record(result.status, result.row_count)
         return result
     except Exception as error:
@@ -177,6 +198,7 @@ def run_sql_batch(spark: SparkSession, steps: list[dict], common: dict | None =
     base = LoadConfig.from_layers(common)
     run = RunLedger(spark, base)
     results = []
+    run.resolve_job()
     run.record(ledger.STARTED)
     for step in steps:
         name = step.get("name", "unnamed_step")
@@ -184,7 +206,7 @@ def run_sql_batch(spark: SparkSession, steps: list[dict], common: dict | None =
             cfg = LoadConfig.from_layers(common, step, {"ingest_type": "sql"})
             df = read_source(spark, cfg)
             done = df is None or as_flag(cfg.skip_write)
-            results.append(LoadResult(ledger.COMPLETED) if done else load_frame(spark, df, cfg))
+            results.append(LoadResult(ledger.COMPLETED) if done else load_frame(spark, df, cfg, run.run_id))
         except Exception as error:
             run.record(ledger.FAILED, error=f"{name}: {error}")
             raise

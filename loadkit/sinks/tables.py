@@ -1,7 +1,7 @@
 """Writes to catalog tables.
 
 File tables have no UPDATE or MERGE and cannot be overwritten while they are
-read, so a replacement is written beside the table and swapped in by renames.
+read, so a replacement is written beside the table before it takes its place.
 """
 
 from __future__ import annotations
@@ -101,14 +101,23 @@ def append_evolving(df: DataFrame, table: str, dry_run: bool = False) -> int:
 def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
     """Replace the table's rows; ``df`` may read the table itself.
 
-    Readers see the old or the new table, and none between the two renames.
-    After a crash there, the old rows are in ``<table>__old``.
+    The new rows are first written to ``<table>__staged``. An unpartitioned
+    table is then swapped by two renames; after a crash between them the old
+    rows are in ``<table>__old``. A partitioned table is written again from the
+    staged rows, because renames leave partition locations behind in some
+    catalogs; after a crash there, the staged rows are whole.
     """
     spark = df.sparkSession
     _require_table(spark, table)
     staged, old = f"{table}__staged", f"{table}__old"
+    parts = partition_by or partition_columns(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    rows = _write(df, staged, "errorifexists", partition_by or partition_columns(spark, table))
+    if parts:
+        _write(df, staged, "errorifexists")
+        rows = _write(spark.table(staged), table, "overwrite", parts)
+        spark.sql(f"DROP TABLE {staged}")
+        return rows
+    rows = _write(df, staged, "errorifexists")
     spark.sql(f"DROP TABLE IF EXISTS {old}")
     spark.sql(f"ALTER TABLE {table} RENAME TO {_in_schema(old)}")
     try:
@@ -130,6 +139,25 @@ def _format(spark: SparkSession, table: str) -> str:
     return (details["data_type"] if details else "").lower()
 
 
+def merge_statement(
+    table: str, keys: list[str], update_columns: list[str] | None = None, delete_condition: str | None = None
+) -> str:
+    """MERGE text for a table format that has it; ``{merge_source}`` is the source frame.
+
+    The delete comes first: of several matched clauses only the last may be unconditional.
+    """
+    lines = [
+        f"MERGE INTO {table} AS target USING {{merge_source}} AS source",
+        "ON " + " AND ".join(f"target.{k} = source.{k}" for k in keys),
+    ]
+    if delete_condition:
+        lines.append(f"WHEN MATCHED AND ({delete_condition}) THEN DELETE")
+    if update_columns:
+        lines.append("WHEN MATCHED THEN UPDATE SET " + ", ".join(f"{c} = source.{c}" for c in update_columns))
+    lines.append("WHEN NOT MATCHED THEN INSERT *")
+    return "\n".join(lines)
+
+
 def merge_into(
     source: DataFrame,
     table: str | None,
@@ -147,12 +175,6 @@ def merge_into(
         return None
     if _format(spark, table) not in MERGE_FORMATS:
         return replace_table(merge(spark.table(table), source, keys, update_columns, delete_condition), table)
-    matched = " AND ".join(f"{table}.{k} = source.{k}" for k in keys)
-    writer = source.alias("source").mergeInto(table, F.expr(matched))
-    if delete_condition:
-        # Before the update: of several clauses only the last may be unconditional.
-        writer = writer.whenMatched(F.expr(delete_condition.replace("target.", f"{table}."))).delete()
-    if update_columns:
-        writer = writer.whenMatched().update({c: F.col(f"source.{c}") for c in update_columns})
-    writer.whenNotMatched().insertAll().merge()
+    statement = merge_statement(table, keys, update_columns, delete_condition)
+    spark.sql(statement, merge_source=source)
     return None

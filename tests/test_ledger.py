@@ -1,0 +1,98 @@
+from datetime import datetime
+
+import pytest
+
+from loadkit.operators import ledger as L
+from loadkit.queries import ledger as Q
+from tests.conftest import DATA, rows
+
+JOBS = "job_id string, source_system string, source string, source_type string, load_type string"
+
+
+@pytest.fixture
+def jobs(spark):
+    return spark.createDataFrame(
+        [("j1", "crm", "a", "csv", "full"), ("j2", "crm", "b", "csv", "full"), ("j3", "crm", "b", "csv", "full")], JOBS
+    )
+
+
+@pytest.fixture
+def requests(spark):
+    return spark.createDataFrame(
+        [("crm", s, "csv", "full", "daily") for s in "abccc"], "source_system string, source string, source_type string, load_type string, frequency string"
+    )
+
+
+def test_find_jobs(jobs, requests):
+    found = L.find_jobs(jobs, requests).select("source", "matches", "job_id").distinct()
+    assert rows(found) == [("a", 1, "j1"), ("b", 2, None), ("c", 0, None)]
+    assert L.find_job(jobs, "crm", "a", "csv", "full") == "j1"
+    for source, message in (("b", "more than one"), ("c", "no job")):
+        with pytest.raises(ValueError, match=message):
+            L.find_job(jobs, "crm", source, "csv", "full")
+
+
+def test_register_jobs(jobs, requests):
+    new = L.register_jobs(jobs, requests)
+    assert [(r.source, r.frequency) for r in new.collect()] == [("c", "daily")]
+    known = jobs.unionByName(new.select(jobs.columns))
+    assert L.register_jobs(known, requests).isEmpty()
+
+
+def test_known_counts(spark):
+    runs = Q.runs(spark, DATA)
+    latest = L.latest_runs(runs)
+    assert latest.count() == 4006
+    asking = latest.selectExpr("'new' AS run_id", "job_id", "run_date")
+    assert L.already_processed(runs, asking).count() == 1651
+    assert L.duplicate_start(runs, runs, 3600, replay=True).count() == 337
+
+
+RUNS = "run_id string, job_id string, run_date date, _modified timestamp, run_start_time timestamp, run_status string"
+
+
+def run(run_id, job_id, minute, status):
+    at = datetime(2024, 1, 1, 10, minute)
+    return (run_id, job_id, at.date(), at, at, status)
+
+
+def test_already_processed(spark):
+    runs = spark.createDataFrame(
+        [run("r1", "J", 1, "Completed"), run("r2", "j", 5, "STARTED"), run("r3", "k", 1, "COMPLETED"), run("r4", "k", 2, "FAILED")],
+        RUNS,
+    )
+    asking = runs.select("run_id", "job_id", "run_date")
+    # r2 is the latest of its job, so r1 is looked at; r1 itself meets r2, which is under way.
+    assert [r.run_id for r in L.already_processed(runs, asking).collect()] == ["r2", "r4"]
+    alone = spark.createDataFrame([run("r9", "x", 1, "STARTED")], RUNS)
+    assert L.already_processed(alone, alone.select("run_id", "job_id", "run_date")).isEmpty()
+
+
+@pytest.mark.parametrize("wait, found", [(239, []), (240, ["r2"])])
+def test_duplicate_start(spark, wait, found):
+    runs = spark.createDataFrame([run("r1", "j", 1, "Reading_Source_Data"), run("r2", "J", 5, "STARTED")], RUNS)
+    asking = runs.where("run_id = 'r2'")
+    for replay in (False, True):
+        assert [r.run_id for r in L.duplicate_start(runs, asking, wait, replay).collect()] == found
+
+
+def test_record_run(spark):
+    first = [run("r1", "j", 1, "STARTED"), run("r2", "j", 2, "STARTED")]
+    state = spark.createDataFrame(first, RUNS).selectExpr("*", "_modified AS _created")
+    events = spark.createDataFrame([run("r1", "j", 9, "COMPLETED"), run("r3", "j", 3, "STARTED")], RUNS)
+    new = L.record_run(state, events.selectExpr("*", "_modified AS _created"))
+    assert rows(new.selectExpr("run_id", "run_status", "minute(_created)", "minute(_modified)")) == [
+        ("r1", "COMPLETED", 1, 9), ("r2", "STARTED", 2, 2), ("r3", "STARTED", 3, 3),
+    ]
+
+
+def test_validation_log(spark):
+    summary = spark.createDataFrame([("null_check", "a", "ERROR", 3)], "rule string, column string, action string, failed_rows bigint")
+    log = L.validation_log(summary, "r1", datetime(2024, 1, 1), datetime(2024, 1, 2))
+    assert log.columns == [
+        "run_id", "_created", "_modified", "validation_type", "validation_gx_check_class", "validation_rule",
+        "validation_column_name", "validation_start_time", "validation_end_time", "validation_failed_row_count",
+        "validation_status", "validation_error_detail",
+    ]
+    row = log.first()
+    assert (row.run_id, row.validation_failed_row_count, row.validation_status) == ("r1", 3, "VALIDATION_ERROR")

@@ -1,0 +1,135 @@
+import pytest
+from pyspark.sql import functions as F
+
+from loadkit.operators.merge import merge
+from loadkit.sinks.tables import merge_into, merge_statement, write_table
+from loadkit.session import scratch_table
+from loadkit.sources.sql import statement_class
+from tests.conftest import DATA, plan, rows
+
+
+@pytest.fixture
+def target(spark):
+    return spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3), (None, "n", 0)], "id int, v string, n int")
+
+
+@pytest.fixture
+def source(spark):
+    return spark.createDataFrame(
+        [(1, "A", 10, False), (2, "B", 20, True), (9, "Z", 90, True), (None, "N", 0, True)],
+        "id int, v string, n int, gone boolean",
+    )
+
+
+def test_update_and_insert(target, source):
+    assert rows(merge(target, source, ["id"], ["v"])) == [
+        (None, "N", 0), (None, "n", 0), (1, "A", 1), (2, "B", 2), (3, "c", 3), (9, "Z", 90),
+    ]
+
+
+def test_delete_wins_and_spares_inserts(target, source):
+    merged = merge(target, source, ["id"], ["v", "n"], "source.gone = true")
+    assert rows(merged) == [(None, "N", 0), (None, "n", 0), (1, "A", 10), (3, "c", 3), (9, "Z", 90)]
+
+
+def test_delete_by_target_value(target, source):
+    merged = merge(target, source, ["id"], ["v"], "target.n = 1")
+    assert rows(merged.where("id IS NOT NULL")) == [(2, "B", 2), (3, "c", 3), (9, "Z", 90)]
+
+
+def test_null_condition_does_not_delete(target, source):
+    merged = merge(target, source, ["id"], [], "CAST(NULL AS boolean)")
+    assert rows(merged.where("id IS NOT NULL")) == [(1, "a", 1), (2, "b", 2), (3, "c", 3), (9, "Z", 90)]
+
+
+def test_insert_only(target, source):
+    assert rows(merge(target, source, ["id"])) == [
+        (None, "N", 0), (None, "n", 0), (1, "a", 1), (2, "b", 2), (3, "c", 3), (9, "Z", 90),
+    ]
+
+
+def test_update_to_null(spark, target):
+    source = spark.createDataFrame([(1, None, 5)], "id int, v string, n int")
+    assert rows(merge(target, source, ["id"], ["v"]).where("id = 1")) == [(1, None, 1)]
+
+
+def test_several_target_rows_per_key(spark, source):
+    target = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "id int, v string, n int")
+    merged = merge(target, source.where("id = 1"), ["id"], ["v"])
+    assert rows(merged) == [(1, "A", 1), (1, "A", 2)]
+
+
+def test_several_source_rows_per_key(spark, target):
+    twice = spark.createDataFrame([(1, "x", 1), (1, "y", 1)], target.schema)
+    with pytest.raises(Exception, match="several source rows"):
+        merge(target, twice, ["id"], ["v"]).collect()
+    with pytest.raises(Exception, match="several source rows"):
+        merge(target, twice, ["id"], [], "source.v = 'x'").collect()
+    assert merge(target, twice, ["id"]).count() == 4
+    unmatched = spark.createDataFrame([(8, "x", 1), (8, "y", 1)], target.schema)
+    assert merge(target, unmatched, ["id"], ["v"]).count() == 6
+
+
+def test_merging_twice_changes_nothing(target, source):
+    # Without null keys, which are inserted every time.
+    keyed = source.where("id IS NOT NULL")
+    once = merge(target, keyed, ["id"], ["v", "n"])
+    assert rows(merge(once, keyed, ["id"], ["v", "n"])) == rows(once)
+
+
+def test_columns(target, source):
+    for bad in (source.drop("n"), source.drop("id")):
+        with pytest.raises(ValueError, match="lacks"):
+            merge(target, bad, ["id"], ["v"])
+    with pytest.raises(ValueError, match="not in the target"):
+        merge(target, source, ["id"], ["gone"])
+    with pytest.raises(ValueError, match="keys"):
+        merge(target, source, [], ["v"])
+
+
+def test_known_counts(spark):
+    customers = spark.read.parquet(f"{DATA}/customer.parquet").select("c_custkey", "c_name", "c_mktsegment")
+    target = customers.where("c_custkey % 3 <> 0")
+    source = customers.where("c_custkey % 2 = 1").select(
+        "c_custkey",
+        F.concat("c_name", F.lit("_u")).alias("c_name"),
+        "c_mktsegment",
+        (F.col("c_custkey") % 5 == 1).alias("is_deleted"),
+    )
+    assert merge(target, source, ["c_custkey"], ["c_name"]).count() == 1250
+    assert merge(target, source, ["c_custkey"], ["c_name"], "source.is_deleted").count() == 1150
+    assert merge(target, source, ["c_custkey"]).where("c_name LIKE '%u'").count() == 250
+
+
+def test_merge_into_table(spark, target, source):
+    name = scratch_table(spark, "t")
+    write_table(target, name, partition_by=["n"])
+    count = merge_into(source, name, ["id"], ["v"], "source.gone")
+    assert count == 5 and spark.table(name).count() == 5
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["n"]
+    assert merge_into(source, name, ["id"], ["v"], dry_run=True) is None
+    with pytest.raises(ValueError, match="merge_keys"):
+        merge_into(source, name, [])
+    with pytest.raises(ValueError, match="not found"):
+        merge_into(source, "spark_catalog.default.nowhere", ["id"])
+
+
+def test_merge_statement(spark):
+    text = merge_statement("nowhere", ["id", "d"], ["v"], "source.gone = true")
+    assert text.index("DELETE") < text.index("UPDATE")
+    assert statement_class(spark, text.format(merge_source="somewhere")) == "MERGE"
+
+
+def test_hot_target_key_is_split(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+    )
+    n = 60_000
+    target = spark.range(0, n, 1, 8).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS id", "sha(CAST(id AS string)) AS v")
+    source = spark.range(0, 2 * n, 5, 8).selectExpr("id", "'new' AS v")
+    merged = merge(target, source, ["id"], ["v"])
+    assert len(merged.collect()) == n + len([i for i in range(0, 2 * n, 5) if i >= n or i % 3 == 0])
+    assert "SortMergeJoin(skew=true)" in plan(merged)

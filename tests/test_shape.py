@@ -1,0 +1,86 @@
+import pytest
+
+from loadkit.operators import shape
+from tests.conftest import plan, rows
+
+
+@pytest.fixture
+def people(spark):
+    return spark.createDataFrame([(1, "Ann", 30), (2, "Bob", None)], "id int, name string, age int")
+
+
+def test_projection(people):
+    assert shape.select_columns(people, ["name", "id"]).columns == ["name", "id"]
+    with pytest.raises(ValueError, match="Missing columns"):
+        shape.select_columns(people, ["id", "x"])
+    assert shape.select_existing(people, ["age", "x"]).columns == ["age"]
+    assert shape.select_existing(people, ["x"]).columns == people.columns
+    assert shape.select_existing(people, None).columns == people.columns
+    assert shape.drop_columns(people, ["age", "x"]).columns == ["id", "name"]
+
+
+def test_filters(people):
+    assert rows(shape.where(people, "age > 20").select("id")) == [(1,)]
+    assert rows(shape.where_template(people, "name = '{who}'", {"who": "Bob"}).select("id")) == [(2,)]
+    for clause in ("name = '{nobody}'", "no_column = 1"):
+        with pytest.raises(ValueError, match="where clause"):
+            shape.where_template(people, clause, {})
+
+
+def test_rename(people):
+    renamed = shape.rename_columns(people, {"id": "key", "absent": "x", "age": "age"})
+    assert renamed.columns == ["key", "name", "age"]
+    assert shape.rename_columns(people, {"id": "key", "key": "no"}).columns == ["no", "name", "age"]
+    with pytest.raises(ValueError, match="more than one"):
+        shape.rename_columns(people, {"id": "name"})
+
+
+def test_transform_columns(people):
+    mapping = [
+        {"source_column": "id", "target_column": "id_text", "target_data_type": "string"},
+        {"source_column": "name", "target_column": "full_name"},
+    ]
+    df = shape.transform_columns(people, mapping)
+    assert df.dtypes == [("id", "int"), ("full_name", "string"), ("age", "int"), ("id_text", "string")]
+    with pytest.raises(KeyError):
+        shape.transform_columns(people, [{"source_column": "id"}])
+    with pytest.raises(ValueError, match="not found"):
+        shape.transform_columns(people, [{"source_column": "x", "target_column": "y"}])
+    with pytest.raises(ValueError, match="must be a dict"):
+        shape.transform_columns(people, ["id"])
+
+
+def test_conform(spark):
+    raw = spark.createDataFrame([("7", "x"), ("8", "2.50")], "A string, B string")
+    schema = {
+        "a": {"data_type": "int", "source_column_name": "A"},
+        "b": {"data_type": "decimal", "precision": 6, "scale": 2, "source_column_name": "B"},
+        "h": {"derived_column": "True"},
+    }
+    assert [(r.a, str(r.b)) for r in shape.conform(raw, schema, "null").orderBy("a").collect()] == [(7, "None"), (8, "2.50")]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        shape.conform(raw, schema).collect()
+    with pytest.raises(ValueError):
+        shape.conform(raw, schema, "ignore")
+
+
+def test_dedup(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, None, "c"), (2, 5, "d")], "id int, v int, x string")
+    latest = [{"column": "v", "direction": "DESC"}]
+    assert rows(shape.dedup_latest(df, ["id"], latest)) == [(1, 2, "b"), (2, 5, "d")]
+    assert rows(shape.dedup_latest(df, ["id"], [{"column": "v"}])) == [(1, None, "c"), (2, 5, "d")]
+    assert shape.dedup_latest(df, ["id"], []) is df
+    assert shape.dedup_latest(df, [], latest) is df
+
+
+def test_dedup_limits_each_key_before_the_shuffle(spark):
+    df = shape.dedup_latest(spark.range(10), ["id"], [{"column": "id"}])
+    text = plan(df)
+    assert text.index("WindowGroupLimit", text.index("Exchange")) > 0 and "Partial" in text
+
+
+def test_transforms(people):
+    df = shape.apply_transforms(people, [lambda d: d.drop("age"), {"twice": "id * 2"}])
+    assert rows(df) == [(1, "Ann", 2), (2, "Bob", 4)]
+    with pytest.raises(ValueError, match="custom transformation #2"):
+        shape.apply_transforms(people, [{"a": "id"}, {"b": "no_column"}])
