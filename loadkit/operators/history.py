@@ -5,11 +5,16 @@ key columns and a business date. Every source row is judged against the target
 alone, never against another row of the batch, and rows that share a key and a
 date are all kept or all left out. Null keys equal nothing, so their rows count
 as new. Values are compared null-safely.
+
+The source is read more than once: land a batch that is costly to derive, or
+not repeatable, before handing it in.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, DateType, TimestampNTZType, TimestampType
 
@@ -18,10 +23,34 @@ from loadkit.operators.keyed import join_per_key
 from loadkit.operators.shape import first_per_key
 
 
+def _within_dates_of(source: DataFrame, target: DataFrame, date_col: str) -> DataFrame:
+    """Target rows from the span of the source's dates.
+
+    The span reaches the scan while the query runs, so a batch of one day
+    reads one day's partitions or row groups of a long history.
+    """
+    first, last = (source.agg(bound(date_col)).scalar() for bound in (F.min, F.max))
+    return target.where((F.col(date_col) >= first) & (F.col(date_col) <= last))
+
+
 def not_in_target(source: DataFrame, target: DataFrame, keys: list[str], date_col: str) -> DataFrame:
     """Source rows whose key and date the target does not have."""
     on = [*keys, date_col]
-    return join_per_key(source, target.select(*on).distinct(), on, "left_anti")
+    known = _within_dates_of(source, target, date_col).select(*on).distinct()
+    return join_per_key(source, known, on, "left_anti")
+
+
+def of_keys(target: DataFrame, source: DataFrame, keys: list[str], at_most: int) -> DataFrame:
+    """Target rows of the source's keys if those are ``at_most`` so many, else the whole target.
+
+    For a small batch against a long history: the counted keys are broadcast,
+    and other keys leave at the scan, before any sort or shuffle. Not for
+    ``changed_with_expiry``, which looks for the keys a batch lacks.
+    """
+    wanted = source.select(*keys).distinct()
+    if wanted.limit(at_most + 1).count() > at_most:
+        return target
+    return target.join(F.broadcast(wanted), keys, "left_semi")
 
 
 def last_known(history: DataFrame, keys: list[str], date_col: str) -> DataFrame:
@@ -41,46 +70,59 @@ def first_seen(source: DataFrame, target: DataFrame, keys: list[str], date_col:
     return joined.where(F.col("_begun").isNull() | (F.col("_begun") >= F.col(date_col))).select(*source.columns)
 
 
-def _carried(points: DataFrame, groups: list[str], order: str) -> Column:
-    """Latest non-null ``_here`` on an earlier row of the group."""
-    before = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.last("_here", ignorenulls=True).over(before)
+def _before(line: list[str], date_col: str) -> WindowSpec:
+    """Rows of a line by date, a question before the target row of the same date."""
+    return Window.partitionBy(*line).orderBy(F.col(date_col).asc(), F.col("_asked").desc())
+
+
+def _with_neighbours(points: DataFrame, line: list[str], date_col: str) -> DataFrame:
+    """Add ``_prev``, the latest target row on an earlier date, and ``_same``, the target row on the same date."""
+    order = _before(line, date_col)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    seen = points.withColumns({"_prev": F.last("_row", ignorenulls=True).over(earlier), "_next": F.lead("_row").over(order)})
+    return seen.withColumn("_same", F.when(F.col("_next")[date_col] == F.col(date_col), F.col("_next"))).drop("_next")
 
 
-def _with_previous(points: DataFrame, keys: list[str], date_col: str) -> DataFrame:
-    """Add ``_prev``, the latest target row before each point. Points are unique per key and date."""
+def _answered(points: DataFrame, keys: list[str], date_col: str) -> DataFrame:
+    """Neighbours of each question. Questions and target rows are each unique per key and date."""
     kind = points.schema[date_col].dataType
     if isinstance(kind, DateType):
-        # A key has at most one point per day, so its group is bounded by the calendar.
-        return points.withColumn("_prev", _carried(points, keys, date_col))
+        # Two points a day at most: a key's line is bounded by the calendar.
+        return _with_neighbours(points, keys, date_col)
     if not isinstance(kind, (TimestampType, TimestampNTZType)):
         raise ValueError(f"{date_col!r} must be a date or a timestamp, not {kind.simpleString()}")
-    # Timestamps put no bound on a key's points. Cut each key's line into hours, carry the last target row
-    # of the hours before into each hour as its opening point, and look back within the hour only.
+    # Timestamps put no bound on a key's line. Cut it into hours, carry the last target row of the hours before
+    # into each hour as its opening point, and look back within the hour only.
     hourly = points.withColumn("_hour", F.date_trunc("hour", date_col))
-    closing = hourly.groupBy(*keys, "_hour").agg(F.max("_here").alias("_here"))
+    closing = hourly.groupBy(*keys, "_hour").agg(F.max("_row").alias("_row"))
+    hours_before = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
     opening = closing.select(
         *keys,
         F.lit(None).cast(kind).alias(date_col),
-        _carried(closing, keys, "_hour").alias("_here"),
+        F.last("_row", ignorenulls=True).over(hours_before).alias("_row"),
         F.lit(False).alias("_asked"),
         "_hour",
-    ).where(F.col("_here").isNotNull())
-    lines = hourly.unionByName(opening)
-    return lines.withColumn("_prev", _carried(lines, [*keys, "_hour"], date_col)).drop("_hour")
+    ).where(F.col("_row").isNotNull())
+    return _with_neighbours(hourly.unionByName(opening), [*keys, "_hour"], date_col).drop("_hour")
 
 
 def _looked_up(
     source: DataFrame, target: DataFrame, keys: list[str], date_col: str, value_cols: list[str]
 ) -> DataFrame:
-    """Source rows with ``_here``, the target row of the same date, and ``_prev``, the latest before it."""
+    """Source rows with ``_same``, the target row of the same date, and ``_prev``, the latest before it.
+
+    Only distinct keys and dates of the source go through the window, next to
+    the target's; the rows themselves meet the answers in one join.
+    """
     on = [*keys, date_col]
-    kept = target.select(*on, F.struct(date_col, *value_cols).alias("_here"), F.lit(False).alias("_asked"))
-    # Nulls as the first branch's own type, whatever its fields are.
-    asked = source.select(*on, F.lit(None).cast(kept.schema["_here"].dataType).alias("_here"), F.lit(True).alias("_asked"))
-    points = kept.unionByName(asked).groupBy(*on).agg(F.max("_here").alias("_here"), F.max("_asked").alias("_asked"))
-    answers = _with_previous(points, keys, date_col).where("_asked").drop("_asked")
-    return join_per_key(source, answers, on, "left").select(*source.columns, "_here", "_prev")
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    kept = target.where(known).groupBy(*on).agg(F.max(F.struct(date_col, *value_cols)).alias("_row"))
+    asked = source.where(known).select(*on).distinct()
+    points = kept.withColumn("_asked", F.lit(False)).unionByName(
+        asked.withColumns({"_row": F.lit(None).cast(kept.schema["_row"].dataType), "_asked": F.lit(True)})
+    )
+    answers = _answered(points, keys, date_col).where("_asked").drop("_asked", "_row")
+    return join_per_key(source, answers, on, "left").select(*source.columns, "_same", "_prev")
 
 
 def asof_previous(
@@ -145,7 +187,7 @@ def changed_asof(
     joined = _looked_up(source, target, keys, date_col, value_cols)
     prev = F.col("_prev")
     changed = prev.isNull() | differs([F.col(c) for c in value_cols], [prev[c] for c in value_cols])
-    return _stamped(joined.where(F.col("_here").isNull() & changed).select(*source.columns), inserted_col)
+    return _stamped(joined.where(F.col("_same").isNull() & changed).select(*source.columns), inserted_col)
 
 
 def changed_vs_last_known(
@@ -192,5 +234,5 @@ def changed_with_expiry(
     )
     cols = [*keys, date_col, *value_cols]
     opened = joined.where(changed).select(*cols, F.lit(None).cast(target.schema[valid_till].dataType).alias(valid_till))
-    closed = expired_keys(source, target, keys, date_col, load_date, valid_till).select(*cols, valid_till)
+    closed = expired_keys(source, target.select(*cols, valid_till), keys, date_col, load_date, valid_till)
     return _stamped(opened.unionByName(closed), inserted_col)

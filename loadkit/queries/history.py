@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loadkit.operators import history as H
 from loadkit.operators.shape import first_per_key
 from loadkit.queries.registry import query, table
-from loadkit.session import scratch_table
+from loadkit.session import scratch_path, scratch_table
 from loadkit.sinks.tables import append_table, write_table
 
 KEYS, DATE = ["id"], "business_date"
@@ -49,10 +49,18 @@ def target(spark: SparkSession, sf: str) -> DataFrame:
     return first_per_key(orders, [*KEYS, DATE], [F.col("o_orderkey").desc()]).drop("o_orderkey")
 
 
+def _landed(df: DataFrame) -> DataFrame:
+    """The batch as a load finds it: stored, not derived again for each use."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "batch")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def source(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_linestatus")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    return (
+    return _landed(
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias("id"), F.col("l_shipdate").cast("date").alias(DATE))
         .agg(F.max("l_linestatus").alias("value1"), F.max("o_orderpriority").alias("value2"))
@@ -183,7 +191,7 @@ def open_target(spark: SparkSession, sf: str) -> DataFrame:
 def full_load(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linestatus")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    return (
+    return _landed(
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias("id"), F.col("l_linestatus").alias("sub_id"))
         .agg(F.max_by("o_orderpriority", "o_orderkey").alias("value1"))

@@ -157,6 +157,31 @@ def test_brute_force(spark, kind, seed):
     )
 
 
+def test_small_batch_reads_its_own_keys(frames):
+    source, target = frames
+    batch = source.where("id < 20")
+    pruned = H.of_keys(target, batch, KEYS, 100)
+    assert 0 < pruned.count() < target.count() / 10
+    args = (KEYS, "business_date", ["value1"], None)
+    assert rows(H.changed_asof(batch, pruned, *args)) == rows(H.changed_asof(batch, target, *args))
+    assert H.of_keys(target, batch, KEYS, 5) is target
+
+
+def test_anti_join_reads_the_span_of_the_batch(spark, tmp_path, frames):
+    source, target = frames
+    path = str(tmp_path / "history")
+    target.selectExpr("id", "trunc(business_date, 'year') AS business_date").distinct().write.partitionBy(
+        "business_date"
+    ).parquet(path)
+    history = spark.read.parquet(path)
+    batch = source.selectExpr("id", "DATE '1997-01-01' AS business_date").distinct()
+    fresh = H.not_in_target(batch, history, KEYS, "business_date")
+    known = {r.id for r in history.where("business_date = '1997-01-01'").collect()}
+    assert {r.id for r in fresh.collect()} == {r.id for r in batch.collect()} - known
+    assert "PartitionFilters: [isnotnull(business_date" in plan(fresh) and "Subquery" in plan(fresh)
+    assert H.not_in_target(batch.limit(0), history, KEYS, "business_date").isEmpty()
+
+
 def test_dates_only(spark):
     df = spark.createDataFrame([(1, 20250101, "a")], "id int, at int, v string")
     with pytest.raises(ValueError, match="date or a timestamp"):

@@ -1,7 +1,7 @@
 import pytest
 
 from loadkit.operators import shape
-from tests.conftest import plan, rows
+from tests.conftest import DATA, plan, rows
 
 
 @pytest.fixture
@@ -74,9 +74,10 @@ def test_dedup(spark):
 
 
 def test_dedup_limits_each_key_before_the_shuffle(spark):
-    df = shape.dedup_latest(spark.range(10), ["id"], [{"column": "id"}])
-    text = plan(df)
-    assert text.index("WindowGroupLimit", text.index("Exchange")) > 0 and "Partial" in text
+    orders = spark.read.parquet(f"{DATA}/orders.parquet")
+    text = plan(shape.dedup_latest(orders, ["o_custkey"], [{"column": "o_orderdate"}, {"column": "o_orderkey"}]))
+    before_shuffle = text[text.index("Exchange hashpartitioning") :]
+    assert "WindowGroupLimit" in before_shuffle and "row_number(), 1, Partial" in before_shuffle
 
 
 def test_transforms(people):
