@@ -87,6 +87,7 @@ class LoadConfig:
     source_table: str | None = None
     sql_query: str | None = None
     sql_file_location: str | None = None
+    sqls: list[dict] | None = None
     schema: dict[str, dict] | None = None
     delimiter: str = ","
     quote: str | None = None

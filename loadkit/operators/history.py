@@ -14,14 +14,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import AtomicType, DataType, DateType, TimestampNTZType, TimestampType
 
 from loadkit.functions.columns import add_current_timestamp, differs
 from loadkit.operators.keyed import join_per_key
 from loadkit.operators.shape import first_per_key
 
+# Units a key's timestamps can be cut into.
+PIECES = ("day", "hour", "minute")
+
 
 def _within_dates_of(source: DataFrame, target: DataFrame, date_col: str) -> DataFrame:
     """Target rows from the span of the source's dates.
@@ -83,7 +86,21 @@ def _with_neighbours(points: DataFrame, line: list[str], date_col: str) -> DataF
     return seen.withColumn("_same", F.when(F.col("_next")[date_col] == F.col(date_col), F.col("_next"))).drop("_next")
 
 
-def _answered(points: DataFrame, keys: list[str], date_col: str) -> DataFrame:
+def _piece(moment: Column, kind: DataType, unit: str) -> Column:
+    """The day, hour or minute of a timestamp, in the order of time.
+
+    A timestamp without time zone is taken apart by its own clock; truncating
+    it would go through the session's zone, where clock changes reorder it.
+    """
+    if unit not in PIECES:
+        raise ValueError(f"piece must be one of {list(PIECES)}, got {unit!r}")
+    if isinstance(kind, TimestampType):
+        return F.date_trunc(unit, moment)
+    parts = [moment.cast("date").alias("day"), F.hour(moment).alias("hour"), F.minute(moment).alias("minute")]
+    return F.struct(*parts[: PIECES.index(unit) + 1])
+
+
+def _answered(points: DataFrame, keys: list[str], date_col: str, piece: str) -> DataFrame:
     """Neighbours of each question. Questions and target rows are each unique per key and date."""
     kind = points.schema[date_col].dataType
     if isinstance(kind, DateType):
@@ -91,23 +108,23 @@ def _answered(points: DataFrame, keys: list[str], date_col: str) -> DataFrame:
         return _with_neighbours(points, keys, date_col)
     if not isinstance(kind, (TimestampType, TimestampNTZType)):
         raise ValueError(f"{date_col!r} must be a date or a timestamp, not {kind.simpleString()}")
-    # Timestamps put no bound on a key's line. Cut it into hours, carry the last target row of the hours before
-    # into each hour as its opening point, and look back within the hour only.
-    hourly = points.withColumn("_hour", F.date_trunc("hour", date_col))
-    closing = hourly.groupBy(*keys, "_hour").agg(F.max("_row").alias("_row"))
-    hours_before = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    # Timestamps put no bound on a key's line. Cut it into pieces, carry the last target row of the pieces before
+    # into each as its opening point, and look back within the piece only.
+    pieces = points.withColumn("_piece", _piece(F.col(date_col), kind, piece))
+    closing = pieces.groupBy(*keys, "_piece").agg(F.max("_row").alias("_row"))
+    pieces_before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     opening = closing.select(
         *keys,
         F.lit(None).cast(kind).alias(date_col),
-        F.last("_row", ignorenulls=True).over(hours_before).alias("_row"),
+        F.last("_row", ignorenulls=True).over(pieces_before).alias("_row"),
         F.lit(False).alias("_asked"),
-        "_hour",
+        "_piece",
     ).where(F.col("_row").isNotNull())
-    return _with_neighbours(hourly.unionByName(opening), [*keys, "_hour"], date_col).drop("_hour")
+    return _with_neighbours(pieces.unionByName(opening), [*keys, "_piece"], date_col).drop("_piece")
 
 
 def _looked_up(
-    source: DataFrame, target: DataFrame, keys: list[str], date_col: str, value_cols: list[str]
+    source: DataFrame, target: DataFrame, keys: list[str], date_col: str, value_cols: list[str], piece: str
 ) -> DataFrame:
     """Source rows with ``_same``, the target row of the same date, and ``_prev``, the latest before it.
 
@@ -121,15 +138,24 @@ def _looked_up(
     points = kept.withColumn("_asked", F.lit(False)).unionByName(
         asked.withColumns({"_row": F.lit(None).cast(kept.schema["_row"].dataType), "_asked": F.lit(True)})
     )
-    answers = _answered(points, keys, date_col).where("_asked").drop("_asked", "_row")
+    answers = _answered(points, keys, date_col, piece).where("_asked").drop("_asked", "_row")
     return join_per_key(source, answers, on, "left").select(*source.columns, "_same", "_prev")
 
 
 def asof_previous(
-    source: DataFrame, target: DataFrame, keys: list[str], date_col: str, value_cols: list[str]
+    source: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    date_col: str,
+    value_cols: list[str],
+    piece: str = "hour",
 ) -> DataFrame:
-    """Add ``prev_*``: date and values of the latest target row of the key strictly before each source row."""
-    joined = _looked_up(source, target, keys, date_col, value_cols)
+    """Add ``prev_*``: date and values of the latest target row of the key strictly before each source row.
+
+    Where ``date_col`` is a timestamp, a key's history is cut into pieces, each
+    a day, an hour or a minute; a busier hot key wants shorter ones.
+    """
+    joined = _looked_up(source, target, keys, date_col, value_cols, piece)
     return joined.select(
         *source.columns, *[F.col("_prev")[c].alias(f"prev_{c}") for c in (date_col, *value_cols)]
     )
@@ -178,13 +204,15 @@ def changed_asof(
     date_col: str,
     value_cols: list[str],
     inserted_col: str | None = "inserted_time",
+    piece: str = "hour",
 ) -> DataFrame:
     """Rows to append so that late arrivals still fit.
 
     A source row is kept if the target has no row of its key and date, and its
     values differ from the latest target row before that date, or there is none.
+    ``piece`` is as in ``asof_previous``.
     """
-    joined = _looked_up(source, target, keys, date_col, value_cols)
+    joined = _looked_up(source, target, keys, date_col, value_cols, piece)
     prev = F.col("_prev")
     changed = prev.isNull() | differs([F.col(c) for c in value_cols], [prev[c] for c in value_cols])
     return _stamped(joined.where(F.col("_same").isNull() & changed).select(*source.columns), inserted_col)

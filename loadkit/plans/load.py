@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -27,6 +27,15 @@ class LoadResult:
     status: str
     row_count: int = 0
     summary: list[Row] = field(default_factory=list)
+    steps: list[LoadResult] = field(default_factory=list)
+
+
+WORST_FIRST = [
+    ledger.COMPLETED_WITH_VALIDATION_ERROR,
+    ledger.COMPLETED_WITH_VALIDATION_WARNING,
+    ledger.COMPLETED,
+    ledger.COMPLETED_WITH_ZERO,
+]
 
 
 def select_rows(df: DataFrame, cfg: LoadConfig) -> DataFrame:
@@ -117,6 +126,8 @@ class RunLedger:
     def __init__(self, spark: SparkSession, cfg: LoadConfig):
         self.spark, self.cfg = spark, cfg
         self.table = cfg.job_run_details_table_name
+        if self.table:
+            cfg.require("run_date")
         self.run_id = cfg.run_id or uuid.uuid4().hex
         self.started = datetime.now()
         self.job_id = cfg.job_id
@@ -140,7 +151,7 @@ class RunLedger:
         if not self.table:
             return
         now = datetime.now()
-        run_date = datetime.strptime(self.cfg.run_date, "%Y-%m-%d").date() if self.cfg.run_date else None
+        run_date = datetime.strptime(self.cfg.run_date, "%Y-%m-%d").date()
         event = (self.run_id, self.job_id, now, now, self.started, now, run_date, rows, status, error)
         frame = self.spark.createDataFrame([event], ledger.RUN_SCHEMA).coalesce(1)
         sinks.append_evolving(frame, self.table)
@@ -164,8 +175,8 @@ class RunLedger:
         return None
 
 
-def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
-    """Run one configured load and record it. A failure is recorded and raised again."""
+def _recorded(spark: SparkSession, cfg: LoadConfig, work: Callable[[str], LoadResult]) -> LoadResult:
+    """Do the work between its ledger entries. A failure is recorded and raised again."""
     run = RunLedger(spark, cfg)
     try:
         run.resolve_job()
@@ -175,11 +186,7 @@ def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
             run.record(refusal)
             return LoadResult(refusal)
         run.record(ledger.READING_SOURCE_DATA)
-        df = read_source(spark, cfg)
-        if df is None or as_flag(cfg.skip_write):
-            result = LoadResult(ledger.COMPLETED)
-        else:
-            result = load_frame(spark, df, cfg, run.run_id)
+        result = work(run.run_id)
         run.record(result.status, result.row_count)
         return result
     except Exception as error:
@@ -187,38 +194,41 @@ def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
         raise
 
 
-def run_sql_batch(spark: SparkSession, steps: list[dict], common: dict | None = None) -> list[LoadResult]:
-    """Run SQL steps in order, each validated, gated and written to its own target.
+def _load(spark: SparkSession, cfg: LoadConfig, run_id: str) -> LoadResult:
+    df = read_source(spark, cfg)
+    if df is None or as_flag(cfg.skip_write):
+        return LoadResult(ledger.COMPLETED)
+    return load_frame(spark, df, cfg, run_id)
+
+
+def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
+    """Run one configured load and record it."""
+    if cfg.ingest_type.strip().lower() == "sql_batch":
+        return run_sql_batch(spark, cfg.sqls, cfg.values)
+    return _recorded(spark, cfg, lambda run_id: _load(spark, cfg, run_id))
+
+
+def run_sql_batch(spark: SparkSession, steps: list[dict], common: dict | None = None) -> LoadResult:
+    """Run SQL steps in order, each validated, gated and written to its own target, and record them as one run.
 
-    A failing step is recorded and ends the batch; a step whose rows fail
-    validation does not.
+    A failing step ends the batch; a step whose rows fail validation does not.
     """
     if not steps:
         raise ValueError("no SQL steps defined")
-    base = LoadConfig.from_layers(common)
-    run = RunLedger(spark, base)
-    results = []
-    run.resolve_job()
-    run.record(ledger.STARTED)
-    for step in steps:
-        name = step.get("name", "unnamed_step")
-        try:
-            cfg = LoadConfig.from_layers(common, step, {"ingest_type": "sql"})
-            df = read_source(spark, cfg)
-            done = df is None or as_flag(cfg.skip_write)
-            results.append(LoadResult(ledger.COMPLETED) if done else load_frame(spark, df, cfg, run.run_id))
-        except Exception as error:
-            run.record(ledger.FAILED, error=f"{name}: {error}")
-            raise
-    run.record(worst_status([r.status for r in results]), sum(r.row_count for r in results))
-    return results
-
-
-def worst_status(statuses: list[str]) -> str:
-    order = [
-        ledger.COMPLETED_WITH_VALIDATION_ERROR,
-        ledger.COMPLETED_WITH_VALIDATION_WARNING,
-        ledger.COMPLETED,
-        ledger.COMPLETED_WITH_ZERO,
-    ]
-    return min(statuses, key=order.index)
+
+    def work(run_id: str) -> LoadResult:
+        results = []
+        for step in steps:
+            try:
+                cfg = LoadConfig.from_layers(common, step, {"ingest_type": "sql"})
+                results.append(_load(spark, cfg, run_id))
+            except Exception as error:
+                raise ValueError(f"step {step.get('name', 'unnamed_step')!r} failed: {error}") from error
+        return LoadResult(
+            min((r.status for r in results), key=WORST_FIRST.index),
+            sum(r.row_count for r in results),
+            [row for r in results for row in r.summary],
+            results,
+        )
+
+    return _recorded(spark, LoadConfig.from_layers(common), work)

@@ -22,12 +22,12 @@ KEYS, DATE = ["id"], "business_date"
 TARGET_CTE = """
 tgt AS (SELECT id, business_date, value1, value2 FROM (
     SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS business_date, o_orderstatus AS value1,
-           o_orderpriority AS value2,
+           CAST(substr(o_orderpriority, 1, 1) AS INT) AS value2,
            ROW_NUMBER() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
     FROM orders) x WHERE rn = 1)"""
 SOURCE_CTE = """
 src AS (SELECT o_custkey AS id, CAST(l_shipdate AS DATE) AS business_date, MAX(l_linestatus) AS value1,
-               MAX(o_orderpriority) AS value2
+               MAX(CAST(substr(o_orderpriority, 1, 1) AS INT)) AS value2
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         GROUP BY o_custkey, CAST(l_shipdate AS DATE))"""
 CANDIDATES_CTE = """
@@ -43,7 +43,7 @@ def target(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_custkey").alias("id"),
         F.col("o_orderdate").cast("date").alias(DATE),
         F.col("o_orderstatus").alias("value1"),
-        F.col("o_orderpriority").alias("value2"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("value2"),
         "o_orderkey",
     )
     return first_per_key(orders, [*KEYS, DATE], [F.col("o_orderkey").desc()]).drop("o_orderkey")
@@ -60,11 +60,15 @@ def _landed(df: DataFrame) -> DataFrame:
 def source(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_linestatus")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    return _landed(
+    days = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias("id"), F.col("l_shipdate").cast("date").alias(DATE))
-        .agg(F.max("l_linestatus").alias("value1"), F.max("o_orderpriority").alias("value2"))
+        .agg(
+            F.max(F.col("l_linestatus") == "O").alias("open"),
+            F.max(F.substring("o_orderpriority", 1, 1).cast("int")).alias("value2"),
+        )
     )
+    return _landed(days.select("id", DATE, F.when(F.col("open"), "O").otherwise("F").alias("value1"), "value2"))
 
 
 def _text_dates(df: DataFrame) -> DataFrame:
@@ -101,11 +105,12 @@ def asof_previous_event(spark, sf):
 
 @query(f"""WITH {TARGET_CTE}, {SOURCE_CTE}, {LAST_CTE}
 SELECT s.id, CAST(s.business_date AS VARCHAR) AS business_date, s.value1, s.value2,
-       CAST(l.business_date AS VARCHAR) AS last_business_date, l.value1 AS last_value1, l.value2 AS last_value2
+       CAST(l.business_date AS VARCHAR) AS last_business_date, l.value1 AS last_value1,
+       COALESCE(l.value2, 0) AS last_value2
 FROM src s LEFT JOIN lk l ON l.id = s.id AND l.business_date < s.business_date""")
 def last_known_join(spark, sf):
     df = H.join_last_known(source(spark, sf), target(spark, sf), KEYS, DATE, ["value1", "value2"])
-    return _text_dates(df)
+    return _text_dates(df).fillna(0, ["last_value2"])
 
 
 @query(f"WITH {TARGET_CTE}, {LAST_CTE} "

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loadkit.config import LoadConfig
 from loadkit.operators import ledger as L
-from loadkit.plans.load import run_load, run_sql_batch
+from loadkit.plans.load import RunLedger, run_load, run_sql_batch
 from loadkit.session import scratch_table
 from tests.conftest import rows
 
@@ -140,8 +140,6 @@ def test_parallel_start(spark, csv, target):
     cfg = settings(
         target, source_location=csv, job_id="j", job_run_details_table_name=table, wait_before_reprocessing_in_seconds=3600
     )
-    from loadkit.plans.load import RunLedger
-
     RunLedger(spark, cfg).record(L.STARTED)
     assert run_load(spark, cfg).status == L.DUPLICATE_PARALLEL_START
     assert count(spark, target) == 0
@@ -173,8 +171,11 @@ def test_sql_batch(spark, tmp_path, target):
     first = step(tmp_path, "one", "SELECT 1 AS id, 'a' AS name, 'x' AS h", target)
     failing = step(tmp_path, "two", "SELECT 2 AS id, CAST(NULL AS string) AS name, 'x' AS h", target, validations=[bad])
     third = step(tmp_path, "three", "SELECT 3 AS id, 'c' AS name, 'x' AS h", target)
-    results = run_sql_batch(spark, [first, failing, third], {"job_id": "j", "job_run_details_table_name": runs})
-    assert [r.status for r in results] == [L.COMPLETED, L.COMPLETED_WITH_VALIDATION_ERROR, L.COMPLETED]
+    common = {"job_id": "j", "run_date": "2024-01-01", "job_run_details_table_name": runs}
+    cfg = LoadConfig.from_layers(common, {"ingest_type": "sql_batch", "sqls": [first, failing, third]})
+    result = run_load(spark, cfg)
+    assert (result.status, result.row_count) == (L.COMPLETED_WITH_VALIDATION_ERROR, 3)
+    assert [r.status for r in result.steps] == [L.COMPLETED, L.COMPLETED_WITH_VALIDATION_ERROR, L.COMPLETED]
     assert rows(spark.table(target).select("id")) == [(1,), (3,)]
     assert rows(spark.table(f"{target}_quarantine").select("id")) == [(2,)]
     assert L.current_state(spark.table(runs)).first().run_status == L.COMPLETED_WITH_VALIDATION_ERROR
@@ -185,10 +186,11 @@ def test_sql_batch_stops_at_a_failing_step(spark, tmp_path, target):
     broken = step(tmp_path, "broken", "SELEC 1", target)
     never = step(tmp_path, "never", "SELECT 3 AS id, 'c' AS name, 'x' AS h", target)
     with pytest.raises(ValueError, match="Failed to parse SQL"):
-        run_sql_batch(spark, [broken, never], {"job_id": "j", "job_run_details_table_name": runs})
+        common = {"job_id": "j", "run_date": "2024-01-01", "job_run_details_table_name": runs}
+        run_sql_batch(spark, [broken, never], common)
     assert count(spark, target) == 0
     state = L.current_state(spark.table(runs)).first()
-    assert state.run_status == L.FAILED and state.run_error_detail.startswith("broken:")
+    assert state.run_status == L.FAILED and state.run_error_detail.startswith("step 'broken' failed")
     with pytest.raises(ValueError, match="no SQL steps"):
         run_sql_batch(spark, [])
 
