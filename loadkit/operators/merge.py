@@ -24,7 +24,8 @@ def merge(
     unmatched source row is inserted, whatever the condition says; it needs
     every target column, and others are ignored. Null keys match nothing.
     Several source rows for one matched key raise at run time, unless there is
-    nothing to update or delete.
+    nothing to update or delete. The source is read more than once: land one
+    that is costly to derive, or not repeatable, first.
     """
     if not keys:
         raise ValueError("merge keys must be given")
@@ -36,8 +37,11 @@ def merge(
     if foreign:
         raise ValueError(f"update columns {foreign} are not in the target")
 
-    target_keys = target.select(*keys).distinct()
-    inserted = join_per_key(source, target_keys, keys, "left_anti").select(
+    # Of the target's keys only those in the source matter: a small source is broadcast, and the rest of a long
+    # target leaves at its scan.
+    wanted = source.select(*keys).distinct()
+    matched_keys = join_per_key(target.select(*keys), wanted, keys, "left_semi").distinct()
+    inserted = join_per_key(source, matched_keys, keys, "left_anti").select(
         *[F.col(c).cast(field.dataType).alias(c) for c, field in zip(target.columns, target.schema)]
     )
     if not updates and not delete_condition:

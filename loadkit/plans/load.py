@@ -93,8 +93,8 @@ def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str
     if is_empty(selected):
         return LoadResult(ledger.COMPLETED_WITH_ZERO)
     shaped = shape(selected, cfg)
-    if not cfg.validations:
-        # Nothing can stop the rows: straight from source to target in one pass.
+    if not cfg.validations and not cfg.merge:
+        # Nothing can stop the rows, and one write reads them: straight from source to target in one pass.
         rows = shaped.count() if dry_run else _write(shaped, cfg)
         return LoadResult(ledger.COMPLETED, rows or 0)
 
