@@ -140,6 +140,12 @@ class LoadConfig:
         settings = {k: v for k, v in merged.items() if k in known}
         return cls(**settings, extra={k: v for k, v in merged.items() if k not in known})
 
+    @classmethod
+    def from_arguments(cls, arguments: dict[str, Any]) -> LoadConfig:
+        """Settings from the common and table files the arguments name, and then the arguments themselves."""
+        names = ("common_config_file_location", "table_config_file_location")
+        return cls.from_layers(*[load_yaml(arguments[n]) for n in names if arguments.get(n)], arguments)
+
     @property
     def values(self) -> dict[str, Any]:
         """Template namespace."""

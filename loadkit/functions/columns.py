@@ -33,9 +33,9 @@ def row_hash(cols: list[str], separator: str = "_", null_token: str | None = Non
     Without ``null_token`` a null column is left out of the joined text, so
     ``(a, null)`` and ``(null, a)`` hash alike.
     """
-    parts = [F.col(c).cast("string") for c in cols]
+    parts = [F.col(c) for c in cols]
     if null_token is not None:
-        parts = [F.coalesce(p, F.lit(null_token)) for p in parts]
+        parts = [F.coalesce(p.cast("string"), F.lit(null_token)) for p in parts]
     return F.sha2(F.concat_ws(separator, *parts), 256)
 
 

@@ -111,7 +111,7 @@ def _answered(points: DataFrame, keys: list[str], date_col: str, piece: str) ->
     # Timestamps put no bound on a key's line. Cut it into pieces, carry the last target row of the pieces before
     # into each as its opening point, and look back within the piece only.
     pieces = points.withColumn("_piece", _piece(F.col(date_col), kind, piece))
-    closing = pieces.groupBy(*keys, "_piece").agg(F.max("_row").alias("_row"))
+    closing = pieces.groupBy(*keys, "_piece").agg(F.max("_row").alias("_row"), F.max("_asked").alias("_any_asked"))
     pieces_before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     opening = closing.select(
         *keys,
@@ -119,7 +119,9 @@ def _answered(points: DataFrame, keys: list[str], date_col: str, piece: str) ->
         F.last("_row", ignorenulls=True).over(pieces_before).alias("_row"),
         F.lit(False).alias("_asked"),
         "_piece",
-    ).where(F.col("_row").isNotNull())
+        "_any_asked",
+    )
+    opening = opening.where(F.col("_any_asked") & F.col("_row").isNotNull()).drop("_any_asked")
     return _with_neighbours(pieces.unionByName(opening), [*keys, "_piece"], date_col).drop("_piece")
 
 

@@ -115,15 +115,12 @@ def rules_from_config(validations: list[dict], schema: dict[str, dict] | None =
 class ValidationResult:
     """Frames of a validation; nothing has run yet.
 
-    ``checked`` is the input with ``validation_issues``, an array of (rule, column,
-    action) that is null for a clean row.
+    ``checked`` is the input with ``validation_issues``, an array of (rule,
+    column, action) that is null for a clean row; ``issue_rows`` are the others.
     """
 
     checked: DataFrame
-
-    @property
-    def issue_rows(self) -> DataFrame:
-        return self.checked.where(F.col(ISSUES).isNotNull())
+    issue_rows: DataFrame
 
     @property
     def summary(self) -> DataFrame:
@@ -132,10 +129,13 @@ class ValidationResult:
 
 def run_validations(df: DataFrame, rules: list[Rule]) -> ValidationResult:
     """Test every rule on every row in one projection."""
+    if ISSUES in df.columns:
+        raise ValueError(f"the frame already has a column {ISSUES!r}")
     checks = [check for rule in rules for check in rule(df)]
     kind = "array<struct<rule:string,column:string,action:string>>"
     if not checks:
-        return ValidationResult(df.withColumn(ISSUES, F.lit(None).cast(kind)))
+        checked = df.withColumn(ISSUES, F.lit(None).cast(kind))
+        return ValidationResult(checked, checked.where(F.lit(False)))
     found = [
         F.when(
             c.failed,
@@ -144,7 +144,8 @@ def run_validations(df: DataFrame, rules: list[Rule]) -> ValidationResult:
         for c in checks
     ]
     any_failed = reduce(lambda a, b: a | b, [c.failed for c in checks])
-    return ValidationResult(df.withColumn(ISSUES, F.when(any_failed, F.array_compact(F.array(*found)))))
+    checked = df.withColumn(ISSUES, F.when(any_failed, F.array_compact(F.array(*found))))
+    return ValidationResult(checked, checked.where(F.col(ISSUES).isNotNull()))
 
 
 def summarize(issue_rows: DataFrame) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 from loadkit.operators import ledger
 from loadkit.operators.validation import ISSUES, ValidationResult, has_error
+from loadkit.session import scratch_table
+from loadkit.sinks.tables import write_table
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -43,3 +48,28 @@ def gate(result: ValidationResult, summary: list[Row], n_rows: int) -> Gate:
         to_quarantine=result.issue_rows if summary else None,
         status=status,
     )
+
+
+def store(result: ValidationResult, table: str) -> tuple[ValidationResult, int]:
+    """Run the validation once into a table; the result read from there, and its row count.
+
+    A flag beside the issues lets the scan for issue rows skip clean row groups.
+    """
+    spark = result.checked.sparkSession
+    rows = write_table(result.checked.withColumn("_flawed", F.col(ISSUES).isNotNull()), table, "errorifexists")
+    stored = spark.table(table)
+    return ValidationResult(stored.drop("_flawed"), stored.where("_flawed").drop("_flawed")), rows
+
+
+@contextmanager
+def stored(result: ValidationResult) -> Iterator[tuple[ValidationResult, int]]:
+    """The result in a scratch table, so that verdict, target and quarantine see the same rows.
+
+    The table is in the shared folder: a lost executor costs no second source scan.
+    """
+    spark = result.checked.sparkSession
+    table = scratch_table(spark, "checked")
+    try:
+        yield store(result, table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -15,9 +14,8 @@ from loadkit.config import LoadConfig, as_flag, collate_column_specs
 from loadkit.functions.columns import add_derived_columns
 from loadkit.operators import ledger
 from loadkit.operators.shape import apply_transforms, dedup_latest, rename_columns, select_existing, where_template
-from loadkit.operators.validation import ValidationResult, rules_from_config, run_validations
-from loadkit.plans.gate import gate, is_empty
-from loadkit.session import scratch_table
+from loadkit.operators.validation import rules_from_config, run_validations
+from loadkit.plans.gate import final_status, gate, is_empty, stored
 from loadkit.sinks import tables as sinks
 from loadkit.sources.registry import read_source
 
@@ -67,25 +65,6 @@ def _write(df: DataFrame, cfg: LoadConfig) -> int | None:
     return sinks.append_table(df, cfg.target)
 
 
-@contextmanager
-def _stored(result: ValidationResult, dry_run: bool) -> Iterator[tuple[ValidationResult, int]]:
-    """Run the source once into a scratch table, so that verdict, target and quarantine see the same rows.
-
-    The table is in the shared folder: a lost executor costs no second source
-    scan, and the verdict reads the issue column alone. A dry run stores nothing.
-    """
-    if dry_run:
-        yield result, result.checked.count()
-        return
-    spark = result.checked.sparkSession
-    name = scratch_table(spark, "checked")
-    try:
-        rows = sinks.write_table(result.checked, name, "errorifexists")
-        yield ValidationResult(spark.table(name)), rows
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
 def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str = "") -> LoadResult:
     """Shape, validate and write a source frame."""
     dry_run = as_flag(cfg.dry_run)
@@ -100,24 +79,30 @@ def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str
 
     started = datetime.now()
     validated = run_validations(shaped, rules_from_config(cfg.validations, cfg.schema))
-    with _stored(validated, dry_run) as (result, rows):
+    if dry_run:
+        summary = validated.summary.collect()
+        rows = validated.checked.count()
+        return LoadResult(final_status(summary, rows), rows, summary)
+    with stored(validated) as (result, rows):
         summary = result.summary.collect()  # one row per failed rule and column
         verdict = gate(result, summary, rows)
-        if dry_run:
-            return LoadResult(verdict.status, rows, summary)
-        if verdict.to_target is not None:
-            _write(verdict.to_target, cfg)
         if verdict.to_quarantine is not None:
-            _log_validation(result, cfg, run_id, started)
+            _log_validation(spark, summary, cfg, run_id, started)
             sinks.append_evolving(verdict.to_quarantine, cfg.quarantine)
+        # Last: a run that fails before it can be started again without doubling rows of the target.
+        if verdict.to_target is not None:
+            _write(verdict.to_target, cfg)
     return LoadResult(verdict.status, rows, summary)
 
 
-def _log_validation(result: ValidationResult, cfg: LoadConfig, run_id: str, started: datetime) -> None:
+def _log_validation(
+    spark: SparkSession, summary: list[Row], cfg: LoadConfig, run_id: str, started: datetime
+) -> None:
     table = cfg.validation_run_details_table_name
     if table:
-        log = ledger.validation_log(result.summary, run_id, started, datetime.now())
-        sinks.append_evolving(log.coalesce(1), table)
+        rules = spark.createDataFrame(summary, "rule string, column string, action string, failed_rows bigint")
+        log = ledger.validation_log(rules.coalesce(1), run_id, started, datetime.now())
+        sinks.append_evolving(log, table)
 
 
 class RunLedger:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadkit.operators import validation as V
-from loadkit.plans.gate import gate
+from loadkit.plans.gate import gate, store
 from loadkit.queries.registry import query, table
 from loadkit.session import scratch_table
-from loadkit.sinks.tables import append_evolving, write_table
+from loadkit.sinks.tables import append_evolving
 
 RAW_CTE = """WITH raw AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'n/a' ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END
@@ -88,10 +88,8 @@ def validate_schema_check(spark, sf):
 def _gated(spark: SparkSession, sf: str, rules: list[V.Rule]) -> DataFrame:
     """Rows that pass the gate and rows that go to quarantine, with the run's status."""
     raw = raw_orders(spark, sf)
-    name = scratch_table(spark, "checked")
-    n_rows = write_table(V.run_validations(raw, rules).checked, name)
-    stored = V.ValidationResult(spark.table(name))
-    verdict = gate(stored, stored.summary.collect(), n_rows)
+    result, n_rows = store(V.run_validations(raw, rules), scratch_table(spark, "checked"))
+    verdict = gate(result, result.summary.collect(), n_rows)
     cols = ["o_orderkey", "status", "price_txt", "priority"]
     sides = {"target": verdict.to_target, "quarantine": verdict.to_quarantine}
     parts = [df.select(F.lit(side).alias("side"), *cols) for side, df in sides.items() if df is not None]
