@@ -101,34 +101,34 @@ def append_evolving(df: DataFrame, table: str, dry_run: bool = False) -> int:
 def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
     """Replace the table's rows; ``df`` may read the table itself.
 
-    The new rows are first written to ``<table>__staged``. An unpartitioned
-    table is then swapped by two renames; after a crash between them the old
-    rows are in ``<table>__old``. A partitioned table is written again from the
-    staged rows, because renames leave partition locations behind in some
-    catalogs; after a crash there, the staged rows are whole.
+    The new rows are written to ``<table>__staged`` and swapped in by two
+    renames. Until then, and if the write fails, the table is as it was; after
+    a crash between the renames the old rows are in ``<table>__old``.
     """
     spark = df.sparkSession
     _require_table(spark, table)
     staged, old = f"{table}__staged", f"{table}__old"
     parts = partition_by or partition_columns(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    if parts:
-        _write(df, staged, "errorifexists")
-        rows = _write(spark.table(staged), table, "overwrite", parts)
-        spark.sql(f"DROP TABLE {staged}")
-        return rows
-    rows = _write(df, staged, "errorifexists")
+    rows = _write(df, staged, "errorifexists", parts)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
-    spark.sql(f"ALTER TABLE {table} RENAME TO {_in_schema(old)}")
+    _rename(spark, table, old)
     try:
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {_in_schema(table)}")
+        _rename(spark, staged, table)
     except Exception:
-        spark.sql(f"ALTER TABLE {old} RENAME TO {_in_schema(table)}")
+        _rename(spark, old, table)
         raise
     spark.sql(f"DROP TABLE {old}")
     return rows
 
 
+def _rename(spark: SparkSession, table: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {table} RENAME TO {_in_schema(new)}")
+    if partition_columns(spark, new):
+        # Not every catalog moves the partitions along with their table.
+        spark.sql(f"MSCK REPAIR TABLE {new} SYNC PARTITIONS")
+
+
 def _in_schema(table: str) -> str:
     """``schema.table``: a rename takes no catalog."""
     return ".".join(table.split(".")[-2:])
