@@ -4,20 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DoubleType, FloatType, IntegralType
 
 
-def _key_hash(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    parts = []
-    for key in keys:
-        types = {left.schema[key].dataType, right.schema[key].dataType}
-        if len(types) == 1:
-            parts.append(F.col(key))
-        elif all(isinstance(t, IntegralType) for t in types):
-            parts.append(F.col(key).cast("bigint"))
-        else:
-            raise ValueError(f"join key {key!r} has different types {types}, cast one side")
-    return F.xxhash64(*parts)
+def _hashed(left: DataFrame, right: DataFrame, key: str) -> Column | None:
+    """What to hash of a key: equal keys must hash alike on both sides, so mixed types and floats are left out."""
+    a, b = left.schema[key].dataType, right.schema[key].dataType
+    if isinstance(a, IntegralType) and isinstance(b, IntegralType):
+        return F.col(key).cast("bigint")
+    return F.col(key) if a == b and not isinstance(a, (FloatType, DoubleType)) else None
 
 
 def join_per_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -28,6 +23,11 @@ def join_per_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) -
     by its keys, which would be reused and turn the splitting off; the extra
     hash column asks for its own shuffle of the (one row per key) right side.
     """
-    key_hash = _key_hash(left, right, keys)
-    hashed = right.withColumn("_key_hash", key_hash)
-    return left.withColumn("_key_hash", key_hash).join(hashed, [*keys, "_key_hash"], how).drop("_key_hash")
+    hashed = [part for key in keys if (part := _hashed(left, right, key)) is not None]
+    if not hashed:
+        return left.join(right, keys, how)
+    key_hash = F.xxhash64(*hashed)
+    joined = left.withColumn("_key_hash", key_hash).join(
+        right.withColumn("_key_hash", key_hash), [*keys, "_key_hash"], how
+    )
+    return joined.drop("_key_hash")

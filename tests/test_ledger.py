@@ -1,4 +1,5 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 
@@ -96,3 +97,28 @@ def test_validation_log(spark):
     ]
     row = log.first()
     assert (row.run_id, row.validation_failed_row_count, row.validation_status) == ("r1", 3, "VALIDATION_ERROR")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_brute_force(spark, seed):
+    rng = random.Random(seed)
+    statuses = ["Completed", "STARTED", "reading_source_data", "FAILED", L.ALREADY_COMPLETED, L.COMPLETED_WITH_VALIDATION_WARNING]
+    moments = rng.sample(range(24 * 3600), 150)
+    at = [datetime(2024, 1, 1 + i % 2) + timedelta(seconds=s) for i, s in enumerate(moments)]
+    data = [(f"r{i}", rng.choice(["a", "A", "b"]), m.date(), m, m, rng.choice(statuses)) for i, m in enumerate(at)]
+    runs = spark.createDataFrame(data, RUNS)
+
+    def others(run):
+        return sorted((r for r in data if (r[1].lower(), r[2]) == (run[1].lower(), run[2]) and r[0] != run[0]), key=lambda r: r[3])
+
+    done = {r[0] for r in data if others(r) and others(r)[-1][5].upper() in L.PROCESSED}
+    assert {r.run_id for r in L.already_processed(runs, runs).collect()} == done
+
+    def under_way(run, seen):
+        return bool(seen) and (run[4] - seen[-1][3]).total_seconds() <= 1800 and seen[-1][5].upper() in L.RUNNING
+
+    now = {r[0] for r in data if under_way(r, others(r))}
+    assert {r.run_id for r in L.duplicate_start(runs, runs, 1800).collect()} == now
+    then = {r[0] for r in data if under_way(r, [o for o in others(r) if o[3] < r[4]])}
+    assert {r.run_id for r in L.duplicate_start(runs, runs, 1800, replay=True).collect()} == then
+    assert done and now and then

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +135,31 @@ def test_hot_target_key_is_split(spark, conf):
     merged = merge(target, source, ["id"], ["v"])
     assert len(merged.collect()) == n + len([i for i in range(0, 2 * n, 5) if i >= n or i % 3 == 0])
     assert "SortMergeJoin(skew=true)" in plan(merged)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_brute_force(spark, seed):
+    rng = random.Random(seed)
+    # Repeated target keys, one of them hot, and null keys on both sides.
+    target = [(rng.choice([5, 5, 5, *range(30), None]), rng.choice("ab"), rng.randrange(9)) for _ in range(120)]
+    keys = [*rng.sample(range(45), 25), None, None]
+    source = [(k, rng.choice("xy"), rng.randrange(9), rng.choice([True, False, None])) for k in keys]
+    by_key = {s[0]: s for s in source if s[0] is not None}
+    expected = []
+    for row in target:
+        match = by_key.get(row[0])
+        if match is None:
+            expected.append(row)
+        elif not (match[3] or row[2] == 0):
+            expected.append((row[0], match[1], row[2]))
+    held = {t[0] for t in target}
+    expected += [s[:3] for s in source if s[0] is None or s[0] not in held]
+    merged = merge(
+        spark.createDataFrame(target, "id int, v string, n int"),
+        spark.createDataFrame(source, "id bigint, v string, n int, gone boolean"),
+        ["id"],
+        ["v"],
+        "source.gone OR target.n = 0",
+    )
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted(expected, key=str)
+    assert merged.dtypes == [("id", "int"), ("v", "string"), ("n", "int")]
