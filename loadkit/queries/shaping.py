@@ -82,11 +82,9 @@ def conform_schema(spark, sf):
     return df.withColumn("price", F.coalesce(F.col("price").cast("bigint"), F.lit(-1).cast("bigint")))
 
 
-@query("SELECT n_nationkey, n_name, c_custkey, 'obs' AS source_system, CAST(7 AS BIGINT) AS batch FROM nation JOIN customer ON c_nationkey = n_nationkey")
+@query("SELECT c_custkey, c_name, 'obs' AS source_system, CAST(7 AS BIGINT) AS batch FROM customer")
 def add_literal(spark, sf):
-    df = table(spark, sf, "customer").join(
-        table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    ).select("n_nationkey", "n_name", "c_custkey")
+    df = table(spark, sf, "customer").select("c_custkey", "c_name")
     return C.add_literal(C.add_literal(df, "source_system", "obs"), "batch", "7", "long")
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadkit.operators.merge import merge
+from loadkit.sinks import tables
 from loadkit.sinks.tables import merge_into, merge_statement, write_table
 from loadkit.session import scratch_table
 from loadkit.sources.sql import statement_class
@@ -163,3 +164,13 @@ def test_brute_force(spark, seed):
     )
     assert sorted(map(tuple, merged.collect()), key=str) == sorted(expected, key=str)
     assert merged.dtypes == [("id", "int"), ("v", "string"), ("n", "int")]
+
+
+def test_formats_with_merge_get_the_statement(spark, target, source, monkeypatch):
+    """No such format is installed; a Parquet table shows that Spark takes the statement and refuses the table."""
+    name = scratch_table(spark, "t")
+    write_table(target, name)
+    monkeypatch.setattr(tables, "MERGE_FORMATS", ("parquet",))
+    with pytest.raises(Exception, match="(?i)merge") as raised:
+        merge_into(source, name, ["id"], ["v"], "source.gone = true")
+    assert "PARSE" not in str(raised.value) and "UNRESOLVED" not in str(raised.value)
