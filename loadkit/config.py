@@ -92,6 +92,8 @@ class LoadConfig:
     delimiter: str = ","
     quote: str | None = None
     multi_line: bool | str = False
+    corrupt_record_column: str | None = None
+    corrupt_record_action: str = "ERROR"
     # shape
     columns: list[str] | None = None
     where_clause: str | None = None

@@ -117,10 +117,13 @@ class ValidationResult:
 
     ``checked`` is the input with ``validation_issues``, an array of (rule,
     column, action) that is null for a clean row; ``issue_rows`` are the others.
+    ``can_fail`` is false if no rule has anything to test in the rows, as when
+    there is only a schema check and the schema is right.
     """
 
     checked: DataFrame
     issue_rows: DataFrame
+    can_fail: bool = True
 
     @property
     def summary(self) -> DataFrame:
@@ -135,7 +138,7 @@ def run_validations(df: DataFrame, rules: list[Rule]) -> ValidationResult:
     kind = "array<struct<rule:string,column:string,action:string>>"
     if not checks:
         checked = df.withColumn(ISSUES, F.lit(None).cast(kind))
-        return ValidationResult(checked, checked.where(F.lit(False)))
+        return ValidationResult(checked, checked.where(F.lit(False)), can_fail=False)
     found = [
         F.when(
             c.failed,

@@ -14,7 +14,7 @@ from loadkit.config import LoadConfig, as_flag, collate_column_specs
 from loadkit.functions.columns import add_derived_columns
 from loadkit.operators import ledger
 from loadkit.operators.shape import apply_transforms, dedup_latest, rename_columns, select_existing, where_template
-from loadkit.operators.validation import rules_from_config, run_validations
+from loadkit.operators.validation import Rule, expression_check, rules_from_config, run_validations
 from loadkit.plans.gate import final_status, gate, is_empty, stored
 from loadkit.sinks import tables as sinks
 from loadkit.sources.registry import read_source
@@ -65,6 +65,14 @@ def _write(df: DataFrame, cfg: LoadConfig) -> int | None:
     return sinks.append_table(df, cfg.target)
 
 
+def _rules(df: DataFrame, cfg: LoadConfig) -> list[Rule]:
+    """Configured rules, and one for lines that did not parse, whose text goes to quarantine only."""
+    rules = rules_from_config(cfg.validations, cfg.schema)
+    if cfg.corrupt_record_column in df.columns:
+        rules.append(expression_check("corrupt_record", f"`{cfg.corrupt_record_column}` IS NULL", cfg.corrupt_record_action))
+    return rules
+
+
 def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str = "") -> LoadResult:
     """Shape, validate and write a source frame."""
     dry_run = as_flag(cfg.dry_run)
@@ -72,13 +80,13 @@ def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str
     if is_empty(selected):
         return LoadResult(ledger.COMPLETED_WITH_ZERO)
     shaped = shape(selected, cfg)
-    if not cfg.validations and not cfg.merge:
+    started = datetime.now()
+    validated = run_validations(shaped, _rules(shaped, cfg))
+    if not validated.can_fail and not cfg.merge:
         # Nothing can stop the rows, and one write reads them: straight from source to target in one pass.
         rows = shaped.count() if dry_run else _write(shaped, cfg)
         return LoadResult(ledger.COMPLETED, rows or 0)
 
-    started = datetime.now()
-    validated = run_validations(shaped, rules_from_config(cfg.validations, cfg.schema))
     if dry_run:
         summary = validated.summary.collect()
         rows = validated.checked.count()
@@ -91,7 +99,7 @@ def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str
             sinks.append_evolving(verdict.to_quarantine, cfg.quarantine)
         # Last: a run that fails before it can be started again without doubling rows of the target.
         if verdict.to_target is not None:
-            _write(verdict.to_target, cfg)
+            _write(verdict.to_target.drop(*[c for c in [cfg.corrupt_record_column] if c]), cfg)
     return LoadResult(verdict.status, rows, summary)
 
 

@@ -25,12 +25,18 @@ def _schema(cfg: LoadConfig):
 
 
 def _csv(spark: SparkSession, cfg: LoadConfig) -> DataFrame:
-    return _located(
-        cfg,
-        lambda paths: files.read_delimited(
-            spark, paths, _schema(cfg), cfg.delimiter, cfg.quote, as_flag(cfg.multi_line)
-        ),
-    )
+    def read(paths: list[str]) -> DataFrame:
+        return files.read_delimited(
+            spark,
+            paths,
+            _schema(cfg),
+            delimiter=cfg.delimiter,
+            quote=cfg.quote,
+            multi_line=as_flag(cfg.multi_line),
+            corrupt_column=cfg.corrupt_record_column,
+        )
+
+    return _located(cfg, read)
 
 
 def _parquet(spark: SparkSession, cfg: LoadConfig) -> DataFrame:

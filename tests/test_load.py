@@ -64,6 +64,16 @@ def test_gate_outcomes(spark, csv, target, validations, status, in_target, in_qu
     assert not [t for t in spark.catalog.listTables(schema) if t.name.startswith("checked")]
 
 
+@pytest.mark.parametrize("action, loaded", [("ERROR", []), ("WARNING", [(None, "Bob"), (1, "Ann")])])
+def test_lines_that_do_not_parse(spark, tmp_path, target, action, loaded):
+    path = tmp_path / "people.csv"
+    path.write_text("id,name\n1,Ann\nno number,Bob\n")
+    cfg = settings(target, source_location=str(path), corrupt_record_column="line", corrupt_record_action=action)
+    run_load(spark, cfg)
+    assert rows(spark.table(target).select("id", "name")) == loaded
+    assert rows(spark.table(cfg.quarantine).select("line")) == [("no number,Bob",)]
+
+
 def test_dry_run(spark, csv, target):
     cfg = settings(target, source_location=csv, validations=[NULLS], dry_run="True")
     result = run_load(spark, cfg)
