@@ -2,9 +2,9 @@
 
 ``source`` holds rows to load, ``target`` the history so far. Both carry the
 key columns and a business date. Every source row is judged against the target
-alone, never against another row of the batch, and rows that share a key and a
-date are all kept or all left out. Null keys equal nothing, so their rows count
-as new. Values are compared null-safely.
+alone, never against another row of the batch: rows that share a key and a date
+are each judged by their own values. Null keys and dates equal nothing, so their
+rows count as new. Values are compared null-safely.
 
 The source is read more than once: land a batch that is costly to derive, or
 not repeatable, before handing it in.
@@ -51,7 +51,7 @@ def of_keys(target: DataFrame, source: DataFrame, keys: list[str], at_most: int)
     ``changed_with_expiry``, which looks for the keys a batch lacks.
     """
     wanted = source.select(*keys).distinct()
-    if wanted.limit(at_most + 1).count() > at_most:
+    if wanted.count() > at_most:
         return target
     return target.join(F.broadcast(wanted), keys, "left_semi")
 
@@ -70,7 +70,8 @@ def first_seen(source: DataFrame, target: DataFrame, keys: list[str], date_col:
     """Source rows whose key has no earlier row in the target."""
     begun = target.groupBy(*keys).agg(F.min(date_col).alias("_begun"))
     joined = join_per_key(source, begun, keys, "left")
-    return joined.where(F.col("_begun").isNull() | (F.col("_begun") >= F.col(date_col))).select(*source.columns)
+    earlier = F.coalesce(F.col("_begun") < F.col(date_col), F.lit(False))
+    return joined.where(~earlier).select(*source.columns)
 
 
 def _before(line: list[str], date_col: str) -> WindowSpec:

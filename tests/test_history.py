@@ -161,6 +161,15 @@ def test_brute_force(spark, conf, kind, seed):
     )
 
 
+def test_rows_without_a_date_are_new(spark):
+    target = spark.createDataFrame([(1, day(1), "a"), (1, None, "z")], "id int, at date, v string")
+    source = spark.createDataFrame([(1, None, "a"), (1, day(2), "a")], target.schema)
+    undated = [(1, None, "a")]
+    assert rows(H.first_seen(source, target, KEYS, "at")) == undated
+    assert rows(H.changed_asof(source, target, KEYS, "at", ["v"], None)) == undated
+    assert rows(H.changed_vs_last_known(source, target, KEYS, "at", ["v"], None)) == undated
+
+
 def test_small_batch_reads_its_own_keys(frames):
     source, target = frames
     batch = source.where("id < 20")
