@@ -2,30 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
+import hashlib
 import uuid
-import zlib
 
 from pyspark.sql import SparkSession
 
-_local_dir: tempfile.TemporaryDirectory | None = None
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting falls back to a temporary
-    folder: there driver and executors are one process.
-    """
-    global _local_dir
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if _local_dir is None:
-        _local_dir = tempfile.TemporaryDirectory(prefix="loadkit-")
-    return _local_dir.name
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -36,6 +22,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def scratch_table(spark: SparkSession, name: str) -> str:
     """A new three-part table name whose managed files live in the shared folder."""
     root = shared_dir(spark)
-    schema = f"loadkit_{zlib.crc32(root.encode()):08x}"
+    schema = f"loadkit_{hashlib.sha256(root.encode()).hexdigest()[:24]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/{schema}'")
     return f"spark_catalog.{schema}.{name}_{uuid.uuid4().hex[:12]}"

@@ -4,12 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from loadkit.queries import ORACLES, QUERIES
 from tests.conftest import DATA, SMALL, plan
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +43,7 @@ def test_only_one_query_has_no_sql():
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     assert entry.entry(spark).count() > 0
 
 
