@@ -110,6 +110,8 @@ def mix(
     text_col: str = "text",
     max_repeat: int = 3,
     seed: int = 11,
+    fit: float = 0.002,
+    fitting: int = 8,
 ) -> DataFrame:
     """How often the mix takes every document.
 
@@ -123,8 +125,8 @@ def mix(
     ``_size`` (words), ``_copies`` (0 to ``max_repeat``), and ``_source_size``
     and ``_target`` of its first source. What is taken depends on the seed, the
     id and the size alone: the rows of a pattern are in a seeded order, and
-    those before the cut, and one document that fits the gap left there, get
-    one copy more than the others.
+    those before the cut, and up to ``fitting`` documents that fill the gap left
+    there to within ``fit``, get one copy more than the others.
 
     A null source is a source of its own; a row without any source is never
     taken. Null or empty texts have size 0. Repeated rows count each, and share
@@ -181,24 +183,32 @@ def mix(
     # a row per pattern: where its order is cut, and how many words are still missing there
     cut = {p: (0, -(2**63), 0) if not x[1] else (BUCKETS, -(2**63), patterns[p]) for p, x in plan.items()}
     cut |= {tuple(r["_pattern"]): (r["_b"], *r["_mark"]) for r in marks.collect()}
-    # the document beyond the cut whose size is nearest to what is missing there
-    missing = session.createDataFrame(
-        [(list(p), b, m, plan[p][1] - n) for p, (b, m, n) in cut.items() if plan[p][1] > n],
-        "_pattern array<string>, _cut_b int, _cut long, _missing double",
-    )
+    # documents beyond the cut that fit what is missing there, the best one of each pattern in turn
     beyond = (F.col("_b") > F.col("_cut_b")) | ((F.col("_b") == F.col("_cut_b")) & (F.col("_place") >= F.col("_cut")))
-    nearest = (
-        slim.join(missing, "_pattern")
-        .where(beyond & (F.col("_size") < 2 * F.col("_missing")))
-        .groupBy("_pattern")
-        .agg(F.min(F.struct(F.abs(F.col("_size") - F.col("_missing")), "_place")).alias("_extra"))
-    )
-    extra = {tuple(r["_pattern"]): r["_extra"][1] for r in nearest.collect()}
+    missing = {p: plan[p][1] - n for p, (_, _, n) in cut.items()}
+    extra: dict = {p: [] for p in patterns}
+    open_now = {p for p, gap in missing.items() if gap > fit * plan[p][1]}
+    while open_now:
+        gaps = session.createDataFrame(
+            [(list(p), *cut[p][:2], missing[p], extra[p]) for p in open_now],
+            "_pattern array<string>, _cut_b int, _cut long, _missing double, _extra array<bigint>",
+        )
+        nearest = (
+            slim.join(gaps, "_pattern")
+            .where(beyond & ~F.array_contains("_extra", F.col("_place")) & (F.col("_size") < 2 * F.col("_missing")))
+            .groupBy("_pattern")
+            .agg(F.min(F.struct(F.abs(F.col("_size") - F.col("_missing")), "_place", "_size")).alias("_best"))
+        )
+        found = {tuple(r["_pattern"]): r["_best"] for r in nearest.collect()}
+        for p, best in found.items():
+            extra[p].append(best[1])
+            missing[p] -= best[2]
+        open_now = {p for p in found if missing[p] > fit * plan[p][1] and len(extra[p]) < fitting}
     final = session.createDataFrame(
-        [(list(p), full, size, goal_of, *cut[p][:2], extra.get(p)) for p, (full, _, size, goal_of) in plan.items()],
-        "_pattern array<string>, _full int, _source_size long, _target double, _cut_b int, _cut long, _extra long",
+        [(list(p), full, size, goal_of, *cut[p][:2], extra[p]) for p, (full, _, size, goal_of) in plan.items()],
+        "_pattern array<string>, _full int, _source_size long, _target double, _cut_b int, _cut long, _extra array<bigint>",
     )
-    more = (bucket < F.col("_cut_b")) | ((bucket == F.col("_cut_b")) & (place < F.col("_cut"))) | F.coalesce(place == F.col("_extra"), F.lit(False))
+    more = (bucket < F.col("_cut_b")) | ((bucket == F.col("_cut_b")) & (place < F.col("_cut"))) | F.array_contains("_extra", place)
     return (
         frame.join(final, "_pattern")
         .withColumn("_copies", F.least(F.col("_full") + more.cast("int"), F.lit(max_repeat)))
