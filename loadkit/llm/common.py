@@ -64,3 +64,33 @@ def numbered(df: DataFrame, within: list[str], bucket: str, order: list[str], na
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
+    """(node, root) for every node of the edges (a, b): root is the smallest node that can be reached.
+
+    Large-star and small-star steps by turns, each a minimum per node with
+    map-side combine and a join, until every node hangs on its root. Nodes
+    without edges do not occur; null nodes are not allowed.
+    """
+    pairs = stored(
+        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), name
+    )
+    before = None
+    for _ in range(rounds):
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a")
+        after = small.select("b", "m").where("b != m").union(low.select("a", "m")).toDF("a", "b").distinct()
+        after = stored(after, name)
+        drop_stored(pairs)
+        pairs = after
+        now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == before:
+            break
+        before = now
+    return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )

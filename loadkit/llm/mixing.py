@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from loadkit.llm.common import bucket_of, stored
 
 BUCKETS = 4096
+FEW_PATTERNS = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -159,11 +160,17 @@ def mix(
         given[p] = given.get(p, 0.0) + n
 
     session = frame.sparkSession
+
+    def of_patterns(rows: list, schema: str) -> DataFrame:
+        """A frame of a row per pattern at most; sent to every task only if they are few."""
+        made = session.createDataFrame(rows, schema)
+        return F.broadcast(made) if len(rows) <= FEW_PATTERNS else made
+
     plan = {
         p: (*whole(given.get(p, 0.0), n, max_repeat), int(sizes[p[0]]) if p else 0, float(goal[p[0]]) if p else 0.0)
         for p, n in patterns.items()
     }
-    rests = session.createDataFrame([(list(p), x[1]) for p, x in plan.items()], "_pattern array<string>, _rest double")
+    rests = of_patterns([(list(p), x[1]) for p, x in plan.items()], "_pattern array<string>, _rest double")
     # the mark of a pattern falls into one bucket; only there do rows have to be put in order
     earlier = Window.partitionBy("_pattern").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     at = (
@@ -189,7 +196,7 @@ def mix(
     extra: dict = {p: [] for p in patterns}
     open_now = {p for p, gap in missing.items() if gap > fit * plan[p][1]}
     while open_now:
-        gaps = session.createDataFrame(
+        gaps = of_patterns(
             [(list(p), *cut[p][:2], missing[p], extra[p]) for p in open_now],
             "_pattern array<string>, _cut_b int, _cut long, _missing double, _extra array<bigint>",
         )
@@ -204,7 +211,7 @@ def mix(
             extra[p].append(best[1])
             missing[p] -= best[2]
         open_now = {p for p in found if missing[p] > fit * plan[p][1] and len(extra[p]) < fitting}
-    final = session.createDataFrame(
+    final = of_patterns(
         [(list(p), full, size, goal_of, *cut[p][:2], extra[p]) for p, (full, _, size, goal_of) in plan.items()],
         "_pattern array<string>, _full int, _source_size long, _target double, _cut_b int, _cut long, _extra array<bigint>",
     )

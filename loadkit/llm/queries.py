@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import chat, mixing, sharding
+import public_tokenizers
+
+from loadkit.llm import chat, jaccard, mixing, neighbours, sharding, tokens
 from loadkit.llm.common import table
 
 QUERIES = {}
@@ -22,6 +24,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
@@ -77,3 +84,14 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.search_table(rows, rows.where("vec_id % 100 = 0"))
