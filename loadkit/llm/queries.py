@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loadkit.llm import chat, jaccard, mixing, neighbours, sharding, tokens
+from loadkit.llm import chat, jaccard, mixing, neighbours, repeats, sharding, tokens
 from loadkit.llm.common import table
 
 QUERIES = {}
@@ -95,3 +95,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return neighbours.search_table(rows, rows.where("vec_id % 100 = 0"))
+
+
+@query()
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
