@@ -3,12 +3,12 @@
 A text's set is that of its word shingles. The join goes from coarse to exact:
 
 1. Texts with equal sets are one class.
-2. Classes that share one of their rarest shingles, and whose sizes allow it,
-   may be similar. This is lossless: two sets as similar as asked share a
-   shingle among the first n - ceil(t n) + 1 of each, in any order that all
-   texts use; here it is by frequency, so common passages come last. What the
-   classes of a shingle are is not written as pairs, but as runs of sizes.
-   Connected runs give clusters.
+2. Classes that share enough of their rarest shingles with others whose sizes
+   allow it may be similar. This is lossless: of the first shingles of two
+   similar sets, in any order that all texts use, a known number is shared
+   (``prefix_of``); here the order is by frequency, so common passages come
+   last. The classes of a shingle are not written as pairs, but as runs of
+   sizes. Connected runs give clusters.
 3. In a cluster, shingles are hashed into groups, and the counts per group are
    a point. R-trees over the points are joined: boxes whose summed coordinate
    minima are too small an overlap are not opened. Pairs of points that pass
@@ -32,9 +32,10 @@ from loadkit.llm.textbytes import mix, shingles, slices
 
 SKETCH = 1 << 20
 SKETCH_PARTS = 16
-TILE_SHINGLES = 1 << 20
+TILE_SHINGLES = 3 << 20
 TILE_CLASSES = 1024
 FANOUT = 8
+LONG_RUN = 256
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,9 +57,20 @@ def class_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(a ^ mix(b + np.diff(bounds).astype(np.uint64))).view(np.int64)
 
 
+def shared_at_least(size, percent: int):
+    """Shingles of its prefix that a set must share with any set as similar as asked (see ``prefix_of``)."""
+    return np.maximum(1, (size * percent + 99) // 100 // 10)
+
+
 def prefix_of(size: np.ndarray, percent: int) -> np.ndarray:
-    """How many of a set's first shingles any set as similar as asked must share one of."""
-    return np.where(size > 0, size - (size * percent + 99) // 100 + 1, 0)
+    """How many of a set's first shingles are dealt out.
+
+    Let o be the least overlap that similarity asks of a set of n. In any
+    order, the first n - o + m of two similar sets share m shingles. Here m is
+    a tenth of the size; as the smaller of the two sets has its own, smaller m,
+    what may be counted on is ``shared_at_least``.
+    """
+    return np.where(size > 0, size - (size * percent + 99) // 100 + np.maximum(1, size // 10), 0)
 
 
 # 1: sets, classes, and how often shingles occur
@@ -140,20 +152,30 @@ def _runs(key: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int) -> n
     return begin
 
 
-def _candidates(docs: DataFrame, width: int, percent: int, sketch) -> DataFrame:
-    """(key, c, low, high): classes that begin with a shingle, joined to runs of sizes within a task, and the edges of those runs."""
+def _entries(docs: DataFrame, width: int, percent: int, sketch) -> DataFrame:
+    """(key, c, low, high, head): the classes that begin with a shingle.
+
+    Where a task has very many classes of one shingle, a run of their sizes
+    stands for them: its first class with the run's bounds, the others with
+    that class as ``head`` and without a key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = sketch.value.astype(np.uint64)
         keys, names, sizes = [], [], []
+        seen: set[int] = set()
         for batch in batches:
             for _, _, data, offsets in slices(batch.column("text")):
                 hashes, bounds = sets_of(data, offsets, width)
                 name, size = class_of(hashes, bounds), np.diff(bounds)
                 order = rank[(hashes % np.uint64(SKETCH)).astype(np.int64)] << np.uint64(52) | hashes >> np.uint64(12)
-                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    order[a:b].sort()
                 take = prefix_of(size, percent)
+                for i, c in enumerate(name.tolist()):
+                    if c in seen:
+                        take[i] = 0
+                    else:
+                        seen.add(c)
+                        order[bounds[i] : bounds[i + 1]].sort()
                 place = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take) + np.repeat(bounds[:-1], take)
                 keys.append(order[place].view(np.int64))
                 names.append(np.repeat(name, take))
@@ -161,40 +183,82 @@ def _candidates(docs: DataFrame, width: int, percent: int, sketch) -> DataFrame:
         if not keys:
             return
         key, name, size = np.concatenate(keys), np.concatenate(names), np.concatenate(sizes)
-        order = np.lexsort((name, size, key))
+        order = np.lexsort((size, key))
         key, name, size = key[order], name[order], size[order]
         begin = np.flatnonzero(_runs(key, size, size, percent))
-        end = np.concatenate([begin[1:], [len(key)]])
-        head = np.repeat(name[begin], end - begin)
-        edge = np.unique(np.stack([head, name], 1)[head != name], axis=0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[begin]), pa.array(name[begin]), pa.array(size[begin]), pa.array(np.maximum.reduceat(size, begin) if len(begin) else size), pa.nulls(len(begin), pa.int64())],
-            names=["key", "c", "low", "high", "other"],
-        )
+        many = np.diff(np.concatenate([begin, [len(key)]]))
+        long = many > LONG_RUN
+        single = np.repeat(~long, many)
+        high = np.maximum.reduceat(size, begin) if len(begin) else size
+        inner = ~single
+        inner[begin] = False
+        head = np.repeat(name[begin], many)[inner]
+        for k, c, low, top, first in (
+            (key[single], name[single], size[single], size[single], None),
+            (key[begin[long]], name[begin[long]], size[begin[long]], high[long], name[begin[long]]),
+            (None, name[inner], size[inner], size[inner], head),
+        ):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(c), pa.int64()) if k is None else pa.array(k), pa.array(c), pa.array(low), pa.array(top), pa.nulls(len(c), pa.int64()) if first is None else pa.array(first)],
+                names=["key", "c", "low", "high", "head"],
+            )
+
+    return docs.select("text").mapInArrow(run, "key long, c long, low long, high long, head long")
+
+
+def _sorted(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray] | None:
+    """Columns of a task's rows by (key, low), each class of a key once; heads as they are, 0 for none."""
+    table = [b for b in batches if b.num_rows]
+    if not table:
+        return None
+    got = [np.concatenate([b.column(c).fill_null(0).to_numpy() for b in table]) for c in ("key", "c", "low", "high", "head")]
+    order = np.lexsort((-got[3], got[1], got[0]))
+    got = [x[order] for x in got]
+    keep = np.ones(len(order), bool)
+    keep[1:] = (got[0][1:] != got[0][:-1]) | (got[1][1:] != got[1][:-1])
+    got = [x[keep] for x in got]
+    order = np.lexsort((got[2], got[0]))
+    return [x[order] for x in got]
+
+
+def _met(entries: DataFrame, percent: int) -> DataFrame:
+    """The entries that share a run of sizes with another class, and the members of long runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = []
+        for batch in batches:
+            keyless = batch.filter(batch.column("key").is_null())
+            if keyless.num_rows:
+                yield keyless
+            rest.append(batch.filter(batch.column("key").is_valid()))
+        got = _sorted(iter(rest))
+        if got is None:
+            return
+        begin = np.flatnonzero(_runs(got[0], got[2], got[3], percent))
+        many = np.diff(np.concatenate([begin, [len(got[0])]]))
+        keep = np.repeat(many > 1, many) | (got[4] != 0)
+        key, c, low, high, head = (x[keep] for x in got)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(edge), pa.int64()), pa.array(edge[:, 0]), pa.nulls(len(edge), pa.int64()), pa.nulls(len(edge), pa.int64()), pa.array(edge[:, 1])],
-            names=["key", "c", "low", "high", "other"],
+            [pa.array(key), pa.array(c), pa.array(low), pa.array(high), pa.array(head, mask=head == 0)], names=["key", "c", "low", "high", "head"]
         )
 
-    return docs.select("text").mapInArrow(run, "key long, c long, low long, high long, other long")
+    return entries.mapInArrow(run, "key long, c long, low long, high long, head long")
 
 
-def _edges(runs: DataFrame, percent: int) -> DataFrame:
-    """(a, b): edges between classes whose runs meet, at most one per run."""
+def _edges(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the first class of a run of sizes with each of the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = [b for b in batches if b.num_rows]
-        if not table:
+        got = _sorted(batches)
+        if got is None:
             return
-        key, name, low, high = (np.concatenate([b.column(c).to_numpy() for b in table]) for c in ("key", "c", "low", "high"))
-        order = np.lexsort((low, key))
-        key, name, low, high = key[order], name[order], low[order], high[order]
+        key, name, low, high, _ = got
         begin = np.flatnonzero(_runs(key, low, high, percent))
         head = np.repeat(name[begin], np.diff(np.concatenate([begin, [len(key)]])))
         edge = np.unique(np.stack([head, name], 1)[head != name], axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(edge[:, 0]), pa.array(edge[:, 1])], names=["a", "b"])
 
-    return runs.mapInArrow(run, "a long, b long")
+    return met.mapInArrow(run, "a long, b long")
 
 
 # 3: R-trees
@@ -339,11 +403,17 @@ def similar_groups(
     sketch = spark.sparkContext.broadcast(_summed(scanned.where("part is not null").select("part", "counts")))  # of fixed size
     known = scanned.where("part is null").select("row.id", "row.t", "n", "c")
 
-    found = stored(_candidates(rows, width, percent, sketch), "jaccard_runs")
-    met = _edges(found.where("key is not null").drop("other").repartition("key"), percent)
-    near = met.unionByName(found.where("key is null").select(F.col("c").alias("a"), F.col("other").alias("b")))
-    clusters = stored(components(near, "jaccard_clusters"), "jaccard_roots")
-    drop_stored(found)
+    # classes that meet others often enough, and what they meet there
+    dealt = _entries(rows, width, percent, sketch).repartition("key", F.when(F.col("key").isNull(), F.col("c")))
+    met = stored(_met(dealt, percent), "jaccard_met")
+    need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("low") * percent / 100) / 10))
+    enough = met.where("head is null or head != c").groupBy("c").agg(F.count(F.lit(1)).alias("k"), F.min("low").alias("low")).where(F.col("k") >= need)
+    good = stored(met.join(enough.select("c"), "c", "left_semi").unionByName(met.where("head = c")), "jaccard_good")
+    drop_stored(met)
+    across = _edges(good.where("key is not null").repartition("key"), percent)
+    within = good.where("key is null").select(F.col("head").alias("a"), F.col("c").alias("b"))
+    clusters = stored(components(across.unionByName(within), "jaccard_clusters"), "jaccard_roots")
+    drop_stored(good)
 
     # a row to take the set from, for every class that is in a cluster
     classes = known.where("n > 0").groupBy("c").agg(
