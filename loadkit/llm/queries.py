@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loadkit.llm import chat, jaccard, mixing, neighbours, repeats, sharding, tokens
+from loadkit.llm import chat, decontamination, jaccard, mixing, neighbours, quality, repeats, sharding, tokens, toxicity
 from loadkit.llm.common import table
 
 QUERIES = {}
@@ -101,3 +101,24 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query()
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.graded(docs, model).select("row.doc_id", "expected_grade", "tail", F.col("selected").cast("int").alias("predicted"))
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, lexicon).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query()
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
