@@ -239,8 +239,8 @@ def nearest(graphs: DataFrame, queries: DataFrame, id_col: str, vector_col: str,
         .dropDuplicates(["query_id"])
         .withColumn("dim", F.size("q"))
     )
-    places = graphs.select("shard", "dim")
-    dealt = wanted.join(places, "dim")
+    places = graphs.select(F.col("shard").alias("at_shard"), F.col("dim").alias("at_dim"))
+    dealt = wanted.join(places, F.col("dim") == F.col("at_dim")).drop("dim")
 
     def answer(key: tuple, graph: pa.Table, asked: pa.Table) -> pa.Table:
         found = {"query_id": [], "vec_id": [], "score": []}
@@ -266,7 +266,7 @@ def nearest(graphs: DataFrame, queries: DataFrame, id_col: str, vector_col: str,
             {"query_id": pa.array(found["query_id"], pa.int64()), "vec_id": pa.array(found["vec_id"], pa.int64()), "score": pa.array(found["score"], pa.float64())}
         )
 
-    pairs = graphs.groupBy("shard", "dim").cogroup(dealt.groupBy("shard", "dim")).applyInArrow(answer, "query_id long, vec_id long, score double")
+    pairs = graphs.groupBy("shard", "dim").cogroup(dealt.groupBy("at_shard", "at_dim")).applyInArrow(answer, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return pairs.where("vec_id != query_id").withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

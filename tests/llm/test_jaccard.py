@@ -1,0 +1,60 @@
+import random
+
+import numpy as np
+import pytest
+
+from loadkit.llm import jaccard
+from loadkit.llm.queries import QUERIES
+from tests.conftest import SMALL
+from tests.llm.helpers import SCHEMA, no_docs, odd_docs, similar
+
+
+def result(df):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in df.collect()), key=repr)
+
+
+def test_query_against_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    assert result(QUERIES["op1_ngram_jaccard_join"](spark, SMALL)) == sorted(similar(docs), key=repr)
+
+
+def test_odd_rows(spark):
+    docs = odd_docs(spark)
+    assert result(jaccard.similar_groups(docs)) == sorted(similar([(r.doc_id, r.text) for r in docs.collect()]), key=repr)
+    assert jaccard.similar_groups(no_docs(spark)).collect() == []
+
+
+def test_large_groups_in_tiles(spark, monkeypatch):
+    """Many near copies of a few texts, with tiles so small that groups are cut, and runs that stand for their classes."""
+    monkeypatch.setattr(jaccard, "TILE_CLASSES", 8)
+    monkeypatch.setattr(jaccard, "LONG_RUN", 16)
+    dice = random.Random(3)
+    rows = []
+    for base in range(3):
+        words = [f"t{base}w{i}" for i in range(60 + 25 * base)]
+        for _ in range(50):
+            own = list(words)
+            for _ in range(dice.randint(0, 3)):
+                own[dice.randrange(len(own))] = f"x{dice.random()}"
+            rows.append((len(rows), " ".join(own[: len(own) - dice.randint(0, 6)])))
+    got = result(jaccard.similar_groups(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+    assert got == sorted(similar(rows), key=repr)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_tree_join_loses_nothing(percent):
+    dice = np.random.default_rng(percent)
+    base = [dice.integers(0, 1 << 60, 40, dtype=np.uint64) for _ in range(6)]
+    sets = [np.unique(np.concatenate([dice.choice(base[i % 6], 36, replace=False), dice.integers(0, 1 << 60, 3, dtype=np.uint64)])) for i in range(120)]
+    hashes, bounds = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    tree = jaccard.Tree(jaccard.points_of(hashes, bounds, 16), np.diff(bounds))
+    x, y = jaccard.tree_join(tree, tree, percent, True)
+    good = jaccard.verified(hashes, bounds, x, y, percent)
+    got = {tuple(sorted(p)) for p in zip(x[good].tolist(), y[good].tolist(), strict=True)}
+    want = {
+        (i, j)
+        for j in range(len(sets))
+        for i in range(j)
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))
+    }
+    assert got == want and len(x) < len(sets) * (len(sets) - 1) / 2
