@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -94,3 +98,29 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def hash_bits(hashes: DataFrame, size: int) -> bytes:
+    """A bit per remainder of the hashes in the one column: always ``size`` bits, whatever the number of rows.
+
+    Tells for certain that a hash is not among them. It grows fuller with them,
+    never larger, and serves to leave rows out before a shuffle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size // 8, np.uint8)
+        for batch in batches:
+            bit = (batch.column(0).drop_null().to_numpy().view(np.uint64) % np.uint64(size)).astype(np.int64)
+            np.bitwise_or.at(bits, bit >> 3, (1 << (bit & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
+
+    bits = np.zeros(size // 8, np.uint8)
+    for (part,) in hashes.repartition(2).mapInArrow(run, "bits binary").collect():
+        bits |= np.frombuffer(part, np.uint8)
+    return bits.tobytes()
+
+
+def in_bits(hashes: np.ndarray, bits: bytes) -> np.ndarray:
+    have = np.frombuffer(bits, np.uint8)
+    bit = (hashes.view(np.uint64) % np.uint64(8 * len(have))).astype(np.int64)
+    return have[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0

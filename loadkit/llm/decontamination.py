@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import stored
+from loadkit.llm.common import hash_bits, in_bits, stored
 from loadkit.llm.textbytes import LOWER, hash_spans, mix, prefix_hashes, slices, word_spans
 
 WINDOW = 8
@@ -114,13 +114,11 @@ def _windows(texts: DataFrame, width: int, bits=None) -> DataFrame:
     """A row for each window of (key, text); with ``bits``, only for those whose hash may be among the benchmark's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = None if bits is None else np.frombuffer(bits.value, np.uint8)
         for batch in batches:
             for start, _, data, offsets in slices(batch.column("text")):
                 text, first, hashes, _, value, slot, words = windows(data, offsets, width)
-                if have is not None:
-                    bit = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
-                    maybe = have[bit >> 3] >> (bit & 7) & 1 > 0
+                if bits is not None:
+                    maybe = in_bits(hashes, bits.value)
                     text, first, hashes = text[maybe], first[maybe], hashes[maybe]
                 place = words[:-1][text] + first
                 filled = np.flatnonzero(slot)
@@ -145,22 +143,6 @@ def _windows(texts: DataFrame, width: int, bits=None) -> DataFrame:
     return texts.select("key", "text").mapInArrow(run, WINDOWS.format(texts.schema["key"].dataType.simpleString()))
 
 
-def _bits(items: DataFrame) -> bytes:
-    """One bit per remainder of the items' hashes: always ``FILTER_BITS`` bits."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS // 8, np.uint8)
-        for batch in batches:
-            bit = (batch.column("hash").to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
-            np.bitwise_or.at(bits, bit >> 3, (1 << (bit & 7)).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
-
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for (part,) in items.select("hash").distinct().repartition(4).mapInArrow(run, "bits binary").collect():
-        bits |= np.frombuffer(part, np.uint8)
-    return bits.tobytes()
-
-
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     width: int = WINDOW, least_run: int = LEAST_RUN,
@@ -183,7 +165,7 @@ def contaminated(
     items = benchmark.select(F.struct(F.col(item_col).alias("item")).alias("key"), F.col(item_text_col).cast("string").alias("text"))
     rows = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("t")).alias("key"), text.alias("text"))
     asked = stored(_windows(items, width), "items")
-    bits = spark.sparkContext.broadcast(_bits(asked))  # of fixed size
+    bits = spark.sparkContext.broadcast(hash_bits(asked.select("hash"), FILTER_BITS))  # of fixed size
     found = stored(_windows(rows, width, bits), "windows")
     pairs = (
         found.join(asked.select("hash", F.col("key.item").alias("item"), F.col("words").alias("item_words"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "hash")

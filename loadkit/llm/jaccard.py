@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import components, drop_stored, stored
+from loadkit.llm.common import components, drop_stored, hash_bits, in_bits, stored
 from loadkit.llm.textbytes import mix, shingles, slices
 
 SKETCH = 1 << 20
@@ -36,6 +36,7 @@ TILE_SHINGLES = 3 << 20
 TILE_CLASSES = 1024
 FANOUT = 8
 LONG_RUN = 256
+FILTER_BITS = 1 << 24
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -391,7 +392,9 @@ def similar_groups(
 
     Returns a row per input row: id, ``n_shingles``, ``component_id`` (the
     smallest id reachable by links, its own included), ``n_links`` (rows that
-    it links with directly, other copies of its text included).
+    it links with directly, other copies of its text included), ``is_first``
+    (it has that smallest id) and ``text_key`` (a hash of the text, to tell
+    rows with one id apart).
     Null ids are allowed; they are no component's smallest id unless no
     member has another. Repeated rows are rows of their own. An empty table gives no rows.
     Other columns are not read.
@@ -421,7 +424,7 @@ def similar_groups(
         F.count(F.lit(1)).alias("w"),
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("first"),
     )
-    member = clusters.join(classes, F.col("node") == F.col("c")).select("c", "root", "n", "w", "first.id", "first.t")
+    member = clusters.join(classes, F.col("node") == F.col("c")).select("c", "root", "n", "w", "first.t")
     member = stored(member, "jaccard_members")
     bucket = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
     total = member.groupBy("root").agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("all_c"))
@@ -447,39 +450,47 @@ def similar_groups(
         .join(shelves.select("root", "shelf", "cuts"), ["root", "shelf"], "left")
         .withColumn("tile", F.coalesce(F.col("shelf") * 1_000_000 + F.pmod(F.xxhash64("c"), F.col("cuts")), F.lit(0)).cast("int"))
         .join(sides, ["root", "tile"], "left")
-        .select("c", "root", "w", "id", "t", "tile", F.coalesce("ta", F.lit(0)).alias("ta"), F.coalesce("tb", F.lit(0)).alias("tb"))
-    )
-    wanted = member.select(F.col("id").alias("i"), F.col("t").alias("h"), "c")
-    sets = _sets(
-        rows.select("row.id", "row.t", "text").join(wanted, F.col("id").eqNullSafe(F.col("i")) & (F.col("t") == F.col("h"))).select("c", "text"), width
+        .select("c", "root", "w", "tile", F.coalesce("ta", F.lit(0)).alias("ta"), F.coalesce("tb", F.lit(0)).alias("tb"))
     )
+    # sent to every task: of fixed size; it only spares the shuffle sets that nothing asks for
+    bits = spark.sparkContext.broadcast(hash_bits(member.select("t"), FILTER_BITS))
+    sets = _sets(rows.select("row.t", "text"), width, bits)
     links = stored(_links(dealt.join(sets, "c"), percent), "jaccard_links")
 
     roots = components(links.select(F.col("c").alias("a"), F.col("other").alias("b")), "jaccard_components")
     counted = links.groupBy("c").agg(F.sum("links").alias("links"))
-    ids = classes.select("c", "w", "first.id")
-    smallest = roots.join(ids, F.col("node") == F.col("c")).groupBy("root").agg(F.min("id").alias("component"))
-    linked = roots.join(smallest, "root").select(F.col("node").alias("c"), "component")
+    firsts = classes.select("c", "w", "first")
+    smallest = roots.join(firsts, F.col("node") == F.col("c")).groupBy("root").agg(F.min("first").alias("group"))
+    linked = roots.join(smallest, "root").select(F.col("node").alias("c"), "group")
     result = stored(
-        ids.join(linked, "c", "left").join(counted, "c", "left").select(
-            "c", F.coalesce("component", "id").alias("component"), (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("links")
+        firsts.join(linked, "c", "left").join(counted, "c", "left").select(
+            "c", F.coalesce("group", "first").alias("group"), (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("links")
         ),
         "jaccard_classes",
     )
-    return known.join(result.withColumn("n", F.lit(1)).select(F.col("c"), "component", "links"), "c", "left").select(
+    any_words = F.col("n") > 0
+    return known.join(result, "c", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
-        F.when(F.col("n") > 0, F.col("links")).otherwise(F.lit(0)).alias("n_links"),
+        F.when(any_words, F.col("group.id")).otherwise(F.col("id")).alias("component_id"),
+        F.when(any_words, F.col("links")).otherwise(F.lit(0)).alias("n_links"),
+        F.when(any_words, F.col("id").eqNullSafe(F.col("group.id")) & (F.col("t") == F.col("group.t"))).otherwise(F.lit(True)).alias("is_first"),
+        F.col("t").alias("text_key"),
     )
 
 
-def _sets(texts: DataFrame, width: int) -> DataFrame:
+def _sets(texts: DataFrame, width: int, bits) -> DataFrame:
+    """(c, set): the sets of the texts whose hashes may be asked for, each class once in a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for start, end, data, offsets in slices(batch.column("text")):
+            batch = batch.filter(pa.array(in_bits(batch.column("t").to_numpy(), bits.value)))
+            for _, _, data, offsets in slices(batch.column("text")):
                 hashes, bounds = sets_of(data, offsets, width)
-                packed = [hashes[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("c").slice(start, end - start), pa.array(packed, pa.binary())], names=["c", "set"])
+                name = class_of(hashes, bounds).tolist()
+                new = [i for i, c in enumerate(name) if bounds[i + 1] > bounds[i] and not (c in seen or seen.add(c))]
+                packed = [hashes[bounds[i] : bounds[i + 1]].tobytes() for i in new]
+                yield pa.RecordBatch.from_arrays([pa.array([name[i] for i in new], pa.int64()), pa.array(packed, pa.binary())], names=["c", "set"])
 
     return texts.mapInArrow(run, "c long, set binary")

@@ -66,8 +66,8 @@ _ESCAPED = "replace(replace(replace({0}, '\\', '\\b'), '<', '\\l'), '|', '\\p')"
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], given.schema)
-    events = given.unionByName(extra).withColumns({"seq": F.col("turn"), "kind": F.lit("set")})
+    both = F.inline(F.array(*[F.struct(F.lit(-1).alias("conv_id"), F.lit(t).alias("turn"), F.lit(r).alias("role"), F.lit(control).alias("text")) for t, r in enumerate(("user", "assistant"))]))
+    events = given.unionByName(spark.range(1).select(both)).withColumns({"seq": F.col("turn"), "kind": F.lit("set")})
     rendered = chat.render(chat.reconstruct(events, "conv_id", "turn", "seq", "kind", "role", "text"))
     read = rendered.select(
         F.col("conv").alias("conv_id"),

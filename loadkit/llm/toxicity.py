@@ -74,9 +74,10 @@ class Lexicon:
 
 def weigh(machine: ahocorasick.Automaton, text: str) -> tuple[float, int]:
     """(weight of the matches, words): a word counts with its heaviest entry, once; not inside an exception phrase."""
-    folded = " " + " ".join(fold(text).split()) + " "
+    split = fold(text).split()
+    folded = " " + " ".join(split) + " "
     if not len(machine):
-        return 0.0, folded.count(" ") - 1
+        return 0.0, len(split)
     best: dict[int, float] = {}
     spared: list[tuple[int, int]] = []
     for end, (size, weight, spare) in machine.iter(folded):
@@ -88,7 +89,7 @@ def weigh(machine: ahocorasick.Automaton, text: str) -> tuple[float, int]:
     for a, b in spared:
         for start in [s for s in best if a <= s < b]:
             del best[start]
-    return sum(best.values()), folded.count(" ") - 1
+    return sum(best.values()), len(split)
 
 
 def _scores(weight: np.ndarray, words: np.ndarray, scale: tuple[float, float, float]) -> np.ndarray:
