@@ -12,6 +12,7 @@ import yaml
 
 # The texts that mean "true" in a configuration file.
 TRUE_TEXTS = ("True", "true", "Yes", "yes", "1")
+FALSE_TEXTS = ("false", "no", "0", "")
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 _QUOTED = re.compile(r"""^(['"]).*\1$""", re.DOTALL)
@@ -24,10 +25,13 @@ def text_to_bool(text: str) -> bool:
 
 
 def as_flag(value: bool | str | None) -> bool:
-    """A YAML flag, whether written as a boolean or as text."""
+    """A YAML flag, whether written as a boolean or as text, in any letters; text that is neither raises."""
     if value is None or isinstance(value, bool):
         return bool(value)
-    return text_to_bool(value)
+    text = str(value).strip().lower()
+    if text not in FALSE_TEXTS and text not in {t.lower() for t in TRUE_TEXTS}:
+        raise ValueError(f"{value!r} is neither true nor false")
+    return text not in FALSE_TEXTS
 
 
 def date_split(run_date: str) -> tuple[str, str, str]:
@@ -77,6 +81,7 @@ class LoadConfig:
     # source
     ingest_type: str = "csv"
     run_date: str | None = None
+    run_dates: list[str] | None = None
     source_location: str | None = None
     source_base_location: str = ""
     source_reference_location: str = ""
@@ -94,6 +99,8 @@ class LoadConfig:
     multi_line: bool | str = False
     corrupt_record_column: str | None = None
     corrupt_record_action: str = "ERROR"
+    unparsed: str = "fail"
+    path_column: str | None = None
     # shape
     columns: list[str] | None = None
     where_clause: str | None = None
@@ -102,7 +109,7 @@ class LoadConfig:
     custom_transformations: list = field(default_factory=list)
     audit_columns_to_be_added: list[dict] = field(default_factory=list)
     table_columns_to_be_added: list[dict] = field(default_factory=list)
-    validations: list[dict] = field(default_factory=list)
+    validations: list = field(default_factory=list)
     # target
     target_catalog: str = "spark_catalog"
     target_schema: str = "default"

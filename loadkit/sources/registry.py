@@ -15,8 +15,9 @@ from loadkit.sources.dated import DatedLayout, read_dated
 def _located(cfg: LoadConfig, reader: Callable[[list[str]], DataFrame]) -> DataFrame:
     if cfg.source_location:
         return reader([cfg.source_location])
-    cfg.require("run_date")
-    return read_dated(reader, DatedLayout.from_config(cfg), cfg.run_date)
+    if not cfg.run_dates:
+        cfg.require("run_date")
+    return read_dated(reader, DatedLayout.from_config(cfg), cfg.run_dates or cfg.run_date, cfg.path_column)
 
 
 def _schema(cfg: LoadConfig):
@@ -34,6 +35,7 @@ def _csv(spark: SparkSession, cfg: LoadConfig) -> DataFrame:
             quote=cfg.quote,
             multi_line=as_flag(cfg.multi_line),
             corrupt_column=cfg.corrupt_record_column,
+            unparsed=cfg.unparsed,
         )
 
     return _located(cfg, read)
@@ -48,7 +50,12 @@ def _parquet(spark: SparkSession, cfg: LoadConfig) -> DataFrame:
 
 
 def _json(spark: SparkSession, cfg: LoadConfig) -> DataFrame:
-    return _located(cfg, lambda paths: files.read_json(spark, paths, _schema(cfg), as_flag(cfg.multi_line)))
+    def read(paths: list[str]) -> DataFrame:
+        return files.read_json(
+            spark, paths, _schema(cfg), as_flag(cfg.multi_line), cfg.corrupt_record_column, cfg.unparsed
+        )
+
+    return _located(cfg, read)
 
 
 def _table(spark: SparkSession, cfg: LoadConfig) -> DataFrame:

@@ -158,3 +158,64 @@ def test_sql_on_frame(spark):
     df = spark.range(4)
     assert rows(sql.sql_on(df, "SELECT SUM(id) FROM {source_data}")) == [(6,)]
     assert not spark.catalog.listTables() or all("source_data" not in t.name for t in spark.catalog.listTables())
+
+
+def test_headers_of_every_file_are_checked(spark, tmp_path):
+    folder = tmp_path / "mixed.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,v\n1,10\n")
+    schema = schema_from_config({"id": {"data_type": "int"}, "v": {"data_type": "int"}})
+    assert files.read_delimited(spark, str(folder), schema, corrupt_column="raw").count() == 1
+    for header in ("v,id", "id", "id,v,w", '"v",id'):
+        (folder / "b.csv").write_text(f"{header}\n2,20\n")
+        for corrupt in (None, "raw"):
+            with pytest.raises(Exception, match="(?i)header|number of columns"):
+                files.read_delimited(spark, str(folder), schema, corrupt_column=corrupt).collect()
+    (folder / "b.csv").write_text('"id",v\n2,x\n3,30\n4\n5,50,500\n')
+    got = files.read_delimited(spark, str(folder), schema, corrupt_column="raw").cache()
+    assert {r.raw for r in got.collect()} == {None, "2,x", "4", "5,50,500"}
+    assert {(r.id, r.v) for r in got.where("raw is null").collect()} == {(1, 10), (3, 30)}
+
+
+def test_values_that_do_not_parse(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("id\noops\n")
+    schema = schema_from_config({"id": {"data_type": "int"}})
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_delimited(spark, str(path), schema).collect()
+    assert [tuple(r) for r in files.read_delimited(spark, str(path), schema, unparsed="null").collect()] == [(None,)]
+    with pytest.raises(ValueError, match="unparsed"):
+        files.read_delimited(spark, str(path), schema, unparsed="skip")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT 1 AS a; -- done",
+        "-- first\nSELECT 1 AS a /* ; */ ;",
+        "VALUES (1), (2)",
+        "WITH x AS (SELECT 1 AS a) SELECT a FROM x ORDER BY a LIMIT 1;",
+        "(SELECT 1) UNION (SELECT 2)",
+        "SELECT a, count(*) FROM VALUES (1) t(a) GROUP BY a HAVING count(*) > 0",
+        "FROM VALUES (1) t(a) SELECT a",
+    ],
+)
+def test_guard_takes_queries(spark, text):
+    assert sql.statement_class(spark, text) == "SELECT"
+
+
+@pytest.mark.parametrize(
+    "text", ["INSERT OVERWRITE DIRECTORY '/tmp/nowhere' USING csv SELECT 1", "SET a = 1", "DROP TABLE x", "SHOW TABLES", "SELECT 1; SELECT 2"]
+)
+def test_guard_refuses(spark, text):
+    with pytest.raises(ValueError, match="Disallowed|parse|supported"):
+        sql.statement_class(spark, text)
+
+
+def test_a_folder_of_sql_files_is_not_one_statement(spark, tmp_path):
+    folder = tmp_path / "many.sql"
+    folder.mkdir()
+    for name in "ab":
+        (folder / f"{name}.sql").write_text("SELECT 1")
+    with pytest.raises(ValueError, match="one SQL file"):
+        sql.read_sql_file(spark, str(folder))
