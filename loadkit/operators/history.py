@@ -22,9 +22,6 @@ from loadkit.functions.columns import add_current_timestamp, differs
 from loadkit.operators.keyed import join_per_key
 from loadkit.operators.shape import first_per_key
 
-# Units a key's timestamps can be cut into.
-PIECES = ("day", "hour", "minute")
-
 
 def _within_dates_of(source: DataFrame, target: DataFrame, date_col: str) -> DataFrame:
     """Target rows from the span of the source's dates.
@@ -43,17 +40,16 @@ def not_in_target(source: DataFrame, target: DataFrame, keys: list[str], date_co
     return join_per_key(source, known, on, "left_anti")
 
 
-def of_keys(target: DataFrame, source: DataFrame, keys: list[str], at_most: int) -> DataFrame:
-    """Target rows of the source's keys if those are ``at_most`` so many, else the whole target.
+def _of_batch(source: DataFrame, target: DataFrame, keys: list[str], date_col: str) -> DataFrame:
+    """Target rows that can matter to a batch: of its keys, and not after its last date.
 
-    For a small batch against a long history: the counted keys are broadcast,
-    and other keys leave at the scan, before any sort or shuffle. Not for
-    ``changed_with_expiry``, which looks for the keys a batch lacks.
+    The date reaches the scan while the query runs. How the keys do is left to
+    Spark: a small batch's are broadcast, and rows of others leave before any
+    shuffle.
     """
+    last = source.agg(F.max(date_col)).scalar()
     wanted = source.select(*keys).distinct()
-    if wanted.count() > at_most:
-        return target
-    return target.join(F.broadcast(wanted), keys, "left_semi")
+    return join_per_key(target.where(F.col(date_col) <= last), wanted, keys, "left_semi")
 
 
 def last_known(history: DataFrame, keys: list[str], date_col: str) -> DataFrame:
@@ -68,7 +64,7 @@ def last_known(history: DataFrame, keys: list[str], date_col: str) -> DataFrame:
 
 def first_seen(source: DataFrame, target: DataFrame, keys: list[str], date_col: str) -> DataFrame:
     """Source rows whose key has no earlier row in the target."""
-    begun = target.groupBy(*keys).agg(F.min(date_col).alias("_begun"))
+    begun = _of_batch(source, target, keys, date_col).groupBy(*keys).agg(F.min(date_col).alias("_begun"))
     joined = join_per_key(source, begun, keys, "left")
     earlier = F.coalesce(F.col("_begun") < F.col(date_col), F.lit(False))
     return joined.where(~earlier).select(*source.columns)
@@ -87,21 +83,26 @@ def _with_neighbours(points: DataFrame, line: list[str], date_col: str) -> DataF
     return seen.withColumn("_same", F.when(F.col("_next")[date_col] == F.col(date_col), F.col("_next"))).drop("_next")
 
 
-def _piece(moment: Column, kind: DataType, unit: str) -> Column:
-    """The day, hour or minute of a timestamp, in the order of time.
+def _clock(moment: Column, kind: DataType) -> list[Column]:
+    """Day and second of the day of a timestamp, in the order of time.
 
     A timestamp without time zone is taken apart by its own clock; truncating
     it would go through the session's zone, where clock changes reorder it.
     """
-    if unit not in PIECES:
-        raise ValueError(f"piece must be one of {list(PIECES)}, got {unit!r}")
     if isinstance(kind, TimestampType):
-        return F.date_trunc(unit, moment)
-    parts = [moment.cast("date").alias("day"), F.hour(moment).alias("hour"), F.minute(moment).alias("minute")]
-    return F.struct(*parts[: PIECES.index(unit) + 1])
+        seconds = F.unix_timestamp(moment)
+        return [F.floor(seconds / 86400).alias("_day"), F.pmod(seconds, F.lit(86400)).alias("_second")]
+    second = F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    return [F.unix_date(moment.cast("date")).cast("bigint").alias("_day"), second.cast("bigint").alias("_second")]
+
+
+def _carried(closing: DataFrame, within: list[str], by: str, name: str) -> DataFrame:
+    """Add the last target row of the earlier pieces of ``within``."""
+    before = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    return closing.withColumn(name, F.last("_row", ignorenulls=True).over(before))
 
 
-def _answered(points: DataFrame, keys: list[str], date_col: str, piece: str) -> DataFrame:
+def _answered(points: DataFrame, keys: list[str], date_col: str) -> DataFrame:
     """Neighbours of each question. Questions and target rows are each unique per key and date."""
     kind = points.schema[date_col].dataType
     if isinstance(kind, DateType):
@@ -109,25 +110,29 @@ def _answered(points: DataFrame, keys: list[str], date_col: str, piece: str) ->
         return _with_neighbours(points, keys, date_col)
     if not isinstance(kind, (TimestampType, TimestampNTZType)):
         raise ValueError(f"{date_col!r} must be a date or a timestamp, not {kind.simpleString()}")
-    # Timestamps put no bound on a key's line. Cut it into pieces, carry the last target row of the pieces before
-    # into each as its opening point, and look back within the piece only.
-    pieces = points.withColumn("_piece", _piece(F.col(date_col), kind, piece))
-    closing = pieces.groupBy(*keys, "_piece").agg(F.max("_row").alias("_row"), F.max("_asked").alias("_any_asked"))
-    pieces_before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    opening = closing.select(
+    # Timestamps put no bound on a key's line. Cut it into seconds, carry the last target row of the earlier ones into
+    # each as its opening point, and look back within the second only. The carrying goes by days, and by the seconds
+    # of a day, so that each of its lines is bounded by the calendar too.
+    pieces = points.select("*", *_clock(F.col(date_col), kind))
+    piece = [*keys, "_day", "_second"]
+    seconds = pieces.groupBy(*piece).agg(F.max("_row").alias("_row"), F.max("_asked").alias("_any_asked"))
+    days = seconds.groupBy(*keys, "_day").agg(F.max("_row").alias("_row"))
+    yesterday = _carried(days, keys, "_day", "_before_day").drop("_row")
+    opening = join_per_key(_carried(seconds, [*keys, "_day"], "_second", "_in_day"), yesterday, [*keys, "_day"], "left")
+    opening = opening.where("_any_asked").select(
         *keys,
         F.lit(None).cast(kind).alias(date_col),
-        F.last("_row", ignorenulls=True).over(pieces_before).alias("_row"),
+        F.coalesce("_in_day", "_before_day").alias("_row"),
         F.lit(False).alias("_asked"),
-        "_piece",
-        "_any_asked",
+        "_day",
+        "_second",
     )
-    opening = opening.where(F.col("_any_asked") & F.col("_row").isNotNull()).drop("_any_asked")
-    return _with_neighbours(pieces.unionByName(opening), [*keys, "_piece"], date_col).drop("_piece")
+    opening = opening.where(F.col("_row").isNotNull())
+    return _with_neighbours(pieces.unionByName(opening), piece, date_col).drop("_day", "_second")
 
 
 def _looked_up(
-    source: DataFrame, target: DataFrame, keys: list[str], date_col: str, value_cols: list[str], piece: str
+    source: DataFrame, target: DataFrame, keys: list[str], date_col: str, value_cols: list[str]
 ) -> DataFrame:
     """Source rows with ``_same``, the target row of the same date, and ``_prev``, the latest before it.
 
@@ -136,12 +141,13 @@ def _looked_up(
     """
     on = [*keys, date_col]
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
-    kept = target.where(known).groupBy(*on).agg(F.max(F.struct(date_col, *value_cols)).alias("_row"))
+    near = _of_batch(source, target.where(known), keys, date_col)
+    kept = near.groupBy(*on).agg(F.max(F.struct(date_col, *value_cols)).alias("_row"))
     asked = source.where(known).select(*on).distinct()
     points = kept.withColumn("_asked", F.lit(False)).unionByName(
         asked.withColumns({"_row": F.lit(None).cast(kept.schema["_row"].dataType), "_asked": F.lit(True)})
     )
-    answers = _answered(points, keys, date_col, piece).where("_asked").drop("_asked", "_row")
+    answers = _answered(points, keys, date_col).where("_asked").drop("_asked", "_row")
     return join_per_key(source, answers, on, "left").select(*source.columns, "_same", "_prev")
 
 
@@ -151,14 +157,13 @@ def asof_previous(
     keys: list[str],
     date_col: str,
     value_cols: list[str],
-    piece: str = "hour",
 ) -> DataFrame:
     """Add ``prev_*``: date and values of the latest target row of the key strictly before each source row.
 
-    Where ``date_col`` is a timestamp, a key's history is cut into pieces, each
-    a day, an hour or a minute; a busier hot key wants shorter ones.
+    Where ``date_col`` is a timestamp, a key's history is cut into seconds, so
+    that no task has to hold a busy key's line.
     """
-    joined = _looked_up(source, target, keys, date_col, value_cols, piece)
+    joined = _looked_up(source, target, keys, date_col, value_cols)
     return joined.select(
         *source.columns, *[F.col("_prev")[c].alias(f"prev_{c}") for c in (date_col, *value_cols)]
     )
@@ -168,7 +173,9 @@ def join_last_known(
     source: DataFrame, target: DataFrame, keys: list[str], date_col: str, value_cols: list[str]
 ) -> DataFrame:
     """Add ``last_*``: date and values of the key's newest target row, where that is older than the source row."""
-    packed = last_known(target.select(*keys, date_col, *value_cols), keys, date_col).select(
+    wanted = source.select(*keys).distinct()
+    near = join_per_key(target.select(*keys, date_col, *value_cols), wanted, keys, "left_semi")
+    packed = last_known(near, keys, date_col).select(
         *keys, F.struct(date_col, *value_cols).alias("_last")
     )
     joined = join_per_key(source, packed, keys, "left")
@@ -188,10 +195,13 @@ def expired_keys(
 ) -> DataFrame:
     """Closing rows for open target keys that a full load on ``load_date`` no longer has.
 
-    They repeat the key's newest row, dated ``load_date`` and valid till the day before.
+    They repeat the key's newest row, dated ``load_date`` and valid till the day
+    before. A row opened on that day or later stays open: the load is older
+    than it and knows nothing of it.
     """
     day = F.lit(load_date).cast("date")
-    still_open = last_known(target, keys, date_col).where(F.col(valid_till).isNull())
+    newest = last_known(target, keys, date_col)
+    still_open = newest.where(F.col(valid_till).isNull() & (F.col(date_col) < day))
     gone = still_open.join(source.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
     return gone.withColumns({date_col: day.cast(target.schema[date_col].dataType), valid_till: F.date_sub(day, 1)})
 
@@ -207,15 +217,13 @@ def changed_asof(
     date_col: str,
     value_cols: list[str],
     inserted_col: str | None = "inserted_time",
-    piece: str = "hour",
 ) -> DataFrame:
     """Rows to append so that late arrivals still fit.
 
     A source row is kept if the target has no row of its key and date, and its
     values differ from the latest target row before that date, or there is none.
-    ``piece`` is as in ``asof_previous``.
     """
-    joined = _looked_up(source, target, keys, date_col, value_cols, piece)
+    joined = _looked_up(source, target, keys, date_col, value_cols)
     prev = F.col("_prev")
     changed = prev.isNull() | differs([F.col(c) for c in value_cols], [prev[c] for c in value_cols])
     return _stamped(joined.where(F.col("_same").isNull() & changed).select(*source.columns), inserted_col)

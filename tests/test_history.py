@@ -17,24 +17,36 @@ def day(n):
     return date(2025, 1, 1) + timedelta(n - 1)
 
 
-def test_late_arrival(spark):
-    target = spark.createDataFrame(
-        [(day(1), "123", "A"), (day(2), "123", "B"), (day(4), "123", "C")], "business_date date, id string, value string"
+def test_late_rows_are_judged_by_the_row_before_them(spark):
+    schema = "tank string, business_date date, level int"
+    target = spark.createDataFrame([("north", day(3), 40), ("north", day(8), 55), ("south", day(5), 40)], schema)
+    batch = spark.createDataFrame(
+        [
+            ("north", day(1), 40),  # before all: new
+            ("north", day(5), 40),  # as on the third: no change
+            ("north", day(6), 55),  # a change, though the eighth says the same
+            ("north", day(8), 99),  # a day the history has
+            ("south", day(4), 40),
+            ("east", day(4), 40),
+        ],
+        schema,
     )
-    late = spark.createDataFrame([(day(3), "123", "A")], target.schema)
-    new = H.changed_asof(late, target, KEYS, "business_date", ["value"])
-    assert new.columns == ["business_date", "id", "value", "inserted_time"]
-    assert rows(new.drop("inserted_time")) == [(day(3), "123", "A")]
-    same = spark.createDataFrame([(day(3), "123", "B"), (day(4), "123", "X")], target.schema)
-    assert rows(H.changed_asof(same, target, KEYS, "business_date", ["value"])) == []
-
-
-def test_composite_change(spark):
-    schema = "business_date date, id string, sub_id string, value1 string, value2 int"
-    target = spark.createDataFrame([(day(1), "1", "x", "A", 10), (day(2), "1", "x", "B", 10)], schema)
-    source = spark.createDataFrame([(day(3), "1", "x", "B", 10), (day(4), "1", "x", "C", 15)], schema)
-    new = H.changed_vs_last_known(source, target, ["id", "sub_id"], "business_date", ["value1", "value2"], None)
-    assert rows(new) == [(day(4), "1", "x", "C", 15)]
+    new = H.changed_asof(batch, target, ["tank"], "business_date", ["level"])
+    assert new.columns == ["tank", "business_date", "level", "inserted_time"]
+    assert rows(new.select("tank", "business_date")) == [
+        ("east", day(4)), ("north", day(1)), ("north", day(6)), ("south", day(4)),
+    ]
+
+
+def test_change_in_one_of_several_values(spark):
+    schema = "site int, meter int, business_date date, unit string, reading double"
+    target = spark.createDataFrame([(1, 1, day(9), "kWh", 2.5), (1, 2, day(9), None, 2.5)], schema)
+    batch = spark.createDataFrame(
+        [(1, 1, day(12), "kWh", 2.5), (1, 2, day(12), None, 2.5), (2, 1, day(12), "kWh", 2.5), (1, 1, day(13), "MWh", 2.5), (1, 2, day(13), None, None)],
+        schema,
+    )
+    new = H.changed_vs_last_known(batch, target, ["site", "meter"], "business_date", ["unit", "reading"], None)
+    assert rows(new) == [(1, 1, day(13), "MWh", 2.5), (1, 2, day(13), None, None), (2, 1, day(12), "kWh", 2.5)]
 
 
 @pytest.fixture(scope="module")
@@ -135,7 +147,7 @@ def test_brute_force(spark, conf, kind, seed):
     def listed(values):
         return sorted(values, key=str)
 
-    prev = H.asof_previous(s, t, KEYS, "at", ["v"], piece=["minute", "hour", "day"][seed - 1])
+    prev = H.asof_previous(s, t, KEYS, "at", ["v"])
     assert listed(tuple(r) for r in prev.collect()) == listed(
         (k, w, v, p and p[1], p and p[2]) for k, w, v, _, p in expected
     )
@@ -170,14 +182,33 @@ def test_rows_without_a_date_are_new(spark):
     assert rows(H.changed_vs_last_known(source, target, KEYS, "at", ["v"], None)) == undated
 
 
-def test_small_batch_reads_its_own_keys(frames):
+def test_load_older_than_an_open_row_closes_nothing(spark):
+    schema = "id int, business_date date, v string, valid_till date"
+    target = spark.createDataFrame([(1, day(10), "a", None), (2, day(3), "b", None)], schema)
+    source = spark.createDataFrame([(3, day(5), "c")], "id int, business_date date, v string")
+    args = (KEYS, "business_date", ["v"], "2025-01-05", "valid_till", None)
+    new = H.changed_with_expiry(source, target, *args)
+    assert rows(new) == [(2, day(5), "b", day(4)), (3, day(5), "c", None)]
+    assert H.changed_with_expiry(source, target.unionByName(new), *args).isEmpty()
+
+
+@pytest.mark.parametrize("operator", [H.changed_asof, H.asof_previous, H.changed_vs_last_known, H.join_last_known])
+def test_small_batch_reads_its_own_keys_and_dates(spark, tmp_path, frames, operator):
+    """Other keys leave the history at its scan, before any shuffle; so do dates after the batch where they don't matter."""
     source, target = frames
-    batch = source.where("id < 20")
-    pruned = H.of_keys(target, batch, KEYS, 100)
-    assert 0 < pruned.count() < target.count() / 10
-    args = (KEYS, "business_date", ["value1"], None)
-    assert rows(H.changed_asof(batch, pruned, *args)) == rows(H.changed_asof(batch, target, *args))
-    assert H.of_keys(target, batch, KEYS, 5) is target
+    path = str(tmp_path / "history")
+    target.write.parquet(path)
+    history = spark.read.parquet(path)
+    batch = source.where("id < 20 and business_date < '1995-01-01'").select("id", "business_date", "value1")
+    batch = spark.createDataFrame(batch.collect(), batch.schema)
+    found = operator(batch, history, KEYS, "business_date", ["value1"])
+    expected = operator(batch, target, KEYS, "business_date", ["value1"])
+    assert rows(found.drop("inserted_time")) == rows(expected.drop("inserted_time"))
+    text = plan(found)
+    scan = text.index("value1")
+    assert "LeftSemi" in text and text.index("LeftSemi") < len(text) and scan >= 0
+    if operator in (H.changed_asof, H.asof_previous):
+        assert "LessThanOrEqual(business_date" in text or "business_date#" in text and "<= Subquery" in text.replace("scalar-subquery", "Subquery").replace("ReusedSubquery ", "")
 
 
 def test_anti_join_reads_the_span_of_the_batch(spark, tmp_path, frames):
@@ -195,6 +226,17 @@ def test_anti_join_reads_the_span_of_the_batch(spark, tmp_path, frames):
     assert H.not_in_target(batch.limit(0), history, KEYS, "business_date").isEmpty()
 
 
+def test_busy_hour_of_a_hot_key_is_spread(spark, conf):
+    """Sixty thousand events of one key within an hour: no task has more than a small part of them."""
+    conf(spark__sql__shuffle__partitions="16", spark__sql__adaptive__coalescePartitions__enabled="false")
+    n = 60_000
+    events = spark.range(0, n, 1, 8).selectExpr("1 AS id", "timestamp_millis(1700000000000 + id * 60) AS at", "CAST(id AS string) AS v")
+    found = H.asof_previous(events, events, KEYS, "at", ["v"])
+    windows = found.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert sum(r["count"] for r in windows) == n and max(r["count"] for r in windows) < n / 4
+    assert found.where("int(v) != int(prev_v) + 1").count() == 0 and found.where("prev_v is null").count() == 1
+
+
 def test_dates_only(spark):
     df = spark.createDataFrame([(1, 20250101, "a")], "id int, at int, v string")
     with pytest.raises(ValueError, match="date or a timestamp"):

@@ -30,10 +30,11 @@ def shuffles(df):
         (lambda s, t: dedup_latest(s, KEYS, [{"column": DATE, "direction": "desc"}]), 1),
         # Source rows once; the target's keys by key and date, and once more for the join.
         (lambda s, t: H.not_in_target(s, t, KEYS, DATE), 3),
-        (lambda s, t: H.join_last_known(s, t, KEYS, DATE, VALUES), 3),
-        # Target and questions by key and date, their line by key, then answers and source rows for the join.
-        (lambda s, t: H.changed_asof(s, t, KEYS, DATE, VALUES), 5),
-        (lambda s, t: H.changed_vs_last_known(s, t, KEYS, DATE, VALUES), 6),
+        # The batch's keys and the target meet first (three, none where the batch is small enough to be sent to all).
+        (lambda s, t: H.join_last_known(s, t, KEYS, DATE, VALUES), 6),
+        # Then target and questions by key and date, their line by key, then answers and source rows for the join.
+        (lambda s, t: H.changed_asof(s, t, KEYS, DATE, VALUES), 8),
+        (lambda s, t: H.changed_vs_last_known(s, t, KEYS, DATE, VALUES), 12),
         # Closing rows: newest rows and batch keys are laid out alike, so their join adds none.
         (lambda s, t: H.expired_keys(s, t.selectExpr("*", "DATE(null) AS valid_till"), KEYS, DATE, "2010-01-01"), 2),
         (lambda s, t: L.current_state(s.selectExpr("id AS run_id", "at AS _created", "at AS _modified", "v")), 1),
