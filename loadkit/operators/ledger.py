@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.functions.columns import row_hash
 from loadkit.operators.history import asof_previous
 from loadkit.operators.keyed import join_per_key
 from loadkit.operators.shape import first_per_key
@@ -37,10 +36,15 @@ RUN_SCHEMA = (
 )
 
 
+def _job_text() -> Column:
+    """The four settings as one text: no two jobs share it, and null is a setting like any other."""
+    return F.to_json(F.array(*[F.col(name).cast("string") for name in JOB_KEY]))
+
+
 def find_jobs(jobs: DataFrame, requests: DataFrame) -> DataFrame:
     """Requests with ``matches`` and, where exactly one job matches, its ``job_id``."""
-    found = jobs.groupBy(*JOB_KEY).agg(F.count("*").alias("matches"), F.min("job_id").alias("job_id"))
-    joined = join_per_key(requests, found, JOB_KEY, "left")
+    found = jobs.groupBy(_job_text().alias("_job")).agg(F.count("*").alias("matches"), F.min("job_id").alias("job_id"))
+    joined = join_per_key(requests.withColumn("_job", _job_text()), found, ["_job"], "left")
     return joined.select(
         *requests.columns,
         F.coalesce("matches", F.lit(0)).alias("matches"),
@@ -51,7 +55,7 @@ def find_jobs(jobs: DataFrame, requests: DataFrame) -> DataFrame:
 def find_job(jobs: DataFrame, source_system: str, source: str, source_type: str, load_type: str) -> str:
     """The id of the one job with these four settings."""
     wanted = dict(zip(JOB_KEY, (source_system, source, source_type, load_type)))
-    same = [F.col(name) == value for name, value in wanted.items()]
+    same = [F.col(name).eqNullSafe(F.lit(value)) for name, value in wanted.items()]
     rows = jobs.where(same[0] & same[1] & same[2] & same[3]).select("job_id").take(2)
     if len(rows) != 1:
         raise ValueError(f"{'no' if not rows else 'more than one'} job for {wanted}")
@@ -60,11 +64,12 @@ def find_job(jobs: DataFrame, source_system: str, source: str, source_type: str,
 
 def register_jobs(jobs: DataFrame, requests: DataFrame) -> DataFrame:
     """One new job row for each requested job that is not known; the id follows from its four settings."""
-    unknown = join_per_key(requests, jobs.select(*JOB_KEY).distinct(), JOB_KEY, "left_anti")
+    known = jobs.select(_job_text().alias("_job")).distinct()
+    unknown = join_per_key(requests.withColumn("_job", _job_text()), known, ["_job"], "left_anti")
     rest = [c for c in requests.columns if c not in JOB_KEY]
-    picked = unknown.groupBy(*JOB_KEY).agg(*[F.max(c).alias(c) for c in rest]) if rest else unknown.distinct()
+    picked = unknown.groupBy("_job", *JOB_KEY).agg(F.count("*").alias("_n"), *[F.max(c).alias(c) for c in rest])
     return picked.select(
-        row_hash(JOB_KEY, null_token="").alias("job_id"),
+        F.sha2("_job", 256).alias("job_id"),
         F.current_timestamp().alias("_created"),
         F.current_timestamp().alias("_modified"),
         *requests.columns,
@@ -161,8 +166,9 @@ def duplicate_start(runs: DataFrame, current: DataFrame, wait_seconds: int, repl
 
 
 def validation_log(summary: DataFrame, run_id: str | Column, started: datetime, ended: datetime) -> DataFrame:
-    """One ledger row per failed rule and column."""
+    """One ledger row per failed rule and column; no count of rows for a rule that needs no data."""
     status = F.when(F.col("action") == ERROR, VALIDATION_ERROR).otherwise(VALIDATION_WARNING)
+    # The columns of the validation log.
     return summary.select(
         (run_id if isinstance(run_id, Column) else F.lit(run_id)).alias("run_id"),
         F.current_timestamp().alias("_created"),

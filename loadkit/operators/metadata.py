@@ -7,7 +7,7 @@ comments and, from Oracle, column_id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadkit.operators.keyed import join_per_key
@@ -62,12 +62,10 @@ SYSTEMS = {"oracle": ORACLE_TYPES, "sqlserver": SQL_SERVER_TYPES}
 # Fixed value: types that become BIGINT when the source gives no precision.
 BIGINT_WITHOUT_PRECISION = ("NUMBER", "NUMERIC")
 
-# Fixed value: the most columns a table of the supported systems can have (SQL Server wide tables).
-MAX_TABLE_COLUMNS = 30_000
-
 
 def _named(column: str, names: list[str] | None) -> Column:
-    return F.lit(True) if names is None else F.col(column).isin([n.upper() for n in names])
+    """Names in any letters, as catalogs differ in theirs."""
+    return F.lit(True) if names is None else F.upper(column).isin([n.upper() for n in names])
 
 
 def column_metadata_oracle(
@@ -78,6 +76,7 @@ def column_metadata_oracle(
     key = ["owner", "table_name", "column_name"]
     return (
         join_per_key(wanted, comments.select(*key, "comments"), key, "left")
+        # The columns of source metadata, here and below.
         .select(
             "table_name",
             "column_name",
@@ -145,28 +144,17 @@ def _yes(column: str) -> Column:
     return F.upper(column).isin("Y", "YES", "TRUE")
 
 
-def _require_bounded(meta: DataFrame) -> None:
-    """Raise if a table has more columns than any source table can have."""
-    large = meta.groupBy("table_name").count().where(F.col("count") > MAX_TABLE_COLUMNS).first()
-    if large:
-        raise ValueError(f"table {large['table_name']} has {large['count']} columns, at most {MAX_TABLE_COLUMNS} can be")
-
-
 def columns_by_table(meta: DataFrame) -> DataFrame:
-    """One row per table with its columns, as an array in column order.
-
-    A column list is bounded by what source systems allow; that is checked, by
-    a count, before any list is built.
-    """
-    _require_bounded(meta)
-    column = F.struct(
-        "column_id",
+    """The columns of each table with their position from 1, one row per column."""
+    order = Window.partitionBy("table_name").orderBy("column_id", "column_name")
+    return meta.select(
+        "table_name",
+        F.row_number().over(order).alias("position"),
         "column_name",
         "data_type",
         _yes("nullable").alias("nullable"),
         _yes("identity_column").alias("identity_column"),
     )
-    return meta.groupBy("table_name").agg(F.sort_array(F.collect_list(column)).alias("columns"))
 
 
 def load_rules_from_metadata(meta: DataFrame) -> DataFrame:
@@ -185,13 +173,14 @@ def load_rules_from_metadata(meta: DataFrame) -> DataFrame:
             F.when(_yes("identity_column"), setting("hash_of", None)),
         )
     )
-    per_column = meta.select("table_name", "column_name", F.explode(wanted).alias("s")).select(
-        "table_name", "s.setting", "column_name", "s.action"
+    per_column = meta.select("table_name", "column_name", "column_id", F.explode(wanted).alias("s")).select(
+        "table_name", "s.setting", "column_name", "column_id", "s.action"
     )
     per_table = meta.select("table_name").distinct().select(
         "table_name",
         F.lit("schema_check").alias("setting"),
         F.lit(None).cast("string").alias("column_name"),
+        F.lit(None).cast(meta.schema["column_id"].dataType).alias("column_id"),
         F.lit("ERROR").alias("action"),
     )
     return per_table.unionByName(per_column)
@@ -199,8 +188,8 @@ def load_rules_from_metadata(meta: DataFrame) -> DataFrame:
 
 def table_settings(rules: DataFrame, table: str, hash_column: str = "hash_key") -> dict[str, list[dict]]:
     """Settings for one table's load, from the rows of ``load_rules_from_metadata``."""
-    rows = rules.where(F.col("table_name") == table).take(2 * MAX_TABLE_COLUMNS + 2)
-    by_setting = {s: sorted(r["column_name"] for r in rows if r["setting"] == s) for s in ("null_check", "hash_of")}
+    rows = rules.where(F.col("table_name") == table).orderBy("column_id", "column_name").collect()  # one table's columns
+    by_setting = {s: [r["column_name"] for r in rows if r["setting"] == s] for s in ("null_check", "hash_of")}
     validations: list[dict] = [{"name": "schema_check", "action_on_unexpected": "ERROR"}]
     if by_setting["null_check"]:
         validations.append(
@@ -214,10 +203,16 @@ def table_settings(rules: DataFrame, table: str, hash_column: str = "hash_key")
 
 
 def conform_to_metadata(df: DataFrame, meta: DataFrame, system: str, on_error: str = "raise") -> DataFrame:
-    """Project and cast a raw table to the types its metadata maps to. ``meta`` describes that one table."""
-    rows = map_source_types(meta, system).select("column_name", "target_type", "type_error").take(MAX_TABLE_COLUMNS + 1)
-    if len(rows) > MAX_TABLE_COLUMNS:
-        raise ValueError(f"metadata of one table has more than {MAX_TABLE_COLUMNS} rows")
+    """Project and cast a raw table to the types its metadata maps to, in the order of ``column_id``.
+
+    ``meta`` describes that one table. Without ``column_id`` columns keep the table's order.
+    """
+    mapped = map_source_types(meta, system)
+    ordered = mapped.orderBy("column_id", "column_name") if "column_id" in meta.columns else mapped
+    rows = ordered.select("column_name", "target_type", "type_error").collect()  # one table's columns
+    if "column_id" not in meta.columns:
+        place = {c.lower(): i for i, c in enumerate(df.columns)}
+        rows.sort(key=lambda r: place.get(r["column_name"].lower(), len(place)))
     errors = [f"{r['column_name']}: {r['type_error']}" for r in rows if r["type_error"]]
     if errors:
         raise ValueError("; ".join(errors))

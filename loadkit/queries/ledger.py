@@ -140,7 +140,7 @@ def ledger_find_job(spark, sf):
 
 
 @query(JOBS_CTE + """SELECT DISTINCT source, 'crm' AS source_system, 'table' AS source_type, 'full' AS load_type,
-  sha256('crm_' || source || '_table_full') AS job_id FROM requests WHERE source NOT IN (SELECT source FROM jobs)""")
+  sha256('["crm","' || source || '","table","full"]') AS job_id FROM requests WHERE source NOT IN (SELECT source FROM jobs)""")
 def ledger_register_jobs(spark, sf):
     return L.register_jobs(jobs(spark, sf), requests(spark, sf)).drop("_created", "_modified")
 

@@ -64,7 +64,7 @@ def _text_sql(*cols: str) -> str:
 @query(META_CTE + f"""SELECT table_name, column_name, data_type, {_text_sql('data_precision', 'data_scale', 'comments')},
   nullable, identity_column, column_id
 FROM meta LEFT JOIN (SELECT 'C_' || CAST(s_suppkey AS VARCHAR) AS column_name, s_name AS comments FROM supplier) c
-  USING (column_name)""")
+  USING (column_name) WHERE table_name <> 'T_1'""")
 def column_metadata_oracle(spark, sf):
     columns = _columns(spark, sf, ORACLE).withColumn("owner", F.lit("SALES"))
     comments = table(spark, sf, "supplier").select(
@@ -73,7 +73,8 @@ def column_metadata_oracle(spark, sf):
         F.concat(F.lit("C_"), "s_suppkey").alias("column_name"),
         F.col("s_name").alias("comments"),
     )
-    df = M.column_metadata_oracle(columns, comments, "SALES").drop("data_length")
+    every = [r["table_name"].lower() for r in columns.select("table_name").distinct().where("table_name != 'T_1'").collect()]
+    df = M.column_metadata_oracle(columns, comments, "SALES", every).drop("data_length")
     return _texts(df, "data_precision", "data_scale", "comments")
 
 
@@ -142,14 +143,12 @@ def map_types_sqlserver(spark, sf):
   column_name, CASE WHEN nullable = 'Y' THEN 1 ELSE 0 END AS nullable,
   CASE WHEN identity_column = 'YES' THEN 1 ELSE 0 END AS identity FROM meta""")
 def columns_by_table(spark, sf):
-    listed = M.columns_by_table(_columns(spark, sf, ORACLE))
-    rows = listed.select("table_name", F.posexplode("columns").alias("pos", "c"))
-    return rows.select(
+    return M.columns_by_table(_columns(spark, sf, ORACLE)).select(
         "table_name",
-        (F.col("pos") + 1).cast("bigint").alias("pos"),
-        "c.column_name",
-        F.col("c.nullable").cast("int").alias("nullable"),
-        F.col("c.identity_column").cast("int").alias("identity"),
+        F.col("position").cast("bigint").alias("pos"),
+        "column_name",
+        F.col("nullable").cast("int").alias("nullable"),
+        F.col("identity_column").cast("int").alias("identity"),
     )
 
 
@@ -157,7 +156,8 @@ def columns_by_table(spark, sf):
 UNION ALL SELECT table_name, 'null_check', column_name, 'WARNING' FROM meta WHERE nullable = 'N'
 UNION ALL SELECT table_name, 'hash_of', column_name, '-' FROM meta WHERE identity_column = 'YES'""")
 def rules_from_metadata(spark, sf):
-    return _texts(M.load_rules_from_metadata(_columns(spark, sf, ORACLE)), "column_name", "action")
+    rules = M.load_rules_from_metadata(_columns(spark, sf, ORACLE))
+    return _texts(rules.drop("column_id"), "column_name", "action")
 
 
 @query("""SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus,

@@ -122,3 +122,14 @@ def test_brute_force(spark, seed):
     then = {r[0] for r in data if under_way(r, [o for o in others(r) if o[3] < r[4]])}
     assert {r.run_id for r in L.duplicate_start(runs, runs, 1800, replay=True).collect()} == then
     assert done and now and then
+
+
+def test_settings_that_join_alike_are_two_jobs(spark):
+    schema = "source_system string, source string, source_type string, load_type string"
+    asked = spark.createDataFrame([("crm", "eu_orders", "t", "f"), ("crm_eu", "orders", "t", "f"), ("crm", None, "t", "f"), ("crm", "", "t", "f")], schema)
+    jobs = L.register_jobs(spark.createDataFrame([], "job_id string, " + schema), asked)
+    assert jobs.select("job_id").distinct().count() == 4
+    known = spark.createDataFrame(jobs.collect(), jobs.schema)
+    assert L.register_jobs(known, asked).isEmpty()
+    assert L.find_job(known, "crm", None, "t", "f") == known.where("source is null").first()["job_id"]
+    assert rows(L.find_jobs(known, asked).select("matches")) == [(1,)] * 4

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from loadkit.operators import metadata as M
 from tests.conftest import rows
@@ -13,10 +14,11 @@ META = (
 def meta(spark):
     return spark.createDataFrame(
         [
-            ("EMPLOYEES", "EMP_NAME", "VARCHAR2", 100, None, None, "Y", "NO", "name", 2),
-            ("EMPLOYEES", "EMP_ID", "NUMBER", 22, 10, 0, "N", "YES", "id", 1),
-            ("EMPLOYEES", "JOIN_DATE", "DATE", 7, None, None, "YES", "NO", None, 3),
-            ("DEPTS", "DEPT_ID", "NUMBER", 22, None, None, "NO", "NO", None, 1),
+            ("PARCELS", "WEIGHED_AT", "DATE", 7, None, None, "YES", "NO", None, 3),
+            ("PARCELS", "TRACK_NO", "NUMBER", 22, 12, 0, "N", "YES", "printed on the label", 1),
+            ("PARCELS", "ROUTE", "VARCHAR2", 40, None, None, "Y", "NO", "by way of", 4),
+            ("PARCELS", "DEPOT", "NUMBER", 22, 5, 0, "no", "yes", None, 2),
+            ("DEPOTS", "DEPOT", "NUMBER", 22, None, None, "NO", "NO", None, 1),
         ],
         META,
     )
@@ -81,14 +83,14 @@ def test_unknown_system(meta):
 
 
 def test_oracle_metadata(spark, meta):
-    columns = meta.drop("comments").selectExpr("*", "'HR' AS owner")
+    columns = meta.drop("comments").selectExpr("*", "'OPS' AS owner")
     comments = spark.createDataFrame(
-        [("HR", "EMPLOYEES", "EMP_ID", "key"), ("XX", "EMPLOYEES", "EMP_NAME", "other owner")],
+        [("OPS", "PARCELS", "TRACK_NO", "key"), ("XX", "PARCELS", "ROUTE", "other owner")],
         "owner string, table_name string, column_name string, comments string",
     )
-    df = M.column_metadata_oracle(columns, comments, "HR", ["employees"])
+    df = M.column_metadata_oracle(columns, comments, "OPS", ["parcels"])
     assert [(r.column_name, r.comments, r.column_id) for r in df.collect()] == [
-        ("EMP_ID", "key", 1), ("EMP_NAME", None, 2), ("JOIN_DATE", None, 3),
+        ("TRACK_NO", "key", 1), ("DEPOT", None, 2), ("WEIGHED_AT", None, 3), ("ROUTE", None, 4),
     ]
     assert df.columns == META.replace(",", "").split()[::2]
     assert M.column_metadata_oracle(columns, comments, "XX").isEmpty()
@@ -109,45 +111,53 @@ def test_sql_server_metadata(spark):
         ("A", "ID", "YES", None), ("A", "V", "NO", "value"), ("B", "ID", "NO", None), ("B", "V", "NO", None),
     ]
     assert M.column_metadata_sqlserver(columns, tables, identity, notes, "dbo", ["b"]).count() == 2
+    mixed = [f.withColumn("table_name", F.replace("table_name", F.lit("B"), F.lit("Bills"))) for f in (columns, tables)]
+    assert M.column_metadata_sqlserver(*mixed, identity, notes, "dbo", ["BILLS"]).count() == 2
+
+
+def test_columns_by_table(meta):
+    listed = M.columns_by_table(meta)
+    assert rows(listed.drop("data_type")) == [
+        ("DEPOTS", 1, "DEPOT", False, False),
+        ("PARCELS", 1, "TRACK_NO", False, True),
+        ("PARCELS", 2, "DEPOT", False, True),
+        ("PARCELS", 3, "WEIGHED_AT", True, False),
+        ("PARCELS", 4, "ROUTE", True, False),
+    ]
 
 
-def test_columns_by_table(meta, monkeypatch):
-    listed = {r.table_name: [(c.column_name, c.nullable, c.identity_column) for c in r.columns] for r in M.columns_by_table(meta).collect()}
-    assert listed == {
-        "EMPLOYEES": [("EMP_ID", False, True), ("EMP_NAME", True, False), ("JOIN_DATE", True, False)],
-        "DEPTS": [("DEPT_ID", False, False)],
-    }
-    monkeypatch.setattr(M, "MAX_TABLE_COLUMNS", 2)
-    with pytest.raises(ValueError, match="EMPLOYEES has 3 columns"):
-        M.columns_by_table(meta)
-
-
-def test_load_rules(meta):
+def test_load_rules(spark, meta):
     rules = M.load_rules_from_metadata(meta)
-    assert rows(rules) == [
-        ("DEPTS", "null_check", "DEPT_ID", "WARNING"),
-        ("DEPTS", "schema_check", None, "ERROR"),
-        ("EMPLOYEES", "hash_of", "EMP_ID", None),
-        ("EMPLOYEES", "null_check", "EMP_ID", "WARNING"),
-        ("EMPLOYEES", "schema_check", None, "ERROR"),
+    assert rows(rules.drop("column_id")) == [
+        ("DEPOTS", "null_check", "DEPOT", "WARNING"),
+        ("DEPOTS", "schema_check", None, "ERROR"),
+        ("PARCELS", "hash_of", "DEPOT", None),
+        ("PARCELS", "hash_of", "TRACK_NO", None),
+        ("PARCELS", "null_check", "DEPOT", "WARNING"),
+        ("PARCELS", "null_check", "TRACK_NO", "WARNING"),
+        ("PARCELS", "schema_check", None, "ERROR"),
     ]
-    assert M.table_settings(rules, "EMPLOYEES") == {
+    # names stand in the order of the table's columns
+    assert M.table_settings(rules, "PARCELS") == {
         "validations": [
             {"name": "schema_check", "action_on_unexpected": "ERROR"},
-            {"name": "null_check", "action_on_unexpected": "WARNING", "columns": ["EMP_ID"]},
+            {"name": "null_check", "action_on_unexpected": "WARNING", "columns": ["TRACK_NO", "DEPOT"]},
         ],
-        "table_columns_to_be_added": [{"column_name": "hash_key", "data_type": "string", "hash_of": ["EMP_ID"]}],
+        "table_columns_to_be_added": [{"column_name": "hash_key", "data_type": "string", "hash_of": ["TRACK_NO", "DEPOT"]}],
     }
-    assert M.table_settings(rules, "DEPTS")["table_columns_to_be_added"] == []
+    assert M.table_settings(rules, "DEPOTS")["table_columns_to_be_added"] == []
 
 
 def test_conform_to_metadata(spark, meta):
-    raw = spark.createDataFrame([("7", "Ann", "2024-01-02"), ("x", "Bob", "?")], "EMP_ID string, EMP_NAME string, JOIN_DATE string")
-    employees = meta.where("table_name = 'EMPLOYEES'").orderBy("column_id")
-    df = M.conform_to_metadata(raw, employees, "oracle", on_error="null")
-    assert sorted(df.dtypes) == [("EMP_ID", "decimal(10,0)"), ("EMP_NAME", "string"), ("JOIN_DATE", "timestamp")]
-    assert [(str(r.EMP_ID), str(r.JOIN_DATE)) for r in df.orderBy("EMP_NAME").collect()] == [
+    raw = spark.createDataFrame(
+        [("north", "7", "3", "2024-01-02"), ("south", "x", "4", "?")], "ROUTE string, TRACK_NO string, DEPOT string, WEIGHED_AT string"
+    )
+    parcels = meta.where("table_name = 'PARCELS'")
+    df = M.conform_to_metadata(raw, parcels, "oracle", on_error="null")
+    assert df.dtypes == [("TRACK_NO", "decimal(12,0)"), ("DEPOT", "decimal(5,0)"), ("WEIGHED_AT", "timestamp"), ("ROUTE", "string")]
+    assert [(str(r.TRACK_NO), str(r.WEIGHED_AT)) for r in df.orderBy("ROUTE").collect()] == [
         ("7", "2024-01-02 00:00:00"), ("None", "None"),
     ]
+    assert M.conform_to_metadata(raw, parcels.drop("column_id"), "oracle", on_error="null").columns == raw.columns
     with pytest.raises(ValueError, match="Unsupported"):
-        M.conform_to_metadata(raw, employees, "sqlserver")
+        M.conform_to_metadata(raw, parcels, "sqlserver")
