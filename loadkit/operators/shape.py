@@ -69,10 +69,14 @@ def transform_columns(df: DataFrame, mapping: list[dict[str, str]]) -> DataFrame
     return df
 
 
-def conform(df: DataFrame, schema: dict[str, dict], on_error: str = "raise") -> DataFrame:
-    """Project and cast raw columns to a configured schema.
-
-    ``on_error="null"`` turns values that do not parse into null instead of failing.
+def conform(
+    df: DataFrame, schema: dict[str, dict], on_error: str = "raise", keep_others: bool = False
+) -> DataFrame:
+    """Project and cast raw columns to a configured schema, under its names.
+
+    ``on_error="null"`` turns values that do not parse into null instead of
+    failing. ``keep_others`` takes the schema for the columns that are there,
+    and lets the others follow them.
     """
     if on_error not in ("raise", "null"):
         raise ValueError(f"on_error must be 'raise' or 'null', got {on_error!r}")
@@ -82,7 +86,12 @@ def conform(df: DataFrame, schema: dict[str, dict], on_error: str = "raise") ->
         target = column_type(spec)
         return (raw.try_cast(target) if on_error == "null" else raw.cast(target)).alias(name)
 
-    return df.select(*[column(name, spec) for name, spec in source_columns(schema).items()])
+    wanted = source_columns(schema)
+    if not keep_others:
+        return df.select(*[column(name, spec) for name, spec in wanted.items()])
+    wanted = {n: s for n, s in wanted.items() if s.get("source_column_name", n) in df.columns}
+    taken = {s.get("source_column_name", n) for n, s in wanted.items()}
+    return df.select(*[column(n, s) for n, s in wanted.items()], *[F.col(f"`{c}`") for c in df.columns if c not in taken])
 
 
 def ordering(order_by: list[dict[str, str]]) -> list[Column]:

@@ -90,10 +90,31 @@ def schema_check(schema: dict[str, dict], action: str = ERROR) -> Rule:
     return rule
 
 
-def rules_from_config(validations: list[dict], schema: dict[str, dict] | None = None) -> list[Rule]:
-    """Rules from ``{name, action_on_unexpected, …}`` settings."""
+def schema_findings(df: DataFrame, validations: list, schema: dict[str, dict] | None = None) -> list[Row]:
+    """What the schema checks among the settings find: (rule, column, action, failed_rows), told from the schema alone.
+
+    Counts are null: a difference holds for every row, and none is read.
+    """
+    found = []
+    for item in validations:
+        if isinstance(item, dict) and item["name"] == "schema_check":
+            declared = item.get("schema") or schema
+            if not declared:
+                raise ValueError("schema_check needs a schema")
+            level = _action(item.get("action_on_unexpected", WARNING))
+            for c, expected, actual in schema_differences(df, declared):
+                text = f"{c}: expected {expected}, found {actual or 'nothing'}"
+                found.append(Row(rule="schema_check", column=text, action=level, failed_rows=None))
+    return found
+
+
+def rules_from_config(validations: list, schema: dict[str, dict] | None = None) -> list[Rule]:
+    """Rules from ``{name, action_on_unexpected, …}`` settings; a callable is a rule already."""
     rules: list[Rule] = []
     for item in validations:
+        if callable(item):
+            rules.append(item)
+            continue
         name, action = item["name"], item.get("action_on_unexpected", WARNING)
         if name == "schema_check":
             declared = item.get("schema") or schema
@@ -117,13 +138,21 @@ class ValidationResult:
 
     ``checked`` is the input with ``validation_issues``, an array of (rule,
     column, action) that is null for a clean row; ``issue_rows`` are the others.
-    ``can_fail`` is false if no rule has anything to test in the rows, as when
-    there is only a schema check and the schema is right.
+    ``checks`` are the conditions tested; without any, no row can fail.
     """
 
     checked: DataFrame
     issue_rows: DataFrame
-    can_fail: bool = True
+    checks: tuple[Check, ...] = ()
+
+    @property
+    def can_fail(self) -> bool:
+        return bool(self.checks)
+
+    @property
+    def can_block(self) -> bool:
+        """Whether a row can keep the others from the target."""
+        return any(c.action == ERROR for c in self.checks)
 
     @property
     def summary(self) -> DataFrame:
@@ -138,7 +167,7 @@ def run_validations(df: DataFrame, rules: list[Rule]) -> ValidationResult:
     kind = "array<struct<rule:string,column:string,action:string>>"
     if not checks:
         checked = df.withColumn(ISSUES, F.lit(None).cast(kind))
-        return ValidationResult(checked, checked.where(F.lit(False)), can_fail=False)
+        return ValidationResult(checked, checked.where(F.lit(False)))
     found = [
         F.when(
             c.failed,
@@ -148,7 +177,7 @@ def run_validations(df: DataFrame, rules: list[Rule]) -> ValidationResult:
     ]
     any_failed = reduce(lambda a, b: a | b, [c.failed for c in checks])
     checked = df.withColumn(ISSUES, F.when(any_failed, F.array_compact(F.array(*found))))
-    return ValidationResult(checked, checked.where(F.col(ISSUES).isNotNull()))
+    return ValidationResult(checked, checked.where(F.col(ISSUES).isNotNull()), tuple(checks))
 
 
 def summarize(issue_rows: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def store(result: ValidationResult, table: str) -> tuple[ValidationResult, int]:
     spark = result.checked.sparkSession
     rows = write_table(result.checked.withColumn("_flawed", F.col(ISSUES).isNotNull()), table, "errorifexists")
     stored = spark.table(table)
-    return ValidationResult(stored.drop("_flawed"), stored.where("_flawed").drop("_flawed")), rows
+    return ValidationResult(stored.drop("_flawed"), stored.where("_flawed").drop("_flawed"), result.checks), rows
 
 
 @contextmanager

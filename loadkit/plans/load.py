@@ -7,14 +7,23 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from loadkit.config import LoadConfig, as_flag, collate_column_specs
 from loadkit.functions.columns import add_derived_columns
 from loadkit.operators import ledger
-from loadkit.operators.shape import apply_transforms, dedup_latest, rename_columns, select_existing, where_template
-from loadkit.operators.validation import Rule, expression_check, rules_from_config, run_validations
+from loadkit.operators.shape import apply_transforms, conform, dedup_latest, rename_columns, select_existing, where_template
+from loadkit.operators.validation import (
+    ISSUES,
+    Rule,
+    ValidationResult,
+    expression_check,
+    has_error,
+    rules_from_config,
+    run_validations,
+    schema_findings,
+)
 from loadkit.plans.gate import final_status, gate, is_empty, stored
 from loadkit.sinks import tables as sinks
 from loadkit.sources.registry import read_source
@@ -45,9 +54,11 @@ def select_rows(df: DataFrame, cfg: LoadConfig) -> DataFrame:
 
 
 def shape(df: DataFrame, cfg: LoadConfig) -> DataFrame:
-    """Deduplicate, rename, transform, add audit columns."""
+    """Deduplicate, take the schema's names and types, rename, transform, add audit columns."""
     dedup = cfg.deduplication or {}
     df = dedup_latest(df, dedup.get("keys"), dedup.get("order_by"))
+    if cfg.schema:
+        df = conform(df, cfg.schema, "null" if cfg.unparsed == "null" else "raise", keep_others=True)
     df = rename_columns(df, cfg.column_mappings or {})
     df = apply_transforms(df, cfg.custom_transformations)
     return add_derived_columns(df, collate_column_specs(cfg.audit_columns_to_be_added, cfg.table_columns_to_be_added))
@@ -67,39 +78,102 @@ def _write(df: DataFrame, cfg: LoadConfig) -> int | None:
 
 def _rules(df: DataFrame, cfg: LoadConfig) -> list[Rule]:
     """Configured rules, and one for lines that did not parse, whose text goes to quarantine only."""
-    rules = rules_from_config(cfg.validations, cfg.schema)
+    tested = [v for v in cfg.validations if callable(v) or v["name"] != "schema_check"]
+    rules = rules_from_config(tested, cfg.schema)
     if cfg.corrupt_record_column in df.columns:
         rules.append(expression_check("corrupt_record", f"`{cfg.corrupt_record_column}` IS NULL", cfg.corrupt_record_action))
     return rules
 
 
+def _check_target(spark: SparkSession, cfg: LoadConfig) -> None:
+    """Raise for what would stop the write at the end, before anything runs."""
+    mode = cfg.write_mode.lower()
+    if cfg.merge:
+        table, keys = cfg.merge.get("target_table"), cfg.merge.get("merge_keys")
+        if not table or not keys:
+            raise ValueError("target_table and merge_keys must be specified for merge")
+        sinks.require_table(spark, table)
+    elif cfg.ingest_type not in ("table", "delta") and mode == "append" and not cfg.partition_by:
+        sinks.require_table(spark, cfg.target)
+    else:
+        sinks.check_partitioning(spark, cfg.target, mode, cfg.partition_by)
+
+
+def _quarantine(rows: DataFrame, cfg: LoadConfig, run_id: str) -> None:
+    """Keep the offending rows of a run, once, however often the run is tried."""
+    spark = rows.sparkSession
+    if spark.catalog.tableExists(cfg.quarantine) and "run_id" in spark.table(cfg.quarantine).columns:
+        if not is_empty(spark.table(cfg.quarantine).where(F.col("run_id") == run_id)):
+            return
+    sinks.append_evolving(rows.withColumn("run_id", F.lit(run_id)), cfg.quarantine)
+
+
+def _only_warned(validated: ValidationResult, cfg: LoadConfig, run_id: str, findings: list[Row]) -> tuple[list[Row], int]:
+    """Write rows that no rule can stop straight to the target, counting what fails on the way: (summary, rows).
+
+    Only if some do is the source read again, for the offending rows.
+    """
+    failed = Observation("failed checks")
+    counts = [F.count_if(c.failed).alias(f"c{i}") for i, c in enumerate(validated.checks)]
+    rows = _write(_clean(validated.checked.observe(failed, F.count(F.lit(1)).alias("rows"), *counts), cfg), cfg)
+    got = failed.get
+    summary = [
+        Row(rule=c.rule, column=c.column, action=c.action, failed_rows=got[f"c{i}"])
+        for i, c in enumerate(validated.checks)
+        if got[f"c{i}"]
+    ]
+    if summary:
+        _quarantine(validated.issue_rows, cfg, run_id)
+    return [*findings, *summary], got["rows"] if rows is None else rows
+
+
+def _clean(checked: DataFrame, cfg: LoadConfig) -> DataFrame:
+    return checked.drop(ISSUES, *[c for c in [cfg.corrupt_record_column] if c])
+
+
 def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str = "") -> LoadResult:
-    """Shape, validate and write a source frame."""
+    """Shape, validate and write a source frame.
+
+    The schema is checked as it was read: an ERROR there ends the load before
+    any data is read. Rows that no rule can stop go from source to target in
+    one pass; where an ERROR rule may hold them back, or a merge needs them
+    more than once, they are stored first.
+    """
     dry_run = as_flag(cfg.dry_run)
+    if not dry_run:
+        _check_target(spark, cfg)
+    started = datetime.now()
+    findings = schema_findings(df, cfg.validations, cfg.schema)
+    if has_error(findings):
+        if not dry_run:
+            _log_validation(spark, findings, cfg, run_id, started)
+        return LoadResult(ledger.COMPLETED_WITH_VALIDATION_ERROR, 0, findings)
     selected = select_rows(df, cfg)
-    if is_empty(selected):
-        return LoadResult(ledger.COMPLETED_WITH_ZERO)
+    replacing = cfg.merge or cfg.write_mode.lower() == "overwrite"
+    if replacing and is_empty(selected):  # nothing must not replace anything
+        return LoadResult(ledger.COMPLETED_WITH_ZERO, 0, findings)
     shaped = shape(selected, cfg)
-    started = datetime.now()
     validated = run_validations(shaped, _rules(shaped, cfg))
-    if not validated.can_fail and not cfg.merge:
-        # Nothing can stop the rows, and one write reads them: straight from source to target in one pass.
-        rows = shaped.count() if dry_run else _write(shaped, cfg)
-        return LoadResult(ledger.COMPLETED, rows or 0)
-
     if dry_run:
-        summary = validated.summary.collect()
-        rows = validated.checked.count()
+        summary = [*findings, *(validated.summary.collect() if validated.can_fail else [])]
+        rows = shaped.count()
+        return LoadResult(final_status(summary, rows), rows, summary)
+    if not validated.can_block and not cfg.merge:
+        summary, rows = _only_warned(validated, cfg, run_id, findings)
+        if summary and rows:
+            _log_validation(spark, summary, cfg, run_id, started)
         return LoadResult(final_status(summary, rows), rows, summary)
+
     with stored(validated) as (result, rows):
-        summary = result.summary.collect()  # one row per failed rule and column
+        summary = [*findings, *result.summary.collect()]  # one row per failed rule and column
         verdict = gate(result, summary, rows)
-        if verdict.to_quarantine is not None:
+        if summary and rows:
             _log_validation(spark, summary, cfg, run_id, started)
-            sinks.append_evolving(verdict.to_quarantine, cfg.quarantine)
+        if len(summary) > len(findings):
+            _quarantine(result.issue_rows, cfg, run_id)
         # Last: a run that fails before it can be started again without doubling rows of the target.
         if verdict.to_target is not None:
-            _write(verdict.to_target.drop(*[c for c in [cfg.corrupt_record_column] if c]), cfg)
+            _write(_clean(verdict.to_target, cfg), cfg)
     return LoadResult(verdict.status, rows, summary)
 
 
@@ -124,12 +198,14 @@ class RunLedger:
         self.run_id = cfg.run_id or uuid.uuid4().hex
         self.started = datetime.now()
         self.job_id = cfg.job_id
+        self.events: list[tuple] = []
 
     def resolve_job(self) -> None:
         """Look the job up by its four settings, registering it if it is new."""
         table = self.cfg.job_details_table_name
         if self.job_id or not table:
             return
+        self.cfg.require(*ledger.JOB_KEY)
         settings = {name: getattr(self.cfg, name) for name in (*ledger.JOB_KEY, "env", "job_name", "frequency")}
         types = ", ".join(f"{name} string" for name in settings)
         request = self.spark.createDataFrame([tuple(settings.values())], types)
@@ -140,14 +216,17 @@ class RunLedger:
         sinks.append_evolving(new.coalesce(1), table)
         self.job_id = ledger.find_job(self.spark.table(table), *[settings[name] for name in ledger.JOB_KEY])
 
-    def record(self, status: str, rows: int = 0, error: str = "") -> None:
+    def record(self, status: str, rows: int = 0, error: str = "", last: bool = True) -> None:
+        """Note an event. The start is written at once, later ones together with the run's last."""
         if not self.table:
             return
         now = datetime.now()
         run_date = datetime.strptime(self.cfg.run_date, "%Y-%m-%d").date()
-        event = (self.run_id, self.job_id, now, now, self.started, now, run_date, rows, status, error)
-        frame = self.spark.createDataFrame([event], ledger.RUN_SCHEMA).coalesce(1)
-        sinks.append_evolving(frame, self.table)
+        self.events.append((self.run_id, self.job_id, now, now, self.started, now, run_date, rows, status, error))
+        if last:
+            frame = self.spark.createDataFrame(self.events, ledger.RUN_SCHEMA).coalesce(1)
+            sinks.append_evolving(frame, self.table)
+            self.events = []
 
     def refusal(self) -> str | None:
         """Why this run must not go on, if another run of its job and date is done or under way."""
@@ -178,7 +257,7 @@ def _recorded(spark: SparkSession, cfg: LoadConfig, work: Callable[[str], LoadRe
         if refusal:
             run.record(refusal)
             return LoadResult(refusal)
-        run.record(ledger.READING_SOURCE_DATA)
+        run.record(ledger.READING_SOURCE_DATA, last=False)
         result = work(run.run_id)
         run.record(result.status, result.row_count)
         return result

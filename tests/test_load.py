@@ -1,10 +1,13 @@
 """Whole loads: gate outcomes, ledger, batches."""
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
 from loadkit.config import LoadConfig
 from loadkit.operators import ledger as L
+from loadkit.operators.validation import Check
 from loadkit.plans.load import RunLedger, run_load, run_sql_batch
 from loadkit.session import scratch_table
 from tests.conftest import rows
@@ -205,8 +208,16 @@ def test_sql_batch_stops_at_a_failing_step(spark, tmp_path, target):
         run_sql_batch(spark, [])
 
 
-def test_source_is_scanned_once(spark, csv, target):
-    """Validation, target and quarantine read the stored rows, not the source: a row counter sees each row once."""
+@pytest.mark.parametrize(
+    ("rules", "read"),
+    [
+        ([], 3),
+        ([{"name": "short", "expression": "length(h) > 0", "action_on_unexpected": "WARNING"}], 3),  # none fails
+        ([NULLS], 4),  # one row is offending, and read again
+        ([NULLS | {"action_on_unexpected": "ERROR"}], 3),  # stored first
+    ],
+)
+def test_rows_read_from_the_source(spark, csv, target, rules, read):
     seen = spark.sparkContext.accumulator(0)
 
     def count_row(value):
@@ -214,12 +225,86 @@ def test_source_is_scanned_once(spark, csv, target):
         return value
 
     counting = F.udf(count_row, "int")
+    step = lambda df: df.withColumn("id", counting("id"))
+    result = run_load(spark, settings(target, source_location=csv, validations=rules, custom_transformations=[step]))
+    assert seen.value == read
+    assert count(spark, target) == (0 if result.status == L.COMPLETED_WITH_VALIDATION_ERROR else 3)
+
+
+PEOPLE = {"key": {"data_type": "int", "source_column_name": "id"}, "name": {"data_type": "string"}}
+
+
+def test_schema_check_and_renames_go_together(spark, csv):
+    name = scratch_table(spark, "people")
+    spark.sql(f"CREATE TABLE {name} (key INT, called STRING)")
+    check = {"name": "schema_check", "action_on_unexpected": "ERROR"}
+    cfg = settings(name, source_location=csv, schema=PEOPLE, column_mappings={"name": "called"}, validations=[check], audit_columns_to_be_added=[])
+    assert run_load(spark, cfg).status == L.COMPLETED
+    assert count(spark, name) == 3
+
+
+def test_wrong_schema_reads_no_data(spark, tmp_path, target):
+    path = str(tmp_path / "wide.parquet")
+    spark.range(5).selectExpr("id", "CAST(id AS string) AS name").write.parquet(path)
+    log = scratch_table(spark, "log")
+    check = {"name": "schema_check", "action_on_unexpected": "ERROR"}
+    seen = spark.sparkContext.accumulator(0)
+    counting = F.udf(lambda v: (seen.add(1), v)[1], "string")
     cfg = settings(
-        target,
-        source_location=csv,
-        validations=[NULLS],
-        custom_transformations=[lambda df: df.withColumn("id", counting("id"))],
-    )
-    run_load(spark, cfg)
-    assert seen.value == 3
-    assert count(spark, target) == 3
+        target, ingest_type="parquet", source_location=path, schema=PEOPLE, validations=[check, NULLS],
+        custom_transformations=[lambda df: df.withColumn("name", counting("name"))], validation_run_details_table_name=log,
+    )
+    result = run_load(spark, cfg)
+    assert result.status == L.COMPLETED_WITH_VALIDATION_ERROR and seen.value == 0 and count(spark, target) == 0
+    assert rows(spark.table(log).select("validation_column_name", "validation_failed_row_count")) == [("id: expected int, found bigint", None)]
+
+
+def test_nothing_runs_without_a_target(spark, csv):
+    nowhere = "spark_catalog.default.nowhere"
+    cfg = settings(nowhere, source_location=csv, validations=[NULLS | {"action_on_unexpected": "ERROR"}])
+    for _ in range(2):
+        with pytest.raises(ValueError, match="not found"):
+            run_load(spark, cfg)
+    assert not spark.catalog.tableExists(cfg.quarantine)
+
+
+def test_a_run_is_quarantined_once(spark, csv, target):
+    bad = NULLS | {"action_on_unexpected": "ERROR"}
+    cfg = settings(target, source_location=csv, validations=[bad], run_id="r-1")
+    for _ in range(2):
+        assert run_load(spark, cfg).status == L.COMPLETED_WITH_VALIDATION_ERROR
+    assert rows(spark.table(cfg.quarantine).select("run_id")) == [("r-1",)]
+    run_load(spark, settings(target, source_location=csv, validations=[bad], run_id="r-2"))
+    assert count(spark, cfg.quarantine) == 2
+
+
+def test_bad_values_fail_or_go_to_quarantine(spark, tmp_path, target):
+    path = tmp_path / "bad.json"
+    path.write_text('{"id": 1, "name": "a"}\n{"id": "oops", "name": "b"}\n{broken\n')
+    schema = {"id": {"data_type": "int"}, "name": {"data_type": "string"}}
+    base = {"ingest_type": "json", "source_location": str(path), "schema": schema}
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        run_load(spark, settings(target, **base))
+    assert count(spark, target) == 0
+    assert run_load(spark, settings(target, **base, unparsed="null")).status == L.COMPLETED
+    cfg = settings(target, **base, corrupt_record_column="raw", corrupt_record_action="WARNING", run_id="j")
+    assert run_load(spark, cfg).status == L.COMPLETED_WITH_VALIDATION_WARNING
+    assert rows(spark.table(cfg.quarantine).select("raw")) == [('{"id": "oops", "name": "b"}',), ("{broken",)]
+
+
+def test_backfill_and_own_rules(spark, tmp_path, target):
+    for day in ("2024-03-01", "2024-03-02", "2024-03-03"):
+        (tmp_path / f"people_{day.replace('-', '')}.csv").write_text(f"id,name\n{day[-1]},n{day[-1]}\n")
+
+    def even(df):
+        return [Check("even", "id", "WARNING", F.col("id") % 2 != 0)]
+
+    cfg = settings(
+        target, source_base_location=str(tmp_path) + "/", source_file_name_prefix="people_", source_file_name_date_pattern="{year}{month}{day}",
+        source_file_extension=".csv", run_dates=["2024-03-01", "2024-03-02"], path_column="file", schema=PEOPLE | {"id": {"data_type": "int"}},
+        custom_transformations=[lambda df: df.selectExpr("id", "name || right(file, 6) AS name")], validations=[even],
+    )
+    cfg = dataclasses.replace(cfg, schema={"id": {"data_type": "int"}, "name": {}})
+    assert run_load(spark, cfg).status == L.COMPLETED_WITH_VALIDATION_WARNING
+    assert rows(spark.table(target).select("id", "name")) == [(1, "n1" + "01.csv"), (2, "n2" + "02.csv")]
+    assert rows(spark.table(cfg.quarantine).select("id")) == [(1,)]

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from loadkit import session
@@ -77,17 +79,73 @@ def test_evolving(spark, df):
     assert rows(spark.table(name).select("id", "v", "extra")) == [(None, "z", 1.5), (1, "a", None), (2, "b", None)]
 
 
-def test_shared_folder_comes_from_the_session(spark, conf, tmp_path, monkeypatch):
+def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
-    class Cluster:
+    class Plain:
         class conf:
             @staticmethod
             def get(name, default=None):
-                return {"spark.master": "yarn"}.get(name, default)
+                return {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}.get(name, default)
+
+    assert session.shared_dir(Plain) == "hdfs://store/warehouse"
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_dir(Cluster)
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_a_table_keeps_what_it_is(spark, df, partitioned):
+    """Format, comments and properties outlive appends, replacements and merges."""
+    name = scratch_table(spark, "orc")
+    parts = "PARTITIONED BY (v)" if partitioned else ""
+    spark.sql(f"CREATE TABLE {name} (id INT COMMENT 'the key', v STRING) USING orc {parts} COMMENT 'it''s kept' TBLPROPERTIES ('team' = 'ops')")
+    sinks.append_table(df, name)
+    sinks.append_evolving(df.select("v", "id"), name)
+    sinks.write_table(spark.table(name).where("id = 2"), name, "overwrite")
+    new = spark.createDataFrame([(2, "z"), (3, "b")], df.schema)
+    sinks.merge_into(new, name, ["id"], ["v"])
+    assert rows(spark.table(name)) == [(2, "z"), (2, "z"), (3, "b")]
+    details = sinks._details(spark, name)
+    assert (details["Provider"].lower(), details["Comment"]) == ("orc", "it's kept")
+    assert {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}["team"] == "ops"
+    assert {c.name: c.description for c in spark.catalog.listColumns(name)}["id"] == "the key"
+    assert sinks.partition_columns(spark, name) == (["v"] if partitioned else [])
+
+
+def test_overwrite_with_other_columns_keeps_the_format(spark, df):
+    name = scratch_table(spark, "orc")
+    spark.sql(f"CREATE TABLE {name} (id INT) USING orc COMMENT 'kept'")
+    assert sinks.write_table(df, name, "overwrite") == 2
+    assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+    assert sinks._details(spark, name)["Provider"].lower() == "orc" and sinks._details(spark, name)["Comment"] == "kept"
+
+
+def test_modes(spark, df, table):
+    assert sinks.write_table(df, table, "ignore") == 0
+    assert sinks.write_table(df, scratch_table(spark, "new"), "ignore") == 2
+    with pytest.raises(ValueError, match="exists"):
+        sinks.write_table(df, table, "errorifexists")
+    with pytest.raises(ValueError, match="mode must be"):
+        sinks.write_table(df, table, "upsert")
+    with pytest.raises(ValueError, match="has columns"):
+        sinks.append_table(df.withColumnRenamed("v", "w"), table)
+    assert spark.table(table).count() == 2
+
+
+def test_two_replacements_at_once(spark, df, table, monkeypatch):
+    """The second to end finds that the table it read is gone, and leaves the first one's rows."""
+    inner = sinks._describe_alike
+
+    def meanwhile(session, staged, like):
+        monkeypatch.setattr(sinks, "_describe_alike", inner)
+        sinks.replace_table(df.where("id = 1"), table)
+        inner(session, staged, like)
+
+    monkeypatch.setattr(sinks, "_describe_alike", meanwhile)
+    before = sinks._identity(spark, table)
+    time.sleep(1.1)  # the catalog counts in seconds
+    with pytest.raises(RuntimeError, match="another run"):
+        sinks.replace_table(df.where("id = 2"), table)
+    assert sinks._identity(spark, table) != before
+    assert rows(spark.table(table)) == [(1, "a")]
 
 
 def test_partitioned_overwrite_from_itself(spark):
