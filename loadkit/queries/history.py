@@ -90,16 +90,16 @@ def asof_previous(spark, sf):
 
 
 @query("""
-SELECT e.event_id, e.event_type, p.event_id AS prev_event_id, p.event_type AS prev_event_type
-FROM events e ASOF JOIN (
+SELECT e.event_id, e.event_type, COALESCE(p.event_id, -1) AS prev_event_id, COALESCE(p.event_type, '-') AS prev_event_type
+FROM events e ASOF LEFT JOIN (
     SELECT user_id, ts, MAX(event_id) AS event_id, arg_max(event_type, event_id) AS event_type
     FROM events GROUP BY user_id, ts) p
 ON e.user_id = p.user_id AND e.ts > p.ts""")
 def asof_previous_event(spark, sf):
     events = table(spark, sf, "events").select("event_id", "event_type", "user_id", "ts")
     df = H.asof_previous(events, events, ["user_id"], "ts", ["event_id", "event_type"])
-    return df.where(F.col("prev_event_id").isNotNull()).select(
-        "event_id", "event_type", "prev_event_id", "prev_event_type"
+    return df.select("event_id", "event_type", "prev_event_id", "prev_event_type").fillna(-1, ["prev_event_id"]).fillna(
+        "-", ["prev_event_type"]
     )
 
 
@@ -140,6 +140,14 @@ def history_asof(spark, sf):
     return _text_dates(df.drop("inserted_time"))
 
 
+@query(f"WITH {TARGET_CTE}, {SOURCE_CTE}, {CANDIDATES_CTE}, {ASOF_CTE} "
+       "SELECT COUNT(*) AS stamped, CAST(1 AS BIGINT) AS stamps FROM changed")
+def history_inserted_time(spark, sf):
+    """Each row to append has the time it is inserted, the same for all."""
+    df = H.changed_asof(source(spark, sf), target(spark, sf), KEYS, DATE, ["value1"])
+    return df.agg(F.count("inserted_time").alias("stamped"), F.countDistinct("inserted_time").alias("stamps"))
+
+
 @query(f"""WITH {TARGET_CTE}, {SOURCE_CTE}, {CANDIDATES_CTE}, {LAST_CTE}
 SELECT c.id, CAST(c.business_date AS VARCHAR) AS business_date, c.value1, c.value2
 FROM cand c LEFT JOIN lk l ON l.id = c.id AND l.business_date < c.business_date

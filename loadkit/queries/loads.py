@@ -29,7 +29,7 @@ def load_orders(spark: SparkSession, sf: str, **settings) -> tuple[LoadResult, L
     spark.sql(f"CREATE TABLE {target} ({ORDERS_DDL}) USING parquet")
     common = {
         "ingest_type": "parquet",
-        "run_date": "2002-01-01",
+        "run_date": "1999-01-01",
         "audit_columns_to_be_added": [
             {"column_name": "source_system", "data_type": "string", "value": "unknown"},
             {"column_name": "row_hash", "data_type": "string", "hash_of": ["customer", "o_orderkey", "o_orderstatus"]},
@@ -62,7 +62,7 @@ def load_orders(spark: SparkSession, sf: str, **settings) -> tuple[LoadResult, L
 LOADED_CTE = """WITH loaded AS (SELECT o_custkey AS customer, o_orderkey, o_orderstatus, o_orderpriority,
   sha256(concat_ws('_', CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), o_orderstatus)) AS row_hash
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-        FROM orders WHERE o_orderdate < TIMESTAMP '2002-01-01') x WHERE rn = 1)
+        FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01') x WHERE rn = 1)
 """
 _LOADED = "customer, o_orderkey, o_orderstatus, o_orderpriority, row_hash"
 
@@ -82,6 +82,26 @@ def load_end_to_end(spark, sf):
     return both.withColumn("run_status", F.lit(result.status))
 
 
+@query("SELECT c_custkey AS customer, c_name AS called, c_mktsegment AS segment, 'COMPLETED' AS run_status FROM customer")
+def load_renamed_with_schema_check(spark, sf):
+    """Names of the file, of the schema and of the target differ; the schema is checked as the file has it."""
+    target = scratch_table(spark, "customers")
+    spark.sql(f"CREATE TABLE {target} (customer BIGINT, called STRING, segment STRING) USING orc")
+    schema = {
+        "customer": {"data_type": "long", "source_column_name": "c_custkey"},
+        "name": {"data_type": "string", "source_column_name": "c_name"},
+        "segment": {"data_type": "string", "source_column_name": "c_mktsegment"},
+    }
+    cfg = LoadConfig.from_layers(
+        {"ingest_type": "parquet", "source_location": f"{sf}/customer.parquet", "schema": schema},
+        {"columns": ["c_custkey", "c_name", "c_mktsegment"], "column_mappings": {"name": "called"}},
+        {"validations": [{"name": "schema_check", "action_on_unexpected": "ERROR"}]},
+        _parts(target),
+    )
+    result = run_load(spark, cfg)
+    return spark.table(target).withColumn("run_status", F.lit(result.status))
+
+
 @query("""SELECT CASE WHEN COUNT(*) = 0 THEN 'COMPLETED_WITH_ZERO' ELSE 'COMPLETED' END AS run_status,
   COUNT(*) AS table_rows FROM orders WHERE o_totalprice < 0""")
 def empty_source_status(spark, sf):

@@ -58,3 +58,21 @@ def merge_into_table(spark, sf):
     write_table(accounts(spark, sf), name)
     merge_into(feed(spark, sf), name, ["account_id"], ["name"], "source.is_deleted = true")
     return spark.table(name)
+
+
+@query(FRAMES + MERGED + NOT_DELETED)
+def merge_into_orc(spark, sf):
+    name = scratch_table(spark, "accounts")
+    spark.sql(f"CREATE TABLE {name} (account_id BIGINT, name STRING, segment STRING) USING orc")
+    write_table(accounts(spark, sf), name)
+    merge_into(feed(spark, sf), name, ["account_id"], ["name"], "source.is_deleted = true")
+    return spark.table(name)
+
+
+@query(FRAMES + MERGED + NOT_DELETED)
+def merge_into_partitioned(spark, sf):
+    """Only the segments that the feed touches are written again."""
+    name = scratch_table(spark, "accounts")
+    write_table(accounts(spark, sf), name, partition_by=["segment"])
+    merge_into(feed(spark, sf), name, ["account_id"], ["name"], "source.is_deleted = true")
+    return spark.table(name)

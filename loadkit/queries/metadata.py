@@ -64,7 +64,7 @@ def _text_sql(*cols: str) -> str:
 @query(META_CTE + f"""SELECT table_name, column_name, data_type, {_text_sql('data_precision', 'data_scale', 'comments')},
   nullable, identity_column, column_id
 FROM meta LEFT JOIN (SELECT 'C_' || CAST(s_suppkey AS VARCHAR) AS column_name, s_name AS comments FROM supplier) c
-  USING (column_name) WHERE table_name <> 'T_1'""")
+  USING (column_name) WHERE table_name <> 'T_0'""")
 def column_metadata_oracle(spark, sf):
     columns = _columns(spark, sf, ORACLE).withColumn("owner", F.lit("SALES"))
     comments = table(spark, sf, "supplier").select(
@@ -73,14 +73,15 @@ def column_metadata_oracle(spark, sf):
         F.concat(F.lit("C_"), "s_suppkey").alias("column_name"),
         F.col("s_name").alias("comments"),
     )
-    every = [r["table_name"].lower() for r in columns.select("table_name").distinct().where("table_name != 'T_1'").collect()]
+    every = [r["table_name"].lower() for r in columns.select("table_name").distinct().where("table_name != 'T_0'").collect()]
     df = M.column_metadata_oracle(columns, comments, "SALES", every).drop("data_length")
     return _texts(df, "data_precision", "data_scale", "comments")
 
 
 @query(MS_META_CTE + f"""SELECT table_name, column_name, data_type, {_text_sql('data_precision', 'data_scale', 'comments')},
   nullable, identity_column
-FROM meta LEFT JOIN (SELECT s_suppkey AS column_id, s_name AS comments FROM supplier) c USING (column_id)""")
+FROM meta LEFT JOIN (SELECT s_suppkey AS column_id, s_name AS comments FROM supplier) c USING (column_id)
+WHERE table_name <> 'T_0'""")
 def column_metadata_sqlserver(spark, sf):
     schema = F.lit("dbo").alias("table_schema")
     columns = _columns(spark, sf, SQL_SERVER).select(
@@ -105,7 +106,8 @@ def column_metadata_sqlserver(spark, sf):
         F.col("s_suppkey").alias("minor_id"),
         F.col("s_name").alias("value"),
     )
-    df = M.column_metadata_sqlserver(columns.drop("identity_column"), tables, identity, properties, "dbo")
+    every = [r["table_name"].lower() for r in tables.where("table_name != 'T_0'").collect()]
+    df = M.column_metadata_sqlserver(columns.drop("identity_column"), tables, identity, properties, "dbo", every)
     return _texts(df.drop("data_length"), "data_precision", "data_scale", "comments")
 
 

@@ -75,3 +75,43 @@ def dry_run(spark, sf):
     orders = table(spark, sf, "orders")
     spark.createDataFrame([], orders.schema).write.saveAsTable(name)
     return _counts(spark, name, would_write=sinks.append_table(orders, name, dry_run=True))
+
+
+ORC_SQL = """SELECT COUNT(*) AS table_rows, CAST(SUM(id) AS BIGINT) AS ids, 'orc' AS format, 'people' AS comment
+FROM (SELECT c_custkey AS id FROM customer UNION ALL SELECT {ids} FROM supplier) x"""
+
+
+def _orc(spark, sf) -> str:
+    name = scratch_table(spark, "people")
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, name STRING) USING orc COMMENT 'people'")
+    sinks.append_table(table(spark, sf, "customer").selectExpr("c_name AS name", "c_custkey AS id"), name)
+    return name
+
+
+def _described(spark, name):
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return spark.table(name).agg(F.count("*").alias("table_rows"), F.sum("id").alias("ids")).withColumns(
+        {"format": F.lit(details["Provider"].lower()), "comment": F.lit(details["Comment"])}
+    )
+
+
+@query(ORC_SQL.format(ids="s_suppkey"))
+def sink_append_orc(spark, sf):
+    name = _orc(spark, sf)
+    sinks.append_table(table(spark, sf, "supplier").selectExpr("s_name AS name", "s_suppkey AS id"), name)
+    return _described(spark, name)
+
+
+@query(ORC_SQL.format(ids="-s_suppkey"))
+def sink_overwrite_orc(spark, sf):
+    name = _orc(spark, sf)
+    more = table(spark, sf, "supplier").selectExpr("-s_suppkey AS id", "s_name AS name")
+    sinks.write_table(spark.table(name).unionByName(more), name, "overwrite")
+    return _described(spark, name)
+
+
+@query(ORC_SQL.format(ids="s_suppkey"))
+def sink_evolving_orc(spark, sf):
+    name = _orc(spark, sf)
+    sinks.append_evolving(table(spark, sf, "supplier").selectExpr("s_suppkey AS id", "s_nationkey AS nation"), name)
+    return _described(spark, name)

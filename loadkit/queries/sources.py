@@ -84,6 +84,46 @@ def read_csv_multiline(spark, sf):
     return files.read_delimited(spark, path, schema, quote='"', escape='"', multi_line=True)
 
 
+@query("""SELECT 'parsed' AS kind, o_orderkey, o_custkey FROM orders
+UNION ALL SELECT 'corrupt', o_orderkey, 0 FROM orders
+UNION ALL SELECT 'refused', 1, 1""")
+def read_csv_headers_differ(spark, sf):
+    """Two folders of one table: a scan of both tells lines that don't parse; with columns in another order it is refused."""
+    base = scratch_path(spark, "orders")
+    orders = table(spark, sf, "orders")
+    good = orders.selectExpr("CAST(o_orderkey AS string) AS o_orderkey", "CAST(o_custkey AS string) AS o_custkey")
+    good.write.options(header=True).csv(f"{base}/a.csv")
+    good.withColumn("o_custkey", F.lit("none")).write.options(header=True).csv(f"{base}/b.csv")
+    good.select("o_custkey", "o_orderkey").write.options(header=True).csv(f"{base}/c.csv")
+    schema = schema_from_config({"o_orderkey": {"data_type": "long"}, "o_custkey": {"data_type": "long"}})
+    both = files.read_delimited(spark, [f"{base}/a.csv", f"{base}/b.csv"], schema, corrupt_column="line")
+    try:
+        files.read_delimited(spark, [f"{base}/a.csv", f"{base}/c.csv"], schema, corrupt_column="line")
+        refused = 0
+    except ValueError:
+        refused = 1
+    rows = both.select(
+        F.when(F.col("line").isNull(), "parsed").otherwise("corrupt").alias("kind"),
+        F.coalesce("o_orderkey", F.substring_index("line", ",", 1).cast("long")).alias("o_orderkey"),
+        F.coalesce("o_custkey", F.lit(0)).cast("long").alias("o_custkey"),
+    )
+    return rows.unionByName(spark.range(refused).selectExpr("'refused' AS kind", "1L AS o_orderkey", "1L AS o_custkey"))
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_nationkey % 2 = 0 THEN 'parsed' ELSE 'corrupt' END AS kind FROM supplier""")
+def read_json_corrupt(spark, sf):
+    path = scratch_path(spark, "supplier.json")
+    suppliers = table(spark, sf, "supplier")
+    even = F.col("s_nationkey") % 2 == 0
+    line = F.concat(F.lit('{"s_suppkey": '), F.when(even, F.col("s_suppkey").cast("string")).otherwise(F.concat(F.lit('"no '), "s_suppkey", F.lit('"'))), F.lit("}"))
+    suppliers.select(line).write.text(path)
+    df = files.read_json(spark, path, schema_from_config({"s_suppkey": {"data_type": "long"}}), corrupt_column="line")
+    return df.select(
+        F.coalesce("s_suppkey", F.regexp_extract("line", "no ([0-9]+)", 1).cast("long")).alias("s_suppkey"),
+        F.when(F.col("line").isNull(), "parsed").otherwise("corrupt").alias("kind"),
+    )
+
+
 @query("SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem")
 def read_parquet(spark, sf):
     return files.read_parquet(spark, f"{sf}/lineitem.parquet").select(
@@ -142,8 +182,8 @@ def read_dated_path(spark, sf):
         .parquet(base + "sales")
     )
     layout = DatedLayout(base=base, reference="sales/", prefix="orders=", file_pattern="{year}{month}")
-    # One run date per calendar month that has orders.
-    months = orders.select(F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd").alias("m")).distinct()
-    run_dates = sorted(r["m"] for r in months.collect())
+    # A run date per calendar month, from the first with orders to the last that there is a folder for.
+    first, last = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    run_dates = [f"{m // 12}-{m % 12 + 1:02}-01" for m in range(first.year * 12 + first.month - 1, last.year * 12 + last.month)]
     df = read_dated(lambda paths: files.read_parquet(spark, paths), layout, run_dates, "path")
     return df.select("o_orderkey", "o_custkey", F.regexp_extract("path", "orders=([0-9]+)", 1).alias("file_month"))
