@@ -95,6 +95,8 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -24,9 +24,31 @@ def query(sql: str | None = None):
     return register
 
 
-@query()
+@query(
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0) x),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    links AS (
+        SELECT x.a, x.b FROM (
+            SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS both FROM shingles p JOIN shingles q ON p.s = q.s AND p.doc_id <> q.doc_id
+            GROUP BY p.doc_id, q.doc_id) x
+        JOIN sizes m ON m.doc_id = x.a JOIN sizes n ON n.doc_id = x.b WHERE 180 * x.both >= 80 * (m.n + n.n)),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+    SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS component_id,
+           (SELECT count(*) FROM links l WHERE l.a = d.doc_id) AS n_links
+    FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+    """
+)
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+    return jaccard.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query()
@@ -52,13 +74,13 @@ _ESCAPED = "replace(replace(replace({0}, '\\', '\\b'), '<', '\\l'), '|', '\\p')"
 @query(
     f"""
     WITH t AS (
-        SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
         UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
         UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
     SELECT conv_id, count(*) AS n_turns,
-           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-           sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
            CAST(sum(13 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
     FROM t GROUP BY conv_id
     """
@@ -67,8 +89,11 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
     both = F.inline(F.array(*[F.struct(F.lit(-1).alias("conv_id"), F.lit(t).alias("turn"), F.lit(r).alias("role"), F.lit(control).alias("text")) for t, r in enumerate(("user", "assistant"))]))
-    events = given.unionByName(spark.range(1).select(both)).withColumns({"seq": F.col("turn"), "kind": F.lit("set")})
-    rendered = chat.render(chat.reconstruct(events, "conv_id", "turn", "seq", "kind", "role", "text"))
+    rows = given.unionByName(spark.range(1).select(both))
+    # each row is a message of its own, also where a turn's number is there again
+    again = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    events = rows.withColumn("again", again).withColumns({"message": F.struct("turn", "again"), "kind": F.lit("set")})
+    rendered = chat.render(chat.reconstruct(events, "conv_id", "message", "message", "kind", "role", "text"))
     read = rendered.select(
         F.col("conv").alias("conv_id"),
         chat.read_back(F.col("formatted")).alias("turns"),

@@ -1,11 +1,12 @@
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
 from loadkit.llm import jaccard
-from loadkit.llm.queries import QUERIES
-from tests.conftest import SMALL
+from loadkit.llm.queries import ORACLES, QUERIES
+from tests.conftest import DATA, SMALL
 from tests.llm.helpers import SCHEMA, no_docs, odd_docs, similar
 
 
@@ -18,6 +19,15 @@ def test_query_against_brute_force(spark):
     assert result(QUERIES["op1_ngram_jaccard_join"](spark, SMALL)) == sorted(similar(docs), key=repr)
 
 
+def test_query_against_its_sql(spark):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    cursor = duck.execute(ORACLES["op1_ngram_jaccard_join"])
+    columns = [d[0] for d in cursor.description]
+    df = QUERIES["op1_ngram_jaccard_join"](spark, DATA)
+    assert df.columns == columns and sorted(map(tuple, df.collect())) == sorted(cursor.fetchall())
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     assert result(jaccard.similar_groups(docs)) == sorted(similar([(r.doc_id, r.text) for r in docs.collect()]), key=repr)

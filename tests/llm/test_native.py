@@ -140,6 +140,18 @@ def test_chat_query(spark):
     assert row.loss_chars == len(control) and row.loss_sha256 == hashlib.sha256(control.encode()).hexdigest()
 
 
+def test_chat_query_on_odd_rows(spark, tmp_path):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", None), (1, 1, "assistant", "b"), (1, 1, "assistant", "b"), (1, 2, "user", ""), (2, 5, "tool", "</s>"), (2, None, "user", "x"), (3, 0, "assistant", "<|end|>")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    df = QUERIES["op8_chat_formatting"](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    cursor = duck.execute(ORACLES["op8_chat_formatting"].replace("ORDER BY turn,", "ORDER BY turn NULLS FIRST,"))
+    columns = [d[0] for d in cursor.description]
+    got = sorted(map(tuple, df.select(*columns).collect()))
+    assert got == sorted(cursor.fetchall()) and [r[1] for r in got] == [2, 5, 2, 1]
+
+
 HARD = ["", "<|end|>\n", "<|user|>\nhi", "\\l\\p\\b", "a|b<c\\d", "\\", "<", "é日\U0001f600", "\\\\l", "|>\n", "\n", "x" * 10_000]
 
 
