@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,6 +114,8 @@ def _only_warned(validated: ValidationResult, cfg: LoadConfig, run_id: str, find
 
     Only if some do is the source read again, for the offending rows.
     """
+    if cfg.write_mode.lower() == "ignore" and validated.checked.sparkSession.catalog.tableExists(cfg.target):
+        return findings, 0  # nothing runs, so nothing would be counted
     failed = Observation("failed checks")
     counts = [F.count_if(c.failed).alias(f"c{i}") for i, c in enumerate(validated.checks)]
     rows = _write(_clean(validated.checked.observe(failed, F.count(F.lit(1)).alias("rows"), *counts), cfg), cfg)
@@ -152,9 +155,21 @@ def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str
     replacing = cfg.merge or cfg.write_mode.lower() == "overwrite"
     if replacing and is_empty(selected):  # nothing must not replace anything
         return LoadResult(ledger.COMPLETED_WITH_ZERO, 0, findings)
+    try:
+        return _load_selected(spark, selected, cfg, run_id, findings, started)
+    except (AnalysisException, ValueError):
+        # What an empty source lacks for the later steps does not matter. Nothing is written by then.
+        if is_empty(selected):
+            return LoadResult(ledger.COMPLETED_WITH_ZERO, 0, findings)
+        raise
+
+
+def _load_selected(
+    spark: SparkSession, selected: DataFrame, cfg: LoadConfig, run_id: str, findings: list[Row], started: datetime
+) -> LoadResult:
     shaped = shape(selected, cfg)
     validated = run_validations(shaped, _rules(shaped, cfg))
-    if dry_run:
+    if as_flag(cfg.dry_run):
         summary = [*findings, *(validated.summary.collect() if validated.can_fail else [])]
         rows = shaped.count()
         return LoadResult(final_status(summary, rows), rows, summary)

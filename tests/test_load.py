@@ -292,6 +292,11 @@ def test_bad_values_fail_or_go_to_quarantine(spark, tmp_path, target):
     assert rows(spark.table(cfg.quarantine).select("raw")) == [('{"id": "oops", "name": "b"}',), ("{broken",)]
 
 
+def test_ignore_mode_writes_nothing_to_a_table_that_exists(spark, csv, target):
+    cfg = settings(target, source_location=csv, validations=[NULLS], write_mode="ignore")
+    assert run_load(spark, cfg).row_count == 0 and count(spark, target) == 0
+
+
 def test_backfill_and_own_rules(spark, tmp_path, target):
     for day in ("2024-03-01", "2024-03-02", "2024-03-03"):
         (tmp_path / f"people_{day.replace('-', '')}.csv").write_text(f"id,name\n{day[-1]},n{day[-1]}\n")
