@@ -46,15 +46,20 @@ def _round(units: DataFrame, total: int, n_shards: int) -> DataFrame:
         units.join(best, KEY)
         .where(F.struct("_n", -F.col("_shard")) < F.col("_best"))
         .select(*KEY, F.col("_shard").alias("_from"), (-F.col("_best.col2")).alias("_shard"), "_n", F.col("_best._n").alias("_gain"))
-        .withColumn("_salt", bucket_of(*map(F.col, KEY), F.lit("salt"), buckets=SALTS))
+        .withColumn("_level", -F.floor(F.log2("_gain")))
+        .withColumn("_salt", bucket_of(*map(F.col, KEY), F.col("_from"), buckets=SALTS))
     )
-    # each salt of a target shard has its part of the free rows
-    part = F.floor((F.col("_free") + F.lit(SALTS - 1) - F.col("_salt")) / SALTS)
-    order = Window.partitionBy("_shard", "_salt").orderBy(F.desc("_gain"), *KEY, "_from")
-    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # rows before a move in its target's queue: those of earlier pieces, and those before it in its own
+    piece = ["_shard", "_level", "_salt"]
+    pieces = wish.groupBy(*piece).agg(F.sum("_n").alias("_rows"))  # a few hundred per shard at most
+    earlier = Window.partitionBy("_shard").orderBy("_level", "_salt").rowsBetween(Window.unboundedPreceding, -1)
+    queue = pieces.select(*piece, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_ahead"))
+    order = Window.partitionBy(*piece).orderBy(F.desc("_gain"), *KEY, "_from").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_ahead") + F.coalesce(F.sum("_n").over(order), F.lit(0))
     return (
-        wish.join(free, "_shard")
-        .withColumn("_moved", F.least("_n", F.greatest(F.lit(0), part - before)).cast("long"))
+        wish.join(queue, piece)
+        .join(free, "_shard")
+        .withColumn("_moved", F.least("_n", F.greatest(F.lit(0), F.col("_free") - before)).cast("long"))
         .where("_moved > 0")
         .select(*KEY, "_from", F.col("_shard").alias("_to"), "_moved")
     )
