@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loadkit.operators.keyed import join_per_key
 from loadkit.session import scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -74,8 +75,9 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
     """(node, root) for every node of the edges (a, b): root is the smallest node that can be reached.
 
     Large-star and small-star steps by turns, each a minimum per node with
-    map-side combine and a join, until every node hangs on its root. Nodes
-    without edges do not occur; null nodes are not allowed.
+    map-side combine and a join that Spark can split at a hot node, until every
+    node hangs on its root. Nodes without edges do not occur; null nodes are
+    not allowed.
     """
     pairs = stored(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), name
@@ -84,9 +86,10 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
     for _ in range(rounds):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = join_per_key(both.where("b > a"), low, ["a"], "inner")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
+        small = join_per_key(large, low, ["a"], "inner")
         after = small.select("b", "m").where("b != m").union(low.select("a", "m")).toDF("a", "b").distinct()
         after = stored(after, name)
         drop_stored(pairs)
