@@ -189,8 +189,8 @@ def index(rows: DataFrame, id_col: str, vector_col: str, k: int, shard_rows: int
     vectors = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & usable(F.col("v"))
     )
-    # a search never needs more ids of equal vectors than these; the limit acts before the shuffle
-    kept = vectors.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
+    # a search never needs more ids of equal vectors than these
+    kept = vectors.distinct().withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
     classes = stored(
         kept.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("dim", F.size("v")), "vectors"
     )
