@@ -101,6 +101,35 @@ def test_templates(spark, text, found):
     assert got == ([found] if found else [])
 
 
+RICE = "In 2019 Alice Smith paid 30 dollars to Bob Jones for 12 kg of rice"
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        (RICE, (15, True)),
+        ("We saw it. " + RICE + ". It was so.", (15, True)),
+        (RICE.replace("30", "45"), (15, False)),
+        ("In 2021 Carl Brown paid 45 euros to Eva Green for 7 pounds of rice", None),
+    ],
+)
+def test_items_of_numbers_and_names(spark, text, found):
+    """Windows with few ordinary words are found by their values, and lie in one run with the others."""
+    items = spark.createDataFrame([(3, RICE), (4, "Solve 3 + 4 * 5 - 6 / 7 = 8 now")], "item_id long, text string")
+    docs = spark.createDataFrame([(7, text)], SCHEMA)
+    got = [(r.run_words, r.verbatim) for r in decontamination.contaminated(docs, items).collect()]
+    assert got == ([found] if found else [])
+
+
+def test_poor_windows_do_not_break_runs_of_templates(spark):
+    """A line of names amid a question whose numbers differ before and after it."""
+    item = "they bought 17 red apples there and went on to Anna Bert Carl Dora Emil who gave 5 green pears to them all"
+    items = spark.createDataFrame([(3, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(7, item.replace("17", "29").replace("5", "8")), (8, item.lower())], SCHEMA)
+    got = {r.doc_id: (r.run_words, r.verbatim) for r in decontamination.contaminated(docs, items).collect()}
+    assert got == {7: (23, False), 8: (23, True)}
+
+
 def test_decontamination_query(spark):
     """Every item whose words stand in a document, one after the other, is found, and nothing else."""
     import re
