@@ -29,6 +29,7 @@ from loadkit.llm.textbytes import LOWER, hash_spans, mix, prefix_hashes, slices,
 WINDOW = 8
 LEAST_ORDINARY = 4
 LEAST_RUN = 13
+LEAST_WORDS = 3
 FILTER_BITS = 1 << 24
 
 # fixed values: units and their plurals
@@ -141,7 +142,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, width: int, short: Iterable[i
     at = place[turn]
     turned_hash = total[turn] + (np.where(kind[at] == 3, value[at], NAME) - template[at]) * power
     some = (n_names > 0) & (n_slots > n_names) & (width - n_slots + n_names >= least)
-    for form, keep, sums in ((0, rich, total[rich]), (2, some, summed(plain, place[some], width)), (3, n_slots > 0, summed(value, place[n_slots > 0], width))):
+    for form, keep, sums in ((0, rich, total[rich]), (1, turn, turned_hash), (2, some, summed(plain, place[some], width)), (3, n_slots > 0, summed(value, place[n_slots > 0], width))):
         out.append((text[keep], first[keep], np.full(len(sums), width), np.full(len(sums), form), sums))
     text, first, size, form, total = map(np.concatenate, zip(*out, strict=True))
     return text, first, size, form, mix(total), value, kind, words
@@ -159,7 +160,7 @@ def _windows(texts: DataFrame, width: int, bits=None, short: Iterable[int] = ())
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, _, data, offsets in slices(batch.column("text")):
-                text, first, size, form, hashes, value, kind, words = windows(data, offsets, width, short if bits is not None else ())
+                text, first, size, form, hashes, value, kind, words = windows(data, offsets, width, short if bits is not None else range(LEAST_WORDS, width))
                 count = np.diff(words)
                 keep = in_bits(hashes, bits.value) if bits is not None else (size == width) | (size == count[text])
                 text, first, size, form, hashes = (x[keep] for x in (text, first, size, form, hashes))
@@ -199,10 +200,10 @@ def contaminated(
     item's template, or all of an item with fewer, with consistent values.
     ``share`` is the part of the item's words in the longest such run;
     ``verbatim`` says that no value differs in it. Windows with fewer than four
-    ordinary words are found by the same values only, in whatever case (A-Z).
-    Items shorter than a window cannot be told from chance and are not looked
-    for. Values need to be consistent in one of: the whole run, its windows of
-    templates, its windows of equal values.
+    ordinary words, and items shorter than a window, are found by the same
+    values only, in whatever case (A-Z); items of one or two words cannot be
+    told from chance and are not looked for. Values need to be consistent in
+    one of: the whole run, its windows of templates, its windows of equal values.
 
     ``text_key`` is a hash of the document's text, so that rows with one id can
     be told apart. Null or empty texts hold nothing; null ids, repeated rows
@@ -214,7 +215,7 @@ def contaminated(
     rows = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("t")).alias("key"), text.alias("text"))
     asked = stored(_windows(items, width), "items")
     bits = spark.sparkContext.broadcast(hash_bits(asked.select("hash"), FILTER_BITS))  # of fixed size
-    short = ()
+    short = [r[0] for r in asked.where(F.col("words") < width).select("words").distinct().collect()]  # fewer than ``width`` numbers
     found = stored(_windows(rows, width, bits, short), "windows")
     wanted = asked.select(
         "hash", F.col("key.item").alias("item"), F.col("words").alias("item_words"), F.col("at").alias("item_at"), F.col("form").alias("item_form"),

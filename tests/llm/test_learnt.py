@@ -130,6 +130,25 @@ def test_poor_windows_do_not_break_runs_of_templates(spark):
     assert got == {7: (23, False), 8: (23, True)}
 
 
+SHORT = ["Paris is older than Rome", "Anna gave the red book to her old friend", "Who wrote Hamlet"]
+
+
+@pytest.mark.parametrize("form", ["{}", "so then {} and on", "They said. {}! And on", "lower {}"])
+def test_short_items_in_any_context_and_case(spark, form):
+    items = spark.createDataFrame(list(enumerate(SHORT)), "item_id long, text string")
+    texts = [form.format(t if "lower" not in form else t.lower()) for t in SHORT]
+    docs = spark.createDataFrame([(10 + i, t) for i, t in enumerate(texts)] + [(20, "Paris is older and older than Rome"), (21, "who wrote")], SCHEMA)
+    got = {(r.doc_id, r.item_id, r.run_words, r.share, r.verbatim) for r in decontamination.contaminated(docs, items).collect()}
+    assert got == {(10, 0, 5, 1.0, True), (11, 1, 9, 1.0, True), (12, 2, 3, 1.0, True)}
+
+
+def test_other_numbers_and_names_in_another_context(spark):
+    items = spark.createDataFrame([(1, "Anna gave 5 red books to her friend Bert yesterday")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "and so anna gave 7 red books to her friend bert yesterday"), (2, "and so Carl gave 7 red books to her friend Dora yesterday")], SCHEMA)
+    got = {(r.doc_id, r.run_words, r.verbatim) for r in decontamination.contaminated(docs, items).collect()}
+    assert got == {(1, 10, False), (2, 10, False)}
+
+
 def test_decontamination_query(spark):
     """Every item whose words stand in a document, one after the other, is found, and nothing else."""
     import re
