@@ -111,8 +111,6 @@ def mix(
     text_col: str = "text",
     max_repeat: int = 3,
     seed: int = 11,
-    fit: float = 0.002,
-    fitting: int = 8,
 ) -> DataFrame:
     """How often the mix takes every document.
 
@@ -125,13 +123,13 @@ def mix(
     Returns the input rows with ``_pattern`` (the row's sources, sorted),
     ``_size`` (words), ``_copies`` (0 to ``max_repeat``), and ``_source_size``
     and ``_target`` of its first source. What is taken depends on the seed, the
-    id and the size alone: the rows of a pattern are in a seeded order, and
-    those before the cut, and up to ``fitting`` documents that fill the gap left
-    there to within ``fit``, get one copy more than the others.
+    id and the size alone: the rows of a pattern are in a seeded order, and get
+    one copy more, one after the other, if they fit what is still missing; at
+    the end one that is larger does if that brings the words nearer.
 
     A null source is a source of its own; a row without any source is never
     taken. Null or empty texts have size 0. Repeated rows count each, and share
-    their place in the order. Null ids are allowed. An empty table gives no
+    their place in the order: all get the copy or none. Null ids are allowed. An empty table gives no
     rows. Columns of the input may not have the names that are added.
     """
     sources = F.array(F.col("source").cast("string")) if sources is None else sources
@@ -140,11 +138,11 @@ def mix(
     bucket = bucket_of(F.col(id_col), F.col("_size"), F.lit(seed), buckets=BUCKETS)
     place = F.xxhash64(F.col(id_col), F.col("_size"), F.lit(seed + 1))
 
-    slim = stored(frame.select("_pattern", "_size", bucket.alias("_b"), place.alias("_place")), "mix_rows")
-    parts = stored(slim.groupBy("_pattern", "_b").agg(F.sum("_size").alias("_words")), "mix_parts")
+    slim = frame.select("_pattern", "_size", bucket.alias("_b"), place.alias("_place"))
+    units = stored(slim.groupBy("_pattern", "_b", "_place", "_size").agg(F.sum("_size").alias("_all")), "mix_rows")
+    parts = units.groupBy("_pattern").agg(F.sum("_all").alias("_words"))
     # one row per pattern: the only thing that the driver sees
-    rows = parts.groupBy("_pattern").agg(F.sum("_words").alias("_words")).collect()
-    patterns = {tuple(r["_pattern"]): r["_words"] for r in rows}
+    patterns = {tuple(r["_pattern"]): r["_words"] for r in parts.collect()}
     sizes: dict = {}
     for p, n in patterns.items():
         for s in p:
@@ -170,57 +168,79 @@ def mix(
         p: (*whole(given.get(p, 0.0), n, max_repeat), int(sizes[p[0]]) if p else 0, float(goal[p[0]]) if p else 0.0)
         for p, n in patterns.items()
     }
-    rests = of_patterns([(list(p), x[1]) for p, x in plan.items()], "_pattern array<string>, _rest double")
-    # the mark of a pattern falls into one bucket; only there do rows have to be put in order
-    earlier = Window.partitionBy("_pattern").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    at = (
-        parts.withColumn("_before", F.coalesce(F.sum("_words").over(earlier), F.lit(0)))
-        .join(rests, "_pattern")
-        .where("_before <= _rest and _rest < _before + _words")
-        .select("_pattern", "_b", "_before", "_rest")
-    )
-    run = Window.partitionBy("_pattern", "_b").orderBy("_place").rangeBetween(Window.unboundedPreceding, -1)
-    marks = (
-        slim.join(at, ["_pattern", "_b"])
-        .withColumn("_at", F.col("_before") + F.coalesce(F.sum("_size").over(run), F.lit(0)))
-        .where(F.col("_at") + F.col("_size") > F.col("_rest"))
-        .groupBy("_pattern", "_b")
-        .agg(F.min(F.struct("_place", "_at")).alias("_mark"))
-    )
-    # a row per pattern: where its order is cut, and how many words are still missing there
-    cut = {p: (0, -(2**63), 0) if not x[1] else (BUCKETS, -(2**63), patterns[p]) for p, x in plan.items()}
-    cut |= {tuple(r["_pattern"]): (r["_b"], *r["_mark"]) for r in marks.collect()}
-    # documents beyond the cut that fit what is missing there, the best one of each pattern in turn
-    beyond = (F.col("_b") > F.col("_cut_b")) | ((F.col("_b") == F.col("_cut_b")) & (F.col("_place") >= F.col("_cut")))
-    missing = {p: plan[p][1] - n for p, (_, _, n) in cut.items()}
-    extra: dict = {p: [] for p in patterns}
-    open_now = {p for p, gap in missing.items() if gap > fit * plan[p][1]}
+    # Cuts: a pattern's order is taken as far as it fits, without what is larger than the gap. The first that no longer fits
+    # is left out, as it is larger than the gap from there on, and the order goes on behind it. So the runs between cuts,
+    # each with the gap at its beginning, tell what is taken.
+    gap = {p: int(x[1] + 1e-6) for p, x in plan.items()}
+    left = {p: x[1] for p, x in plan.items()}
+    begin = {p: (-1, -(2**63)) for p in patterns}
+    runs: dict = {p: [] for p in patterns}
+    open_now = {p for p in patterns if gap[p]}
     while open_now:
-        gaps = of_patterns(
-            [(list(p), *cut[p][:2], missing[p], extra[p]) for p in open_now],
-            "_pattern array<string>, _cut_b int, _cut long, _missing double, _extra array<bigint>",
-        )
-        nearest = (
-            slim.join(gaps, "_pattern")
-            .where(beyond & ~F.array_contains("_extra", F.col("_place")) & (F.col("_size") < 2 * F.col("_missing")))
-            .groupBy("_pattern")
-            .agg(F.min(F.struct(F.abs(F.col("_size") - F.col("_missing")), "_place", "_size")).alias("_best"))
-        )
-        found = {tuple(r["_pattern"]): r["_best"] for r in nearest.collect()}
-        for p, best in found.items():
-            extra[p].append(best[1])
-            missing[p] -= best[2]
-        open_now = {p for p in found if missing[p] > fit * plan[p][1] and len(extra[p]) < fitting}
+        gaps = of_patterns([(list(p), *begin[p], gap[p]) for p in open_now], "_pattern array<string>, _from_b int, _from long, _gap long")
+        found = {tuple(r["_pattern"]): r for r in _cut(units.join(gaps, "_pattern")).collect()}
+        for p in open_now:
+            end = found[p]["_mark"] if p in found else None
+            words = (found[p]["_words"] if end is None else end["_at"]) if p in found else 0
+            end = (BUCKETS, -(2**63)) if end is None else (end["_b"], end["_place"])
+            runs[p].append((*begin[p], *end, gap[p]))
+            gap[p] -= words
+            left[p] -= words
+            begin[p] = end
+        open_now = {p for p in open_now if gap[p] and begin[p][0] < BUCKETS}
     final = of_patterns(
-        [(list(p), full, size, goal_of, *cut[p][:2], extra[p]) for p, (full, _, size, goal_of) in plan.items()],
-        "_pattern array<string>, _full int, _source_size long, _target double, _cut_b int, _cut long, _extra array<bigint>",
+        [(list(p), full, size, goal_of, left[p], runs[p]) for p, (full, _, size, goal_of) in plan.items()],
+        f"_pattern array<string>, _full int, _source_size long, _target double, _left double, _runs array<{RUN}>",
+    )
+    inside = F.exists("_runs", lambda r: _inside(r) & (F.col("_size") <= r["gap"]))
+    fits = F.exists("_runs", lambda r: _inside(r) & (F.col("_all") <= r["gap"]))
+    ended = units.join(final, "_pattern")
+    # of what is left, the smallest, if the words are nearer with it than without
+    nearest = ended.where(~fits & (F.col("_all") > 0) & (F.col("_all") < 2 * F.col("_left"))).groupBy("_pattern").agg(F.min(F.struct("_all", "_b", "_place")).alias("_best"))
+    best = {tuple(r["_pattern"]): (r["_best"]["_b"], r["_best"]["_place"]) for r in nearest.collect()}
+    extra = of_patterns([(list(p), *best.get(p, (None, None))) for p in patterns], "_pattern array<string>, _extra_b int, _extra long")
+    is_extra = F.coalesce((F.col("_b") == F.col("_extra_b")) & (F.col("_place") == F.col("_extra")), F.lit(False))
+    more = inside | is_extra
+    rows = frame.withColumns({"_b": bucket, "_place": place}).join(final, "_pattern").join(extra, "_pattern")
+    # rows that fit one by one, but not all that share the place
+    none = stored(ended.where(inside & ~fits).select("_b", "_place", "_pattern", F.lit(True).alias("_none")), "mix_none")
+    if not none.isEmpty():
+        rows = rows.join(none, ["_pattern", "_b", "_place"], "left")
+        more = (inside & F.col("_none").isNull()) | is_extra
+    return rows.withColumn("_copies", F.least(F.col("_full") + more.cast("int"), F.lit(max_repeat))).select(
+        *frame.columns, "_copies", "_source_size", "_target"
+    )
+
+
+RUN = "struct<from_b:int,from:bigint,to_b:int,to:bigint,gap:bigint>"
+
+
+def _inside(run: Column) -> Column:
+    """Whether a place lies between two cuts."""
+    b, place = F.col("_b"), F.col("_place")
+    return ((b > run["from_b"]) | ((b == run["from_b"]) & (place > run["from"]))) & (
+        (b < run["to_b"]) | ((b == run["to_b"]) & (place < run["to"]))
     )
-    more = (bucket < F.col("_cut_b")) | ((bucket == F.col("_cut_b")) & (place < F.col("_cut"))) | F.array_contains("_extra", place)
-    return (
-        frame.join(final, "_pattern")
-        .withColumn("_copies", F.least(F.col("_full") + more.cast("int"), F.lit(max_repeat)))
-        .drop("_full", "_cut_b", "_cut", "_extra")
+
+
+def _cut(units: DataFrame) -> DataFrame:
+    """(pattern, words, mark): what fits ``_gap`` behind (``_from_b``, ``_from``) has how many words, and where the first one no longer fits."""
+    behind = (F.col("_b") > F.col("_from_b")) | ((F.col("_b") == F.col("_from_b")) & (F.col("_place") > F.col("_from")))
+    rest = units.where(behind & (F.col("_all") <= F.col("_gap")))
+    parts = rest.groupBy("_pattern", "_b").agg(F.sum("_all").alias("_words"))
+    # the mark of a pattern falls into one bucket; only there do rows have to be put in order
+    earlier = Window.partitionBy("_pattern").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    at = parts.withColumn("_before", F.coalesce(F.sum("_words").over(earlier), F.lit(0)))
+    run = Window.partitionBy("_pattern", "_b").orderBy("_place", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    marks = (
+        rest.join(at.select("_pattern", "_b", "_before", "_words"), ["_pattern", "_b"])
+        .where("_before <= _gap and _gap < _before + _words")
+        .withColumn("_at", F.col("_before") + F.coalesce(F.sum("_all").over(run), F.lit(0)))
+        .where(F.col("_at") + F.col("_all") > F.col("_gap"))
+        .groupBy("_pattern")
+        .agg(F.min(F.struct("_b", "_place", "_at")).alias("_mark"))
     )
+    return parts.groupBy("_pattern").agg(F.sum("_words").alias("_words")).join(marks, "_pattern", "left")
 
 
 def whole(words: float, size: int, max_repeat: int) -> tuple[int, float]:

@@ -124,6 +124,43 @@ def test_mixing_overlapping_sources_and_odd_rows(spark):
     assert {r.doc_id: r._target for r in mixing.mix(nulls).collect()} == pytest.approx({1: 4.0, 2: 4.0, 3: 2.0})
 
 
+def test_mixing_fills_what_a_long_document_leaves(spark):
+    """Small documents make up for a long one that does not fit, and the result is that of one pass in order."""
+    rows = [(i, "w " * 60, "a") for i in range(1000)] + [(5000, "w " * 130_000, "a"), (6000, "w " * 190_000, "b")]
+    rows += [(7000 + i, "w " * (i % 700 + 1), "c") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    total = sum(len(t) // 2 for _, t, _ in rows)
+    for missing in (60_000, 100_020):
+        weights = {"a": missing, "b": (total - missing) * 0.9, "c": (total - missing) * 0.1}
+        got = mixing.mix(docs, weights=weights).collect()
+        taken, target, least = collections.Counter(), {}, {}
+        for r in got:
+            taken[r.source] += r._size * r._copies
+            target[r.source] = r._target
+        assert len(got) == len(rows)
+        for r in got:
+            if r._copies < 3:
+                least[r.source] = min(least.get(r.source, 1 << 60), r._size)
+        assert abs(taken["c"] - target["c"]) <= least["c"], (taken, target)
+        assert abs(taken["a"] - target["a"]) <= (0.5 if missing == 60_000 else 40_021), (taken, target)
+
+
+def test_mixing_takes_repeated_rows_together(spark):
+    rows = [(1, "w " * 7, "a")] * 30 + [(i, "w " * (i % 5 + 1), "a") for i in range(10, 60)] + [(None, "w " * 9, "a")] * 20 + [(99, "w " * 400, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for wanted in (40, 100, 205, 333):
+        got = mixing.mix(docs, weights={"a": wanted, "b": 940 - wanted}).where("source = 'a'").collect()
+        copies = collections.defaultdict(set)
+        for r in got:
+            copies[r.doc_id].add(r._copies)
+        assert len(got) == 100 and all(len(v) == 1 for v in copies.values())
+        left = collections.Counter()
+        for r in got:
+            left[r.doc_id] += r._size * (1 - r._copies)
+        off = abs(sum(r._size * r._copies for r in got) - got[0]._target)
+        assert off <= 0.5 * min(n for n in left.values() if n), wanted  # what is left is too large
+
+
 # chat
 
 
