@@ -32,49 +32,84 @@ def _free(units: DataFrame, total: int, n_shards: int) -> DataFrame:
     )
 
 
-def _round(units: DataFrame, total: int, n_shards: int) -> DataFrame:
+def _queued(wish: DataFrame, within: list[str], name: str) -> DataFrame:
+    """Adds the rows of the moves that go before a move, within ``within``: those of earlier pieces, and those before it in its own."""
+    piece = [*within, "_level", "_salt"]
+    pieces = wish.groupBy(*piece).agg(F.sum("_n").alias("_rows"))  # a few hundred per value at most
+    earlier = Window.partitionBy(*within).orderBy("_level", "_salt").rowsBetween(Window.unboundedPreceding, -1)
+    queue = pieces.select(*piece, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_ahead"))
+    order = Window.partitionBy(*piece).orderBy(F.desc("_gain"), *KEY, "_from").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_ahead") + F.coalesce(F.sum("_n").over(order), F.lit(0))
+    return wish.join(queue, piece).withColumn(name, before).drop("_ahead")
+
+
+def _candidates(units: DataFrame, free: DataFrame) -> DataFrame:
+    """Moves towards as many or more neighbours that could be made: there is room, or another group could come the other way.
+
+    At most one row for each pair of a group's shards.
+    """
+    to = units.select(*KEY, F.col("_shard").alias("_to"), F.col("_n").alias("_gain"))
+    ways = units.withColumnRenamed("_shard", "_from").join(to, KEY).where("_from != _to and _gain >= _n")
+    # with as many on both sides a group could go both ways, but not meet itself
+    tie = (F.col("_gain") == F.col("_n")).cast("int")
+    back = ways.groupBy(F.col("_to").alias("_from"), F.col("_from").alias("_to")).agg(F.count(F.lit(1)).alias("_back"))
+    room = free.select(F.col("_shard").alias("_to"), "_free")
+    return (
+        ways.join(F.broadcast(room), "_to")  # n_shards rows
+        .join(F.broadcast(back), ["_from", "_to"], "left")  # a row per pair of shards
+        .where((F.col("_free") > 0) | (F.coalesce("_back", F.lit(0)) > tie))
+        .select(*KEY, "_from", "_to", "_n", "_gain")
+    )
+
+
+def _round(candidates: DataFrame, free: DataFrame, seed: int, attempt: int) -> DataFrame:
     """Moves of one round: (group, from, to, rows).
 
-    A group's members go to the shard that holds most of them and has room;
-    only towards more neighbours, so the number of linked pairs within shards
-    grows with every move and the rounds come to an end.
+    A group's members go to one shard, the one that holds most of them, or in
+    a further ``attempt`` any that they could go to; only towards as many or
+    more neighbours, so the number of linked pairs within shards grows with
+    every move and the rounds come to an end. Moves from one shard to another
+    and those the other way are exchanged, as many rows of each; the others go
+    where there is room.
     """
-    free = F.broadcast(_free(units, total, n_shards))  # n_shards rows
-    units = units.join(free, "_shard")
-    best = units.where("_free > 0").groupBy(*KEY).agg(F.max(F.struct("_n", -F.col("_shard"))).alias("_best"))
+    dice = F.xxhash64(*KEY, "_to", F.lit(seed))
+    first = F.col("_gain") if attempt == 0 else F.lit(0)
+    goal = candidates.groupBy(*KEY).agg(F.max(F.struct(first.alias("a"), dice.alias("b"), F.col("_to").alias("c")))["c"].alias("_to"))
     wish = (
-        units.join(best, KEY)
-        .where(F.struct("_n", -F.col("_shard")) < F.col("_best"))
-        .select(*KEY, F.col("_shard").alias("_from"), (-F.col("_best.col2")).alias("_shard"), "_n", F.col("_best._n").alias("_gain"))
+        candidates.join(goal, [*KEY, "_to"])
         .withColumn("_level", -F.floor(F.log2("_gain")))
         .withColumn("_salt", bucket_of(*map(F.col, KEY), F.col("_from"), buckets=SALTS))
     )
-    # rows before a move in its target's queue: those of earlier pieces, and those before it in its own
-    piece = ["_shard", "_level", "_salt"]
-    pieces = wish.groupBy(*piece).agg(F.sum("_n").alias("_rows"))  # a few hundred per shard at most
-    earlier = Window.partitionBy("_shard").orderBy("_level", "_salt").rowsBetween(Window.unboundedPreceding, -1)
-    queue = pieces.select(*piece, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_ahead"))
-    order = Window.partitionBy(*piece).orderBy(F.desc("_gain"), *KEY, "_from").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_ahead") + F.coalesce(F.sum("_n").over(order), F.lit(0))
+    lanes = wish.groupBy("_from", "_to").agg(F.sum("_n").alias("_there"))
+    other = lanes.select(F.col("_to").alias("_from"), F.col("_from").alias("_to"), F.col("_there").alias("_here"))
+    both = lanes.join(other, ["_from", "_to"]).select("_from", "_to", F.least("_there", "_here").alias("_both"))  # a row per pair of shards
+    swapped = (
+        _queued(wish, ["_from", "_to"], "_before")
+        .join(F.broadcast(both), ["_from", "_to"], "left")
+        .withColumn("_swapped", F.least("_n", F.greatest(F.lit(0), F.coalesce("_both", F.lit(0)) - F.col("_before"))).cast("long"))
+        .drop("_both", "_before")
+    )
+    rest = swapped.withColumn("_n", F.col("_n") - F.col("_swapped"))
+    room = free.select(F.col("_shard").alias("_to"), "_free")
     return (
-        wish.join(queue, piece)
-        .join(free, "_shard")
-        .withColumn("_moved", F.least("_n", F.greatest(F.lit(0), F.col("_free") - before)).cast("long"))
+        _queued(rest, ["_to"], "_before")
+        .join(F.broadcast(room), "_to")
+        .withColumn("_moved", (F.col("_swapped") + F.least("_n", F.greatest(F.lit(0), F.col("_free") - F.col("_before")))).cast("long"))
         .where("_moved > 0")
-        .select(*KEY, "_from", F.col("_shard").alias("_to"), "_moved")
+        .select(*KEY, "_from", "_to", "_moved")
     )
 
 
 def assign_shards(
-    docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", rounds: int = 8, seed: int = 17
+    docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", seed: int = 17
 ) -> DataFrame:
     """A shard and a place in it for every row, under the law ``rows``.
 
     Returns one row per input row: the id, ``size`` (UTF-8 bytes plus 16),
     ``text_crc32``, ``law``, ``shard``, ``slot`` and ``grown_shard`` (null under
     this law). Shard counts differ by one at most. Groups of equal texts are
-    drawn together while there is room; a group larger than a shard fills
-    whole shards first.
+    drawn together, into room or in exchange for others, until no such move
+    would link more; a group larger than a shard fills whole shards first.
 
     A null text counts as empty. Null ids are allowed. Repeated rows are
     documents of their own in the same group. An empty table gives no rows.
@@ -99,10 +134,21 @@ def assign_shards(
     linked = start.groupBy(*KEY).agg(F.sum("_n").alias("_members")).where("_members > 1")
     units = stored(start.join(linked.drop("_members"), KEY), "shard_units")
     drop_stored(start)
-    for _ in range(rounds):
-        moves = stored(_round(units, total, n_shards), "shard_moves")
-        if moves.isEmpty():
+    turn = attempt = 0
+    while True:
+        free = stored(_free(units, total, n_shards), "shard_free")
+        candidates = stored(_candidates(units, free), "shard_wishes")
+        if candidates.isEmpty():
             break
+        moves = stored(_round(candidates, free, seed + turn, attempt), "shard_moves")
+        drop_stored(candidates)
+        drop_stored(free)
+        turn += 1
+        if moves.isEmpty():  # the groups' goals do not meet: others are drawn
+            attempt += 1
+            drop_stored(moves)
+            continue
+        attempt = 0
         changed = units.select(*KEY, "_shard", "_n").unionByName(
             moves.select(*KEY, F.col("_from").alias("_shard"), (-F.col("_moved")).alias("_n"))
         ).unionByName(moves.select(*KEY, F.col("_to").alias("_shard"), F.col("_moved").alias("_n")))

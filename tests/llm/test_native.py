@@ -61,6 +61,19 @@ def test_sharding_splits_a_hot_group_over_few_shards(spark):
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)
 
 
+@pytest.mark.parametrize("alone", [0, 8])
+def test_sharding_exchanges_members_of_full_shards(spark, alone):
+    """Hardly any room: at the end no two groups could still gain by an exchange."""
+    rows = [(i, f"pair {i % 200}") for i in range(400)] + [(1000 + i, f"alone {i}") for i in range(alone)]
+    got = sharding.assign_shards(spark.createDataFrame(rows, SCHEMA), 4).collect()
+    check_shards(rows, got, 4)
+    texts, shards = dict(rows), collections.defaultdict(collections.Counter)
+    for r in got:
+        shards[texts[r.doc_id]][r.shard] += 1
+    cut = collections.Counter(tuple(sorted(v)) for v in shards.values() if len(v) > 1)
+    assert all(n == 1 for n in cut.values()) and sum(cut.values()) <= 6
+
+
 # mixing
 
 
