@@ -71,7 +71,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for every node of the edges (a, b): root is the smallest node that can be reached.
 
     Large-star and small-star steps by turns, each a minimum per node with
@@ -83,7 +83,7 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), name
     )
     before = None
-    for _ in range(rounds):
+    while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = join_per_key(both.where("b > a"), low, ["a"], "inner")
@@ -98,8 +98,6 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError(f"components have not settled after {rounds} rounds")
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

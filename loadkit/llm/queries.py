@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loadkit.llm import chat, decontamination, jaccard, mixing, neighbours, quality, repeats, sharding, tokens, toxicity
+from loadkit.llm import chat, decontamination, jaccard, mixing, neighbours, quality, repeats, sharding, simhash, tokens, toxicity
 from loadkit.llm.common import table
 
 QUERIES = {}
@@ -147,3 +147,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
