@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loadkit.llm import chat, decontamination, jaccard, mixing, neighbours, quality, repeats, sharding, simhash, tokens, toxicity
+from loadkit.llm import chat, decontamination, jaccard, mixing, neighbours, quality, repeats, runs, sharding, simhash, tokens, toxicity
 from loadkit.llm.common import table
 
 QUERIES = {}
@@ -152,3 +152,37 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query()
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _with_runs(docs: DataFrame) -> DataFrame:
+    """Writes a run into about every tenth text: from some word on, a period of original words over and over."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size("_words"), F.floor(F.col("_h") / 10)
+    start, period = F.col("_a"), F.col("_p")
+    word = lambda w, i: F.when(i < start, w).otherwise(F.get("_words", (start + (i - start) % period).cast("int")))
+    chosen = docs.select("doc_id", "text", h.alias("_h")).withColumn("_words", F.when(F.col("_h") % 10 == 0, words))
+    chosen = chosen.withColumn("_a", F.when(n > 0, g % n)).withColumn("_p", F.lit(1) + F.floor((n - start) / (F.lit(3) + g % 8)))
+    return chosen.select("doc_id", F.when(n > 0, F.array_join(F.transform("_words", word), " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse_runs(_with_runs(table(spark, sf_dir, "documents")))
+    longest = F.element_at(F.array_sort("runs", lambda x, y: F.when(_before(x, y), -1).when(_before(y, x), 1).otherwise(0)), 1)
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    return found.withColumn("longest", F.when(F.size("runs") > 0, longest)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.floor(F.lit(1000) * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def _before(x, y):
+    """Whether a run comes before another: longer, then further to the front, then of a shorter period."""
+    return F.struct(-x["length"], x["start"], x["period"]) < F.struct(-y["length"], y["start"], y["period"])
