@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loadkit.llm import chat, decontamination, jaccard, mixing, neighbours, quality, repeats, runs, sharding, simhash, tokens, toxicity
+from loadkit.llm import chat, collocations, decontamination, jaccard, mixing, neighbours, quality, repeats, runs, sharding, simhash, tokens, toxicity
 from loadkit.llm.common import table
 
 QUERIES = {}
@@ -186,3 +186,39 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _before(x, y):
     """Whether a run comes before another: longer, then further to the front, then of a shorter period."""
     return F.struct(-x["length"], x["start"], x["period"]) < F.struct(-y["length"], y["start"], y["period"])
+
+
+@query(
+    r"""
+    WITH p AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+        FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents) d),
+    g1 AS (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM p) o GROUP BY ALL),
+    g2 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS f
+           FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM p) o GROUP BY ALL HAVING count(*) >= 10),
+    g3 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f
+           FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM p) o GROUP BY ALL HAVING count(*) >= 10),
+    cuts AS (
+        SELECT g2.lang, x || ' ' || y AS phrase, g2.f AS a, 1 AS k, p.f AS l, q.f AS r
+        FROM g2 JOIN g1 p USING (lang, x) JOIN (SELECT lang, x AS y, f FROM g1) q USING (lang, y)
+        WHERE NOT EXISTS (SELECT 1 FROM g3 WHERE g3.lang = g2.lang AND 100 * g3.f >= 50 * g2.f
+                          AND (g3.x = g2.x AND g3.y = g2.y OR g3.y = g2.x AND g3.z = g2.y))
+        UNION ALL
+        SELECT g3.lang, concat_ws(' ', x, y, z), g3.f, 1, p.f, q.f
+        FROM g3 JOIN g1 p USING (lang, x) JOIN (SELECT lang, x AS y, y AS z, f FROM g2) q USING (lang, y, z)
+        UNION ALL
+        SELECT g3.lang, concat_ws(' ', x, y, z), g3.f, 2, p.f, q.f
+        FROM g3 JOIN g2 p USING (lang, x, y) JOIN (SELECT lang, x AS z, f FROM g1) q USING (lang, z)),
+    scored AS (
+        SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+    lowest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM lowest JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g1 GROUP BY lang) t USING (lang)
+    QUALIFY rank <= 2000
+    """
+)
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

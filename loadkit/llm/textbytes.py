@@ -78,10 +78,10 @@ def slices(array: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         row = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words, and for each text the number of its first word (one more at the end)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, and for each text the number of its first word (one more at the end); ``space``: which bytes part words."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~SPACE[data]
+    inside[1:-1] = ~space[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets[:-1]] = True  # a text's first byte begins a word even if the text before ends with one
     begins = inside[1:] & (~inside[:-1] | first)
