@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import zlib
 
 import duckdb
@@ -74,6 +75,32 @@ def test_sharding_exchanges_members_of_full_shards(spark, alone):
     assert all(n == 1 for n in cut.values()) and sum(cut.values()) <= 6
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sharding_leaves_no_move(spark, seed):
+    """A group lies in several shards only if no shard had room for it, and over as few as the rooms allow."""
+    rng = random.Random(seed)
+    rows, shards = [], 6
+    for g in range(40):
+        rows += [(0, f"group {g}")] * rng.choice([1, 1, 2, 3, 10, 25])
+    rows += [(0, "large")] * rng.choice([0, 90, 300])
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    got = sharding.assign_shards(spark.createDataFrame(rows, SCHEMA), shards, seed=seed).collect()
+    check_shards(rows, got, shards)
+    texts, members = dict(rows), collections.defaultdict(collections.Counter)
+    for r in got:
+        members[texts[r.doc_id]][r.shard] += 1
+    alone = collections.Counter()
+    for counts in members.values():
+        if sum(counts.values()) == 1:
+            alone += counts
+    quota = len(rows) // shards
+    for counts in members.values():
+        size = sum(counts.values())
+        if len(counts) > 1 and size <= quota:
+            assert all(alone[s] + counts[s] < size for s in range(shards))
+    assert sum(len(c) - 1 for c in members.values()) <= sum(sum(c.values()) // quota for c in members.values()) + shards
+
+
 # mixing
 
 
