@@ -410,8 +410,9 @@ def similar_groups(
     dealt = _entries(rows, width, percent, sketch).repartition("key", F.when(F.col("key").isNull(), F.col("c")))
     met = stored(_met(dealt, percent), "jaccard_met")
     need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("low") * percent / 100) / 10))
-    enough = met.where("head is null or head != c").groupBy("c").agg(F.count(F.lit(1)).alias("k"), F.min("low").alias("low")).where(F.col("k") >= need)
-    good = stored(met.join(enough.select("c"), "c", "left_semi").unionByName(met.where("head = c")), "jaccard_good")
+    enough = met.groupBy("c").agg(F.count(F.lit(1)).alias("k"), F.min("low").alias("low")).where(F.col("k") >= need)
+    others = met.where("head is null or head != c").join(enough.select("c"), "c", "left_semi")
+    good = stored(others.unionByName(met.where("head = c")), "jaccard_good")
     drop_stored(met)
     across = _edges(good.where("key is not null").repartition("key"), percent)
     within = good.where("key is null").select(F.col("head").alias("a"), F.col("c").alias("b"))

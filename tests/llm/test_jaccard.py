@@ -68,3 +68,34 @@ def test_tree_join_loses_nothing(percent):
         if 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))
     }
     assert got == want and len(x) < len(sets) * (len(sets) - 1) / 2
+
+
+@pytest.mark.parametrize("files", [2, 1, 5])
+def test_classes_that_head_long_runs_keep_their_links(spark, tmp_path, files):
+    """Two similar sets whose common rare words each have a long run in a task, headed by a different one of the two."""
+    dice = random.Random(9)
+    pools = [[f"p{k}w{i}" for i in range(400)] for k in range(4)]
+    both, own = [f"c{i}" for i in range(22)], [f"o{i}" for i in range(5)]
+
+    def sets(rare, pool, size):
+        return [[rare, *dice.sample(pool, size - 1)] for _ in range(300)]
+
+    everything = [*both, *own, *(w for p in pools for w in p)]
+    first = [["s1", "s2", *both, *own], *sets("s1", pools[0], 30), *sets("s2", pools[1], 26), *[everything] * 750]
+    second = [["s1", "s2", *both], *sets("s1", pools[2], 22), *sets("s2", pools[3], 28), *[[*both, *pools[0], *pools[3]]] * 750]
+    tasks = [first, second]
+    if files != 2:
+        mixed = first + second
+        dice.shuffle(mixed)
+        tasks = [mixed[i::files] for i in range(files)]
+    named, n = [], 0
+    for rows in tasks:
+        named.append([(n + i, " ".join(words)) for i, words in enumerate(rows)])
+        n += len(rows)
+    for i, rows in enumerate(named):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    assert docs.rdd.getNumPartitions() == files
+    got = {r.doc_id: r for r in jaccard.similar_groups(docs, width=1).collect()}
+    pair = [d for rows in named for d, t in rows if t.startswith("s1 s2 ")]
+    assert len(pair) == 2 and all(got[d].component_id == min(pair) and got[d].n_links == 1 for d in pair)
