@@ -47,8 +47,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights: each document as often as the mix takes it."""
-    mixed = mixing.mix(docs)
-    return mixed.where("_copies > 0").select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("_copies"))).alias("_")).drop("_")
+    taken = mixing.mixed_rows(docs).where("_copies > 0")
+    return taken.select("row", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select("row.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,7 +103,7 @@ def flow(patterns: dict[tuple, int], wanted: dict, epochs: int = 3) -> dict[tupl
             a[3][1] += room
 
 
-def mix(
+def mixed_rows(
     docs: DataFrame,
     sources: Column | None = None,
     weights: dict | None = None,
@@ -120,26 +120,34 @@ def mix(
     Targets share all words by weight (``targets``) with a source's size being
     the words of every row in it.
 
-    Returns the input rows with ``_pattern`` (the row's sources, sorted),
-    ``_size`` (words), ``_copies`` (0 to ``max_repeat``), and ``_source_size``
-    and ``_target`` of its first source. What is taken depends on the seed, the
-    id and the size alone: the rows of a pattern are in a seeded order, and get
-    one copy more, one after the other, if they fit what is still missing; at
-    the end one that is larger does if that brings the words nearer.
-
-    A null source is a source of its own; a row without any source is never
-    taken. Null or empty texts have size 0. Repeated rows count each, and share
-    their place in the order: all get the copy or none. Null ids are allowed. An empty table gives no
-    rows. Columns of the input may not have the names that are added.
+    Returns ``row`` (a struct of the input's columns, whatever their names),
+    ``_pattern`` (the row's sources, sorted), ``_size`` (words), ``_copies`` (0
+    to ``max_repeat``), and ``_source_size`` and ``_target`` of its first
+    source. What is taken depends on the seed, the id and the size alone: the
+    rows of a pattern are in a seeded order, and get one copy more, one after
+    the other, if they fit what is still missing; at the end one that is larger
+    does if that brings the words nearer.
+
+    A null source is a source of its own; a row without any source, or with a
+    null array, is never taken. Null or empty texts have size 0; long ones are
+    only counted. Repeated rows count each, and share their place in the order:
+    all get the copy or none. Null ids are allowed. An empty table gives no
+    rows. The driver holds a row per pattern: sources that overlap in very many
+    ways are more than it can solve.
     """
     sources = F.array(F.col("source").cast("string")) if sources is None else sources
     # null sorts after every text, as the last key
-    frame = docs.withColumn("_pattern", F.array_sort(F.array_distinct(sources))).withColumn("_size", words_of(F.col(text_col)))
-    bucket = bucket_of(F.col(id_col), F.col("_size"), F.lit(seed), buckets=BUCKETS)
-    place = F.xxhash64(F.col(id_col), F.col("_size"), F.lit(seed + 1))
+    pattern = F.coalesce(F.array_sort(F.array_distinct(sources)), F.array().cast("array<string>"))
+    size = words_of(F.col(text_col))
+    frame = docs.select(
+        F.struct("*").alias("row"),
+        pattern.alias("_pattern"),
+        size.alias("_size"),
+        bucket_of(F.col(id_col), size, F.lit(seed), buckets=BUCKETS).alias("_b"),
+        F.xxhash64(F.col(id_col), size, F.lit(seed + 1)).alias("_place"),
+    )
 
-    slim = frame.select("_pattern", "_size", bucket.alias("_b"), place.alias("_place"))
-    units = stored(slim.groupBy("_pattern", "_b", "_place", "_size").agg(F.sum("_size").alias("_all")), "mix_rows")
+    units = stored(frame.groupBy("_pattern", "_b", "_place", "_size").agg(F.sum("_size").alias("_all")), "mix_rows")
     parts = units.groupBy("_pattern").agg(F.sum("_all").alias("_words"))
     # one row per pattern: the only thing that the driver sees
     patterns = {tuple(r["_pattern"]): r["_words"] for r in parts.collect()}
@@ -201,17 +209,25 @@ def mix(
     extra = of_patterns([(list(p), *best.get(p, (None, None))) for p in patterns], "_pattern array<string>, _extra_b int, _extra long")
     is_extra = F.coalesce((F.col("_b") == F.col("_extra_b")) & (F.col("_place") == F.col("_extra")), F.lit(False))
     more = inside | is_extra
-    rows = frame.withColumns({"_b": bucket, "_place": place}).join(final, "_pattern").join(extra, "_pattern")
+    rows = frame.join(final, "_pattern").join(extra, "_pattern")
     # rows that fit one by one, but not all that share the place
     none = stored(ended.where(inside & ~fits).select("_b", "_place", "_pattern", F.lit(True).alias("_none")), "mix_none")
     if not none.isEmpty():
         rows = rows.join(none, ["_pattern", "_b", "_place"], "left")
         more = (inside & F.col("_none").isNull()) | is_extra
     return rows.withColumn("_copies", F.least(F.col("_full") + more.cast("int"), F.lit(max_repeat))).select(
-        *frame.columns, "_copies", "_source_size", "_target"
+        "row", "_pattern", "_size", "_copies", "_source_size", "_target"
     )
 
 
+def mix(docs: DataFrame, *args, **more) -> DataFrame:
+    """``mixed_rows`` with the input's columns side by side; those named like an added one give way."""
+    mixed = mixed_rows(docs, *args, **more)
+    added = mixed.columns[1:]
+    names = [c for c in docs.columns if c.lower() not in added]
+    return mixed.select(*[F.col("row").getField(c).alias(c) for c in names], *added)
+
+
 RUN = "struct<from_b:int,from:bigint,to_b:int,to:bigint,gap:bigint>"
 
 

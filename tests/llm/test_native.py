@@ -164,6 +164,18 @@ def test_mixing_overlapping_sources_and_odd_rows(spark):
     assert {r.doc_id: r._target for r in mixing.mix(nulls).collect()} == pytest.approx({1: 4.0, 2: 4.0, 3: 2.0})
 
 
+def test_mixing_null_memberships_and_clashing_names(spark):
+    docs = odd_docs(spark)
+    for name in ("_pattern", "_size", "_copies", "_target", "_source_size", "_full", "_left", "_runs", "_b", "_place", "_n", "row", "Row"):
+        docs = docs.withColumn(name, F.lit(name)) if name != "Row" else docs
+    got = mixing.mix(docs).collect()
+    assert len(got) == docs.count() and all(r.row == "row" and r._full == "_full" and 0 <= r._copies <= 3 for r in got)
+    whole = mixing.mixed_rows(docs).select("row.*")
+    assert whole.columns == docs.columns and sorted(map(repr, whole.collect())) == sorted(map(repr, docs.collect()))
+    some = F.when(F.col("doc_id") > 8, F.array(F.lit("x")))
+    assert all(r._copies == 0 and r._pattern == [] for r in mixing.mix(docs, some).collect() if r.doc_id is None or r.doc_id <= 8)
+
+
 def test_mixing_fills_what_a_long_document_leaves(spark):
     """Small documents make up for a long one that does not fit, and the result is that of one pass in order."""
     rows = [(i, "w " * 60, "a") for i in range(1000)] + [(5000, "w " * 130_000, "a"), (6000, "w " * 190_000, "b")]
