@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from loadkit.llm.common import stored
 
 MOST_LABELLED = 20_000
-MOST_ENTRIES = 2_000
+LEAST_TEXTS = 3
+CHANCE = 1e-4
 PREFIXES = (4, 5, 6)
 
 # look-alikes of Latin letters, by what they look like
@@ -86,10 +87,17 @@ def weigh(machine: ahocorasick.Automaton, text: str) -> tuple[float, int]:
             spared.append((start, end))
         elif weight > best.get(start, 0.0):
             best[start] = weight
-    for a, b in spared:
-        for start in [s for s in best if a <= s < b]:
-            del best[start]
-    return sum(best.values()), len(split)
+    if not spared:
+        return sum(best.values()), len(split)
+    spared.sort()
+    weight, reach, i = 0.0, -1, 0  # reach: how far the phrases that begin up to here go
+    for start in sorted(best):
+        while i < len(spared) and spared[i][0] <= start:
+            reach = max(reach, spared[i][1])
+            i += 1
+        if start >= reach:
+            weight += best[start]
+    return weight, len(split)
 
 
 def _scores(weight: np.ndarray, words: np.ndarray, scale: tuple[float, float, float]) -> np.ndarray:
@@ -105,15 +113,19 @@ def held_out(id_column: Column) -> Column:
 
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    exceptions: Iterable[str] = (), most_labelled: int = MOST_LABELLED, most_entries: int = MOST_ENTRIES,
+    exceptions: Iterable[str] = (), most_labelled: int = MOST_LABELLED, least_texts: int = LEAST_TEXTS, chance: float = CHANCE,
 ) -> Lexicon:
     """A lexicon from at most ``most_labelled`` labelled rows that are not held out, those whose ids hash lowest.
 
-    Entries are words and beginnings of words that are at least twenty times
-    likelier in marked texts and stand in one of a hundred of them (three at
-    least). A beginning stands for the words it begins. Words under an entry
-    that are themselves found in unmarked texts rather than marked ones become exceptions. Null ids and labels are left out.
-    Without marked and unmarked rows the lexicon is empty and scores are low.
+    Entries are words and beginnings of words that stand in ``least_texts``
+    marked texts, are at least twenty times likelier there than in unmarked ones, and
+    would be found so often in marked texts by chance with a probability of
+    ``chance`` at most (Chernoff's bound). So what an entry has to reach doesn't
+    rise with the sample, and their number isn't limited. A beginning stands for
+    the words it begins. Words under an entry that are themselves found in
+    unmarked texts rather than marked ones become exceptions. Null ids and
+    labels are left out; an id with several rows has all their texts. Without
+    marked and unmarked rows the lexicon is empty and scores are low.
     """
     marks = labels.select(F.col(id_col).alias("_i"), F.col(label_col).cast("int").alias("_y"))
     marks = marks.where(F.col("_i").isNotNull() & F.col("_y").isin(0, 1) & ~held_out(F.col("_i")))
@@ -129,7 +141,7 @@ def learn(
         for batch in batches:
             for y, t in zip(batch.column("_y").to_pylist(), batch.column("_t"), strict=True):
                 words = set(fold(t.as_py()).split())
-                for e in {f" {w} " for w in words if len(w) < 40} | {f" {w[:n]}" for w in words for n in PREFIXES if len(w) > n}:
+                for e in {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in PREFIXES if len(w) > n}:
                     counts.setdefault(e, [0, 0])[y] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.string()), *(pa.array([c[y] for c in counts.values()], pa.int64()) for y in (0, 1))], names=["entry", "no", "yes"]
@@ -137,9 +149,11 @@ def learn(
 
     counted = texts.mapInArrow(entries, "entry string, no long, yes long").groupBy("entry").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"))
     weight = F.log((F.col("yes") + 0.5) / (size[1] + 1)) - F.log((F.col("no") + 0.5) / (size[0] + 1))
-    least = max(3, size[1] // 100)
-    kept = counted.withColumn("w", weight).where((F.col("yes") >= least) & (F.col("w") >= float(np.log(20))))
-    rows = kept.orderBy(F.desc("yes"), "entry").limit(most_entries).collect()
+    share = size[1] / (size[0] + size[1])
+    own = F.col("yes") / (F.col("yes") + F.col("no"))
+    surprise = F.col("yes") * F.log(own / share) + F.col("no") * F.log(F.greatest((1 - own) / (1 - share), F.lit(1e-300)))
+    often = (F.col("yes") >= least_texts) & (F.col("w") >= float(np.log(20))) & (surprise >= -float(np.log(chance)))
+    rows = counted.withColumn("w", weight).where(often).collect()  # bounded by the sample's words
     weights: dict[str, float] = {}
     for r in sorted(rows, key=lambda r: (len(r["entry"].strip()), r["entry"])):
         entry = r["entry"]
@@ -149,10 +163,10 @@ def learn(
     spared = []
     if stems:
         under = F.lit(False)
-        for e in stems:
-            under = under | F.col("entry").startswith(e)
-        clean = counted.where(under & F.col("entry").endswith(" ") & (F.col("no") >= 3) & (F.col("no") / size[0] > F.col("yes") / size[1]))
-        spared = [r["entry"].strip() for r in clean.orderBy(F.desc("no"), "entry").limit(most_entries).collect()]
+        for n in PREFIXES:
+            under = under | F.substring("entry", 1, n + 1).isin([e for e in stems if len(e) == n + 1])
+        clean = counted.where(under & F.col("entry").endswith(" ") & (F.col("no") >= LEAST_TEXTS) & (F.col("no") / size[0] > F.col("yes") / size[1]))
+        spared = [r["entry"].strip() for r in clean.collect()]
     lexicon = Lexicon(weights, [*exceptions, *spared])
 
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,15 +177,15 @@ def learn(
                 [batch.column("_y"), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int64())], names=["y", "weight", "words"]
             )
 
-    # rows of the sample, three numbers each
-    seen = texts.mapInArrow(weighed, "y int, weight double, words long").orderBy("y", "weight", "words").collect()
-    y, w, n = (np.array([r[c] for r in seen], float) for c in ("y", "weight", "words"))
+    # three numbers, and how many texts of the sample have them
+    seen = texts.mapInArrow(weighed, "y int, weight double, words long").groupBy("y", "weight", "words").count().orderBy("y", "weight", "words").collect()
+    y, w, n, many = (np.array([r[c] for r in seen], float) for c in ("y", "weight", "words", "count"))
     x = np.stack([np.ones(len(y)), np.log1p(w), np.log1p(100 * w / np.maximum(n, 1))], 1)
     beta = np.array([-2.0, 0.5, 0.5])
     for _ in range(30):  # Newton steps of a ridge logistic regression on three numbers
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(3)
-        beta = beta + np.linalg.solve(hessian, x.T @ (y - p) - 0.5 * beta)
+        hessian = (x * (many * p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(3)
+        beta = beta + np.linalg.solve(hessian, x.T @ (many * (y - p)) - 0.5 * beta)
     return Lexicon(weights, [*exceptions, *spared], tuple(map(float, beta)))
 
 

@@ -1,5 +1,6 @@
 """Quality, toxicity, decontamination and neighbours."""
 
+import time
 import zlib
 
 import numpy as np
@@ -192,6 +193,36 @@ def test_neighbours_query(spark):
     assert all(abs(np.sqrt(((vectors[q] - vectors[i]) ** 2).sum()) - d) < 1e-12 for q, found in got.items() for i, d in found)
 
 
+def test_rare_and_long_toxic_words(spark):
+    """A word in two of a thousand marked texts, and one of 45 letters, are learnt; a word as rare in all texts is not."""
+    long = "gr" + "u" * 41 + "mf"
+    docs, labels, clean, marked = [], [], 0, 0
+    for i in range(20_000):
+        bad = i % 4 == 0
+        if zlib.crc32(str(i).encode()) % 5:
+            marked, clean = marked + bad, clean + (not bad)
+        at = marked if bad else clean
+        word = "zarkword" if bad and at % 400 == 7 else long if bad and at % 400 == 9 else "neutral" if at % 400 == 11 else ""
+        docs.append((i, f"some plain text {i % 7} of {i % 11} words {word}"))
+        labels.append((i, int(bad)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    lexicon = toxicity.learn(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    machine = lexicon.machine()
+    assert 5 <= marked // 400 <= marked * 3 / 1000
+    assert toxicity.weigh(machine, "a zarkword")[0] > 0 and toxicity.weigh(machine, f"a {long}")[0] > 0
+    assert toxicity.weigh(machine, "a neutral plain text")[0] == 0
+
+
+def test_many_exceptions_take_time_in_proportion():
+    machine = toxicity.Lexicon({" idio": 5.0}, ["idiot savant"]).machine()
+    took = []
+    for n in (20_000, 80_000):
+        began = time.perf_counter()
+        assert toxicity.weigh(machine, "idiot savant idiot " * n)[0] == 5.0 * n
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0]
+
+
 def test_neighbours_with_copies_and_odd_vectors(spark):
     dice = np.random.default_rng(2)
     rows = [(i, [float(x) for x in dice.normal(size=4)]) for i in range(30)]
