@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadkit.llm.common import bucket_of, numbered, stored
+from loadkit.operators.keyed import join_per_key
 
 BUCKETS = 1024
 SALTS = 64
@@ -151,7 +152,8 @@ def assign_shards(
     # a group's members by number: the first _n of its first shard, and so on
     plan = placed.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct(F.col("_shard").alias("s"), F.col("_n").alias("n")))).alias("_plan"))
     plan = stored(plan, "shard_plan")
-    members = numbered(base.join(plan.select(*KEY), KEY, "left_semi"), KEY, "_bucket", ["_id"], "_pos").join(plan, KEY)
+    members = numbered(join_per_key(base, plan.select(*KEY), KEY, "left_semi"), KEY, "_bucket", ["_id"], "_pos")
+    members = join_per_key(members, plan, KEY, "inner")
     of_group = F.aggregate(
         "_plan",
         F.struct(F.col("_pos").alias("left"), F.lit(-1).alias("shard")),
@@ -162,7 +164,7 @@ def assign_shards(
     in_group = members.select("_id", *KEY, "_bucket", of_group.alias("_shard"))
 
     # documents without neighbours fill the rest
-    alone = numbered(base.join(plan.select(*KEY), KEY, "left_anti").withColumn("_all", F.lit(0)), ["_all"], "_bucket", ["_id", *KEY], "_pos")
+    alone = numbered(join_per_key(base, plan.select(*KEY), KEY, "left_anti").withColumn("_all", F.lit(0)), ["_all"], "_bucket", ["_id", *KEY], "_pos")
     filled = alone.withColumn("_plan", _rooms(free)).select("_id", *KEY, "_bucket", of_group.alias("_shard"))
 
     result = numbered(stored(in_group.unionByName(filled), "shard_placed"), ["_shard"], "_bucket", ["_id", *KEY], "_slot")
