@@ -32,11 +32,14 @@ from loadkit.llm.textbytes import mix, shingles, slices
 
 SKETCH = 1 << 20
 SKETCH_PARTS = 16
-TILE_SHINGLES = 3 << 20
+TILE_SHINGLES = 3 << 19
 TILE_CLASSES = 1024
 FANOUT = 8
 LONG_RUN = 256
 FILTER_BITS = 1 << 24
+ROWS = 1 << 16
+ENTRIES = 1 << 18  # that a worker holds at once, besides those of one key or text
+BIT_WORDS = 1 << 22
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,29 +164,7 @@ def _entries(docs: DataFrame, width: int, percent: int, sketch) -> DataFrame:
     that class as ``head`` and without a key.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = sketch.value.astype(np.uint64)
-        keys, names, sizes = [], [], []
-        seen: set[int] = set()
-        for batch in batches:
-            for _, _, data, offsets in slices(batch.column("text")):
-                hashes, bounds = sets_of(data, offsets, width)
-                name, size = class_of(hashes, bounds), np.diff(bounds)
-                order = rank[(hashes % np.uint64(SKETCH)).astype(np.int64)] << np.uint64(52) | hashes >> np.uint64(12)
-                take = prefix_of(size, percent)
-                for i, c in enumerate(name.tolist()):
-                    if c in seen:
-                        take[i] = 0
-                    else:
-                        seen.add(c)
-                        order[bounds[i] : bounds[i + 1]].sort()
-                place = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take) + np.repeat(bounds[:-1], take)
-                keys.append(order[place].view(np.int64))
-                names.append(np.repeat(name, take))
-                sizes.append(np.repeat(size, take))
-        if not keys:
-            return
-        key, name, size = np.concatenate(keys), np.concatenate(names), np.concatenate(sizes)
+    def packed(key: np.ndarray, name: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((size, key))
         key, name, size = key[order], name[order], size[order]
         begin = np.flatnonzero(_runs(key, size, size, percent))
@@ -199,65 +180,107 @@ def _entries(docs: DataFrame, width: int, percent: int, sketch) -> DataFrame:
             (key[begin[long]], name[begin[long]], size[begin[long]], high[long], name[begin[long]]),
             (None, name[inner], size[inner], size[inner], head),
         ):
-            yield pa.RecordBatch.from_arrays(
+            whole = pa.RecordBatch.from_arrays(
                 [pa.nulls(len(c), pa.int64()) if k is None else pa.array(k), pa.array(c), pa.array(low), pa.array(top), pa.nulls(len(c), pa.int64()) if first is None else pa.array(first)],
                 names=["key", "c", "low", "high", "head"],
             )
+            for at in range(0, len(c), ROWS):
+                yield whole.slice(at, ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = sketch.value.astype(np.uint64)
+        have: list[tuple[np.ndarray, ...]] = []
+        seen: set[int] = set()
+        for batch in batches:
+            for _, _, data, offsets in slices(batch.column("text")):
+                hashes, bounds = sets_of(data, offsets, width)
+                name, size = class_of(hashes, bounds), np.diff(bounds)
+                order = rank[(hashes % np.uint64(SKETCH)).astype(np.int64)] << np.uint64(52) | hashes >> np.uint64(12)
+                take = prefix_of(size, percent)
+                for i, c in enumerate(name.tolist()):
+                    if c in seen:
+                        take[i] = 0
+                    else:
+                        seen.add(c)
+                        order[bounds[i] : bounds[i + 1]].sort()
+                place = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take) + np.repeat(bounds[:-1], take)
+                have.append((order[place].view(np.int64), np.repeat(name, take), np.repeat(size, take)))
+                if sum(len(h[0]) for h in have) >= ENTRIES:
+                    yield from packed(*map(np.concatenate, zip(*have, strict=True)))
+                    have = []
+        if have:
+            yield from packed(*map(np.concatenate, zip(*have, strict=True)))
 
     return docs.select("text").mapInArrow(run, "key long, c long, low long, high long, head long")
 
 
-def _sorted(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray] | None:
-    """Columns of a task's rows by (key, low), each class of a key once; heads as they are, 0 for none."""
-    table = [b for b in batches if b.num_rows]
-    if not table:
-        return None
-    got = [np.concatenate([b.column(c).fill_null(0).to_numpy() for b in table]) for c in ("key", "c", "low", "high", "head")]
-    order = np.lexsort((-got[3], got[1], got[0]))
-    got = [x[order] for x in got]
-    keep = np.ones(len(order), bool)
-    keep[1:] = (got[0][1:] != got[0][:-1]) | (got[1][1:] != got[1][:-1])
-    got = [x[keep] for x in got]
-    order = np.lexsort((got[2], got[0]))
-    return [x[order] for x in got]
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows that come sorted by key, some whole keys at a time, by (key, low), each class of a key once; heads as they are, 0 for none."""
+    parts: list[pa.RecordBatch] = []
+
+    def columns(rows: list[pa.RecordBatch]) -> list[np.ndarray]:
+        got = [np.concatenate([b.column(c).fill_null(0).to_numpy() for b in rows]) for c in ("key", "c", "low", "high", "head")]
+        order = np.lexsort((-got[3], got[1], got[0]))
+        got = [x[order] for x in got]
+        keep = np.ones(len(order), bool)
+        keep[1:] = (got[0][1:] != got[0][:-1]) | (got[1][1:] != got[1][:-1])
+        got = [x[keep] for x in got]
+        order = np.lexsort((got[2], got[0]))
+        return [x[order] for x in got]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy()
+        cut = int(np.searchsorted(key, key[-1]))
+        if parts and (cut or key[0] != parts[-1].column("key")[-1].as_py()) and sum(b.num_rows for b in parts) + cut >= ROWS:
+            yield columns([*parts, batch.slice(0, cut)])
+            parts = [batch.slice(cut)]
+        else:
+            parts.append(batch)
+    if parts:
+        yield columns(parts)
 
 
 def _met(entries: DataFrame, percent: int) -> DataFrame:
-    """The entries that share a run of sizes with another class, and the members of long runs."""
+    """The entries that share a run of sizes with another class, and the members of long runs, from rows sorted by key."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = []
-        for batch in batches:
-            keyless = batch.filter(batch.column("key").is_null())
-            if keyless.num_rows:
-                yield keyless
-            rest.append(batch.filter(batch.column("key").is_valid()))
-        got = _sorted(iter(rest))
-        if got is None:
-            return
+    def met(got: list[np.ndarray]) -> pa.RecordBatch:
         begin = np.flatnonzero(_runs(got[0], got[2], got[3], percent))
         many = np.diff(np.concatenate([begin, [len(got[0])]]))
         keep = np.repeat(many > 1, many) | (got[4] != 0)
         key, c, low, high, head = (x[keep] for x in got)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(key), pa.array(c), pa.array(low), pa.array(high), pa.array(head, mask=head == 0)], names=["key", "c", "low", "high", "head"]
         )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keyless: list[pa.RecordBatch] = []
+
+        def keyed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                none = batch.column("key").null_count  # they come first
+                keyless.append(batch.slice(0, none))
+                yield batch.slice(none)
+
+        for got in _by_key(keyed()):
+            yield met(got)
+            yield from keyless
+            keyless.clear()
+        yield from keyless
+
     return entries.mapInArrow(run, "key long, c long, low long, high long, head long")
 
 
 def _edges(met: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the first class of a run of sizes with each of the others."""
+    """(a, b): the first class of a run of sizes with each of the others, from rows sorted by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _sorted(batches)
-        if got is None:
-            return
-        key, name, low, high, _ = got
-        begin = np.flatnonzero(_runs(key, low, high, percent))
-        head = np.repeat(name[begin], np.diff(np.concatenate([begin, [len(key)]])))
-        edge = np.unique(np.stack([head, name], 1)[head != name], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(edge[:, 0]), pa.array(edge[:, 1])], names=["a", "b"])
+        for key, name, low, high, _ in _by_key(batches):
+            begin = np.flatnonzero(_runs(key, low, high, percent))
+            head = np.repeat(name[begin], np.diff(np.concatenate([begin, [len(key)]])))
+            edge = np.unique(np.stack([head, name], 1)[head != name], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(edge[:, 0]), pa.array(edge[:, 1])], names=["a", "b"])
 
     return met.mapInArrow(run, "a long, b long")
 
@@ -317,17 +340,21 @@ def verified(hashes: np.ndarray, bounds: np.ndarray, x: np.ndarray, y: np.ndarra
     values, back, count = np.unique(hashes, return_inverse=True, return_counts=True)
     place = np.cumsum(count > 1) - 1
     shared = count[back] > 1
+    at, owner = place[back[shared]], owner[shared]
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
     width = (int((count > 1).sum()) + 63) // 64
-    bits = np.zeros((len(sizes), max(1, width)), np.uint64)
-    at = place[back[shared]]
-    np.bitwise_or.at(bits, (owner[shared], at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
-    good = np.zeros(len(x), bool)
-    step = max(1, (1 << 21) // bits.shape[1])
-    for i in range(0, len(x), step):
-        part = slice(i, i + step)
-        both = np.bitwise_count(bits[x[part]] & bits[y[part]]).sum(1, dtype=np.int64)
-        good[part] = both * (100 + percent) >= percent * (sizes[x[part]] + sizes[y[part]])
-    return good
+    both = np.zeros(len(x), np.int64)
+    most = max(1, BIT_WORDS // max(1, len(sizes)))  # words of bits at a time
+    for first in range(0, width, most):
+        a, b = np.searchsorted(at, (first << 6, (first + most) << 6))
+        bits = np.zeros((len(sizes), min(most, width - first)), np.uint64)
+        np.bitwise_or.at(bits, (owner[a:b], (at[a:b] >> 6) - first), np.uint64(1) << (at[a:b] & 63).astype(np.uint64))
+        step = max(1, (1 << 20) // bits.shape[1])
+        for i in range(0, len(x), step):
+            part = slice(i, i + step)
+            both[part] += np.bitwise_count(bits[x[part]] & bits[y[part]]).sum(1, dtype=np.int64)
+    return both * (100 + percent) >= percent * (sizes[x] + sizes[y])
 
 
 def _join_tiles(name, weight, tile, hashes, bounds, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -407,14 +434,14 @@ def similar_groups(
     known = scanned.where("part is null").select("row.id", "row.t", "n", "c")
 
     # classes that meet others often enough, and what they meet there
-    dealt = _entries(rows, width, percent, sketch).repartition("key", F.when(F.col("key").isNull(), F.col("c")))
+    dealt = _entries(rows, width, percent, sketch).repartition("key", F.when(F.col("key").isNull(), F.col("c"))).sortWithinPartitions("key")
     met = stored(_met(dealt, percent), "jaccard_met")
     need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("low") * percent / 100) / 10))
     enough = met.groupBy("c").agg(F.count(F.lit(1)).alias("k"), F.min("low").alias("low")).where(F.col("k") >= need)
     others = met.where("head is null or head != c").join(enough.select("c"), "c", "left_semi")
     good = stored(others.unionByName(met.where("head = c")), "jaccard_good")
     drop_stored(met)
-    across = _edges(good.where("key is not null").repartition("key"), percent)
+    across = _edges(good.where("key is not null").repartition("key").sortWithinPartitions("key"), percent)
     within = good.where("key is null").select(F.col("head").alias("a"), F.col("c").alias("b"))
     clusters = stored(components(across.unionByName(within), "jaccard_clusters"), "jaccard_roots")
     drop_stored(good)
