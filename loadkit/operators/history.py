@@ -210,6 +210,14 @@ def _stamped(df: DataFrame, inserted_col: str | None) -> DataFrame:
     return add_current_timestamp(df, inserted_col) if inserted_col else df
 
 
+def _one_per_date(source: DataFrame, keys: list[str], date_col: str, value_cols: list[str]) -> DataFrame:
+    """The greatest source row of each key and date, and all rows that lack one of them."""
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, date_col)])
+    rest = [f.name for f in source.schema if f.name not in (*keys, date_col, *value_cols) and isinstance(f.dataType, AtomicType)]
+    first = first_per_key(source.where(known), [*keys, date_col], [F.col(c).desc() for c in (*value_cols, *rest)])
+    return first.unionByName(source.where(~known))
+
+
 def changed_asof(
     source: DataFrame,
     target: DataFrame,
@@ -217,12 +225,30 @@ def changed_asof(
     date_col: str,
     value_cols: list[str],
     inserted_col: str | None = "inserted_time",
+    chain: bool = False,
 ) -> DataFrame:
     """Rows to append so that late arrivals still fit.
 
     A source row is kept if the target has no row of its key and date, and its
     values differ from the latest target row before that date, or there is none.
+
+    With ``chain`` the batch's own rows count as well: target and batch make one
+    line per key, and a row is judged by the point before it, of either. A date
+    that the target has is the target's. Of several source rows of one key and
+    date the greatest by values counts, and the others are not kept. So a value
+    that a batch repeats day after day is appended once, and a second load of
+    the same batch appends nothing.
     """
+    if chain:
+        source = _one_per_date(source, keys, date_col, value_cols)
+        source = not_in_target(source, target, keys, date_col)
+        on = [*keys, date_col, *value_cols]
+        target = target.select(*on).unionByName(source.select(*[F.col(c).cast(target.schema[c].dataType) for c in on]))
+        prev = F.col("_prev")
+        joined = _looked_up(source, target, keys, date_col, value_cols)
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, date_col)])
+        changed = ~known | prev.isNull() | differs([F.col(c) for c in value_cols], [prev[c] for c in value_cols])
+        return _stamped(joined.where(changed).select(*source.columns), inserted_col)
     joined = _looked_up(source, target, keys, date_col, value_cols)
     prev = F.col("_prev")
     changed = prev.isNull() | differs([F.col(c) for c in value_cols], [prev[c] for c in value_cols])

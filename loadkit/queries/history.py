@@ -140,6 +140,19 @@ def history_asof(spark, sf):
     return _text_dates(df.drop("inserted_time"))
 
 
+@query(f"""WITH {TARGET_CTE}, {SOURCE_CTE}, {CANDIDATES_CTE},
+points AS (SELECT id, business_date, value1, value2, FALSE AS fresh FROM tgt
+           UNION ALL SELECT id, business_date, value1, value2, TRUE FROM cand),
+line AS (SELECT *, LAG(value1) OVER w AS before, ROW_NUMBER() OVER w AS place
+         FROM points WINDOW w AS (PARTITION BY id ORDER BY business_date))
+SELECT id, CAST(business_date AS VARCHAR) AS business_date, value1, value2
+FROM line WHERE fresh AND (place = 1 OR value1 IS DISTINCT FROM before)""")
+def history_asof_chain(spark, sf):
+    """Late rows and rows of the batch itself: each is judged by what comes before it, of either."""
+    df = H.changed_asof(source(spark, sf), target(spark, sf), KEYS, DATE, ["value1"], chain=True)
+    return _text_dates(df.drop("inserted_time"))
+
+
 @query(f"WITH {TARGET_CTE}, {SOURCE_CTE}, {CANDIDATES_CTE}, {ASOF_CTE} "
        "SELECT COUNT(*) AS stamped, CAST(1 AS BIGINT) AS stamps FROM changed")
 def history_inserted_time(spark, sf):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loadkit.operators.merge import merge
 from loadkit.queries.registry import query, table
 from loadkit.session import scratch_table
+from loadkit.sinks.hashed import create_hashed, hashed_rows, merge_hashed
 from loadkit.sinks.tables import merge_into, write_table
 
 FRAMES = """WITH mt AS (SELECT c_custkey AS account_id, c_name AS name, c_mktsegment AS segment FROM customer),
@@ -76,3 +77,12 @@ def merge_into_partitioned(spark, sf):
     write_table(accounts(spark, sf), name, partition_by=["segment"])
     merge_into(feed(spark, sf), name, ["account_id"], ["name"], "source.is_deleted = true")
     return spark.table(name)
+
+
+@query(FRAMES + MERGED + NOT_DELETED)
+def merge_into_hashed(spark, sf):
+    """The table is kept in buckets by a hash of the key; only those of the feed's keys are read and written."""
+    name = scratch_table(spark, "accounts")
+    create_hashed(accounts(spark, sf), name, ["account_id"], 64)
+    merge_hashed(feed(spark, sf), name, ["account_id"], ["name"], "source.is_deleted = true")
+    return hashed_rows(spark, name)

@@ -287,23 +287,28 @@ def _merge_partitions(
         same = reduce(lambda a, b: a & b, [target[c].eqNullSafe(values[c]) for c in parts])
         near = target.join(values, same, "left_semi")
         rows = _create(merge(near, source, keys, update_columns, delete_condition), staged)
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")
-        try:
-            _insert(spark.table(staged), table, overwrite=True)
-        finally:
-            spark.conf.set(mode, before)
-        left = spark.table(staged).select(*parts).distinct()
-        emptied = values.join(left, reduce(lambda a, b: a & b, [values[c].eqNullSafe(left[c]) for c in parts]), "left_anti")
-        for row in emptied.collect():  # partitions that lost their last row
-            spec = ", ".join(f"`{c}` = {_literal(row[c])}" for c in parts)
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        _replace_partitions(spark, table, parts, staged, values)
         return rows
     finally:
         for scratch in (touched, staged):
             spark.sql(f"DROP TABLE IF EXISTS {scratch}")
 
 
+def _replace_partitions(spark: SparkSession, table: str, parts: list[str], staged: str, values: DataFrame) -> None:
+    """Put a staged table's rows in the place of the partitions ``values``; those that have lost all rows are dropped."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        _insert(spark.table(staged), table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    left = spark.table(staged).select(*parts).distinct()
+    emptied = values.join(left, reduce(lambda a, b: a & b, [values[c].eqNullSafe(left[c]) for c in parts]), "left_anti")
+    for row in emptied.collect():  # partitions that lost their last row
+        spec = ", ".join(f"`{c}` = {_literal(row[c])}" for c in parts)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
 def _literal(value: object) -> str:
     return "null" if value is None else str(value) if isinstance(value, (int, float)) else f"'{_quoted(str(value))}'"

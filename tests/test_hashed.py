@@ -1,0 +1,94 @@
+"""Tables dealt out by a hash of their key."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from loadkit.operators.merge import merge
+from loadkit.session import scratch_table
+from loadkit.sinks import hashed
+from tests.conftest import plan, rows
+
+FIELDS = "id int, part string, value string"
+
+
+def new_table(spark, many=400, buckets=16):
+    name = scratch_table(spark, "hashed")
+    frame = spark.createDataFrame([(i, "ab"[i % 2], f"old {i}") for i in range(many)] + [(None, "n", "no key")], FIELDS)
+    assert hashed.create_hashed(frame, name, ["id", "part"], buckets) == many + 1
+    return name, frame
+
+
+def test_only_touched_buckets_are_written(spark):
+    name, frame = new_table(spark)
+    before = set(spark.table(name).inputFiles())
+    feed = spark.createDataFrame([(1, "b", "new"), (2, "a", "new"), (9999, "z", "more")], "id long, part string, value string")
+    buckets = {r[0] for r in feed.select(hashed._bucket(["id", "part"], [spark.table(name).schema[k].dataType for k in ("id", "part")], 16)).collect()}
+    hashed.merge_hashed(feed, name, ["part", "id"], ["value"])
+    spark.catalog.refreshTable(name)
+    after = set(spark.table(name).inputFiles())
+    bucket_of = lambda f: int(f.split(f"{hashed.BUCKET}=")[1].split("/")[0])
+    assert {bucket_of(f) for f in before ^ after} <= buckets and len(before & after) >= 16 - len(buckets)
+    assert rows(hashed.hashed_rows(spark, name)) == rows(merge(frame, feed, ["id", "part"], ["value"]))
+
+
+def test_other_buckets_are_not_read(spark, monkeypatch):
+    name, _ = new_table(spark)
+    plans = []
+    create = hashed._create
+    monkeypatch.setattr(hashed, "_create", lambda df, *a: (plans.append(plan(df)), create(df, *a))[1])
+    hashed.merge_hashed(spark.createDataFrame([(1, "b", "new")], FIELDS), name, ["id", "part"], ["value"])
+    scans = [x for x in plans[0].split("\n") if "PartitionFilters" in x and hashed.BUCKET in x]
+    assert scans and all(f"{hashed.BUCKET}#" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_the_plain_merge(spark, seed):
+    rng = random.Random(seed)
+    name, frame = new_table(spark, 60, 7)
+    want = frame
+    for _ in range(3):
+        feed = [(i, rng.choice("ab"), rng.choice(["x", "gone", None])) for i in rng.sample(range(90), 25)] + [(None, "a", "null key")]
+        feed = spark.createDataFrame(feed, FIELDS)
+        want = spark.createDataFrame(merge(want, feed, ["id", "part"], ["value"], "source.value = 'gone'").collect(), FIELDS)
+        hashed.merge_hashed(feed, name, ["id", "part"], ["value"], "source.value = 'gone'")
+        assert rows(hashed.hashed_rows(spark, name)) == rows(want)
+
+
+def test_a_bucket_can_lose_all_rows_and_come_back(spark):
+    name, frame = new_table(spark, 20, 500)
+    gone = frame.where("id is not null").withColumn("value", F.lit("gone"))
+    hashed.merge_hashed(gone, name, ["id", "part"], ["value"], "true")
+    assert rows(hashed.hashed_rows(spark, name)) == [(None, "n", "no key")]
+    assert hashed.append_hashed(gone, name) == 20 and hashed.hashed_rows(spark, name).count() == 21
+    assert hashed.merge_hashed(gone.where("false"), name, ["id", "part"], ["value"]) == 0
+
+
+def test_two_merges_at_once(spark, monkeypatch):
+    """The one that comes second fails, and no row is lost."""
+    name, frame = new_table(spark)
+    create, done = hashed._create, []
+
+    def interrupted(df, table, *rest):
+        out = create(df, table, *rest)
+        if not done:
+            done.append(1)
+            hashed.merge_hashed(spark.createDataFrame([(1, "b", "theirs")], FIELDS), name, ["id", "part"], ["value"])
+        return out
+
+    monkeypatch.setattr(hashed, "_create", interrupted)
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        hashed.merge_hashed(spark.createDataFrame([(1, "b", "ours")], FIELDS), name, ["id", "part"], ["value"])
+    want = frame.withColumn("value", F.when(F.col("id") == 1, "theirs").otherwise(F.col("value")))
+    assert rows(hashed.hashed_rows(spark, name)) == rows(want)
+
+
+def test_refusals(spark):
+    name, frame = new_table(spark, 5)
+    with pytest.raises(ValueError, match="hashed by"):
+        hashed.merge_hashed(frame, name, ["id"], ["value"])
+    with pytest.raises(ValueError, match="floating"):
+        hashed.create_hashed(frame.withColumn("f", F.lit(1.0)), scratch_table(spark, "x"), ["f"])
+    with pytest.raises(ValueError, match="own column"):
+        hashed.create_hashed(frame.withColumn(hashed.BUCKET, F.lit(1)), scratch_table(spark, "x"), ["id"])

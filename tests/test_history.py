@@ -264,3 +264,44 @@ def test_hot_key_is_split(spark, conf):
     found = H.asof_previous(base, target, KEYS, "at", ["v"])
     assert len(found.collect()) == n
     assert "CartesianProduct" not in plan(found) and "BroadcastNestedLoopJoin" not in plan(found)
+
+
+def chained_by_hand(source, target):
+    """Rows to append, walking each key's line of dates."""
+    out = [r for r in source if r[0] is None or r[1] is None]
+    for key in {r[0] for r in source if r[0] is not None}:
+        own, have = {}, {}
+        for k, d, v in source:
+            if k == key and d is not None:
+                own[d] = max(own.get(d, v), v, key=lambda x: (x is not None, x or ""))
+        for k, d, v in target:
+            if k == key and d is not None:
+                have[d] = max(have.get(d, v), v, key=lambda x: (x is not None, x or ""))
+        line, before = sorted({*own, *have}), None
+        for d in line:
+            if d in have:
+                before = (have[d],)
+            elif before != (own[d],):
+                out.append((key, d, own[d]))
+                before = (own[d],)
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_chain_against_brute_force(spark, kind):
+    """Late rows, equal rows, several rows of a date, nulls; a second load adds nothing."""
+    rng = random.Random(kind)
+
+    def some(n):
+        return [(rng.choice([1, 2, 3, None]), rng.choice([*(f"2024-01-{d:02d}" for d in range(1, 20)), None]), rng.choice(["a", "b", None])) for _ in range(n)]
+
+    def frame(data):
+        return spark.createDataFrame(data, "id int, day string, value string").withColumn("day", F.col("day").cast(kind))
+
+    shown = lambda df: sorted(((r.id, r.day and str(r.day)[:10], r.value) for r in df.collect()), key=repr)
+    for n in (0, 3, 40):
+        source, target = some(60), some(n)
+        got = shown(H.changed_asof(frame(source), frame(target), ["id"], "day", ["value"], chain=True))
+        assert got == chained_by_hand(source, target)
+        again = shown(H.changed_asof(frame(source), frame(target + got), ["id"], "day", ["value"], chain=True))
+        assert [r for r in again if r[0] is not None and r[1] is not None] == []
