@@ -59,3 +59,35 @@ def schema_from_config(schema: dict[str, dict]) -> T.StructType:
             for name, spec in source_columns(schema).items()
         ]
     )
+
+
+#: Whole-number types by width, with the digits they need.
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_MOMENTS = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def promoted(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both without loss; text where no other does.
+
+    Whole numbers widen to longer ones, then to decimals with the digits of
+    both sides; short whole numbers and floats to double; dates to timestamps.
+    Binary, nested and interval types are only like themselves.
+    """
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if type(a) in _WHOLE and type(b) in _WHOLE:
+        return a if _WHOLE[type(a)] >= _WHOLE[type(b)] else b
+    if all(isinstance(x, T.DecimalType) or type(x) in _WHOLE for x in (a, b)):
+        sizes = [(x.precision - x.scale, x.scale) if isinstance(x, T.DecimalType) else (_WHOLE[type(x)], 0) for x in (a, b)]
+        whole, scale = (max(s) for s in zip(*sizes, strict=True))
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    if all(isinstance(x, (T.FloatType, T.DoubleType)) or _WHOLE.get(type(x), 99) <= 10 for x in (a, b)):
+        return T.DoubleType()
+    if isinstance(a, _MOMENTS) and isinstance(b, _MOMENTS) and isinstance(T.DateType(), (type(a), type(b))):
+        return b if isinstance(a, T.DateType) else a
+    plain = (*_WHOLE, T.DecimalType, T.FloatType, T.DoubleType, T.BooleanType, T.StringType, T.CharType, T.VarcharType, *_MOMENTS)
+    if isinstance(a, plain) and isinstance(b, plain):
+        return T.StringType()
+    raise ValueError(f"no type holds both {a.simpleString()} and {b.simpleString()}")

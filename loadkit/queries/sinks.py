@@ -55,6 +55,24 @@ def sink_evolving(spark, sf):
     return spark.table(name).fillna("-", ["segment", "nation"])
 
 
+@query(
+    "SELECT 'customer' AS kind, CAST(CAST(c_custkey AS DECIMAL(21,2)) AS VARCHAR) AS id, CAST(c_nationkey AS VARCHAR) AS code FROM customer "
+    "UNION ALL SELECT 'supplier', CAST(CAST(s_suppkey + 5000000000 AS DECIMAL(21,2)) AS VARCHAR), CAST(s_nationkey AS VARCHAR) FROM supplier "
+    "UNION ALL SELECT 'part', CAST(CAST(p_partkey + 0.25 AS DECIMAL(21,2)) AS VARCHAR), p_brand FROM part"
+)
+def sink_evolving_types(spark, sf):
+    """One column goes from int to long to decimal, another from int to text; the rows that are there already keep their values."""
+    name = scratch_table(spark, "parties")
+    frames = (
+        table(spark, sf, "customer").selectExpr("'customer' AS kind", "CAST(c_custkey AS int) AS id", "CAST(c_nationkey AS int) AS code"),
+        table(spark, sf, "supplier").selectExpr("'supplier' AS kind", "CAST(s_suppkey + 5000000000 AS bigint) AS id", "CAST(s_nationkey AS smallint) AS code"),
+        table(spark, sf, "part").selectExpr("'part' AS kind", "CAST(p_partkey + 0.25 AS decimal(12,2)) AS id", "p_brand AS code"),
+    )
+    for frame in frames:
+        sinks.append_evolving(frame, name)
+    return spark.table(name).select("kind", F.col("id").cast("string"), "code")
+
+
 def _counts(spark, name, **counts):
     """Counts taken on the way, next to the rows the table really has."""
     held = spark.table(name).agg(F.count("*").alias("table_rows"))

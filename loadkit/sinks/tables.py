@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from loadkit.functions.types import promoted
 from loadkit.operators.keyed import join_per_key
 from loadkit.operators.merge import merge
 from loadkit.session import scratch_table
@@ -119,20 +120,31 @@ def write_table(
 
 
 def append_evolving(df: DataFrame, table: str, dry_run: bool = False) -> int:
-    """Append, creating the table and adding new columns; columns the frame lacks become null."""
+    """Append, creating the table, adding new columns and widening those whose type has changed.
+
+    Columns the frame lacks become null. Where the table's type of a column
+    can't hold the frame's (``promoted``), the table is written again with the
+    wider type and swapped in before the rows are added, so a failure leaves it as
+    it was or merely wider. A frame of narrower types just fits in.
+    """
     spark = df.sparkSession
     if dry_run:
         return df.count()
     if not _exists(spark, table):
         return _create(df, table)
     known = {f.name.lower(): f for f in spark.table(table).schema}
+    types = {f.name: promoted(known[f.name.lower()].dataType, f.dataType) for f in df.schema if f.name.lower() in known}
+    wider = {known[c.lower()].name: kind for c, kind in types.items() if kind != known[c.lower()].dataType}
+    if wider:
+        held = spark.table(table)
+        replace_table(held.withColumns({c: F.col(f"`{c}`").cast(kind) for c, kind in wider.items()}), table)
     new = [f for f in df.schema if f.name.lower() not in known]
     if new:
         added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
     present = {c.lower() for c in df.columns}
     absent = {f.name: F.lit(None).cast(f.dataType) for name, f in known.items() if name not in present}
-    return _insert(df.withColumns(absent), table)
+    return _insert(df.withColumns({c: F.col(f"`{c}`").cast(kind) for c, kind in types.items()} | absent), table)
 
 
 def _details(spark: SparkSession, table: str) -> dict[str, str]:
