@@ -26,6 +26,7 @@ from loadkit.operators.validation import (
     schema_findings,
 )
 from loadkit.plans.gate import final_status, gate, is_empty, stored
+from loadkit.sinks import once
 from loadkit.sinks import tables as sinks
 from loadkit.sources.registry import read_source
 
@@ -65,13 +66,20 @@ def shape(df: DataFrame, cfg: LoadConfig) -> DataFrame:
     return add_derived_columns(df, collate_column_specs(cfg.audit_columns_to_be_added, cfg.table_columns_to_be_added))
 
 
-def _write(df: DataFrame, cfg: LoadConfig) -> int | None:
+def _appends_once(spark: SparkSession, cfg: LoadConfig) -> bool:
+    """Whether the target keeps loads apart, so that a retry finds its own rows."""
+    return not cfg.merge and cfg.write_mode.lower() == "append" and once.keeps_runs(spark, cfg.target, cfg.partition_by)
+
+
+def _write(df: DataFrame, cfg: LoadConfig, load_id: str) -> int | None:
     if cfg.merge:
         m = cfg.merge
         return sinks.merge_into(
             df, m.get("target_table"), m.get("merge_keys"), m.get("update_columns"), m.get("delete_condition")
         )
     mode = cfg.write_mode.lower()
+    if _appends_once(df.sparkSession, cfg):
+        return once.append_once(df, cfg.target, load_id, cfg.partition_by)
     if cfg.ingest_type in ("table", "delta") or mode != "append" or cfg.partition_by:
         return sinks.write_table(df, cfg.target, mode, cfg.partition_by)
     return sinks.append_table(df, cfg.target)
@@ -109,16 +117,25 @@ def _quarantine(rows: DataFrame, cfg: LoadConfig, run_id: str) -> None:
     sinks.append_evolving(rows.withColumn("run_id", F.lit(run_id)), cfg.quarantine)
 
 
-def _only_warned(validated: ValidationResult, cfg: LoadConfig, run_id: str, findings: list[Row]) -> tuple[list[Row], int]:
+def _only_warned(
+    validated: ValidationResult, cfg: LoadConfig, run_id: str, load_id: str, findings: list[Row]
+) -> tuple[list[Row], int]:
     """Write rows that no rule can stop straight to the target, counting what fails on the way: (summary, rows).
 
     Only if some do is the source read again, for the offending rows.
     """
     if cfg.write_mode.lower() == "ignore" and validated.checked.sparkSession.catalog.tableExists(cfg.target):
         return findings, 0  # nothing runs, so nothing would be counted
+    if _appends_once(validated.checked.sparkSession, cfg):
+        rows = once.committed_rows(validated.checked.sparkSession, cfg.target, load_id)
+        if rows is not None:  # an earlier try has written them: only what came after is left to do
+            summary = validated.summary.collect() if validated.can_fail else []
+            if summary:
+                _quarantine(validated.issue_rows, cfg, run_id)
+            return [*findings, *summary], rows
     failed = Observation("failed checks")
     counts = [F.count_if(c.failed).alias(f"c{i}") for i, c in enumerate(validated.checks)]
-    rows = _write(_clean(validated.checked.observe(failed, F.count(F.lit(1)).alias("rows"), *counts), cfg), cfg)
+    rows = _write(_clean(validated.checked.observe(failed, F.count(F.lit(1)).alias("rows"), *counts), cfg), cfg, load_id)
     got = failed.get
     summary = [
         Row(rule=c.rule, column=c.column, action=c.action, failed_rows=got[f"c{i}"])
@@ -134,14 +151,16 @@ def _clean(checked: DataFrame, cfg: LoadConfig) -> DataFrame:
     return checked.drop(ISSUES, *[c for c in [cfg.corrupt_record_column] if c])
 
 
-def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str = "") -> LoadResult:
+def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str = "", load_id: str = "") -> LoadResult:
     """Shape, validate and write a source frame.
 
     The schema is checked as it was read: an ERROR there ends the load before
     any data is read. Rows that no rule can stop go from source to target in
     one pass; where an ERROR rule may hold them back, or a merge needs them
-    more than once, they are stored first.
+    more than once, they are stored first. A retry gives the ``load_id`` of the
+    run it repeats, so that a target that keeps loads apart takes the rows once.
     """
+    load_id = load_id or run_id or uuid.uuid4().hex
     dry_run = as_flag(cfg.dry_run)
     if not dry_run:
         _check_target(spark, cfg)
@@ -156,7 +175,7 @@ def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str
     if replacing and is_empty(selected):  # nothing must not replace anything
         return LoadResult(ledger.COMPLETED_WITH_ZERO, 0, findings)
     try:
-        return _load_selected(spark, selected, cfg, run_id, findings, started)
+        return _load_selected(spark, selected, cfg, run_id, load_id, findings, started)
     except (AnalysisException, ValueError):
         # What an empty source lacks for the later steps does not matter. Nothing is written by then.
         if is_empty(selected):
@@ -165,7 +184,13 @@ def load_frame(spark: SparkSession, df: DataFrame, cfg: LoadConfig, run_id: str
 
 
 def _load_selected(
-    spark: SparkSession, selected: DataFrame, cfg: LoadConfig, run_id: str, findings: list[Row], started: datetime
+    spark: SparkSession,
+    selected: DataFrame,
+    cfg: LoadConfig,
+    run_id: str,
+    load_id: str,
+    findings: list[Row],
+    started: datetime,
 ) -> LoadResult:
     shaped = shape(selected, cfg)
     validated = run_validations(shaped, _rules(shaped, cfg))
@@ -174,7 +199,7 @@ def _load_selected(
         rows = shaped.count()
         return LoadResult(final_status(summary, rows), rows, summary)
     if not validated.can_block and not cfg.merge:
-        summary, rows = _only_warned(validated, cfg, run_id, findings)
+        summary, rows = _only_warned(validated, cfg, run_id, load_id, findings)
         if summary and rows:
             _log_validation(spark, summary, cfg, run_id, started)
         return LoadResult(final_status(summary, rows), rows, summary)
@@ -188,7 +213,7 @@ def _load_selected(
             _quarantine(result.issue_rows, cfg, run_id)
         # Last: a run that fails before it can be started again without doubling rows of the target.
         if verdict.to_target is not None:
-            _write(_clean(verdict.to_target, cfg), cfg)
+            _write(_clean(verdict.to_target, cfg), cfg, load_id)
     return LoadResult(verdict.status, rows, summary)
 
 
@@ -215,6 +240,13 @@ class RunLedger:
         self.job_id = cfg.job_id
         self.events: list[tuple] = []
 
+    @property
+    def load_id(self) -> str:
+        """What a retry has in common with the run it repeats: a given run id, else the ledger's job and run date."""
+        if self.cfg.run_id or not self.table or not self.job_id:
+            return self.run_id
+        return f"{self.job_id}.{self.cfg.run_date}"
+
     def resolve_job(self) -> None:
         """Look the job up by its four settings, registering it if it is new."""
         table = self.cfg.job_details_table_name
@@ -262,7 +294,7 @@ class RunLedger:
         return None
 
 
-def _recorded(spark: SparkSession, cfg: LoadConfig, work: Callable[[str], LoadResult]) -> LoadResult:
+def _recorded(spark: SparkSession, cfg: LoadConfig, work: Callable[[str, str], LoadResult]) -> LoadResult:
     """Do the work between its ledger entries. A failure is recorded and raised again."""
     run = RunLedger(spark, cfg)
     try:
@@ -273,7 +305,7 @@ def _recorded(spark: SparkSession, cfg: LoadConfig, work: Callable[[str], LoadRe
             run.record(refusal)
             return LoadResult(refusal)
         run.record(ledger.READING_SOURCE_DATA, last=False)
-        result = work(run.run_id)
+        result = work(run.run_id, run.load_id)
         run.record(result.status, result.row_count)
         return result
     except Exception as error:
@@ -281,18 +313,18 @@ def _recorded(spark: SparkSession, cfg: LoadConfig, work: Callable[[str], LoadRe
         raise
 
 
-def _load(spark: SparkSession, cfg: LoadConfig, run_id: str) -> LoadResult:
+def _load(spark: SparkSession, cfg: LoadConfig, run_id: str, load_id: str) -> LoadResult:
     df = read_source(spark, cfg)
     if df is None or as_flag(cfg.skip_write):
         return LoadResult(ledger.COMPLETED)
-    return load_frame(spark, df, cfg, run_id)
+    return load_frame(spark, df, cfg, run_id, load_id)
 
 
 def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:
     """Run one configured load and record it."""
     if cfg.ingest_type.strip().lower() == "sql_batch":
         return run_sql_batch(spark, cfg.sqls, cfg.values)
-    return _recorded(spark, cfg, lambda run_id: _load(spark, cfg, run_id))
+    return _recorded(spark, cfg, lambda run_id, load_id: _load(spark, cfg, run_id, load_id))
 
 
 def run_sql_batch(spark: SparkSession, steps: list[dict], common: dict | None = None) -> LoadResult:
@@ -303,12 +335,12 @@ def run_sql_batch(spark: SparkSession, steps: list[dict], common: dict | None =
     if not steps:
         raise ValueError("no SQL steps defined")
 
-    def work(run_id: str) -> LoadResult:
+    def work(run_id: str, load_id: str) -> LoadResult:
         results = []
-        for step in steps:
+        for n, step in enumerate(steps):
             try:
                 cfg = LoadConfig.from_layers(common, step, {"ingest_type": "sql"})
-                results.append(_load(spark, cfg, run_id))
+                results.append(_load(spark, cfg, run_id, f"{load_id}.{n}"))
             except Exception as error:
                 raise ValueError(f"step {step.get('name', 'unnamed_step')!r} failed: {error}") from error
         return LoadResult(

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadkit.config import LoadConfig
-from loadkit.plans.load import LoadResult, run_load, run_sql_batch
+from loadkit.plans.load import LoadResult, load_frame, run_load, run_sql_batch
 from loadkit.queries.registry import query
 from loadkit.queries.sources import sql_file
 from loadkit.session import scratch_table
+from loadkit.sources.registry import read_source
 
 
 def _parts(table: str) -> dict[str, str]:
@@ -137,3 +138,26 @@ def sql_batch(spark, sf):
     return rows.unionByName(
         spark.table(second).select(F.lit("by_count").alias("step"), F.col("n_orders").alias("id"), F.col("customers").alias("n"))
     )
+
+
+@query("""SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'first' ELSE 'second' END AS load_run,
+  'COMPLETED' AS run_status FROM orders""")
+def load_restarted(spark, sf):
+    """Two loads; the first had written its rows but not noted its end when it was started again."""
+    target = scratch_table(spark, "orders_by_load")
+    spark.sql(f"CREATE TABLE {target} (o_orderkey BIGINT, o_custkey BIGINT, load_run STRING) USING parquet PARTITIONED BY (load_run)")
+    statuses = []
+    for run, rows in (("first", "= 'F'"), ("second", "<> 'F'")):
+        own = {
+            "ingest_type": "parquet",
+            "source_location": f"{sf}/orders.parquet",
+            "columns": ["o_orderkey", "o_custkey", "o_orderstatus"],
+            "where_clause": f"o_orderstatus {rows}",
+            "custom_transformations": [lambda df: df.drop("o_orderstatus")],
+            "run_id": run,
+        }
+        cfg = LoadConfig.from_layers(own, _parts(target))
+        if run == "first":
+            load_frame(spark, read_source(spark, cfg), cfg, run)
+        statuses.append(run_load(spark, cfg).status)
+    return spark.table(target).withColumn("run_status", F.lit("/".join(sorted(set(statuses)))))

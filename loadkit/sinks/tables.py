@@ -282,7 +282,12 @@ def merge_into(
 def _merge_partitions(
     source: DataFrame, table: str, parts: list[str], keys: list[str], update_columns: list[str] | None, delete_condition: str | None
 ) -> int:
-    """Merge only the partitions that hold a key of the source, or that a source row belongs to."""
+    """Merge only the partitions that hold a key of the source, or that a source row belongs to.
+
+    Their files are listed before they are read and again before they are
+    replaced: if another run has written one of them meanwhile, this one fails
+    and changes nothing.
+    """
     spark = source.sparkSession
     target = spark.table(table)
     missing = [c for c in parts if c not in source.columns]
@@ -296,9 +301,13 @@ def _merge_partitions(
     staged = scratch_table(spark, "merged")
     try:
         values = spark.table(touched)
+        spots = [tuple(r) for r in values.collect()]  # as many as there are partitions, at most
+        before = partition_files(spark, table, parts, spots)
         same = reduce(lambda a, b: a & b, [target[c].eqNullSafe(values[c]) for c in parts])
         near = target.join(values, same, "left_semi")
         rows = _create(merge(near, source, keys, update_columns, delete_condition), staged)
+        if partition_files(spark, table, parts, spots) != before:
+            raise RuntimeError(f"{table} was written by another run meanwhile")
         _replace_partitions(spark, table, parts, staged, values)
         return rows
     finally:
@@ -306,15 +315,27 @@ def _merge_partitions(
             spark.sql(f"DROP TABLE IF EXISTS {scratch}")
 
 
+def partition_files(spark: SparkSession, table: str, parts: list[str], spots: list[tuple]) -> set[str]:
+    """Files of some partitions, as they are now; from the listing alone, no data is read."""
+    if not spots:
+        return set()
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table)
+    at = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(parts, spot, strict=True)]) for spot in spots]
+    while len(at) > 1:  # in pairs: a chain of many partitions would be too deep to plan
+        at = [reduce(lambda a, b: a | b, at[i : i + 2]) for i in range(0, len(at), 2)]
+    return set(rows.where(at[0]).inputFiles())
+
+
 def _replace_partitions(spark: SparkSession, table: str, parts: list[str], staged: str, values: DataFrame) -> None:
     """Put a staged table's rows in the place of the partitions ``values``; those that have lost all rows are dropped."""
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        _insert(spark.table(staged), table, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    dynamic = spark.newSession()  # other writes of the caller's session keep their own overwrite mode
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            dynamic.conf.set(name, value)
+    dynamic.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    _insert(dynamic.table(staged), table, overwrite=True)
+    spark.catalog.refreshTable(table)
     left = spark.table(staged).select(*parts).distinct()
     emptied = values.join(left, reduce(lambda a, b: a & b, [values[c].eqNullSafe(left[c]) for c in parts]), "left_anti")
     for row in emptied.collect():  # partitions that lost their last row
