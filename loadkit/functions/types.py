@@ -71,9 +71,10 @@ def promoted(a: T.DataType, b: T.DataType) -> T.DataType:
 
     Whole numbers widen to longer ones, then to decimals with the digits of
     both sides; short whole numbers and floats to double; dates to timestamps.
-    Binary, nested and interval types are only like themselves.
+    Binary, nested and interval types are only like themselves, whatever they
+    say of nulls.
     """
-    if a == b or isinstance(b, T.NullType):
+    if a == b or isinstance(b, T.NullType) or a.simpleString() == b.simpleString():
         return a
     if isinstance(a, T.NullType):
         return b
