@@ -1,9 +1,14 @@
-"""Row validation in one pass."""
+"""Validation: rules on rows in one pass, and rules on sets of rows.
+
+A rule on a set (uniqueness, reference, aggregate) first works out which keys
+or groups fail, by an aggregate with map-side combine, and marks their rows in
+a join that Spark can split for a hot key. Its rows then go the way of others.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
@@ -25,7 +30,37 @@ class Check:
     failed: Column
 
 
-Rule = Callable[[DataFrame], list[Check]]
+@dataclass(frozen=True)
+class SetRule:
+    """A rule whose verdict on a row depends on others.
+
+    ``failing`` gives the columns to match and the frame of keys, one row each,
+    that a row is looked up by; a row fails if it is found there, or, where
+    ``known`` is set, if it is not. Rows with a null key pass unless ``nulls``.
+    """
+
+    name: str
+    column: str
+    action: str
+    failing: Callable[[DataFrame], tuple[list[str], DataFrame]]
+    known: bool = False
+    nulls: bool = False
+
+    def mark(self, df: DataFrame, flag: str) -> tuple[DataFrame, Check]:
+        """The frame with a column that is true where a row has been looked up, and the check on it."""
+        columns, keys = self.failing(df)
+        own = [f"{flag}_{i}" for i in range(len(columns))]
+        keys = keys.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(keys.columns, own, strict=True)], F.lit(True).alias(flag))
+        # null-safe on purpose: the join then has keys of its own, and a shuffle of its own that can be split
+        same = reduce(lambda a, b: a & b, [df[f"`{c}`"].eqNullSafe(keys[o]) for c, o in zip(columns, own, strict=True)])
+        marked = df.join(keys, same, "left").select(*[df[f"`{c}`"] for c in df.columns], keys[flag])
+        found = F.col(flag).isNotNull()
+        complete = reduce(lambda a, b: a & b, [c.isNotNull() for c in _named(columns)])
+        failed = ~found if self.known else found
+        return marked, Check(self.name, self.column, self.action, failed if self.nulls else failed & complete)
+
+
+Rule = Callable[[DataFrame], list[Check]] | SetRule
 
 
 def _action(action: str) -> str:
@@ -66,6 +101,55 @@ def expression_check(name: str, sql: str, action: str = ERROR) -> Rule:
     return lambda df: [Check(name, sql, level, F.coalesce(~F.expr(sql), F.lit(False)))]
 
 
+def _named(columns: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in columns]
+
+
+def _whole_keys(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The key columns of rows that have all of them."""
+    return df.select(*_named(columns)).where(reduce(lambda a, b: a & b, [c.isNotNull() for c in _named(columns)]))
+
+
+def unique_check(columns: list[str], action: str = ERROR) -> SetRule:
+    """Every row of a key that occurs more than once fails; a key with a null in it is no key."""
+
+    def failing(df: DataFrame) -> tuple[list[str], DataFrame]:
+        return columns, _whole_keys(df, columns).groupBy(*_named(columns)).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+
+    return SetRule("unique_check", ", ".join(columns), _action(action), failing)
+
+
+def reference_check(
+    columns: list[str], reference: DataFrame | str, reference_columns: list[str] | None = None, action: str = ERROR
+) -> SetRule:
+    """A row fails if the reference, a frame or a table's name, lacks its key; a key with a null in it refers to nothing."""
+    theirs = reference_columns or columns
+    if len(theirs) != len(columns):
+        raise ValueError(f"reference_check compares {columns} to {theirs}")
+
+    def failing(df: DataFrame) -> tuple[list[str], DataFrame]:
+        held = df.sparkSession.table(reference) if isinstance(reference, str) else reference
+        return columns, _whole_keys(held, theirs).distinct()
+
+    return SetRule("reference_check", ", ".join(columns), _action(action), failing, known=True)
+
+
+def aggregate_check(name: str, sql: str, group_by: list[str] | None = None, action: str = ERROR) -> Rule:
+    """All rows of a group fail where a condition on its aggregates is false, ``sum(amount) >= 0`` say; null passes.
+
+    Rows with a null in ``group_by`` are grouped like others. Without it all rows are one group.
+    """
+    level = _action(action)
+    if not group_by:
+        return lambda df: [Check(name, sql, level, F.coalesce(~df.agg(F.expr(sql).alias("held")).scalar(), F.lit(False)))]
+
+    def failing(df: DataFrame) -> tuple[list[str], DataFrame]:
+        groups = df.groupBy(*_named(group_by)).agg(F.expr(sql).alias("_held"))
+        return group_by, groups.where(~F.col("_held")).drop("_held")
+
+    return SetRule(name, f"{sql} by {', '.join(group_by)}", level, failing, nulls=True)
+
+
 def schema_differences(df: DataFrame, schema: dict[str, dict]) -> list[tuple[str, str | None, str | None]]:
     """``(column, expected type, actual type)`` where the frame departs from a configured schema.
 
@@ -112,7 +196,7 @@ def rules_from_config(validations: list, schema: dict[str, dict] | None = None)
     """Rules from ``{name, action_on_unexpected, …}`` settings; a callable is a rule already."""
     rules: list[Rule] = []
     for item in validations:
-        if callable(item):
+        if callable(item) or isinstance(item, SetRule):
             rules.append(item)
             continue
         name, action = item["name"], item.get("action_on_unexpected", WARNING)
@@ -125,6 +209,12 @@ def rules_from_config(validations: list, schema: dict[str, dict] | None = None)
             rules.append(null_check(item["columns"], action))
         elif name == "type_check":
             rules.append(type_check(item["columns"], action))
+        elif name == "unique_check":
+            rules.append(unique_check(item["columns"], action))
+        elif name == "reference_check":
+            rules.append(reference_check(item["columns"], item["reference_table"], item.get("reference_columns"), action))
+        elif "aggregate" in item:
+            rules.append(aggregate_check(name, item["aggregate"], item.get("group_by"), action))
         elif "expression" in item:
             rules.append(expression_check(name, item["expression"], action))
         else:
@@ -159,11 +249,26 @@ class ValidationResult:
         return summarize(self.issue_rows)
 
 
+def _has_issue(check: Check) -> Column:
+    same = lambda i: (i["rule"] == check.rule) & (i["column"] == check.column) & (i["action"] == check.action)
+    return F.coalesce(F.exists(ISSUES, same), F.lit(False))
+
+
 def run_validations(df: DataFrame, rules: list[Rule]) -> ValidationResult:
-    """Test every rule on every row in one projection."""
+    """Test every rule on every row in one projection.
+
+    Rules on sets read the frame once more each, and join it to what they find.
+    """
     if ISSUES in df.columns:
         raise ValueError(f"the frame already has a column {ISSUES!r}")
-    checks = [check for rule in rules for check in rule(df)]
+    plain, checks, marks = df, [], []
+    for rule in rules:
+        if isinstance(rule, SetRule):
+            marks.append(f"_validation_mark_{len(marks)}")
+            df, check = rule.mark(df, marks[-1])
+            checks.append(check)
+        else:
+            checks += rule(plain)
     kind = "array<struct<rule:string,column:string,action:string>>"
     if not checks:
         checked = df.withColumn(ISSUES, F.lit(None).cast(kind))
@@ -176,7 +281,9 @@ def run_validations(df: DataFrame, rules: list[Rule]) -> ValidationResult:
         for c in checks
     ]
     any_failed = reduce(lambda a, b: a | b, [c.failed for c in checks])
-    checked = df.withColumn(ISSUES, F.when(any_failed, F.array_compact(F.array(*found))))
+    checked = df.withColumn(ISSUES, F.when(any_failed, F.array_compact(F.array(*found)))).drop(*marks)
+    if marks:  # later steps see the issues, not the marks
+        checks = [replace(c, failed=_has_issue(c)) for c in checks]
     return ValidationResult(checked, checked.where(F.col(ISSUES).isNotNull()), tuple(checks))
 
 

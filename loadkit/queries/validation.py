@@ -123,3 +123,44 @@ def quarantine_append(spark, sf):
     name = scratch_table(spark, "quarantine")
     append_evolving(V.run_validations(raw_orders(spark, sf), [NULLS, TYPES, NOT_LOW]).issue_rows, name)
     return spark.table(name).select("o_orderkey", F.size(V.ISSUES).cast("bigint").alias("n_issues"))
+
+
+def _set_issues(spark: SparkSession, sf: str, rule: V.Rule) -> DataFrame:
+    return _issues(V.run_validations(table(spark, sf, "orders"), [rule]))
+
+
+@query("""SELECT o_orderkey, 'unique_check' AS rule, 'o_custkey, o_orderdate' AS checked, 'WARNING' AS action FROM orders
+WHERE (o_custkey, o_orderdate) IN (SELECT (o_custkey, o_orderdate) FROM orders GROUP BY o_custkey, o_orderdate HAVING COUNT(*) > 1)""")
+def validate_unique(spark, sf):
+    return _set_issues(spark, sf, V.unique_check(["o_custkey", "o_orderdate"], V.WARNING))
+
+
+@query("""SELECT o_orderkey, 'reference_check' AS rule, 'o_custkey' AS checked, 'ERROR' AS action FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""")
+def validate_reference(spark, sf):
+    """Orders of customers who are not in credit."""
+    return _set_issues(spark, sf, V.reference_check(["o_custkey"], table(spark, sf, "customer").where("c_acctbal >= 0"), ["c_custkey"]))
+
+
+@query("""SELECT o_orderkey, 'few_orders' AS rule, 'count(*) <= 12 by o_custkey' AS checked, 'ERROR' AS action FROM orders
+WHERE o_custkey IN (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING COUNT(*) > 12)""")
+def validate_aggregate(spark, sf):
+    return _set_issues(spark, sf, V.aggregate_check("few_orders", "count(*) <= 12", ["o_custkey"]))
+
+
+@query("""WITH flawed AS (SELECT *, COUNT(*) OVER (PARTITION BY o_custkey, o_orderdate) > 1 AS again FROM orders)
+SELECT 'target' AS side, o_orderkey, 'COMPLETED_WITH_VALIDATION_WARNING' AS run_status FROM flawed
+UNION ALL SELECT 'quarantine', o_orderkey, 'COMPLETED_WITH_VALIDATION_WARNING' FROM flawed WHERE again""")
+def gate_set_rules(spark, sf):
+    """A reference that holds, and a uniqueness that does not, through the gate."""
+    orders = table(spark, sf, "orders")
+    rules = [
+        V.unique_check(["o_custkey", "o_orderdate"], V.WARNING),
+        V.reference_check(["o_custkey"], table(spark, sf, "customer"), ["c_custkey"]),
+    ]
+    result, n_rows = store(V.run_validations(orders, rules), scratch_table(spark, "checked"))
+    verdict = gate(result, result.summary.collect(), n_rows)
+    sides = {"target": verdict.to_target, "quarantine": verdict.to_quarantine}
+    parts = [df.select(F.lit(side).alias("side"), "o_orderkey") for side, df in sides.items() if df is not None]
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return both.withColumn("run_status", F.lit(verdict.status))
