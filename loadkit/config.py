@@ -101,6 +101,8 @@ class LoadConfig:
     corrupt_record_action: str = "ERROR"
     unparsed: str = "fail"
     path_column: str | None = None
+    run_date_column: str | None = None
+    missing_dates: str = "fail"
     # shape
     columns: list[str] | None = None
     where_clause: str | None = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -28,7 +28,7 @@ from loadkit.operators.validation import (
 from loadkit.plans.gate import final_status, gate, is_empty, stored
 from loadkit.sinks import once
 from loadkit.sinks import tables as sinks
-from loadkit.sources.registry import read_source
+from loadkit.sources.registry import read_source, without_gaps
 
 
 @dataclass(frozen=True)
@@ -37,6 +37,7 @@ class LoadResult:
     row_count: int = 0
     summary: list[Row] = field(default_factory=list)
     steps: list[LoadResult] = field(default_factory=list)
+    missing_dates: list[str] = field(default_factory=list)
 
 
 WORST_FIRST = [
@@ -87,7 +88,7 @@ def _write(df: DataFrame, cfg: LoadConfig, load_id: str) -> int | None:
 
 def _rules(df: DataFrame, cfg: LoadConfig) -> list[Rule]:
     """Configured rules, and one for lines that did not parse, whose text goes to quarantine only."""
-    tested = [v for v in cfg.validations if callable(v) or v["name"] != "schema_check"]
+    tested = [v for v in cfg.validations if not isinstance(v, dict) or v["name"] != "schema_check"]
     rules = rules_from_config(tested, cfg.schema)
     if cfg.corrupt_record_column in df.columns:
         rules.append(expression_check("corrupt_record", f"`{cfg.corrupt_record_column}` IS NULL", cfg.corrupt_record_action))
@@ -314,10 +315,11 @@ def _recorded(spark: SparkSession, cfg: LoadConfig, work: Callable[[str, str], L
 
 
 def _load(spark: SparkSession, cfg: LoadConfig, run_id: str, load_id: str) -> LoadResult:
+    cfg, gaps = without_gaps(spark, cfg)
     df = read_source(spark, cfg)
     if df is None or as_flag(cfg.skip_write):
-        return LoadResult(ledger.COMPLETED)
-    return load_frame(spark, df, cfg, run_id, load_id)
+        return LoadResult(ledger.COMPLETED, missing_dates=gaps)
+    return replace(load_frame(spark, df, cfg, run_id, load_id), missing_dates=gaps)
 
 
 def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadResult:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loadkit.config import LoadConfig, as_flag
 from loadkit.functions.types import schema_from_config
 from loadkit.sources import files, sql
-from loadkit.sources.dated import DatedLayout, read_dated
+from loadkit.sources.dated import DatedLayout, present_dates, read_dated
 
 
 def _located(cfg: LoadConfig, reader: Callable[[list[str]], DataFrame]) -> DataFrame:
@@ -17,7 +18,22 @@ def _located(cfg: LoadConfig, reader: Callable[[list[str]], DataFrame]) -> DataF
         return reader([cfg.source_location])
     if not cfg.run_dates:
         cfg.require("run_date")
-    return read_dated(reader, DatedLayout.from_config(cfg), cfg.run_dates or cfg.run_date, cfg.path_column)
+    return read_dated(
+        reader,
+        DatedLayout.from_config(cfg),
+        cfg.run_dates or cfg.run_date,
+        cfg.path_column,
+        cfg.run_date_column,
+        cfg.missing_dates,
+    )
+
+
+def without_gaps(spark: SparkSession, cfg: LoadConfig) -> tuple[LoadConfig, list[str]]:
+    """Settings that name only run dates with a location, and the others, where these are to be skipped."""
+    if cfg.missing_dates != "skip" or cfg.source_location or not cfg.run_dates:
+        return cfg, []
+    there, gaps = present_dates(spark, DatedLayout.from_config(cfg), cfg.run_dates)
+    return (replace(cfg, run_dates=there), gaps) if there else (cfg, gaps)
 
 
 def _schema(cfg: LoadConfig):

@@ -1,0 +1,69 @@
+"""Backfills over dates some of which have no folder."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from loadkit.plans.load import run_load
+from loadkit.session import scratch_table
+from loadkit.sources.dated import DatedLayout, present_dates, read_dated
+from tests.conftest import rows
+from tests.test_load import settings
+
+
+@pytest.fixture
+def landing(tmp_path):
+    for day in ("2024-01-01", "2024-01-03"):
+        folder = tmp_path / "in coming+1" / day.replace("-", "/")
+        folder.mkdir(parents=True)
+        (folder / f"sales.{day}.json").write_text(f'{{"day": "{day}"}}\n')
+    return DatedLayout(f"{tmp_path}/in coming+1/", "", "{year}/{month}/{day}/", "sales.", "{year}-{month}-{day}", ".json")
+
+
+DAYS = ["2024-01-03", "2024-01-02", "2024-01-01", "2024-02-29"]
+
+
+def test_present_dates(spark, landing):
+    assert present_dates(spark, landing, DAYS) == (["2024-01-03", "2024-01-01"], ["2024-01-02", "2024-02-29"])
+    assert present_dates(spark, landing, []) == ([], [])
+
+
+def test_skip_and_fail(spark, landing):
+    df = read_dated(spark.read.json, landing, DAYS, "path", "run_day", "skip")
+    assert df.schema["run_day"].dataType.simpleString() == "date"
+    assert rows(df.select("day", "run_day")) == [("2024-01-01", date(2024, 1, 1)), ("2024-01-03", date(2024, 1, 3))]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_dated(spark.read.json, landing, DAYS)
+    with pytest.raises(ValueError, match="none of 1 run dates"):
+        read_dated(spark.read.json, landing, "2024-05-05", missing="skip")
+    with pytest.raises(ValueError, match="fail or skip"):
+        read_dated(spark.read.json, landing, DAYS, missing="ignore")
+
+
+def test_a_folder_that_days_share_is_read_once(spark, tmp_path):
+    (tmp_path / "202401.json").write_text('{"a": 1}\n')
+    layout = DatedLayout(base=f"{tmp_path}/", file_pattern="{year}{month}", extension=".json")
+    assert read_dated(spark.read.json, layout, ["2024-01-01", "2024-01-02"]).count() == 1
+    with pytest.raises(ValueError, match="does not name a day"):
+        read_dated(spark.read.json, layout, "2024-01-01", date_column="d")
+
+
+def test_a_path_of_another_form_has_no_date(spark):
+    layout = DatedLayout(file_pattern="{year}-{month}-{day}", extension=".json")
+    paths = spark.createDataFrame([("file:/x/2024-02-29.json",), ("file:/x/2024-02-30.json",), ("file:/x/2024-02-28xjson",)], "p string")
+    assert [r[0] for r in paths.select(layout.date_of(F.col("p"))).collect()] == [date(2024, 2, 29), None, None]
+
+
+def test_a_load_names_its_gaps(spark, landing):
+    target = scratch_table(spark, "days")
+    spark.sql(f"CREATE TABLE {target} (day STRING, run_day DATE) USING parquet")
+    cfg = settings(
+        target, ingest_type="json", schema=None, audit_columns_to_be_added=[], run_dates=DAYS, source_base_location=landing.base,
+        source_folder_date_pattern=landing.folder_pattern, source_file_name_prefix=landing.prefix,
+        source_file_name_date_pattern=landing.file_pattern, source_file_extension=landing.extension,
+        run_date_column="run_day", missing_dates="skip",
+    )
+    result = run_load(spark, cfg)
+    assert (result.row_count, result.missing_dates) == (2, ["2024-01-02", "2024-02-29"])
+    assert spark.table(target).count() == 2

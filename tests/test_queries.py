@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from pyspark.sql import DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 import __spark_entry__ as entry
 from loadkit.queries import ORACLES, QUERIES
@@ -60,6 +60,14 @@ def test_no_python_in_plans_and_no_nested_loops(spark, name, monkeypatch):
             return inner(self, *args, **more)
 
         monkeypatch.setattr(DataFrameWriter, method, noted)
+    statement = SparkSession.sql
+
+    def stated(self, text, args=None, **frames):
+        if text.startswith("INSERT"):
+            plans.extend(plan(f) for f in frames.values() if isinstance(f, DataFrame))
+        return statement(self, text, args, **frames)
+
+    monkeypatch.setattr(SparkSession, "sql", stated)
     plans.append(plan(QUERIES[name](spark, SMALL)))
     if name.startswith(("sink_", "load_", "sql_batch", "read_dated", "gate_", "merge_into", "insert_only")):
         assert len(plans) > 1
