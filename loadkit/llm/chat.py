@@ -12,7 +12,7 @@ backslash as ``\\b``, ``<`` as ``\\l``, ``|`` as ``\\p``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, MIDDLE, END = "<|", "|>\n", "<|end|>\n"
@@ -42,8 +42,12 @@ def reconstruct(events: DataFrame, conv: str, message: str, seq: str, kind: str,
     message, role, text), a row per message left; the role is the last one that
     an event names, else empty. Null texts count as empty; a delta to nothing
     starts a message; null conversations and messages are values like any
-    other. Repeated events are folded as often as they stand. One message's
-    events are folded together, a conversation's are not collected here.
+    other; a message without a name is before all others, and its regenerations
+    forget none. A regeneration counts also where its message is forgotten, and
+    what comes later for a forgotten message is ignored. Repeated events are
+    folded as often as they stand; no events give no messages; extra columns are
+    not read. One message's events are folded together in one row; a
+    conversation's messages go past in order, and are not collected here.
     """
     e = events.select(
         F.col(conv).alias("conv"),
@@ -76,17 +80,12 @@ def reconstruct(events: DataFrame, conv: str, message: str, seq: str, kind: str,
             ),
         )
     )
-    again = folded.where("again is not null").select(F.col("conv").alias("_c"), F.col("message").alias("_m"), "again")
     # of the regenerations after a message was begun, only those of earlier messages count against it
-    dropped = (
-        folded.select("conv", "message", "first")
-        .join(again, F.col("conv").eqNullSafe(F.col("_c")) & (F.col("_m") < F.col("message")) & (F.col("first") < F.col("again")), "left_semi")
-        .select(F.col("conv").alias("_c"), F.col("message").alias("_m"))
-    )
-    return (
-        folded.where("state.here")
-        .join(dropped, F.col("conv").eqNullSafe(F.col("_c")) & F.col("message").eqNullSafe(F.col("_m")), "left_anti")
-        .select("conv", "message", F.coalesce("state.role", F.lit("")).alias("role"), F.array_join("state.parts", "").alias("text"))
+    earlier = Window.partitionBy("conv").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.max(F.when(F.col("message").isNotNull(), F.col("again"))).over(earlier)
+    kept = folded.withColumn("gone", F.coalesce(F.col("first") < latest, F.lit(False)))
+    return kept.where(F.col("state.here") & ~F.col("gone")).select(
+        "conv", "message", F.coalesce("state.role", F.lit("")).alias("role"), F.array_join("state.parts", "").alias("text")
     )
 
 
@@ -94,7 +93,9 @@ def render(messages: DataFrame, trained_roles: tuple[str, ...] = ("assistant",))
     """One formatted text per conversation, with the spans of it that the loss covers.
 
     Takes (conv, message, role, text) and puts messages in the order of
-    (message, role, text); null roles and texts count as empty. Returns
+    (message, role, text); null roles and texts count as empty, equal rows are
+    turns of their own, and no messages give no texts. A conversation becomes
+    one row here, so it must fit Spark's 2 GB of a value. Returns
     (conv, formatted, loss_spans): spans are (start, length) in characters,
     from 0, and hold exactly the escaped texts of the trained roles.
     """

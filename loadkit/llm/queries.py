@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -71,6 +71,32 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ESCAPED = "replace(replace(replace({0}, '\\', '\\b'), '<', '\\l'), '|', '\\p')"
 
 
+def _chat_log(rows: DataFrame) -> DataFrame:
+    """The log that a chat leaves behind which ends in these rows (conv_id, turn, again, role, text).
+
+    An assistant's first answer is broken off, and another message begun, when
+    it is asked to answer again; its answers stream in two pieces. All others
+    send a draft, and edit it to what the row says.
+    """
+    half = F.floor(F.length("text") / 2).cast("int")
+    begin, rest = F.substr("text", F.lit(1), half), F.substr("text", half + 1)
+
+    def event(step: int, kind: str, text: Column, aside: int = 0) -> Column:
+        message = F.struct("turn", "again", F.lit(aside).alias("aside"))
+        seq = F.struct("turn", "again", F.lit(step).alias("step"))
+        return F.struct(message.alias("message"), seq.alias("seq"), F.lit(kind).alias("kind"), "role", text.alias("text"))
+
+    answered = F.array(
+        event(0, "delta", rest),
+        event(1, "set", begin, aside=1),
+        event(2, "regenerate", F.lit(None).cast("string")),
+        event(3, "delta", begin),
+        event(4, "delta", rest),
+    )
+    sent = F.array(event(0, "set", begin), event(1, "edit", F.col("text")))
+    return rows.select("conv_id", F.inline(F.when(F.col("role") == "assistant", answered).otherwise(sent)))
+
+
 @query(
     f"""
     WITH t AS (
@@ -92,8 +118,8 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = given.unionByName(spark.range(1).select(both))
     # each row is a message of its own, also where a turn's number is there again
     again = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
-    events = rows.withColumn("again", again).withColumns({"message": F.struct("turn", "again"), "kind": F.lit("set")})
-    rendered = chat.render(chat.reconstruct(events, "conv_id", "message", "message", "kind", "role", "text"))
+    events = _chat_log(rows.withColumn("again", again))
+    rendered = chat.render(chat.reconstruct(events, "conv_id", "message", "seq", "kind", "role", "text"))
     read = rendered.select(
         F.col("conv").alias("conv_id"),
         chat.read_back(F.col("formatted")).alias("turns"),

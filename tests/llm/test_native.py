@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loadkit.llm import chat, mixing, sharding
+from loadkit.llm import chat, mixing, queries, sharding
 from loadkit.llm.queries import ORACLES, QUERIES
 from tests.conftest import DATA, SMALL, plan
 from tests.llm.helpers import SCHEMA, no_docs, odd_docs, words
@@ -271,3 +271,38 @@ def test_events_fold_to_final_messages(spark):
     assert sorted(((x.conv, x.message, x.role, x.text) for x in got), key=repr) == sorted(
         [(1, 0, "user", "Q"), (1, 1, "assistant", "new"), (1, 3, "user", "after"), (2, 0, "", ""), (None, 0, "user", "xx"), (2, 1, "user", "y")], key=repr
     )
+
+
+def _folded(log):
+    """A conversation after another, its events in sequence."""
+    key = lambda e: tuple((x is not None, x) for x in (e[2], e[3], e[4], e[5]))
+    state, first, again = {}, {}, []
+    for c, m, s, kind, role, text in sorted(log, key=key):
+        kind = kind or "set"
+        before, parts, _ = state.get((c, m), ("", "", True))
+        parts = {"delta": parts + (text or ""), "regenerate": "", "delete": ""}.get(kind, text or "")
+        state[c, m] = (role or before, parts, kind != "delete")
+        if s is not None:
+            first.setdefault((c, m), s)
+            again += [(c, m, s)] if kind == "regenerate" else []
+    gone = lambda c, m: any(c == d and n < m and first.get((c, m), s) < s for d, n, s in again)
+    return sorted((c, m, role, text) for (c, m), (role, text, here) in state.items() if here and not gone(c, m))
+
+
+def test_random_logs_fold_in_sequence(spark):
+    draw = random.Random(5)
+    kinds = ["set", "delta", "delta", "edit", "regenerate", "delete", "odd"]
+    log = [(draw.randrange(12), draw.randrange(6), draw.randrange(40), draw.choice(kinds), draw.choice(["user", "assistant"]), draw.choice(["a", "bc", "", "<"])) for _ in range(600)]
+    events = spark.createDataFrame(log, "c long, m long, s long, k string, r string, t string").repartition(4)
+    got = chat.reconstruct(events.withColumn("conv", F.lit(0)).withColumn("_m", F.lit(0)), "c", "m", "s", "k", "r", "t")
+    assert sorted(map(tuple, got.collect())) == _folded(log)
+    assert chat.reconstruct(events.where("false"), "c", "m", "s", "k", "r", "t").collect() == []
+
+
+def test_the_query_folds_every_kind_of_event(spark):
+    rows = spark.createDataFrame([(1, 0, 1, "user", "hello"), (1, 1, 1, "assistant", "good day"), (1, 2, 1, "user", None)], "conv_id long, turn long, again int, role string, text string")
+    log = queries._chat_log(rows)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"set", "delta", "edit", "regenerate"}
+    assert log.select("message").distinct().count() == 4  # one of them is begun for nothing
+    left = chat.reconstruct(log, "conv_id", "message", "seq", "kind", "role", "text").orderBy("message").collect()
+    assert [(r.message.turn, r.role, r.text) for r in left] == [(0, "user", "hello"), (1, "assistant", "good day"), (2, "user", "")]
