@@ -15,6 +15,9 @@ from loadkit.operators import history as H
 from loadkit.operators.shape import first_per_key
 from loadkit.queries.registry import query, table
 from loadkit.session import scratch_path, scratch_table
+from loadkit.sinks.hashed import hashed_rows
+from loadkit.sinks.newest import create_newest, load_full
+from loadkit.sinks.once import RUN, append_once
 from loadkit.sinks.tables import append_table, write_table
 
 KEYS, DATE = ["id"], "business_date"
@@ -230,13 +233,48 @@ def expired_keys(spark, sf):
     return _text_dates(H.expired_keys(full_load(spark, sf), open_target(spark, sf), PAIR, DATE, LOAD_DATE))
 
 
-@query(f"""WITH {OPEN_CTE}
+EXPIRY_SQL = f"""WITH {OPEN_CTE}
 SELECT s.id, s.sub_id, '2010-01-01' AS business_date, s.value1, 'open' AS valid_till
 FROM src s LEFT JOIN lk l ON l.id = s.id AND l.sub_id = s.sub_id
 WHERE l.id IS NULL OR l.valid_till IS NOT NULL OR s.value1 IS DISTINCT FROM l.value1
-UNION ALL SELECT id, sub_id, '2010-01-01', value1, '2009-12-31' FROM gone""")
+UNION ALL SELECT id, sub_id, '2010-01-01', value1, '2009-12-31' FROM gone"""
+
+
+@query(EXPIRY_SQL)
 def history_expiry(spark, sf):
     df = H.changed_with_expiry(
         full_load(spark, sf), open_target(spark, sf), PAIR, DATE, ["value1"], LOAD_DATE
     ).drop("inserted_time")
     return _text_dates(df).withColumn("valid_till", F.coalesce("valid_till", F.lit("open")))
+
+
+def _taken_in(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """A history and its newest rows, as tables, with the full load taken in as load ``second``."""
+    history, newest = scratch_table(spark, "history"), scratch_table(spark, "newest")
+    past = _landed(open_target(spark, sf).select(*PAIR, DATE, "value1", "valid_till"))
+    append_once(past, history, "first", [RUN])
+    create_newest(past, newest, PAIR, DATE, buckets=16)
+    load_full(full_load(spark, sf), history, newest, PAIR, DATE, ["value1"], LOAD_DATE, "second", inserted_col=None)
+    return history, newest
+
+
+@query(EXPIRY_SQL)
+def history_expiry_incremental(spark, sf):
+    """The same rows, from the newest row per key that is kept beside the history."""
+    history, _ = _taken_in(spark, sf)
+    df = _text_dates(spark.table(history).where(F.col(RUN) == "second").drop(RUN))
+    return df.withColumn("valid_till", F.coalesce("valid_till", F.lit("open")))
+
+
+@query(f"""WITH {OPEN_CTE},
+points AS (SELECT id, sub_id, business_date, value1, valid_till FROM tgt
+  UNION ALL SELECT s.id, s.sub_id, s.business_date, s.value1, NULL FROM src s LEFT JOIN lk l ON l.id = s.id AND l.sub_id = s.sub_id
+  WHERE l.id IS NULL OR l.valid_till IS NOT NULL OR s.value1 IS DISTINCT FROM l.value1
+  UNION ALL SELECT id, sub_id, DATE '2010-01-01', value1, DATE '2009-12-31' FROM gone)
+SELECT id, sub_id, CAST(business_date AS VARCHAR) AS business_date, value1, COALESCE(CAST(CAST(valid_till AS DATE) AS VARCHAR), 'open') AS valid_till
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id, sub_id ORDER BY business_date DESC) AS r FROM points) x WHERE r = 1""")
+def history_newest_rows(spark, sf):
+    """The newest row per key after that load."""
+    _, newest = _taken_in(spark, sf)
+    df = _text_dates(hashed_rows(spark, newest))
+    return df.withColumn("valid_till", F.coalesce("valid_till", F.lit("open")))

@@ -8,6 +8,7 @@ one dynamic overwrite; files of other buckets are neither read nor written.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,25 +64,20 @@ def _files(spark: SparkSession, table: str, touched: list[int]) -> set[str]:
     return set(spark.table(table).where(F.col(BUCKET).isin(touched)).inputFiles())
 
 
-def merge_hashed(
-    source: DataFrame,
-    table: str,
-    keys: list[str],
-    update_columns: list[str] | None = None,
-    delete_condition: str | None = None,
-) -> int:
-    """Merge into a hashed table, as ``operators.merge`` does; the number of rows written.
+def rewrite_hashed(source: DataFrame, table: str, change: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+    """Rewrite the buckets that the source's keys belong to; the number of rows written.
 
-    ``keys`` must be those the table is hashed by, in any order. The files of
-    the touched buckets are listed before they are read and again before they
-    are replaced: if another run has written one of them meanwhile, this one
-    fails and changes nothing. A source without rows writes nothing.
+    ``change`` gets the table's rows of these buckets and the source's rows,
+    both with their bucket, and gives what the buckets hold from now on. Their
+    files are listed before they are read and again before they are replaced:
+    if another run has written one of them meanwhile, this one fails and changes
+    nothing. A source without rows writes nothing.
     """
     spark = source.sparkSession
     require_table(spark, table)
     settings = hashed_by(spark, table)
-    if settings is None or sorted(settings[0]) != sorted(keys):
-        raise ValueError(f"{table} is not hashed by {keys}")
+    if settings is None:
+        raise ValueError(f"{table} is not a hashed table")
     own, buckets = settings
     target = spark.table(table)
     dealt = source.withColumn(BUCKET, _bucket(own, [target.schema[k].dataType for k in own], buckets))
@@ -92,7 +88,7 @@ def merge_hashed(
     near = spark.table(table).where(F.col(BUCKET).isin(touched))
     staged = scratch_table(spark, "merged")
     try:
-        rows = _create(merge(near, dealt, keys, update_columns, delete_condition), staged)
+        rows = _create(change(near, dealt), staged)
         if _files(spark, table, touched) != before:
             raise RuntimeError(f"{table} was written by another run meanwhile")
         values = spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int")
@@ -102,6 +98,26 @@ def merge_hashed(
         spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
 
+def merge_hashed(
+    source: DataFrame,
+    table: str,
+    keys: list[str],
+    update_columns: list[str] | None = None,
+    delete_condition: str | None = None,
+) -> int:
+    """Merge into a hashed table, as ``operators.merge`` does; the number of rows written.
+
+    ``keys`` must be those the table is hashed by, in any order. Only the
+    buckets of the source's keys are read and written, as in ``rewrite_hashed``.
+    """
+    spark = source.sparkSession
+    require_table(spark, table)
+    settings = hashed_by(spark, table)
+    if settings is None or sorted(settings[0]) != sorted(keys):
+        raise ValueError(f"{table} is not hashed by {keys}")
+    return rewrite_hashed(source, table, lambda near, dealt: merge(near, dealt, keys, update_columns, delete_condition))
+
+
 def append_hashed(df: DataFrame, table: str) -> int:
     """Append rows, each to the bucket of its key."""
     spark = df.sparkSession

@@ -1,0 +1,101 @@
+"""Full loads taken in by the newest row per key, against the whole history."""
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from loadkit.operators import history as H
+from loadkit.session import scratch_table
+from loadkit.sinks import newest as N
+from loadkit.sinks import once
+from loadkit.sinks.hashed import hashed_rows
+from tests.conftest import plan, rows
+
+FIELDS = "id int, business_date date, v string"
+CLOSED = FIELDS + ", valid_till date"
+KEYS, DATE = ["id"], "business_date"
+START = date(2024, 1, 1)
+
+
+def day(n):
+    return START + timedelta(days=n)
+
+
+def tables(spark, past):
+    history, newest = scratch_table(spark, "history"), scratch_table(spark, "newest")
+    frame = spark.createDataFrame(past, CLOSED)
+    once.append_once(frame, history, "first", [once.RUN])
+    N.create_newest(frame, newest, KEYS, DATE, buckets=4)
+    return history, newest
+
+
+def take(spark, load, history, newest, n, name):
+    return N.load_full(spark.createDataFrame(load, FIELDS), history, newest, KEYS, DATE, ["v"], str(day(n)), name, inserted_col=None)
+
+
+def held(spark, table):
+    spark.catalog.refreshTable(table)
+    return spark.table(table).select("id", DATE, "v", "valid_till")
+
+
+def test_random_loads_equal_the_whole_computation(spark):
+    draw = random.Random(3)
+    past = [(i, day(draw.randrange(3)), draw.choice("ab"), draw.choice([None, day(3)])) for i in range(12)] + [(None, day(1), "n", None), (3, None, "x", None)]
+    history, newest = tables(spark, past)
+    for n, name in ((4, "a"), (9, "b"), (7, "c")):
+        # most rows on the load's day, some before the newest ones, some there already, some without key or date
+        load = [(i, day(n - draw.choice([0, 0, 0, 2, 5])), draw.choice(["a", "b", None])) for i in draw.sample(range(16), 10)]
+        load += [(None, day(n), "n"), (5, None, "x"), load[0]]
+        before = spark.createDataFrame([tuple(r) for r in held(spark, history).collect()], CLOSED)
+        wanted = H.changed_with_expiry(spark.createDataFrame(load, FIELDS), before, KEYS, DATE, ["v"], str(day(n)), inserted_col=None)
+        assert take(spark, load, history, newest, n, name) == wanted.count()
+        own = spark.table(history).where(F.col(once.RUN) == name).select("id", DATE, "v", "valid_till")
+        assert rows(own) == rows(wanted)
+        assert rows(hashed_rows(spark, newest)) == rows(H.last_known(held(spark, history), KEYS, DATE))
+
+
+def test_a_load_without_late_rows_does_not_read_the_history(spark):
+    history, newest = tables(spark, [(i, day(0), "a", None) for i in range(20)])
+    load = spark.createDataFrame([(i, day(1), "b") for i in range(10)], FIELDS)
+    past = spark.table(history)
+    args = (KEYS, DATE, ["v"], str(day(1)))
+    name = history.split(".")[-1]
+    assert name not in plan(H.changed_by_newest(load, hashed_rows(spark, newest), past, *args))
+    late = load.unionByName(spark.createDataFrame([(1, day(-1), "late")], FIELDS))
+    assert name in plan(H.changed_by_newest(late, hashed_rows(spark, newest), past, *args))
+
+
+@pytest.mark.parametrize("at", ["_publish", "record", "update_newest", "rewritten"])
+def test_a_stopped_load_is_taken_in_once(spark, monkeypatch, at):
+    history, newest = tables(spark, [(i, day(0), "a", None) for i in range(10)])
+    load = [(i, day(2), "b") for i in range(5)] + [(7, day(-3), "late")]
+    with monkeypatch.context() as m:
+        if at == "update_newest":
+            m.setattr(N, at, lambda *a: 1 / 0)
+        elif at == "rewritten":
+            update = N.update_newest
+            m.setattr(N, "update_newest", lambda *a: (update(*a), 1 / 0))
+        else:
+            publish = once._publish
+
+            def stopped(df, table, run):
+                if at == "record" and not table.endswith("__loads"):
+                    return publish(df, table, run)
+                raise ZeroDivisionError
+
+            m.setattr(once, "_publish", stopped)
+        with pytest.raises(ZeroDivisionError):
+            take(spark, load, history, newest, 2, "second")
+    for _ in range(2):
+        assert take(spark, load, history, newest, 2, "second") == 5 + 1 + 4  # changed, late, closed
+    assert held(spark, history).count() == 20
+    assert rows(hashed_rows(spark, newest)) == rows(H.last_known(held(spark, history), KEYS, DATE))
+    assert take(spark, [], history, newest, 3, "none") == 6  # an empty load closes what is open
+
+
+def test_only_hashed_tables_are_brought_up_to_date(spark):
+    history, _ = tables(spark, [(1, day(0), "a", None)])
+    with pytest.raises(ValueError, match="not a hashed table"):
+        N.update_newest(held(spark, history), history, DATE)
