@@ -273,7 +273,7 @@ class RunLedger:
         self.events.append((self.run_id, self.job_id, now, now, self.started, now, run_date, rows, status, error))
         if last:
             frame = self.spark.createDataFrame(self.events, ledger.RUN_SCHEMA).coalesce(1)
-            sinks.append_evolving(frame, self.table)
+            sinks.append_evolving(frame, self.table, partition_by=["run_date"])
             self.events = []
 
     def refusal(self) -> str | None:

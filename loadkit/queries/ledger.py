@@ -11,6 +11,9 @@ from loadkit.operators import ledger as L
 from loadkit.operators import validation as V
 from loadkit.queries.registry import query, table
 from loadkit.queries.validation import NOT_LOW, NULLS, RAW_CTE, TYPES, raw_orders
+from loadkit.session import scratch_table
+from loadkit.sinks.compaction import compact_events
+from loadkit.sinks.tables import append_evolving
 
 RUNS_CTE = """WITH runs AS (SELECT CAST(event_id AS VARCHAR) AS run_id, 'job-' || user_id AS job_id,
   CAST(ts AS DATE) AS run_date, ts AS _modified, CASE event_type WHEN 'view' THEN 'Started'
@@ -84,14 +87,25 @@ def ledger_duplicate_latest(spark, sf):
     return df.select("run_id", "job_id", "other_run_id", "other_run_status")
 
 
-@query(RUNS_CTE + """SELECT job_id || ' ' || CAST(run_date AS VARCHAR) AS run_id, arg_max(run_status, _modified) AS run_status,
+CURRENT_STATE_SQL = RUNS_CTE + """SELECT job_id || ' ' || CAST(run_date AS VARCHAR) AS run_id, arg_max(run_status, _modified) AS run_status,
   strftime(MIN(_modified), '%Y-%m-%d %H:%M:%S') AS created, strftime(MAX(_modified), '%Y-%m-%d %H:%M:%S') AS modified
-FROM runs GROUP BY job_id, run_date""")
+FROM runs GROUP BY job_id, run_date"""
+
+
+@query(CURRENT_STATE_SQL)
 def ledger_current_state(spark, sf):
-    # Here a job's events of one day are the status history of one run: first starts and reads, then the rest.
+    started, later = _histories(spark, sf)
+    return _shown(L.record_run(L.current_state(started), later))
+
+
+def _histories(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """A job's events of one day as the status history of one run: first starts and reads, then the rest."""
     events = runs(spark, sf).withColumn("run_id", F.concat_ws(" ", "job_id", F.col("run_date").cast("string")))
     running = F.upper("run_status").isin(*L.RUNNING)
-    state = L.record_run(L.current_state(events.where(running)), events.where(~running))
+    return events.where(running), events.where(~running)
+
+
+def _shown(state: DataFrame) -> DataFrame:
     pattern = "yyyy-MM-dd HH:mm:ss"
     return state.select(
         "run_id",
@@ -101,6 +115,19 @@ def ledger_current_state(spark, sf):
     )
 
 
+@query(CURRENT_STATE_SQL)
+def ledger_compacted(spark, sf):
+    """The same from a ledger table whose dates but the last have been compacted, with events coming in afterwards."""
+    started, later = _histories(spark, sf)
+    name = scratch_table(spark, "events")
+    append_evolving(started, name, partition_by=["run_date"])
+    half = F.xxhash64("job_id") % 2 == 0
+    append_evolving(later.where(half), name)
+    compact_events(spark, name, spark.table(name).agg(F.max("run_date")).first()[0])
+    append_evolving(later.where(~half), name)
+    return _shown(L.current_state(spark.table(name)))
+
+
 def _request(name: Column) -> list[Column]:
     return [
         F.lit("crm").alias("source_system"),

@@ -119,8 +119,8 @@ def write_table(
     return _insert(df, table)
 
 
-def append_evolving(df: DataFrame, table: str, dry_run: bool = False) -> int:
-    """Append, creating the table, adding new columns and widening those whose type has changed.
+def append_evolving(df: DataFrame, table: str, dry_run: bool = False, partition_by: list[str] | None = None) -> int:
+    """Append, creating the table (partitioned if asked), adding new columns and widening those whose type has changed.
 
     Columns the frame lacks become null. Where the table's type of a column
     can't hold the frame's (``promoted``), the table is written again with the
@@ -131,7 +131,7 @@ def append_evolving(df: DataFrame, table: str, dry_run: bool = False) -> int:
     if dry_run:
         return df.count()
     if not _exists(spark, table):
-        return _create(df, table)
+        return _create(df, table, partition_by)
     known = {f.name.lower(): f for f in spark.table(table).schema}
     types = {f.name: promoted(known[f.name.lower()].dataType, f.dataType) for f in df.schema if f.name.lower() in known}
     wider = {known[c.lower()].name: kind for c, kind in types.items() if kind != known[c.lower()].dataType}
