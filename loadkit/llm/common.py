@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from loadkit.operators.keyed import join_per_key
 from loadkit.session import scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -28,6 +33,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_small_batches(operator: Callable) -> Callable:
+    """What the operator runs itself goes to Python by ``BATCH_BYTES`` (and a row), not by a number of rows of any length.
+
+    A batch of ten thousand texts lies several times in the executor, outside
+    its heap, and once or twice in the worker. What is run later, out of the
+    frame that the operator returns, has the session's own setting.
+    """
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs):
+        conf = docs.sparkSession.conf
+        before = conf.get(_BATCH)
+        conf.set(_BATCH, str(BATCH_BYTES))
+        try:
+            return operator(docs, *args, **kwargs)
+        finally:
+            conf.set(_BATCH, before)
+
+    return run
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of a few rows of the driver. They go as Arrow: plain rows would start Python workers of a second kind, which stay."""
+    kind = StructType.fromDDL(schema)
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(kind.names, row, strict=True)) for row in rows], to_arrow_schema(kind)), kind)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the files of a frame made by ``stored`` that nothing will read again."""
     spark = df.sparkSession

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import hash_bits, in_bits, stored
-from loadkit.llm.textbytes import LOWER, hash_spans, mix, prefix_hashes, slices, word_spans
+from loadkit.llm.common import hash_bits, in_bits, in_small_batches, stored
+from loadkit.llm.textbytes import LOWER, PIECE_BYTES, hash_spans, mix, prefix_hashes, slices, word_spans
 
 WINDOW = 8
 LEAST_ORDINARY = 4
@@ -159,7 +159,7 @@ def _windows(texts: DataFrame, width: int, bits=None, short: Iterable[int] = ())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, _, data, offsets in slices(batch.column("text")):
+            for start, _, data, offsets in slices(batch.column("text"), PIECE_BYTES):
                 text, first, size, form, hashes, value, kind, words = windows(data, offsets, width, short if bits is not None else range(LEAST_WORDS, width))
                 count = np.diff(words)
                 keep = in_bits(hashes, bits.value) if bits is not None else (size == width) | (size == count[text])
@@ -190,6 +190,7 @@ def _windows(texts: DataFrame, width: int, bits=None, short: Iterable[int] = ())
     return texts.select("key", "text").mapInArrow(run, WINDOWS.format(texts.schema["key"].dataType.simpleString()))
 
 
+@in_small_batches
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     width: int = WINDOW, least_run: int = LEAST_RUN,

@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import components, drop_stored, hash_bits, in_bits, stored
-from loadkit.llm.textbytes import mix, shingles, slices
+from loadkit.llm.common import components, drop_stored, hash_bits, in_bits, in_small_batches, stored
+from loadkit.llm.textbytes import PIECE_BYTES, mix, shingles, slices
 
 SKETCH = 1 << 20
 SKETCH_PARTS = 16
@@ -87,9 +87,9 @@ def _scan(docs: DataFrame, width: int) -> DataFrame:
         sketch = np.zeros(SKETCH, np.uint32)
         for batch in batches:
             sizes, names = [], []
-            for _, _, data, offsets in slices(batch.column("text")):
+            for _, _, data, offsets in slices(batch.column("text"), PIECE_BYTES):
                 hashes, bounds = sets_of(data, offsets, width)
-                sketch += np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
+                np.add.at(sketch, (hashes % np.uint64(SKETCH)).astype(np.int64), np.uint32(1))
                 sizes.append(np.diff(bounds))
                 names.append(class_of(hashes, bounds))
             n = batch.num_rows
@@ -192,7 +192,7 @@ def _entries(docs: DataFrame, width: int, percent: int, sketch) -> DataFrame:
         have: list[tuple[np.ndarray, ...]] = []
         seen: set[int] = set()
         for batch in batches:
-            for _, _, data, offsets in slices(batch.column("text")):
+            for _, _, data, offsets in slices(batch.column("text"), PIECE_BYTES):
                 hashes, bounds = sets_of(data, offsets, width)
                 name, size = class_of(hashes, bounds), np.diff(bounds)
                 order = rank[(hashes % np.uint64(SKETCH)).astype(np.int64)] << np.uint64(52) | hashes >> np.uint64(12)
@@ -406,6 +406,7 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
     return members.groupBy("root", "ta", "tb").applyInArrow(run, "c long, links long, other long")
 
 
+@in_small_batches
 def similar_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -514,7 +515,7 @@ def _sets(texts: DataFrame, width: int, bits) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             batch = batch.filter(pa.array(in_bits(batch.column("t").to_numpy(), bits.value)))
-            for _, _, data, offsets in slices(batch.column("text")):
+            for _, _, data, offsets in slices(batch.column("text"), PIECE_BYTES):
                 hashes, bounds = sets_of(data, offsets, width)
                 name = class_of(hashes, bounds).tolist()
                 new = [i for i, c in enumerate(name) if bounds[i + 1] > bounds[i] and not (c in seen or seen.add(c))]

@@ -13,7 +13,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import bucket_of, stored
+from loadkit.llm.common import bucket_of, local_frame, stored
 
 BUCKETS = 4096
 FEW_PATTERNS = 10_000
@@ -169,7 +169,7 @@ def mixed_rows(
 
     def of_patterns(rows: list, schema: str) -> DataFrame:
         """A frame of a row per pattern at most; sent to every task only if they are few."""
-        made = session.createDataFrame(rows, schema)
+        made = local_frame(session, rows, schema)
         return F.broadcast(made) if len(rows) <= FEW_PATTERNS else made
 
     plan = {

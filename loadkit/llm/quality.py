@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import stored
-from loadkit.llm.textbytes import LOWER, hash_spans, mix, prefix_hashes, slices, word_spans
+from loadkit.llm.common import in_small_batches, stored
+from loadkit.llm.textbytes import LOWER, PIECE_BYTES, hash_spans, mix, prefix_hashes, slices, word_spans
 
 DIMS = 1 << 16
 MOST_LABELLED = 20_000
@@ -143,6 +143,7 @@ def descend(grade, text, bucket, value, weights, thresholds, epochs: int = 6, ba
     return weights, _ordered(gaps)
 
 
+@in_small_batches
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "quality", dims: int = DIMS, most_labelled: int = MOST_LABELLED) -> Model | None:
     """A model from at most ``most_labelled`` labelled rows, those whose ids hash lowest.
 
@@ -162,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, data, offsets in slices(batch.column("text")):
+            for start, end, data, offsets in slices(batch.column("text"), PIECE_BYTES):
                 text, bucket, value = features(data, offsets, dims)
                 key = text * dims + bucket
                 kept, back = np.unique(key, return_inverse=True)
@@ -224,10 +225,12 @@ def graded(docs: DataFrame, model: Model | None, text_col: str = "text", at_leas
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [shared.value.scores(data, offsets) for _, _, data, offsets in slices(batch.column("text"))]
-            above = shared.value.above(np.concatenate(scores) if scores else np.zeros(0))
-            expected = model_low + above @ steps
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(expected), pa.array(above[:, level])], names=["row", "expected_grade", "tail"])
+            for start, end, data, offsets in slices(batch.column("text"), PIECE_BYTES):
+                above = shared.value.above(shared.value.scores(data, offsets))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(start, end - start), pa.array(model_low + above @ steps), pa.array(above[:, level])],
+                    names=["row", "expected_grade", "tail"],
+                )
 
     model_low = model.grades[0]
     scored = whole.mapInArrow(run, f"row {whole.schema['row'].dataType.simpleString()}, expected_grade double, tail double")

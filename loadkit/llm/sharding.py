@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import bucket_of, numbered, stored
+from loadkit.llm.common import bucket_of, local_frame, numbered, stored
 from loadkit.operators.keyed import join_per_key
 
 BUCKETS = 1024
@@ -120,7 +120,7 @@ def assign_shards(
                 whole.append((*(group[k] for k in KEY), s, free[s]))
                 left, free[s] = left - free[s], 0
     kinds = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in units.select(*KEY).schema)}, _shard int, _n long"
-    placed = spark.createDataFrame(whole, kinds)
+    placed = local_frame(spark, whole, kinds)
     if whole:
         used = placed.groupBy(*KEY).agg(F.sum("_n").alias("_used"))
         rest = units.join(F.broadcast(used), KEY, "left").withColumn("_need", F.col("_need") - F.coalesce("_used", F.lit(0)))

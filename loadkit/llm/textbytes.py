@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18  # where a slice is only a step: what a worker has allocated once, it keeps
 _BASE = 0x9E3779B97F4A7C15 | 5  # odd, and its distance to 1 has few factors of two
 _BASE -= (_BASE % 8) - 5
 _MASK = (1 << 64) - 1
