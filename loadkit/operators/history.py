@@ -128,7 +128,7 @@ def _answered(points: DataFrame, keys: list[str], date_col: str) -> DataFrame:
         "_second",
     )
     opening = opening.where(F.col("_row").isNotNull())
-    return _with_neighbours(pieces.unionByName(opening), piece, date_col).drop("_day", "_second")
+    return _with_neighbours(pieces.unionByName(opening, allowMissingColumns=True), piece, date_col).drop("_day", "_second")
 
 
 def _looked_up(
@@ -214,12 +214,34 @@ def _stamped(df: DataFrame, inserted_col: str | None) -> DataFrame:
     return add_current_timestamp(df, inserted_col) if inserted_col else df
 
 
-def _one_per_date(source: DataFrame, keys: list[str], date_col: str, value_cols: list[str]) -> DataFrame:
-    """The greatest source row of each key and date, and all rows that lack one of them."""
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, date_col)])
-    rest = [f.name for f in source.schema if f.name not in (*keys, date_col, *value_cols) and isinstance(f.dataType, AtomicType)]
-    first = first_per_key(source.where(known), [*keys, date_col], [F.col(c).desc() for c in (*value_cols, *rest)])
-    return first.unionByName(source.where(~known))
+def _chained(source: DataFrame, target: DataFrame, keys: list[str], date_col: str, value_cols: list[str]) -> DataFrame:
+    """Source rows that differ from the point before them on their key's line of target and batch.
+
+    The rows go through two shuffles: by key and date, where one row of each
+    is left, and by key. Neither source nor target meets itself in a join.
+    """
+    on = [*keys, date_col]
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    kind = {c: target.schema[c].dataType for c in value_cols}
+    line = {c: c if source.schema[c].dataType == kind[c] else f"_line_{c}" for c in value_cols}
+    cast = {line[c]: F.col(c).cast(kind[c]) for c in value_cols if line[c] != c}
+    near = _of_batch(source, target.where(known), keys, date_col)
+    past = near.select(*on, *[F.col(c).alias(line[c]) for c in value_cols], F.lit(True).alias("_old"))
+    points = source.where(known).withColumns({**cast, "_old": F.lit(False)}).unionByName(past, allowMissingColumns=True)
+    rest = [f.name for f in source.schema if f.name not in (*on, *value_cols) and isinstance(f.dataType, AtomicType)]
+    points = first_per_key(points, on, [F.col(c).desc() for c in ("_old", *value_cols, *cast, *rest)])
+    if isinstance(points.schema[date_col].dataType, DateType):
+        # one point a day: a key's line is bounded by the calendar
+        order = Window.partitionBy(*keys).orderBy(date_col)
+        seen = points.withColumns({"_place": F.row_number().over(order), **{f"_prev_{c}": F.lag(line[c]).over(order) for c in value_cols}})
+        first, before = F.col("_place") == 1, [F.col(f"_prev_{c}") for c in value_cols]
+    else:
+        row = F.struct(date_col, *[F.col(line[c]).alias(c) for c in value_cols])
+        seen = _answered(points.withColumns({"_row": row, "_asked": ~F.col("_old")}), keys, date_col).where("_asked")
+        first, before = F.col("_prev").isNull(), [F.col("_prev")[c] for c in value_cols]
+    changed = seen.where(~F.col("_old") & (first | differs([F.col(line[c]) for c in value_cols], before)))
+    own = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in on else F.col(f.name) for f in source.schema]
+    return changed.select(*own).unionByName(source.where(~known))
 
 
 def changed_asof(
@@ -244,15 +266,7 @@ def changed_asof(
     the same batch appends nothing.
     """
     if chain:
-        source = _one_per_date(source, keys, date_col, value_cols)
-        source = not_in_target(source, target, keys, date_col)
-        on = [*keys, date_col, *value_cols]
-        target = target.select(*on).unionByName(source.select(*[F.col(c).cast(target.schema[c].dataType) for c in on]))
-        prev = F.col("_prev")
-        joined = _looked_up(source, target, keys, date_col, value_cols)
-        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, date_col)])
-        changed = ~known | prev.isNull() | differs([F.col(c) for c in value_cols], [prev[c] for c in value_cols])
-        return _stamped(joined.where(changed).select(*source.columns), inserted_col)
+        return _stamped(_chained(source, target, keys, date_col, value_cols), inserted_col)
     joined = _looked_up(source, target, keys, date_col, value_cols)
     prev = F.col("_prev")
     changed = prev.isNull() | differs([F.col(c) for c in value_cols], [prev[c] for c in value_cols])

@@ -61,15 +61,15 @@ def _landed(df: DataFrame) -> DataFrame:
 
 
 def source(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_linestatus")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    # cut to what is needed before the shuffles of the join
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias(DATE), (F.col("l_linestatus") == "O").alias("open"))
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("id"), F.substring("o_orderpriority", 1, 1).cast("int").alias("value2")
+    )
     days = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(F.col("o_custkey").alias("id"), F.col("l_shipdate").cast("date").alias(DATE))
-        .agg(
-            F.max(F.col("l_linestatus") == "O").alias("open"),
-            F.max(F.substring("o_orderpriority", 1, 1).cast("int")).alias("value2"),
-        )
+        .groupBy("id", DATE)
+        .agg(F.max("open").alias("open"), F.max("value2").alias("value2"))
     )
     return _landed(days.select("id", DATE, F.when(F.col("open"), "O").otherwise("F").alias("value1"), "value2"))
 

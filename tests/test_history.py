@@ -305,3 +305,13 @@ def test_chain_against_brute_force(spark, kind):
         assert got == chained_by_hand(source, target)
         again = shown(H.changed_asof(frame(source), frame(target + got), ["id"], "day", ["value"], chain=True))
         assert [r for r in again if r[0] is not None and r[1] is not None] == []
+
+
+def test_chain_keeps_the_batch_as_it_is(spark):
+    """Other columns and the batch's own types, where the history's are wider."""
+    source = spark.sql("SELECT * FROM VALUES (1, DATE'2024-01-02', '7', map('a', 1)), (1, DATE'2024-01-03', '7', map('b', 2)), (null, null, '9', null) AS t(id, day, value, extra)")
+    target = spark.sql("SELECT * FROM VALUES (1L, DATE'2024-01-01', 7), (1L, DATE'2024-01-04', 9) AS t(id, day, value)")
+    new = H.changed_asof(source, target.where("value = 9"), ["id"], "day", ["value"], None, chain=True)
+    assert new.schema.simpleString() == source.schema.simpleString()
+    assert sorted(((r.id, r.day and r.day.day, r.value, r.extra) for r in new.collect()), key=repr) == [(1, 2, "7", {"a": 1}), (None, None, "9", None)]
+    assert [r.value for r in H.changed_asof(source, target, ["id"], "day", ["value"], None, chain=True).collect()] == ["9"]

@@ -57,3 +57,10 @@ def test_only_needed_columns_are_read(frames):
     source, target = frames
     text = plan(H.changed_asof(source.select("id", "at", "v"), target, KEYS, DATE, VALUES))
     assert "o_totalprice" not in text and "o_orderpriority" not in text
+
+
+def test_chained_batches_are_shuffled_twice(frames):
+    """By key and date, and by key; before that the batch's keys and the target meet (three)."""
+    source, target = (f.select("id", "at", "v") for f in frames)
+    text = plan(H.changed_asof(source, target, KEYS, DATE, VALUES, chain=True))
+    assert text.count("Exchange hashpartitioning") == 5 and text.count("Join") == 1
