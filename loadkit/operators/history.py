@@ -175,9 +175,12 @@ def join_last_known(
     """Add ``last_*``: date and values of the key's newest target row, where that is older than the source row."""
     wanted = source.select(*keys).distinct()
     near = join_per_key(target.select(*keys, date_col, *value_cols), wanted, keys, "left_semi")
-    packed = last_known(near, keys, date_col).select(
-        *keys, F.struct(date_col, *value_cols).alias("_last")
-    )
+    return _with_last(source, last_known(near, keys, date_col), keys, date_col, value_cols)
+
+
+def _with_last(source: DataFrame, newest: DataFrame, keys: list[str], date_col: str, value_cols: list[str]) -> DataFrame:
+    """``join_last_known`` out of the newest row per key."""
+    packed = newest.select(*keys, F.struct(date_col, *value_cols).alias("_last"))
     joined = join_per_key(source, packed, keys, "left")
     earlier = F.when(F.col("_last")[date_col] < F.col(date_col), F.col("_last"))
     return joined.select(
@@ -280,14 +283,22 @@ def changed_vs_last_known(
     date_col: str,
     value_cols: list[str],
     inserted_col: str | None = "inserted_time",
+    newest: DataFrame | None = None,
 ) -> DataFrame:
     """Rows to append, judged against the newest target row of each key.
 
     A row older than its key's newest target row counts as new; use
     ``changed_asof`` where such late rows must be compared as well.
+
+    ``newest`` are the target's newest rows per key, where they are kept
+    (``sinks.newest``) or landed; a batch of many keys is then not gone through
+    a second time to find the target rows that matter to it.
     """
     fresh = not_in_target(source, target, keys, date_col)
-    joined = join_last_known(fresh, target, keys, date_col, value_cols)
+    if newest is None:
+        joined = join_last_known(fresh, target, keys, date_col, value_cols)
+    else:
+        joined = _with_last(fresh, newest, keys, date_col, value_cols)
     changed = F.col(f"last_{date_col}").isNull() | differs(
         [F.col(c) for c in value_cols], [F.col(f"last_{c}") for c in value_cols]
     )

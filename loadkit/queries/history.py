@@ -169,7 +169,9 @@ SELECT c.id, CAST(c.business_date AS VARCHAR) AS business_date, c.value1, c.valu
 FROM cand c LEFT JOIN lk l ON l.id = c.id AND l.business_date < c.business_date
 WHERE l.id IS NULL OR c.value1 IS DISTINCT FROM l.value1 OR c.value2 IS DISTINCT FROM l.value2""")
 def history_last_known(spark, sf):
-    df = H.changed_vs_last_known(source(spark, sf), target(spark, sf), KEYS, DATE, ["value1", "value2"])
+    history = _landed(target(spark, sf))
+    newest = _landed(H.last_known(history, KEYS, DATE))
+    df = H.changed_vs_last_known(source(spark, sf), history, KEYS, DATE, ["value1", "value2"], newest=newest)
     return _text_dates(df.drop("inserted_time"))
 
 

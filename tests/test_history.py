@@ -307,6 +307,15 @@ def test_chain_against_brute_force(spark, kind):
         assert [r for r in again if r[0] is not None and r[1] is not None] == []
 
 
+def test_kept_newest_rows_give_the_same(frames):
+    source, target = frames[:2]
+    values = [c for c in ("value1", "value2") if c in source.columns]
+    want = H.changed_vs_last_known(source, target, KEYS, "business_date", values, None)
+    newest = H.last_known(target, KEYS, "business_date")
+    got = H.changed_vs_last_known(source, target, KEYS, "business_date", values, None, newest=newest)
+    assert rows(got) == rows(want) and got.count() > 0
+
+
 def test_chain_keeps_the_batch_as_it_is(spark):
     """Other columns and the batch's own types, where the history's are wider."""
     source = spark.sql("SELECT * FROM VALUES (1, DATE'2024-01-02', '7', map('a', 1)), (1, DATE'2024-01-03', '7', map('b', 2)), (null, null, '9', null) AS t(id, day, value, extra)")

@@ -64,3 +64,9 @@ def test_chained_batches_are_shuffled_twice(frames):
     source, target = (f.select("id", "at", "v") for f in frames)
     text = plan(H.changed_asof(source, target, KEYS, DATE, VALUES, chain=True))
     assert text.count("Exchange hashpartitioning") == 5 and text.count("Join") == 1
+
+
+def test_kept_newest_rows_save_a_pass(frames):
+    source, target = frames
+    newest = H.last_known(target, KEYS, DATE)
+    assert shuffles(H.changed_vs_last_known(source, target, KEYS, DATE, VALUES, newest=newest)) <= 6
