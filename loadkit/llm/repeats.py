@@ -9,14 +9,17 @@ brought together by content first, without loss:
   by their hash. The windows of one anchor are consecutive; the bytes they
   cover are a block, some twenty bytes longer than a window.
 - Blocks that are equal need no bytes to be judged: all their windows match.
-  Their copies within a task are settled there; for each block, one entry per
-  task is dealt out.
+  A task takes its texts by pieces and settles the copies within each; for
+  each block, one entry per piece is dealt out.
 - Blocks that differ but have an anchor in common may still share some
   windows. Only their bytes are dealt out, and there the suffix array decides:
   the suffixes at all windows are put in order, to the depth of a window. In a
   run of suffixes that agree that far, the previous or the next smaller
   document in suffix order gives the earlier match; there is one unless the
   suffix's own document is the smallest of its run.
+
+What is dealt out comes back in order, so a worker holds a piece of it at a
+time, however much of it its task has.
 """
 
 from __future__ import annotations
@@ -29,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import stored
-from loadkit.llm.textbytes import hash_spans, mix, powers, prefix_hashes, slices
+from loadkit.llm.common import in_small_batches, stored
+from loadkit.llm.textbytes import PIECE_BYTES, hash_spans, mix, powers, prefix_hashes, slices
 
 K = 24
-HOT_BLOCKS = 50_000
+HOT_BLOCKS = 10_000  # of some 27 windows at most
+PIECE_BLOCKS = 1 << 18  # blocks that a worker settles at once: some 4 MB of text
+PIECE_WINDOWS = 1 << 17  # suffixes from which on a worker puts them in order; a batch may add twice as many
 LAST = 2**63 - 1  # null ids come after all others
 
 
@@ -97,17 +102,9 @@ ENTRIES = "bucket int, id long, hashes binary, blocks binary, docs binary"
 
 
 def _entries(docs: DataFrame, length: int, k: int, buckets: int) -> DataFrame:
-    """Blocks dealt by their anchors, one entry per block and task; copies within the task as matched, by document."""
+    """Blocks dealt by their anchors, one entry per block and piece of a task; copies within the piece as matched, by document."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
-        for batch in batches:
-            ids = batch.column("id").to_numpy()
-            for start, _, data, offsets in slices(batch.column("text")):
-                text, _, _, anchor, block = blocks_of(data, offsets, length, k)
-                found.append((ids[start + text], anchor, block))
-        if not found:
-            return
+    def settled(found: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         doc, anchor, block = (np.concatenate(x) for x in zip(*found, strict=True))
         found.clear()
         order, begin, matched = _least(block, doc)
@@ -124,26 +121,36 @@ def _entries(docs: DataFrame, length: int, k: int, buckets: int) -> DataFrame:
             names=["bucket", "id", "hashes", "blocks", "docs"],
         )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, many = [], 0
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            for start, _, data, offsets in slices(batch.column("text"), PIECE_BYTES):
+                text, _, _, anchor, block = blocks_of(data, offsets, length, k)
+                found.append((ids[start + text], anchor, block))
+                many += len(block)
+                if many >= PIECE_BLOCKS:
+                    yield from settled(found)
+                    many = 0
+        if found:
+            yield from settled(found)
+
     return docs.mapInArrow(run, ENTRIES)
 
 
 def _judged(entries: DataFrame) -> DataFrame:
-    """(id, kind, blocks): blocks of a document that an earlier one has whole (0), or that must be compared (1, 2 if very many must)."""
+    """(id, kind, blocks): blocks of a document that an earlier one has whole (0), or that must be compared (1, 2 if very many must).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, list] = {}
-        for batch in batches:
-            whole = batch.filter(batch.column("id").is_valid())
-            if whole.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [whole.column("id"), pa.array(np.zeros(whole.num_rows, np.int32)), whole.column("blocks")], names=["id", "kind", "blocks"]
-                )
-            rest = batch.filter(batch.column("id").is_null())
-            for bucket, *packed in zip(*(rest.column(c).to_pylist() for c in ("bucket", "hashes", "blocks", "docs")), strict=True):
-                parts.setdefault(bucket, []).append(packed)
-        for bucket in list(parts):
-            packed = parts.pop(bucket)
-            anchor, block, doc = (np.concatenate([np.frombuffer(x[i], kind) for x in packed]) for i, kind in enumerate((np.uint32, np.uint64, np.int64)))
+    The entries lie by bucket, and one bucket is held at a time.
+    """
+
+    def judged(packed: list[tuple[bytes, ...]]) -> Iterator[pa.RecordBatch]:
+        whole = [np.concatenate([np.frombuffer(x[i], kind) for x in packed]) for i, kind in enumerate((np.uint32, np.uint64, np.int64))]
+        packed.clear()
+        parts = np.uint32(1 + len(whole[0]) // PIECE_BLOCKS)
+        part = whole[0] % parts
+        for i in range(parts):
+            anchor, block, doc = (x[part == i] for x in whole)
             order, begin, matched = _least(block, doc)
             kinds = [(doc[order[matched]], block[order[matched]], 0)]
             # the first document of each block speaks for it where blocks that differ have one anchor
@@ -164,6 +171,23 @@ def _judged(entries: DataFrame) -> DataFrame:
                     [pa.array(owner, pa.int64()), pa.array(np.full(len(owner), kind, np.int32)), pa.array(bytes_of, pa.binary())], names=["id", "kind", "blocks"]
                 )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed, now = [], None
+        for batch in batches:
+            whole = batch.filter(batch.column("id").is_valid())
+            if whole.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [whole.column("id"), pa.array(np.zeros(whole.num_rows, np.int32)), whole.column("blocks")], names=["id", "kind", "blocks"]
+                )
+            rest = batch.filter(batch.column("id").is_null())
+            for bucket, *row in zip(*(rest.column(c).to_pylist() for c in ("bucket", "hashes", "blocks", "docs")), strict=True):
+                if packed and bucket != now:
+                    yield from judged(packed)
+                packed.append(row)
+                now = bucket
+        if packed:
+            yield from judged(packed)
+
     return entries.mapInArrow(run, "id long, kind int, blocks binary")
 
 
@@ -178,8 +202,8 @@ def _lists(column) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(rows), np.concatenate(values)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
 
 
-def _contexts(asked: DataFrame, length: int, k: int, buckets: int) -> DataFrame:
-    """The bytes of blocks to compare, dealt by anchor; of very many with one anchor, each window by its own hash."""
+def _contexts(asked: DataFrame, length: int, k: int) -> DataFrame:
+    """The bytes of blocks to compare, keyed by anchor; of very many with one anchor, each window by its own hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +212,7 @@ def _contexts(asked: DataFrame, length: int, k: int, buckets: int) -> DataFrame:
             for kind in ("blocks", "hot_blocks"):
                 row, value = _lists(batch.column(kind))
                 wanted[kind] = row, value
-            for start, end, data, offsets in slices(batch.column("text")):
+            for start, end, data, offsets in slices(batch.column("text"), PIECE_BYTES):
                 text, first, last, anchor, block = blocks_of(data, offsets, length, k)
                 out = []
                 for kind in ("blocks", "hot_blocks"):
@@ -196,7 +220,9 @@ def _contexts(asked: DataFrame, length: int, k: int, buckets: int) -> DataFrame:
                     here = (row >= start) & (row < end)
                     if not here.any():
                         continue
-                    hit = np.flatnonzero(np.isin(_key(text, block), _key(row[here] - start, value[here])))
+                    # once, however often the text has the block: what is found holds for all its places
+                    key, one = np.unique(_key(text, block), return_index=True)
+                    hit = one[np.isin(key, _key(row[here] - start, value[here]))]
                     if kind == "blocks":
                         out.append((text[hit], anchor[hit], block[hit], np.zeros(len(hit), np.int64), first[hit], last[hit] + length))
                     else:
@@ -211,16 +237,16 @@ def _contexts(asked: DataFrame, length: int, k: int, buckets: int) -> DataFrame:
                 raw = data.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array((anchor % np.uint64(buckets)).astype(np.int32)),
+                        pa.array(anchor.view(np.int64)),
                         pa.array(ids[start + text]),
                         pa.array(block.view(np.int64)),
                         pa.array(step.astype(np.int32)),
                         pa.array([raw[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)], pa.binary()),
                     ],
-                    names=["bucket", "id", "block", "step", "bytes"],
+                    names=["key", "id", "block", "step", "bytes"],
                 )
 
-    return asked.select("id", "text", "blocks", "hot_blocks").mapInArrow(run, "bucket int, id long, block long, step int, bytes binary")
+    return asked.select("id", "text", "blocks", "hot_blocks").mapInArrow(run, "key long, id long, block long, step int, bytes binary")
 
 
 def earlier_windows(data: np.ndarray, starts: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
@@ -249,31 +275,69 @@ def earlier_windows(data: np.ndarray, starts: np.ndarray, doc: np.ndarray, lengt
     return out
 
 
+def _bytes_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column's values, one behind the other, and their bounds."""
+    array = column.combine_chunks()
+    array = array.chunk(0) if isinstance(array, pa.ChunkedArray) else array
+    bounds = np.frombuffer(array.buffers()[1], np.int32)[array.offset : array.offset + len(array) + 1].astype(np.int64)
+    return np.frombuffer(array.buffers()[2], np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def _by_key(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iterator[tuple[pa.Table, bool]]:
+    """Pieces of rows in order of keys, of some ``most`` windows, and whether the key goes on: only where a piece has no other."""
+    held, windows = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        windows += len(_bytes_of(pa.chunked_array([batch.column("bytes")]))[0]) - batch.num_rows * (length - 1)
+        if windows < most:
+            continue
+        table = pa.Table.from_batches(held)
+        key = table["key"].to_numpy()
+        cut = int(np.searchsorted(key, key[-1]))
+        yield (table.slice(0, cut), False) if cut else (table, True)
+        held = table.slice(cut).combine_chunks().to_batches() if cut else []
+        windows = sum(len(_bytes_of(pa.chunked_array([b.column("bytes")]))[0]) - b.num_rows * (length - 1) for b in held)
+    if held:
+        yield pa.Table.from_batches(held), False
+
+
 def _compared(contexts: DataFrame, length: int) -> DataFrame:
-    """(id, spans): packed triples (block, first window, last window) that an earlier document has, for differing blocks."""
+    """(id, spans): packed triples (block, first window, last window) that an earlier document has, for differing blocks.
+
+    The rows lie by key, then by document. A key of more rows than a piece
+    holds hands its different windows on, each with its smallest document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        table = pa.Table.from_batches(got).combine_chunks()
-        ids, block, step = (table[c].to_numpy() for c in ("id", "block", "step"))
-        content = table["bytes"].combine_chunks() if isinstance(table["bytes"], pa.ChunkedArray) else table["bytes"]
-        content = content.chunk(0) if isinstance(content, pa.ChunkedArray) else content
-        bounds = np.frombuffer(content.buffers()[1], np.int32)[content.offset : content.offset + len(content) + 1].astype(np.int64)
-        data = np.frombuffer(content.buffers()[2], np.uint8)
-        many = np.diff(bounds) - length + 1
-        owner = np.repeat(np.arange(len(many)), many)
-        place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-        hit = earlier_windows(data, bounds[:-1][owner] + place, ids[owner], length)
-        begin = hit.copy()
-        begin[1:] &= ~hit[:-1] | (owner[1:] != owner[:-1])
-        end = hit.copy()
-        end[:-1] &= ~hit[1:] | (owner[1:] != owner[:-1])
-        a, b = np.flatnonzero(begin), np.flatnonzero(end)
-        triples = np.stack([block[owner[a]], place[a] + step[owner[a]], place[b] + step[owner[a]]], 1)
-        who, (packed,) = _packed_by(ids[owner[a]], triples)
-        yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(packed, pa.binary())], names=["id", "spans"])
+        before, seen, seen_doc = None, np.zeros((0, length), np.uint8), np.zeros(0, np.int64)
+        for table, goes_on in _by_key(batches, length, PIECE_WINDOWS):
+            key, ids, block, step = (table[c].to_numpy() for c in ("key", "id", "block", "step"))
+            if before != key[0]:
+                seen, seen_doc = seen[:0], seen_doc[:0]
+            data, bounds = _bytes_of(table["bytes"])
+            many = np.diff(bounds) - length + 1
+            owner = np.repeat(np.arange(len(many)), many)
+            place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+            starts = np.concatenate([bounds[:-1][owner] + place, len(data) + length * np.arange(len(seen))])
+            data, doc = np.concatenate([data, seen.ravel()]), np.concatenate([ids[owner], seen_doc])
+            hit = earlier_windows(data, starts, doc, length)
+            before = None
+            if goes_on:
+                least = np.flatnonzero(~hit)
+                windows = np.lib.stride_tricks.sliding_window_view(data, length)[starts[least]]
+                seen, one = np.unique(windows, axis=0, return_index=True)
+                before, seen_doc = key[0], doc[least[one]]
+            hit = hit[: len(owner)]
+            begin = hit.copy()
+            begin[1:] &= ~hit[:-1] | (owner[1:] != owner[:-1])
+            end = hit.copy()
+            end[:-1] &= ~hit[1:] | (owner[1:] != owner[:-1])
+            a, b = np.flatnonzero(begin), np.flatnonzero(end)
+            triples = np.stack([block[owner[a]], place[a] + step[owner[a]], place[b] + step[owner[a]]], 1)
+            who, (packed,) = _packed_by(ids[owner[a]], triples)
+            yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(packed, pa.binary())], names=["id", "spans"])
 
     return contexts.mapInArrow(run, "id long, spans binary")
 
@@ -287,7 +351,7 @@ def _cut(docs: DataFrame, kind: str, length: int, k: int, with_bytes: bool) -> D
             whole, partly = _lists(batch.column("blocks")), _lists(batch.column("spans"))
             triples = partly[1].view(np.int64).reshape(-1, 3)
             partly_row = partly[0][::3]
-            for start, end, data, offsets in slices(batch.column("text")):
+            for start, end, data, offsets in slices(batch.column("text"), PIECE_BYTES):
                 text, first, last, _, block = blocks_of(data, offsets, length, k)
                 key = _key(text, block)
                 here = (whole[0] >= start) & (whole[0] < end)
@@ -333,6 +397,7 @@ def _cut(docs: DataFrame, kind: str, length: int, k: int, with_bytes: bool) -> D
     return docs.mapInArrow(run, RESULT.format(kind))
 
 
+@in_small_batches
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, k: int = K, with_bytes: bool = False
 ) -> DataFrame:
@@ -355,13 +420,14 @@ def remove_repeats(
     rows = docs.select(key.alias("id"), F.struct(F.col(id_col).alias("id")).alias("row"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
 
-    judged = stored(_judged(_entries(rows.select("id", "text"), length, k, buckets).repartition("bucket")), "repeat_blocks")
+    entries = _entries(rows.select("id", "text"), length, k, buckets)
+    judged = stored(_judged(entries.repartition("bucket").sortWithinPartitions("bucket")), "repeat_blocks")
     asked = judged.where("kind > 0").groupBy("id").agg(
         F.collect_list(F.when(F.col("kind") == 1, F.col("blocks"))).alias("blocks"),
         F.collect_list(F.when(F.col("kind") == 2, F.col("blocks"))).alias("hot_blocks"),
     )
-    contexts = _contexts(rows.select("id", "text").join(asked, "id"), length, k, buckets)
-    compared = stored(_compared(contexts.repartition("bucket"), length), "repeat_spans")
+    contexts = _contexts(rows.select("id", "text").join(asked, "id"), length, k)
+    compared = stored(_compared(contexts.repartition("key").sortWithinPartitions("key", "id"), length), "repeat_spans")
 
     whole = judged.where("kind = 0").groupBy("id").agg(F.collect_list("blocks").alias("blocks"))
     partly = compared.groupBy("id").agg(F.collect_list("spans").alias("spans"))
